@@ -1,0 +1,120 @@
+"""End to end: landed JSON -> nine snapshot tables -> seven report files.
+
+``extract`` replaces the original extraction script (driver loops over API
+objects) with Spark jobs over landed documents; ``transform`` replaces the
+transformation script. The snapshot tables written by ``extract`` are the
+hand-over point: they cut the lineage, so a lost executor in ``transform``
+recomputes from Parquet, not from the JSON.
+
+Landing layout (one folder per document kind, JSON lines):
+    <landing>/airlines   schemas.AIRLINE_DOC
+    <landing>/zones      one zones map per line (schemas.ZONES_DOC)
+    <landing>/airports   schemas.AIRPORT_DOC
+    <landing>/flights    schemas.FLIGHT_DOC (list entry + details)
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flightlake import schemas
+from flightlake.functions.geo import radius_to_half_widths
+from flightlake.operators import ingest as E
+from flightlake.plans import reports as R
+from flightlake.sinks.results import write_csv_result
+from flightlake.sinks.snapshots import write_parquet_snapshot
+from flightlake.sources.landed_json import read_json_text, read_landed_json
+from flightlake.sources.parquet import latest_snapshot, read_snapshots
+
+DATASETS = ["airlines", "zctinent", "znctry", "zncty", "airport", "znctyn", "flight", "acflight", "flctry"]
+
+REPORT_FILES = {
+    "R1": "ResultatQuestion1", "R2": "ResultatQuestion2", "R3": "ResultatQuestion3",
+    "R4": "ResultatQuestion4", "R5": "ResultatQuestion5", "R6": "ResultatQuestion6",
+    "R7": "ResultatQuestion7",
+}
+
+
+def _good(df: DataFrame, quarantine: dict[str, DataFrame], name: str) -> DataFrame:
+    good, bad = E.split_bad_records(df)
+    quarantine[name] = bad
+    return good
+
+
+def build_tables(spark: SparkSession, landing: str, radius_m: float | None = None,
+                 strategy: str = "auto") -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The nine tables of one extraction run (lazy), plus quarantined records."""
+    quarantine: dict[str, DataFrame] = {}
+    out: dict[str, DataFrame] = {}
+
+    airlines = _good(read_landed_json(spark, f"{landing}/airlines", schemas.AIRLINE_DOC), quarantine, "airlines")
+    out["airlines"] = airlines.select(*schemas.AIRLINES.fieldNames())
+
+    zones = read_json_text(spark, f"{landing}/zones")
+    out["zctinent"], out["znctry"], out["zncty"] = E.flatten_zones(zones)
+
+    # airport order: position in the landed files (T3: the first match wins)
+    airports_raw = _good(read_landed_json(spark, f"{landing}/airports", schemas.AIRPORT_DOC), quarantine, "airports")
+    airports_raw = airports_raw.withColumn("airport_ord", F.monotonically_increasing_id())
+    out["airport"] = E.project_airports(airports_raw)
+
+    # continent order: position of the zone in its document
+    z = zones.select(F.posexplode(E.parse_json("value", schemas.ZONES_DOC)).alias("zone_ord", "zone", "_z"))
+    continents = z.select("zone", "zone_ord", *[F.col(f"_z.{c}").alias(c) for c in E.BOX_COLUMNS])
+    located = E.locate_in_zones(
+        airports_raw.select(F.col("latitude").cast("float").cast("double").alias("latitude"),
+                            F.col("longitude").cast("float").cast("double").alias("longitude"),
+                            F.col("altitude").cast("int").alias("altitude"), "country", "airport_ord"),
+        continents, strategy=strategy)
+    first = E.first_match_per_country(
+        located.withColumnRenamed("zone_name", "continent"), "country",
+        ["latitude", "longitude", "altitude", "continent"], ["airport_ord", "zone_ord"])
+    out["znctyn"] = first.select(F.col("country").alias("zone_country"), "latitude", "longitude",
+                                 "altitude", "continent")
+
+    flights = _good(read_landed_json(spark, f"{landing}/flights", schemas.FLIGHT_DOC), quarantine, "flights")
+    out["flight"] = E.flatten_flights(flights)
+    live = E.distance_from_origin(E.live_subset(flights), out["airport"])
+    out["acflight"] = E.acflight_projection(live)
+
+    # flights seen over each country: box around the country point; the
+    # original passed the airport altitude as the radius (kept as default)
+    pts = out["znctyn"]
+    radius = F.col("altitude") if radius_m is None else F.lit(float(radius_m))
+    half_lat, half_lon = radius_to_half_widths(radius, F.col("latitude"))
+    pts = pts.withColumns({"_hl": half_lat, "_hn": half_lon})
+    out["flctry"] = E.flights_over_country(
+        pts, flights.select(F.col("id").alias("flight_id"), "latitude", "longitude"),
+        F.col("_hl"), F.col("_hn"), strategy=strategy)
+    return out, quarantine
+
+
+def extract(spark: SparkSession, landing: str, lake: str, run_ts: str | None = None,
+            radius_m: float | None = None) -> dict[str, DataFrame]:
+    """Append the nine tables as snapshots under ``<lake>/<dataset>``;
+    returns the quarantined records per document kind (lazy)."""
+    tables, quarantine = build_tables(spark, landing, radius_m)
+    for name in DATASETS:
+        write_parquet_snapshot(tables[name], f"{lake}/{name}", run_ts)
+    return quarantine
+
+
+def load_latest(spark: SparkSession, lake: str) -> R.Tables:
+    """Latest snapshot of each of the six tables the reports read."""
+    def one(name):
+        df = latest_snapshot(read_snapshots(spark, f"{lake}/{name}", schemas.TABLES[name]))
+        return df.select(*schemas.TABLES[name].fieldNames())
+    return R.Tables(airlines=one("airlines"), znctyn=one("znctyn"), airport=one("airport"),
+                    flight=one("flight"), acflight=one("acflight"), flctry=one("flctry"))
+
+
+def transform(spark: SparkSession, lake: str, results: str | None = None) -> dict[str, DataFrame]:
+    """Clean the latest snapshots and answer the seven questions; with
+    ``results`` each answer is also written as CSV (one file, no header)."""
+    t = R.clean_tables(load_latest(spark, lake))
+    answers = {k: R.REPORTS[k](t) for k in REPORT_FILES}
+    if results:
+        for k, name in REPORT_FILES.items():
+            write_csv_result(answers[k], f"{results}/{name}")
+    return answers

@@ -2,13 +2,16 @@
 
 The HTTP client of the original is not rebuilt; whatever fetches the API
 lands raw JSON lines in a folder, and this reader turns them into typed
-DataFrames. Malformed lines are kept in ``_corrupt_record`` (PERMISSIVE mode)
-and can be split off with operators.ingest.split_bad_records.
+DataFrames. Lines are scanned as text and parsed with ``from_json`` (the
+same parser as the JSON source), in PERMISSIVE mode: a malformed line keeps
+its raw text in ``_corrupt_record`` and can be split off with
+operators.ingest.split_bad_records, whatever columns a later query reads.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flightlake import schemas
@@ -16,14 +19,15 @@ from flightlake import schemas
 
 def read_landed_json(spark: SparkSession, path: str, schema: StructType,
                      keep_corrupt: bool = True) -> DataFrame:
-    reader = spark.read.option("mode", "PERMISSIVE")
-    if keep_corrupt:
-        schema = schemas.with_corrupt_column(schema)
-        reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT_COLUMN)
-    return reader.schema(schema).json(path)
+    if not keep_corrupt:
+        return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT_COLUMN}
+    lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
+    parsed = lines.select(F.from_json("value", schemas.with_corrupt_column(schema), opts).alias("_j"))
+    return parsed.select("_j.*")
 
 
 def read_json_text(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines (column ``value``) for documents parsed with from_json, such
     as the zones map whose keys are data."""
-    return spark.read.text(path)
+    return spark.read.text(path).where(F.trim(F.col("value")) != "")

@@ -1,0 +1,3 @@
+"""Incremental landing: new landed JSON files become snapshots."""
+
+from flightlake.streaming.landing import ingest_landed_files  # noqa: F401

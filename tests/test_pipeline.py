@@ -1,0 +1,88 @@
+import json
+import os
+
+from flightlake import schemas
+from flightlake.plans import pipeline as P
+from flightlake.sources.parquet import latest_snapshot, read_snapshots
+from flightlake.streaming import ingest_landed_files
+
+ZONES = {
+    "europe": {"tl_y": 72, "tl_x": -25, "br_x": 45, "br_y": 33, "subzones": {
+        "france": {"tl_y": 51.2, "tl_x": -5, "br_x": 8, "br_y": 42,
+                   "subzones": {"paris": {"tl_y": 49, "tl_x": 2, "br_x": 3, "br_y": 48}}}}},
+    "northamerica": {"tl_y": 75, "tl_x": -170, "br_x": -50, "br_y": 10},
+    "africa": {"tl_y": 38, "tl_x": -20, "br_x": 55, "br_y": -36},
+}
+AIRLINES = [{"Name": "Air France", "Code": "AF", "ICAO": "AFR"}, {"Name": "British Airways", "Code": None, "ICAO": "BAW"},
+            {"Name": "Air France", "Code": "AF", "ICAO": "AFR"}]
+AIRPORTS = [
+    {"latitude": 49.0, "longitude": 2.5, "altitude": 392, "name": "Paris CDG", "icao": "LFPG", "iata": "CDG", "country": "France"},
+    {"latitude": 48.7, "longitude": 2.4, "altitude": 291, "name": "Paris Orly", "icao": "LFPO", "iata": "ORY", "country": "France"},
+    {"latitude": 51.5, "longitude": -0.5, "altitude": 83, "name": "Heathrow", "icao": "EGLL", "iata": "LHR", "country": "United Kingdom"},
+    {"latitude": 40.6, "longitude": -73.8, "altitude": 13, "name": "JFK", "icao": "KJFK", "iata": "JFK", "country": "United States"},
+    {"latitude": -80.0, "longitude": 0, "altitude": 10, "name": "Pole", "icao": "XPOL", "iata": "", "country": "Antarctica"},
+]
+
+
+def flight(fid, airline, org, dst, live, lat, lon, model="Airbus A320", dep=1000, arr=5000, trail=True):
+    return {"id": fid, "airline_icao": airline, "airline_iata": airline[:2], "code": "A320", "origin_airport_iata": org,
+            "destination_airport_iata": dst, "latitude": lat, "longitude": lon,
+            "details": {"aircraft": {"model": {"text": model}}, "time": {"real": {"departure": dep, "arrival": arr},
+                        "historical": {"flighttime": str(arr - dep)}}, "status": {"live": live},
+                        "trail": [{"lat": lat, "lng": lon, "alt": 30000}] if trail else []}}
+
+
+FLIGHTS = [
+    flight("f1", "AFR", "CDG", "LHR", True, 50.0, 1.0),
+    flight("f2", "AFR", "CDG", "JFK", True, 45.0, -40.0, model="Boeing 777"),
+    flight("f3", "BAW", "LHR", "CDG", True, 50.5, 0.5),
+    flight("f4", "BAW", "LHR", "JFK", False, 52.0, -20.0),
+    flight("f5", "AFR", "ORY", "CDG", True, 48.0, 2.0, trail=False),
+]
+
+
+def land(root):
+    for name, docs in [("airlines", AIRLINES), ("zones", [ZONES]), ("airports", AIRPORTS), ("flights", FLIGHTS)]:
+        os.makedirs(f"{root}/{name}", exist_ok=True)
+        with open(f"{root}/{name}/part-0.json", "w") as fh:
+            for d in docs:
+                fh.write(json.dumps(d) + "\n")
+            if name == "flights":
+                fh.write("{not json\n")
+
+
+def test_extract_then_transform(spark, tmp_out):
+    landing, lake, results = f"{tmp_out}/landing", f"{tmp_out}/lake", f"{tmp_out}/results"
+    land(landing)
+    quarantine = P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
+    assert quarantine["flights"].select("id", schemas.CORRUPT_COLUMN).count() == 1
+    for name in P.DATASETS:
+        assert os.path.isdir(f"{lake}/{name}"), name
+    lat = lambda n: latest_snapshot(read_snapshots(spark, f"{lake}/{n}", schemas.TABLES[n]))
+    zn = {r.zone_country: r for r in lat("znctyn").collect()}
+    assert set(zn) == {"France", "United Kingdom", "United States"}
+    assert zn["France"].continent == "europe" and zn["France"].altitude == 392       # first airport wins
+    assert sorted(r.zone for r in lat("zncty").collect()) == ["paris"]
+    assert lat("flight").count() == 4                                                 # f5 has no trail
+    assert sorted(r.flight_id for r in lat("acflight").collect()) == ["f1", "f2", "f3", "f5"]
+    answers = P.transform(spark, lake, results)
+    r1 = [tuple(r) for r in answers["R1"].collect()]
+    assert r1 == [("air france", 3), ("british airways", 1)]
+    assert answers["R3"].first().flight_id == "f2"
+    for name in P.REPORT_FILES.values():
+        assert any(f.endswith(".csv") for f in os.listdir(f"{results}/{name}"))
+
+
+def test_stream_ingest_only_new_files(spark, tmp_out):
+    landing, lake = f"{tmp_out}/airlines-landing", f"{tmp_out}/lake/airlines"
+    os.makedirs(landing)
+    with open(f"{landing}/a.json", "w") as fh:
+        fh.write(json.dumps(AIRLINES[0]) + "\n")
+    ckpt = f"{tmp_out}/ckpt"
+    ingest_landed_files(spark, landing, lake, schemas.AIRLINE_DOC, checkpoint=ckpt).awaitTermination()
+    with open(f"{landing}/b.json", "w") as fh:
+        fh.write(json.dumps(AIRLINES[1]) + "\n")
+    ingest_landed_files(spark, landing, lake, schemas.AIRLINE_DOC, checkpoint=ckpt).awaitTermination()
+    snaps = read_snapshots(spark, lake, schemas.AIRLINES)
+    assert snaps.count() == 2
+    assert [r.ICAO for r in latest_snapshot(snaps).collect()] == ["BAW"]
