@@ -28,7 +28,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_spark("flightlake-bench", master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
-                      extra={"spark.driver.memory": "16g"})
+                      extra={"spark.driver.memory": "16g",
+                             # one machine: keep post-shuffle stages spread over the cores
+                             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k"})
     spark.sparkContext.setLogLevel("ERROR")
     # warm-up: JIT and file listing, not timed
     QUERIES["R5b"](spark, sf_dir).write.format("noop").mode("overwrite").save()

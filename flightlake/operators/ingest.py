@@ -122,8 +122,11 @@ def flatten_flights(docs: DataFrame, first_char_only: bool = False,
     """Flight documents (schemas.FLIGHT_DOC) to the 11-column flight table.
     Absent or null nested keys give null. Flights without a trail point were
     dropped by the original (it indexed a missing point); that stays the
-    default."""
-    last = last_trail_point("details.trail")
+    default. The last point is taken by exploding the one-element tail of
+    the trail (no element, no row) rather than by a filter, so no predicate
+    on a parsed field is pushed below the parse and evaluated a second time."""
+    tail = F.slice(F.col("details.trail"), -1, 1)
+    gen = F.explode_outer(tail) if keep_without_trail else F.explode(tail)
     out = docs.select(
         F.col("id").alias("flight_id"),
         F.col("airline_icao"),
@@ -133,14 +136,14 @@ def flatten_flights(docs: DataFrame, first_char_only: bool = False,
         F.col("details.time.real.arrival").cast("long").alias("departure_arrival"),
         model_text("details.aircraft.model.text", first_char_only).alias("aircraft_model"),
         F.col("details.time.historical.flighttime").alias("flight_duration"),
-        last["lat"].cast("double").alias("last_position_latitude"),
-        last["lng"].cast("double").alias("last_position_longitude"),
-        last["alt"].cast("int").alias("last_position_altitude"),
-        F.size("details.trail").alias("_trail_size"),
+        gen.alias("_last"),
+    )
+    return out.select(
+        *[c for c in out.columns if c != "_last"],
+        F.col("_last.lat").cast("double").alias("last_position_latitude"),
+        F.col("_last.lng").cast("double").alias("last_position_longitude"),
+        F.col("_last.alt").cast("int").alias("last_position_altitude"),
     )
-    if not keep_without_trail:
-        out = out.where(F.col("_trail_size") > 0)
-    return out.drop("_trail_size")
 
 
 # E9

@@ -47,9 +47,29 @@ REGION_BOX_HALF = 20.0
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Schemas of the driver tables: given to the reader, so no footer-inference
+# job runs per scan and a changed file fails fast on the column check.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    schema = DRIVER_SCHEMAS.get(name)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.schema(schema).parquet(path) if schema else read_table(spark, path)
     return df.select(*columns) if columns else df
 
 
@@ -116,10 +136,17 @@ def zones(spark: SparkSession) -> DataFrame:
 
 # --- facts --------------------------------------------------------------------
 
-def flight_lines(spark: SparkSession, sf_dir: str, live_only: bool = False) -> DataFrame:
-    """One row per order line with everything the flight tables need."""
+def flight_lines(spark: SparkSession, sf_dir: str, live_only: bool = False, spread: bool = False) -> DataFrame:
+    """One row per order line with everything the flight tables need.
+
+    ``spread`` hash-distributes the order lines by order key before the
+    joins, as landed documents spread over many files would be; everything
+    built on top (documents, their parsing) then runs in parallel tasks.
+    """
     li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                            "l_extendedprice", "l_shipdate", "l_returnflag", "l_linestatus"])
+    if spread:
+        li = li.repartition("l_orderkey")
     o = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
     if live_only:
         o = o.where(F.col("o_orderstatus") == LIVE_STATUS)
@@ -212,7 +239,9 @@ def flight_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     no aircraft block for PROMO parts, no arrival while in the air
     (l_linestatus 'O'), an empty trail for returned lines ('R').
     """
-    j = flight_lines(spark, sf_dir, live_only=False)
+    # Landed documents arrive as many files; spread them by flight id the
+    # same way (hash partitioning: deterministic if a task is retried).
+    j = flight_lines(spark, sf_dir, live_only=False, spread=True)
     lat, lon = position_deg("c_custkey", "lat"), position_deg("c_custkey", "lon")
     o_lat, o_lon = position_deg("s_nationkey", "lat"), position_deg("s_nationkey", "lon")
     alt = (F.col("l_linenumber") * 1000).cast("int")
