@@ -140,8 +140,10 @@ def flight_lines(spark: SparkSession, sf_dir: str, live_only: bool = False, spre
     """One row per order line with everything the flight tables need.
 
     ``spread`` hash-distributes the order lines by order key before the
-    joins, as landed documents spread over many files would be; everything
-    built on top (documents, their parsing) then runs in parallel tasks.
+    joins, as landed data spread over many files would be; everything built
+    on top then runs in parallel tasks. At scale this is the distribution
+    the sort-merge join with orders needs anyway, so the exchange is reused
+    by that join rather than added.
     """
     li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                            "l_extendedprice", "l_shipdate", "l_returnflag", "l_linestatus"])
