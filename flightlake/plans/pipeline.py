@@ -22,6 +22,7 @@ from flightlake import schemas
 from flightlake.functions.geo import radius_to_half_widths
 from flightlake.operators import ingest as E
 from flightlake.plans import reports as R
+from flightlake.session import scratch_path
 from flightlake.sinks.results import write_csv_result
 from flightlake.sinks.snapshots import write_parquet_snapshot
 from flightlake.sources.landed_json import read_json_text, read_landed_json
@@ -100,19 +101,36 @@ def extract(spark: SparkSession, landing: str, lake: str, run_ts: str | None = N
     return quarantine
 
 
-def load_latest(spark: SparkSession, lake: str) -> R.Tables:
-    """Latest snapshot of each of the six tables the reports read."""
+def load_latest(spark: SparkSession, lake: str, as_of: str | None = None) -> R.Tables:
+    """Latest snapshot (at or before ``as_of``) of the six tables the reports read."""
     def one(name):
-        df = latest_snapshot(read_snapshots(spark, f"{lake}/{name}", schemas.TABLES[name]))
+        df = latest_snapshot(read_snapshots(spark, f"{lake}/{name}", schemas.TABLES[name]), as_of=as_of)
         return df.select(*schemas.TABLES[name].fieldNames())
     return R.Tables(airlines=one("airlines"), znctyn=one("znctyn"), airport=one("airport"),
                     flight=one("flight"), acflight=one("acflight"), flctry=one("flctry"))
 
 
-def transform(spark: SparkSession, lake: str, results: str | None = None) -> dict[str, DataFrame]:
+def materialize(spark: SparkSession, t: R.Tables) -> R.Tables:
+    """Write each cleaned table once as Parquet in the shared folder and read
+    it back: the whole-row dedup shuffles run once instead of once per
+    report, and the reports restart from these files, not from the raw
+    snapshots, if an executor is lost."""
+    out = {}
+    for name in ("airlines", "znctyn", "airport", "flight", "acflight", "flctry"):
+        path = scratch_path(spark, f"clean-{name}")
+        df = getattr(t, name)
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.schema(df.schema).parquet(path)
+    return R.Tables(**out)
+
+
+def transform(spark: SparkSession, lake: str, results: str | None = None, as_of: str | None = None,
+              materialize_clean: bool = True) -> dict[str, DataFrame]:
     """Clean the latest snapshots and answer the seven questions; with
     ``results`` each answer is also written as CSV (one file, no header)."""
-    t = R.clean_tables(load_latest(spark, lake))
+    t = R.clean_tables(load_latest(spark, lake, as_of))
+    if materialize_clean:
+        t = materialize(spark, t)
     answers = {k: R.REPORTS[k](t) for k in REPORT_FILES}
     if results:
         for k, name in REPORT_FILES.items():

@@ -39,7 +39,8 @@ def read_snapshots(spark: SparkSession, root: str, schema: StructType | None = N
 
 # S2
 def latest_snapshot(df: DataFrame, ts_col: str = "snapshot_ts",
-                    partition_cols: tuple[str, ...] | None = ("tech_day", "tech_hour")) -> DataFrame:
+                    partition_cols: tuple[str, ...] | None = ("tech_day", "tech_hour"),
+                    as_of: str | None = None) -> DataFrame:
     """Rows of the most recent snapshot: max of the snapshot time, not the
     last file in a directory walk (month names do not sort in time order).
 
@@ -47,7 +48,17 @@ def latest_snapshot(df: DataFrame, ts_col: str = "snapshot_ts",
     the partition values alone (a scalar subquery the scan uses to prune
     partitions at run time); inside it, ``ts_col`` separates two runs of the
     same hour, so only the later run is returned.
+
+    ``as_of`` (a timestamp string) picks the newest snapshot taken at or
+    before that time, so several datasets can be read at one aligned point
+    even when a later extraction of one of them failed.
     """
+    if as_of is not None:
+        limit = F.lit(as_of).cast("timestamp")
+        df = df.where(F.col(ts_col) <= limit)
+        if partition_cols and all(c in df.columns for c in partition_cols):
+            key = F.concat_ws("|", *[F.col(c).cast("string") for c in partition_cols])
+            df = df.where(key <= F.concat_ws("|", F.date_format(limit, "yyyy-MM-dd"), F.date_format(limit, "HH")))
     if partition_cols and all(c in df.columns for c in partition_cols):
         key = F.concat_ws("|", *[F.col(c).cast("string") for c in partition_cols])
         newest = df.select(F.max(key)).scalar()

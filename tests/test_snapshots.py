@@ -66,3 +66,16 @@ def test_csv_result_no_header_keeps_order(spark, tmp_out):
 def test_scratch_under_shared_dir(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_as_of_aligns_snapshots(spark, tmp_out):
+    # T12: read every dataset at one point in time
+    root = f"{tmp_out}/airlines"
+    write_parquet_snapshot(_airlines(spark, "early"), root, "2024-03-01 08:00:00")
+    write_parquet_snapshot(_airlines(spark, "mid"), root, "2024-03-01 10:15:00")
+    write_parquet_snapshot(_airlines(spark, "late"), root, "2024-03-01 12:00:00")
+    snaps = read_snapshots(spark, root, schemas.AIRLINES)
+    got = latest_snapshot(snaps, as_of="2024-03-01 10:30:00")
+    assert sorted(r.Name for r in got.collect()) == ["mid-a", "mid-b"]
+    got = latest_snapshot(snaps, as_of="2024-03-01 10:00:00")
+    assert sorted(r.Name for r in got.collect()) == ["early-a", "early-b"]
