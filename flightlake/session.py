@@ -54,7 +54,6 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="flightlake-ckpt-")
     sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
