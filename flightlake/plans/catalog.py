@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+    DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType, TimestampNTZType,
 )
 
 from flightlake import schemas
@@ -119,18 +119,21 @@ def q_snapshot_layout(spark, d):
 # --- extraction ----------------------------------------------------------------
 
 def q_flatten_zones(spark, d):
-    _, countries, _ = E.flatten_zones(X.zone_documents_json(spark, d))
-    return countries
+    """City level of the zones documents (one city per customer document)."""
+    _, _, cities = E.flatten_zones(X.zone_documents_json(spark, d))
+    return cities
 
 
-ZONES_TEXT = schemas.MapType(StringType(), StructType(
-    [StructField(c, StringType()) for c in E.BOX_COLUMNS]))
+_TEXT_BOX = [StructField(c, StringType()) for c in E.BOX_COLUMNS]
+ZONES_TEXT = MapType(StringType(), StructType(_TEXT_BOX + [
+    StructField("subzones", MapType(StringType(), StructType(_TEXT_BOX)))]))
 
 
 def q_cast_zones(spark, d):
-    """Continent boxes read as text (no typed reader), then cast to double."""
+    """Country boxes read as text (no typed reader), then cast to double."""
     docs = X.zone_documents_json(spark, d)
-    raw = docs.select(F.explode(E.parse_json("value", ZONES_TEXT)).alias("zone", "_z")).select("zone", "_z.*")
+    cont = docs.select(F.explode(E.parse_json("value", ZONES_TEXT)).alias("continent", "_z"))
+    raw = cont.select("continent", F.explode("_z.subzones").alias("zone", "_c")).select("zone", "_c.*", "continent")
     return E.cast_zones(raw)
 
 
@@ -217,7 +220,7 @@ def q_drop_duplicates(spark, d):
 
 
 def q_lowercase_columns(spark, d):
-    return C.lowercase_columns(X.airport(spark, d), ["country", "name"])
+    return C.lowercase_columns(X.flctry(spark, d), ["country", "continent"])
 
 
 def q_fill_nulls_by_type(spark, d):

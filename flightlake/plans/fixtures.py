@@ -40,9 +40,10 @@ ZONE_BOXES = [
 # Half size in degrees of the box around a country point (flights over a country).
 COUNTRY_BOX_HALF_LAT = 45.0
 COUNTRY_BOX_HALF_LON = 60.0
-# Half size in degrees of a nation's zone box in the landed zones documents.
+# Half size in degrees of the zone boxes in the landed zones documents.
 NATION_BOX_HALF = 5.0
 REGION_BOX_HALF = 20.0
+CITY_BOX_HALF = 1.0
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -270,22 +271,28 @@ def flight_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One zones document per region: {region: {box, subzones: {nation: {box}}}}.
+    """Zones documents, one per customer: the path region -> nation -> city
+    of the customer as a three-level map {region: {box, subzones: {nation:
+    {box, subzones: {city: {box}}}}}}. Customers with a negative balance land
+    without the city level (a zone without subzones). Nothing is grouped, so
+    every document stays small however large the tables grow.
 
     Coordinates are whole hundredths of a degree written as JSON integers
-    (the reader must coerce them to double). A region's document holds only
-    its own nations, so no row grows with the data beyond one region.
+    (the reader must coerce them to double).
     """
+    c = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal"])
     n = table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
 
     def box(key: str, half: float) -> list[Column]:
         h = F.lit(int(half * 100))
         y, x = position_hundredths(key, "lat"), position_hundredths(key, "lon")
         return [(y + h).alias("tl_y"), (x - h).alias("tl_x"), (x + h).alias("br_x"), (y - h).alias("br_y")]
 
-    subzones = n.groupBy("n_regionkey").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("n_name"), F.struct(*box("n_nationkey", NATION_BOX_HALF))))).alias("subzones"))
-    docs = r.join(subzones, r["r_regionkey"] == subzones["n_regionkey"], "left")
-    zone = F.struct(*box("r_regionkey", REGION_BOX_HALF), F.col("subzones"))
-    return docs.select(F.to_json(F.create_map(F.col("r_name"), zone)).alias("value"))
+    city = F.create_map(F.col("c_name"), F.struct(*box("c_custkey", CITY_BOX_HALF)))
+    nation = F.struct(*box("n_nationkey", NATION_BOX_HALF),
+                      F.when(F.col("c_acctbal") >= 0, city).alias("subzones"))
+    region = F.struct(*box("r_regionkey", REGION_BOX_HALF),
+                      F.create_map(F.col("n_name"), nation).alias("subzones"))
+    return j.select(F.to_json(F.create_map(F.col("r_name"), region)).alias("value"))

@@ -146,7 +146,7 @@ ACF_TIES = ["flight_id", "latitude", "longitude", "airline_icao", "origin_airpor
             "airline_iata", "aircraft_code", "aircraft_model", "departure_origin", "departure_arrival", "flight_duration"]
 
 NATION_H = int(X.NATION_BOX_HALF * 100)
-REGION_H = int(X.REGION_BOX_HALF * 100)
+CITY_H = int(X.CITY_BOX_HALF * 100)
 
 SQL: dict[str, str] = {
     # reports
@@ -198,13 +198,14 @@ SQL: dict[str, str] = {
                        "strftime(ts, '%Y-%m-%d') AS tech_day, strftime(ts, '%H') AS tech_hour, "
                        "strftime(ts, '%B-%Y') AS tech_month_label FROM events",
     # extraction
-    "flatten_zones": f"""SELECT n_name AS zone, CAST({lat_h('n_nationkey')} + {NATION_H} AS DOUBLE) AS tl_y,
+    "flatten_zones": f"""SELECT c_name AS zone, CAST({lat_h('c_custkey')} + {CITY_H} AS DOUBLE) AS tl_y,
+        CAST({lon_h('c_custkey')} - {CITY_H} AS DOUBLE) AS tl_x, CAST({lon_h('c_custkey')} + {CITY_H} AS DOUBLE) AS br_x,
+        CAST({lat_h('c_custkey')} - {CITY_H} AS DOUBLE) AS br_y, n_name AS country
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0""",
+    "cast_zones": f"""SELECT n_name AS zone, CAST({lat_h('n_nationkey')} + {NATION_H} AS DOUBLE) AS tl_y,
         CAST({lon_h('n_nationkey')} - {NATION_H} AS DOUBLE) AS tl_x, CAST({lon_h('n_nationkey')} + {NATION_H} AS DOUBLE) AS br_x,
         CAST({lat_h('n_nationkey')} - {NATION_H} AS DOUBLE) AS br_y, r_name AS continent
-        FROM nation JOIN region ON n_regionkey = r_regionkey""",
-    "cast_zones": f"""SELECT r_name AS zone, CAST({lat_h('r_regionkey')} + {REGION_H} AS DOUBLE) AS tl_y,
-        CAST({lon_h('r_regionkey')} - {REGION_H} AS DOUBLE) AS tl_x, CAST({lon_h('r_regionkey')} + {REGION_H} AS DOUBLE) AS br_x,
-        CAST({lat_h('r_regionkey')} - {REGION_H} AS DOUBLE) AS br_y FROM region""",
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "project_airports": "SELECT CAST(embedding[1] AS FLOAT) AS latitude, CAST(embedding[2] AS FLOAT) AS longitude, "
                         "CAST(label AS INTEGER) AS altitude, 'airport ' || CAST(vec_id AS VARCHAR) AS name, "
                         "'V' || CAST(vec_id AS VARCHAR) AS icao, CAST(vec_id AS VARCHAR) AS iata, "
@@ -245,7 +246,7 @@ SQL: dict[str, str] = {
         AND f.longitude < greatest(z.longitude - {X.COUNTRY_BOX_HALF_LON}, z.longitude + {X.COUNTRY_BOX_HALF_LON})""",
     # cleaning
     "drop_duplicates": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
-    "lowercase_columns": "SELECT latitude, longitude, altitude, lower(name) AS name, icao, iata, lower(country) AS country FROM airport_raw",
+    "lowercase_columns": "SELECT lower(country) AS country, lower(continent) AS continent, id_flight FROM flctry_raw",
     "fill_nulls_by_type": """SELECT coalesce(flight_id, '') AS flight_id, coalesce(airline_icao, '') AS airline_icao,
         coalesce(aircraft_code, '') AS aircraft_code, coalesce(origin_airport_iata, '') AS origin_airport_iata,
         coalesce(departure_time, 0) AS departure_time, coalesce(departure_arrival, 0) AS departure_arrival,

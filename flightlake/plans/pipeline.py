@@ -15,6 +15,8 @@ Landing layout (one folder per document kind, JSON lines):
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +30,26 @@ from flightlake.sinks.snapshots import write_parquet_snapshot
 from flightlake.sources.landed_json import read_json_text, read_landed_json
 from flightlake.sources.parquet import latest_snapshot, read_snapshots
 
+# --- fixed values: dataset and result folder names users already rely on ---
 DATASETS = ["airlines", "zctinent", "znctry", "zncty", "airport", "znctyn", "flight", "acflight", "flctry"]
-
 REPORT_FILES = {
     "R1": "ResultatQuestion1", "R2": "ResultatQuestion2", "R3": "ResultatQuestion3",
     "R4": "ResultatQuestion4", "R5": "ResultatQuestion5", "R6": "ResultatQuestion6",
     "R7": "ResultatQuestion7",
 }
+ZONE_FOLDER = "rawzone"
+
+
+def dataset_root(lake: str, name: str) -> str:
+    """<lake>/<Dataset>/rawzone: the snapshots of one dataset (partitions below)."""
+    return f"{lake}/{name.capitalize()}/{ZONE_FOLDER}"
+
+
+def result_root(results: str, name: str, run_ts: datetime) -> str:
+    """<results>/<Name>/rawzone/tech_year=../tech_month=../tech_day=../tech_hour=../run=<time>:
+    one folder per run, so two runs in the same hour never mix or overwrite."""
+    return (f"{results}/{name}/{ZONE_FOLDER}/tech_year={run_ts:%Y}/tech_month={run_ts:%Y-%m}/"
+            f"tech_day={run_ts:%Y-%m-%d}/tech_hour={run_ts:%H}/run={run_ts:%Y%m%dT%H%M%S%f}")
 
 
 def _good(df: DataFrame, quarantine: dict[str, DataFrame], name: str) -> DataFrame:
@@ -97,14 +112,14 @@ def extract(spark: SparkSession, landing: str, lake: str, run_ts: str | None = N
     returns the quarantined records per document kind (lazy)."""
     tables, quarantine = build_tables(spark, landing, radius_m)
     for name in DATASETS:
-        write_parquet_snapshot(tables[name], f"{lake}/{name}", run_ts)
+        write_parquet_snapshot(tables[name], dataset_root(lake, name), run_ts)
     return quarantine
 
 
 def load_latest(spark: SparkSession, lake: str, as_of: str | None = None) -> R.Tables:
     """Latest snapshot (at or before ``as_of``) of the six tables the reports read."""
     def one(name):
-        df = latest_snapshot(read_snapshots(spark, f"{lake}/{name}", schemas.TABLES[name]), as_of=as_of)
+        df = latest_snapshot(read_snapshots(spark, dataset_root(lake, name), schemas.TABLES[name]), as_of=as_of)
         return df.select(*schemas.TABLES[name].fieldNames())
     return R.Tables(airlines=one("airlines"), znctyn=one("znctyn"), airport=one("airport"),
                     flight=one("flight"), acflight=one("acflight"), flctry=one("flctry"))
@@ -133,6 +148,7 @@ def transform(spark: SparkSession, lake: str, results: str | None = None, as_of:
         t = materialize(spark, t)
     answers = {k: R.REPORTS[k](t) for k in REPORT_FILES}
     if results:
+        now = datetime.now(timezone.utc)
         for k, name in REPORT_FILES.items():
-            write_csv_result(answers[k], f"{results}/{name}")
+            write_csv_result(answers[k], result_root(results, name, now))
     return answers

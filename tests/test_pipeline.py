@@ -57,8 +57,8 @@ def test_extract_then_transform(spark, tmp_out):
     quarantine = P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
     assert quarantine["flights"].select("id", schemas.CORRUPT_COLUMN).count() == 1
     for name in P.DATASETS:
-        assert os.path.isdir(f"{lake}/{name}"), name
-    lat = lambda n: latest_snapshot(read_snapshots(spark, f"{lake}/{n}", schemas.TABLES[n]))
+        assert os.path.isdir(P.dataset_root(lake, name)), name
+    lat = lambda n: latest_snapshot(read_snapshots(spark, P.dataset_root(lake, n), schemas.TABLES[n]))
     zn = {r.zone_country: r for r in lat("znctyn").collect()}
     assert set(zn) == {"France", "United Kingdom", "United States"}
     assert zn["France"].continent == "europe" and zn["France"].altitude == 392       # first airport wins
@@ -70,7 +70,8 @@ def test_extract_then_transform(spark, tmp_out):
     assert r1 == [("air france", 3), ("british airways", 1)]
     assert answers["R3"].first().flight_id == "f2"
     for name in P.REPORT_FILES.values():
-        assert any(f.endswith(".csv") for f in os.listdir(f"{results}/{name}"))
+        found = [f for _, _, files in os.walk(f"{results}/{name}/rawzone") for f in files if f.endswith(".csv")]
+        assert len(found) == 1, name
 
 
 def test_stream_ingest_only_new_files(spark, tmp_out):
