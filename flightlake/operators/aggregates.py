@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.functions.numeric import rounded_avg
+
 
 # A1
 def count_star_by_key(df: DataFrame, keys: list[str] | str, alias: str = "flight_count") -> DataFrame:
@@ -14,8 +16,11 @@ def count_star_by_key(df: DataFrame, keys: list[str] | str, alias: str = "flight
 
 
 # A2
-def mean_by_key(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    return df.groupBy(key).agg(F.avg(F.col(value)).alias(alias))
+def mean_by_key(df: DataFrame, key: str, value: str, alias: str, digits: int | None = None) -> DataFrame:
+    """Mean per key as double. With ``digits`` (integral values only) the mean
+    is exact and rounded once (functions.numeric.rounded_avg)."""
+    agg = F.avg(F.col(value)) if digits is None else rounded_avg(value, digits)
+    return df.groupBy(key).agg(agg.alias(alias))
 
 
 # A3

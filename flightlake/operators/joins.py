@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from flightlake.functions.numeric import rounded_mean
+
 
 # J1
 def join_airline(flights: DataFrame, airlines: DataFrame) -> DataFrame:
@@ -84,14 +86,16 @@ def lookup_by_key(keys: DataFrame, key: str, dim: DataFrame, dim_key: str, value
 
 # J4 (R4): mean over a many-to-many join without materialising it
 def mean_over_m2m_join(facts: DataFrame, fact_key: str, value: str,
-                       bridge: DataFrame, bridge_key: str, group: str, alias: str) -> DataFrame:
+                       bridge: DataFrame, bridge_key: str, group: str, alias: str,
+                       digits: int = 6) -> DataFrame:
     """``avg(value)`` grouped by ``group`` over ``facts JOIN bridge ON key``.
 
     Each fact row appears once per bridge row of its key, so the mean is
     sum_k(S_k * W_kg) / sum_k(N_k * W_kg) with S, N the sum and non-null count
     of ``value`` per key and W the bridge rows per (key, group). Both sides
-    are reduced to one row per key before the join; integral sums are exact
-    in decimal(38,0).
+    are reduced to one row per key before the join. For an integral value the
+    sums are exact (decimal(38,0)) and the mean is rounded once to ``digits``
+    decimals (functions.numeric.rounded_mean); otherwise it is a double mean.
     """
     integral = isinstance(facts.schema[value].dataType, IntegralType)
     v = F.col(value).cast("decimal(38,0)") if integral else F.col(value).cast("double")
@@ -99,9 +103,7 @@ def mean_over_m2m_join(facts: DataFrame, fact_key: str, value: str,
         F.sum(v).alias("_s"), F.count(F.col(value)).alias("_n"))
     b = bridge.groupBy(F.col(bridge_key).alias("_bk"), F.col(group)).agg(F.count(F.lit(1)).alias("_w"))
     j = f.join(b, f["_k"] == b["_bk"], "inner")
-    return j.groupBy(group).agg(
-        F.try_divide(
-            F.sum(F.col("_s") * F.col("_w")).cast("double"),
-            F.sum(F.col("_n") * F.col("_w")).cast("double"),
-        ).alias(alias)
-    )
+    sw = F.sum(F.col("_s") * F.col("_w"))
+    nw = F.sum(F.col("_n") * F.col("_w"))
+    mean = rounded_mean(sw, nw, digits) if integral else F.try_divide(sw, nw.cast("double"))
+    return j.groupBy(group).agg(mean.alias(alias))

@@ -312,8 +312,7 @@ def q_count_star_by_key(spark, d):
 
 def q_mean_by_key(spark, d):
     f = cleaned(spark, d).flight.withColumn("flight_length", F.col("departure_arrival") - F.col("departure_origin"))
-    out = mean_by_key(f, "origin_airport_iata", "flight_length", "mean_flight_length")
-    return out.withColumn("mean_flight_length", F.round("mean_flight_length", R.MEAN_DIGITS))
+    return mean_by_key(f, "origin_airport_iata", "flight_length", "mean_flight_length", R.MEAN_DIGITS)
 
 
 def q_grouped_count_shorthand(spark, d):

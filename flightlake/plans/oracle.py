@@ -38,6 +38,14 @@ def s(c: str) -> str:
     return f"CAST({c} AS VARCHAR)"
 
 
+def exact_mean(x: str) -> str:
+    """avg(x) of integers, rounded half away from zero to 6 decimals with
+    integer arithmetic, then one division."""
+    sm, n = f"CAST(sum({x}) AS HUGEINT)", f"count({x})"
+    q = f"((abs({sm}) * 2000000 + {n}) // (2 * {n}))"
+    return f"(CASE WHEN {n} > 0 THEN CAST(CASE WHEN {sm} < 0 THEN -{q} ELSE {q} END AS DOUBLE) / 1000000.0 END)"
+
+
 def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     p1, p2 = f"radians(CAST({lat1} AS DOUBLE))", f"radians(CAST({lat2} AS DOUBLE))"
     dlon = f"(radians(CAST({lon2} AS DOUBLE)) - radians(CAST({lon1} AS DOUBLE)))"
@@ -163,9 +171,9 @@ SQL: dict[str, str] = {
           "CAST(trunc(actual_distance) AS INTEGER) AS actual_distance, destination_airport_iata, airline_iata, "
           "aircraft_code, aircraft_model, departure_origin, departure_arrival, flight_duration FROM acflight_c "
           "ORDER BY trunc(actual_distance) DESC NULLS LAST, " + ", ".join(f"{c} NULLS FIRST" for c in ACF_TIES) + " LIMIT 1",
-    "R4": "SELECT c.continent, round(avg(fa.flight_length), 6) AS mean_flight_length "
+    "R4": f"SELECT c.continent, {exact_mean('fa.flight_length')} AS mean_flight_length "
           "FROM fa JOIN flctry_c c ON fa.country = c.country GROUP BY c.continent",
-    "R4b": "SELECT z.continent, round(avg(f.departure_arrival - f.departure_origin), 6) AS mean_flight_length "
+    "R4b": f"SELECT z.continent, {exact_mean('f.departure_arrival - f.departure_origin')} AS mean_flight_length "
            "FROM flight_c f JOIN airport_c a ON f.origin_airport_iata = a.iata JOIN znctyn_c z ON a.country = z.zone_country "
            "WHERE f.departure_origin > 0 AND f.departure_arrival > f.departure_origin GROUP BY z.continent",
     "R5": "SELECT split_part(aircraft_model, ' ', 1) AS aircraft_type, count(*) AS \"count\" FROM acflight_c "
@@ -269,7 +277,7 @@ SQL: dict[str, str] = {
         FROM acflight_c f LEFT JOIN airport_c o ON f.origin_airport_iata = o.iata LEFT JOIN znctyn_c zo ON o.country = zo.zone_country
         LEFT JOIN airport_c d ON f.destination_airport_iata = d.iata LEFT JOIN znctyn_c zd ON d.country = zd.zone_country""",
     "join_origin_airport": "SELECT f.flight_id, f.origin_airport_iata, a.country, a.name FROM flight_c f JOIN airport_c a ON f.origin_airport_iata = a.iata",
-    "join_by_country_m2m": "SELECT c.continent, count(*) AS joined_rows, round(avg(fa.flight_length), 6) AS mean_flight_length "
+    "join_by_country_m2m": f"SELECT c.continent, count(*) AS joined_rows, {exact_mean('fa.flight_length')} AS mean_flight_length "
                            "FROM fa JOIN flctry_c c ON fa.country = c.country GROUP BY c.continent",
     "join_flight_country": 'SELECT flight_id, "Name", country, continent FROM fc',
     "full_outer_counts": "SELECT * FROM flow",
@@ -278,7 +286,7 @@ SQL: dict[str, str] = {
                                "LEFT JOIN airport_c a ON w.airport_iata = a.iata GROUP BY w.airport_iata",
     # aggregates, ranking
     "count_star_by_key": "SELECT origin_airport_iata, count(*) AS flight_count FROM acflight_c GROUP BY 1",
-    "mean_by_key": "SELECT origin_airport_iata, round(avg(departure_arrival - departure_origin), 6) AS mean_flight_length "
+    "mean_by_key": f"SELECT origin_airport_iata, {exact_mean('departure_arrival - departure_origin')} AS mean_flight_length "
                    "FROM flight_c GROUP BY 1",
     "grouped_count_shorthand": "SELECT split_part(aircraft_model, ' ', 1) AS aircraft_type, count(*) AS \"count\" FROM acflight_c GROUP BY 1",
     "count_col_multi_key": 'SELECT "Name", country, aircraft_model, count(flight_id) AS model_count FROM fc GROUP BY ALL',

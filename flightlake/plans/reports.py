@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flightlake.functions.text import first_word
 from flightlake.operators import clean as C
 from flightlake.operators.aggregates import (
-    count_col_by_keys, count_dict_form, count_star_by_key, grouped_count,
+    count_col_by_keys, count_dict_form, count_star_by_key, grouped_count, mean_by_key,
 )
 from flightlake.operators.joins import (
     full_outer_counts, join_airline, join_flight_country, join_origin_airport,
@@ -24,7 +24,7 @@ from flightlake.operators.ranking import (
     dense_rank_top_n, order_by_desc, top1_per_group, top1_row, top_n,
 )
 
-MEAN_DIGITS = 6
+MEAN_DIGITS = 6   # means of seconds: exact, rounded half away from zero to 6 decimals
 
 
 @dataclass
@@ -102,9 +102,8 @@ def mean_flight_length_by_continent(t: Tables) -> DataFrame:
     i.e. weighted by the flctry rows of the origin country. Missing arrivals
     were filled with 0 and count as large negative lengths. Computed without
     materialising the many-to-many join."""
-    out = mean_over_m2m_join(flight_lengths_by_country(t), "country", "flight_length",
-                             t.flctry, "country", "continent", "mean_flight_length")
-    return out.withColumn("mean_flight_length", F.round("mean_flight_length", MEAN_DIGITS))
+    return mean_over_m2m_join(flight_lengths_by_country(t), "country", "flight_length",
+                              t.flctry, "country", "continent", "mean_flight_length", MEAN_DIGITS)
 
 
 def mean_flight_length_by_continent_unweighted(t: Tables) -> DataFrame:
@@ -114,8 +113,8 @@ def mean_flight_length_by_continent_unweighted(t: Tables) -> DataFrame:
     j = join_origin_airport(f, t.airport)
     z = t.znctyn.select("zone_country", "continent")
     j = j.join(z, j["country"] == z["zone_country"])
-    return j.groupBy("continent").agg(
-        F.round(F.avg(F.col("departure_arrival") - F.col("departure_origin")), MEAN_DIGITS).alias("mean_flight_length"))
+    j = j.withColumn("flight_length", F.col("departure_arrival") - F.col("departure_origin"))
+    return mean_by_key(j, "continent", "flight_length", "mean_flight_length", MEAN_DIGITS)
 
 
 # R5
