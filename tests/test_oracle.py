@@ -16,7 +16,7 @@ def _norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(float(f"{v:.9g}"))
+        return "nan" if math.isnan(v) else repr(float(v))
     return repr(v)
 
 
