@@ -152,3 +152,10 @@ def transform(spark: SparkSession, lake: str, results: str | None = None, as_of:
         for k, name in REPORT_FILES.items():
             write_csv_result(answers[k], result_root(results, name, now))
     return answers
+
+
+def run(spark: SparkSession, landing: str, lake: str, results: str, run_ts: str | None = None,
+        radius_m: float | None = None) -> dict[str, DataFrame]:
+    """One call: land -> nine snapshots -> seven answers written as CSV."""
+    extract(spark, landing, lake, run_ts, radius_m)
+    return transform(spark, lake, results)

@@ -43,8 +43,9 @@ def get_spark(app_name: str = "flightlake", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local runs, tests) a fresh
-    folder is created and registered, so checkpoint() works everywhere.
+    Read from the session. Only a local-mode session without it (tests, a
+    laptop) gets a fresh temporary folder; on a cluster a machine-local folder
+    would not be visible to other executors, so an unset value is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="flightlake-ckpt-")
     sc.setCheckpointDir(local)
     return local

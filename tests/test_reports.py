@@ -105,3 +105,24 @@ def test_empty_live_flights(spark):
     for fn in (R.airline_most_live_flights, R.airline_most_regional_flights, R.longest_live_flight,
                R.top_manufacturers, R.top3_models_by_airline_country, R.airport_largest_flow_gap):   # T9
         assert fn(t).count() == 0
+
+
+def test_t4_filled_empty_code_is_a_key(spark):
+    # a live flight without destination and airports without IATA: after the
+    # null fill both are '', so '' is counted and looked up like a code (coded form)
+    ac = [("f1", 1.0, 1.0, "AFR", "CDG", 1.0, None, "AF", "A", "m", 1, 2, "1"),
+          ("f2", 1.0, 1.0, "AFR", "CDG", 1.0, None, "AF", "A", "m", 1, 2, "1"),
+          ("f3", 1.0, 1.0, "AFR", "LHR", 1.0, "CDG", "AF", "A", "m", 1, 2, "1")]
+    t = tables(spark, ac)
+    counts = {r.airport_iata: r.num_inbound_flights for r in R.airport_flow_counts(t).collect()}
+    assert counts[""] == 2
+    # the airports with null and with '' IATA both become '' ; the smaller name wins
+    assert [r.name for r in R.airport_largest_flow_gap(t).collect()] == ["empty code"]
+
+
+def test_r5_model_text_variants(spark):
+    models = ["Airbus A320", "Airbus", "", None, " leading space", "Boeing 777 300"]
+    ac = [(f"f{i}", 1.0, 1.0, "AFR", "CDG", 1.0, "LHR", "AF", "A", m, 1, 2, "1") for i, m in enumerate(models)]
+    got = {tuple(r) for r in R.manufacturer_counts(tables(spark, ac)).collect()}
+    # null is filled with '' before the split; a leading space gives '' too
+    assert got == {("airbus", 2), ("", 3), ("boeing", 1)}
