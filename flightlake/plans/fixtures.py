@@ -235,7 +235,8 @@ def customer_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- landed documents built from the tables ---------------------------------
 
-def flight_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_documents_json(spark: SparkSession, sf_dir: str, origin: str = "s_nationkey",
+                          destination: str = "c_nationkey", position: str = "c_custkey") -> DataFrame:
     """Flight list entries with their details, as landed JSON text (``value``).
 
     Nulls are left out of the text (absent keys), as the API does:
@@ -245,8 +246,8 @@ def flight_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Landed documents arrive as many files; spread them by flight id the
     # same way (hash partitioning: deterministic if a task is retried).
     j = flight_lines(spark, sf_dir, live_only=False, spread=True)
-    lat, lon = position_deg("c_custkey", "lat"), position_deg("c_custkey", "lon")
-    o_lat, o_lon = position_deg("s_nationkey", "lat"), position_deg("s_nationkey", "lon")
+    lat, lon = position_deg(position, "lat"), position_deg(position, "lon")
+    o_lat, o_lon = position_deg(origin, "lat"), position_deg(origin, "lon")
     alt = (F.col("l_linenumber") * 1000).cast("int")
     trail = F.when(F.col("l_returnflag") == "R", F.array().cast(schemas.FLIGHT_DETAILS["trail"].dataType)).otherwise(
         F.array(F.struct(o_lat.alias("lat"), o_lon.alias("lng"), F.lit(0).alias("alt")),
@@ -264,7 +265,7 @@ def flight_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.struct(
         _str("l_orderkey").alias("id"), _str("l_suppkey").alias("airline_icao"),
         _str("l_suppkey").alias("airline_iata"), _str("l_partkey").alias("code"),
-        _str("s_nationkey").alias("origin_airport_iata"), _str("c_nationkey").alias("destination_airport_iata"),
+        _str(origin).alias("origin_airport_iata"), _str(destination).alias("destination_airport_iata"),
         lat.alias("latitude"), lon.alias("longitude"), details.alias("details"),
     )
     return j.select(F.to_json(doc).alias("value"))
@@ -296,3 +297,38 @@ def zone_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = F.struct(*box("r_regionkey", REGION_BOX_HALF),
                       F.create_map(F.col("n_name"), nation).alias("subzones"))
     return j.select(F.to_json(F.create_map(F.col("r_name"), region)).alias("value"))
+
+
+# --- a landing folder for the end-to-end pipeline ------------------------------
+
+def land_documents(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """Write the four landed document kinds, derived from the driver tables,
+    as JSON lines below ``landing`` (airlines, zones, airports, flights).
+
+    airlines <- supplier; airports <- customer (iata = c_custkey, country =
+    its nation); flights <- order lines: origin airport = the order's
+    customer, destination airport = the customer whose key equals the
+    supplier key; zones <- the five continent boxes (one small document,
+    as the API returns it).
+    """
+    s = table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    s.select(F.to_json(F.struct(F.col("s_name").alias("Name"), _str("s_suppkey").alias("Code"),
+                                _str("s_suppkey").alias("ICAO"))).alias("value")) \
+        .write.mode("overwrite").text(f"{landing}/airlines")
+
+    zone = F.create_map(*[x for z in ZONE_BOXES for x in (
+        F.lit(z[0]), F.struct(F.lit(z[1]).alias("tl_y"), F.lit(z[2]).alias("tl_x"),
+                              F.lit(z[4]).alias("br_x"), F.lit(z[3]).alias("br_y")))])
+    spark.range(1).select(F.to_json(zone).alias("value")).write.mode("overwrite").text(f"{landing}/zones")
+
+    c = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
+    n = table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    ap = c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(F.to_json(F.struct(
+        position_deg("c_custkey", "lat").alias("latitude"), position_deg("c_custkey", "lon").alias("longitude"),
+        (F.col("c_nationkey") * 10).alias("altitude"), F.col("c_name").alias("name"),
+        F.concat(F.lit("C"), _str("c_custkey")).alias("icao"), _str("c_custkey").alias("iata"),
+        F.col("n_name").alias("country"))).alias("value"))
+    ap.write.mode("overwrite").text(f"{landing}/airports")
+
+    docs = flight_documents_json(spark, sf_dir, origin="o_custkey", destination="l_suppkey", position="l_partkey")
+    docs.write.mode("overwrite").text(f"{landing}/flights")

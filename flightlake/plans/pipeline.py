@@ -27,7 +27,7 @@ from flightlake.plans import reports as R
 from flightlake.session import scratch_path
 from flightlake.sinks.results import write_csv_result
 from flightlake.sinks.snapshots import write_parquet_snapshot
-from flightlake.sources.landed_json import read_json_text, read_landed_json
+from flightlake.sources.landed_json import POSITION, read_json_text, read_landed_json
 from flightlake.sources.parquet import latest_snapshot, read_snapshots
 
 # --- fixed values: dataset and result folder names users already rely on ---
@@ -58,26 +58,40 @@ def _good(df: DataFrame, quarantine: dict[str, DataFrame], name: str) -> DataFra
     return good
 
 
+def stage_parsed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write parsed documents once to the shared folder and read them back:
+    several tables are derived from the same documents, and each write job
+    would otherwise scan and parse the JSON again."""
+    path = scratch_path(spark, f"parsed-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def build_tables(spark: SparkSession, landing: str, radius_m: float | None = None,
-                 strategy: str = "auto") -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """The nine tables of one extraction run (lazy), plus quarantined records."""
+                 strategy: str = "auto", stage=None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The nine tables of one extraction run (lazy), plus quarantined records.
+    ``stage(spark, df, name)`` may materialise parsed documents used more than once."""
+    stage = stage or (lambda _spark, df, _name: df)
     quarantine: dict[str, DataFrame] = {}
     out: dict[str, DataFrame] = {}
 
     airlines = _good(read_landed_json(spark, f"{landing}/airlines", schemas.AIRLINE_DOC), quarantine, "airlines")
     out["airlines"] = airlines.select(*schemas.AIRLINES.fieldNames())
 
-    zones = read_json_text(spark, f"{landing}/zones")
+    zones = read_json_text(spark, f"{landing}/zones", with_position=True)
     out["zctinent"], out["znctry"], out["zncty"] = E.flatten_zones(zones)
 
     # airport order: position in the landed files (T3: the first match wins)
-    airports_raw = _good(read_landed_json(spark, f"{landing}/airports", schemas.AIRPORT_DOC), quarantine, "airports")
-    airports_raw = airports_raw.withColumn("airport_ord", F.monotonically_increasing_id())
+    airports_raw = _good(stage(spark, read_landed_json(spark, f"{landing}/airports", schemas.AIRPORT_DOC,
+                                                       with_position=True), "airports"),
+                         quarantine, "airports")
+    airports_raw = airports_raw.withColumnRenamed(POSITION, "airport_ord")
     out["airport"] = E.project_airports(airports_raw)
 
-    # continent order: position of the zone in its document
-    z = zones.select(F.posexplode(E.parse_json("value", schemas.ZONES_DOC)).alias("zone_ord", "zone", "_z"))
-    continents = z.select("zone", "zone_ord", *[F.col(f"_z.{c}").alias(c) for c in E.BOX_COLUMNS])
+    # continent order: landed position of the document, then of the zone in it
+    z = zones.select(POSITION, F.posexplode(E.parse_json("value", schemas.ZONES_DOC)).alias("_zpos", "zone", "_z"))
+    continents = z.select("zone", F.struct(POSITION, "_zpos").alias("zone_ord"),
+                          *[F.col(f"_z.{c}").alias(c) for c in E.BOX_COLUMNS])
     located = E.locate_in_zones(
         airports_raw.select(F.col("latitude").cast("float").cast("double").alias("latitude"),
                             F.col("longitude").cast("float").cast("double").alias("longitude"),
@@ -89,7 +103,8 @@ def build_tables(spark: SparkSession, landing: str, radius_m: float | None = Non
     out["znctyn"] = first.select(F.col("country").alias("zone_country"), "latitude", "longitude",
                                  "altitude", "continent")
 
-    flights = _good(read_landed_json(spark, f"{landing}/flights", schemas.FLIGHT_DOC), quarantine, "flights")
+    flights = _good(stage(spark, read_landed_json(spark, f"{landing}/flights", schemas.FLIGHT_DOC), "flights"),
+                    quarantine, "flights")
     out["flight"] = E.flatten_flights(flights)
     live = E.distance_from_origin(E.live_subset(flights), out["airport"])
     out["acflight"] = E.acflight_projection(live)
@@ -110,7 +125,7 @@ def extract(spark: SparkSession, landing: str, lake: str, run_ts: str | None = N
             radius_m: float | None = None) -> dict[str, DataFrame]:
     """Append the nine tables as snapshots under ``<lake>/<dataset>``;
     returns the quarantined records per document kind (lazy)."""
-    tables, quarantine = build_tables(spark, landing, radius_m)
+    tables, quarantine = build_tables(spark, landing, radius_m, stage=stage_parsed)
     for name in DATASETS:
         write_parquet_snapshot(tables[name], dataset_root(lake, name), run_ts)
     return quarantine

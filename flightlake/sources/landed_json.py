@@ -17,17 +17,33 @@ from pyspark.sql.types import StructType
 from flightlake import schemas
 
 
+POSITION = "landed_position"
+
+
+def _lines(spark: SparkSession, path: str, with_position: bool) -> DataFrame:
+    lines = spark.read.text(path)
+    if with_position:
+        # landing order: file path, then a row id that grows with the line
+        # offset inside the file (splits of one file keep their order)
+        lines = lines.withColumn(POSITION, F.struct(F.col("_metadata.file_path").alias("file"),
+                                                    F.monotonically_increasing_id().alias("row")))
+    return lines.where(F.trim(F.col("value")) != "")
+
+
 def read_landed_json(spark: SparkSession, path: str, schema: StructType,
-                     keep_corrupt: bool = True) -> DataFrame:
-    if not keep_corrupt:
+                     keep_corrupt: bool = True, with_position: bool = False) -> DataFrame:
+    """Typed documents; ``with_position`` adds ``landed_position`` (file, row)
+    for operators whose result depends on the order the API listed items."""
+    if not keep_corrupt and not with_position:
         return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT_COLUMN}
-    lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
-    parsed = lines.select(F.from_json("value", schemas.with_corrupt_column(schema), opts).alias("_j"))
-    return parsed.select("_j.*")
+    lines = _lines(spark, path, with_position)
+    parsed_schema = schemas.with_corrupt_column(schema) if keep_corrupt else schema
+    cols = [F.from_json("value", parsed_schema, opts).alias("_j")] + ([F.col(POSITION)] if with_position else [])
+    return lines.select(*cols).select("_j.*", *([POSITION] if with_position else []))
 
 
-def read_json_text(spark: SparkSession, path: str) -> DataFrame:
+def read_json_text(spark: SparkSession, path: str, with_position: bool = False) -> DataFrame:
     """Raw lines (column ``value``) for documents parsed with from_json, such
     as the zones map whose keys are data."""
-    return spark.read.text(path).where(F.trim(F.col("value")) != "")
+    return _lines(spark, path, with_position)

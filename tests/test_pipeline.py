@@ -87,3 +87,30 @@ def test_stream_ingest_only_new_files(spark, tmp_out):
     snaps = read_snapshots(spark, lake, schemas.AIRLINES)
     assert snaps.count() == 2
     assert [r.ICAO for r in latest_snapshot(snaps).collect()] == ["BAW"]
+
+
+def test_pipeline_on_driver_tables(spark, tmp_out):
+    from flightlake.plans.fixtures import land_documents
+    landing, root = f"{tmp_out}/landing", f"{tmp_out}/run"
+    land_documents(spark, "/root/testdata/sf0.001", landing)
+    answers = P.run(spark, landing, f"{root}/lake", f"{root}/results", radius_m=500_000)
+    assert answers["R1"].count() > 0 and answers["R5"].count() == 5
+    acf = latest_snapshot(read_snapshots(spark, P.dataset_root(f"{root}/lake", "acflight"), schemas.ACFLIGHT))
+    assert acf.where("actual_distance > 0").count() > 0
+    assert latest_snapshot(read_snapshots(spark, P.dataset_root(f"{root}/lake", "flctry"), schemas.FLCTRY)).count() > 0
+
+
+def test_first_airport_follows_landing_order_across_files(spark, tmp_out):
+    landing = f"{tmp_out}/landing"
+    land(landing)
+    os.remove(f"{landing}/airports/part-0.json")
+    first = dict(AIRPORTS[0], name="First", altitude=1)
+    later = [dict(AIRPORTS[1], name=f"Later {i}", altitude=1000 + i) for i in range(200)]   # bigger file, read first
+    with open(f"{landing}/airports/part-0.json", "w") as fh:
+        fh.write(json.dumps(first) + "\n")
+    with open(f"{landing}/airports/part-1.json", "w") as fh:
+        for d in later:
+            fh.write(json.dumps(d) + "\n")
+    tables, _ = P.build_tables(spark, landing, radius_m=600_000)
+    fr = tables["znctyn"].where("zone_country = 'France'").first()
+    assert fr.altitude == 1
