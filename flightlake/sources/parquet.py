@@ -16,15 +16,17 @@ def check_columns(df: DataFrame, expected: StructType | list[str]) -> DataFrame:
 
 
 # S1
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet scan. With a schema, the footer schema is not inferred and the
-    columns are checked; projections and filters on the result reach the scan
-    (ReadSchema / PushedFilters)."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(path)
-    return check_columns(df, schema) if schema is not None else df
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
+               strict: bool = False) -> DataFrame:
+    """Parquet scan. With a schema the footer schema is not inferred (no extra
+    job) and a column missing from the files reads as null; ``strict`` reads
+    the footer and fails on a missing column instead. Projections and filters
+    on the result reach the scan (ReadSchema / PushedFilters)."""
+    if schema is None:
+        return spark.read.parquet(path)
+    if strict:
+        check_columns(spark.read.parquet(path), schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
