@@ -227,12 +227,18 @@ def q_fill_nulls_by_type(spark, d):
     return C.fill_nulls_by_type(X.flight(spark, d))
 
 
+FLIGHT_TEXT = ["flight_id", "airline_icao", "aircraft_code", "origin_airport_iata", "aircraft_model", "flight_duration"]
+
+
 def q_fill_nulls_subset(spark, d):
-    return C.fill_nulls_subset(X.flight(spark, d), ["airline_icao"], "")
+    """Only airline_icao is filled; the other text columns keep their nulls."""
+    return C.fill_nulls_subset(X.flight(spark, d).select(*FLIGHT_TEXT), ["airline_icao"], "")
 
 
 def q_filter_valid_flights(spark, d):
-    return C.filter_valid_flights(X.flight(spark, d))
+    """The surviving flights, with the columns the filter tests."""
+    return C.filter_valid_flights(X.flight(spark, d)).select(
+        "flight_id", "airline_icao", "origin_airport_iata", "departure_time", "aircraft_model")
 
 
 def q_rename_columns(spark, d):
@@ -253,7 +259,8 @@ def q_where_sql_string(spark, d):
 
 
 def q_filter_not_null(spark, d):
-    return C.filter_not_null(X.flight(spark, d), ["airline_icao", "departure_arrival"])
+    return C.filter_not_null(X.flight(spark, d), ["airline_icao", "departure_arrival"]).select(
+        "flight_id", "airline_icao", "departure_arrival", "origin_airport_iata", "aircraft_model")
 
 
 # --- joins -----------------------------------------------------------------------

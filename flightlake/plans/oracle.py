@@ -262,14 +262,17 @@ SQL: dict[str, str] = {
         coalesce(last_position_latitude, 0.0) AS last_position_latitude,
         coalesce(last_position_longitude, 0.0) AS last_position_longitude,
         coalesce(last_position_altitude, 0) AS last_position_altitude FROM flight_raw""",
-    "fill_nulls_subset": "SELECT * REPLACE (coalesce(airline_icao, '') AS airline_icao) FROM flight_raw",
-    "filter_valid_flights": "SELECT * FROM flight_raw WHERE airline_icao <> '' AND departure_time IS NOT NULL "
+    "fill_nulls_subset": "SELECT flight_id, coalesce(airline_icao, '') AS airline_icao, aircraft_code, origin_airport_iata, "
+                         "aircraft_model, flight_duration FROM flight_raw",
+    "filter_valid_flights": "SELECT flight_id, airline_icao, origin_airport_iata, departure_time, aircraft_model FROM flight_raw "
+                            "WHERE airline_icao <> '' AND departure_time IS NOT NULL "
                             "AND (aircraft_model IS NOT NULL OR aircraft_model <> '') AND origin_airport_iata <> ''",
     "rename_columns": "SELECT * RENAME (departure_time AS departure_origin) FROM acflight_raw",
     "cast_distance": "SELECT flight_id, CAST(trunc(actual_distance) AS INTEGER) AS actual_distance FROM acflight_raw",
     "select_columns": "SELECT flight_id, airline_icao, origin_airport_iata, destination_airport_iata FROM acflight_raw",
     "where_sql_string": 'SELECT "Name", continent_origin FROM regional',
-    "filter_not_null": "SELECT * FROM flight_raw WHERE airline_icao IS NOT NULL AND departure_arrival IS NOT NULL",
+    "filter_not_null": "SELECT flight_id, airline_icao, departure_arrival, origin_airport_iata, aircraft_model FROM flight_raw "
+                       "WHERE airline_icao IS NOT NULL AND departure_arrival IS NOT NULL",
     # joins
     "join_airline": 'SELECT f.flight_id, f.airline_icao, a."Name", a."Code" FROM acflight_c f JOIN airlines_c a ON f.airline_icao = a."ICAO"',
     "join_role_playing_dims": """SELECT f.flight_id, f.origin_airport_iata, f.destination_airport_iata,
