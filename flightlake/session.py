@@ -23,6 +23,23 @@ SESSION_DEFAULTS = {
 }
 
 
+# Suggested sizes for a 100 TB run on about 1,000 executors x 8 cores (pass as
+# ``extra`` or on spark-submit). Scan splits of 512 MB keep ~200k scan tasks;
+# AQE starts shuffles wide and coalesces to ~256 MB partitions, which fit an
+# executor core's share of memory with room for the sort buffers; dimension
+# tables (airlines, airports, zones, country points) stay well under the
+# 64 MB broadcast limit, fact tables never qualify.
+CLUSTER_PROFILE_100TB = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_spark(app_name: str = "flightlake", master: str | None = None,
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
