@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from flightlake.plans import pipeline  # noqa: E402
+from flightlake.plans import etl  # noqa: E402
 from flightlake.plans.catalog import QUERIES  # noqa: E402
 from flightlake.plans.fixtures import land_documents  # noqa: E402
 from flightlake.session import get_spark, scratch_path  # noqa: E402
@@ -46,11 +46,11 @@ def main() -> None:
     land_documents(spark, sf_dir, landing)          # test input, not timed
     root = scratch_path(spark, "bench-run")
     t0 = time.perf_counter()
-    pipeline.extract(spark, landing, f"{root}/lake", radius_m=500_000)
-    times["pipeline_extract"] = round(time.perf_counter() - t0, 3)
+    etl.extract(spark, landing, f"{root}/lake", radius_m=500_000)
+    times["etl_extract"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
-    pipeline.transform(spark, f"{root}/lake", results=f"{root}/results")
-    times["pipeline_transform"] = round(time.perf_counter() - t0, 3)
+    etl.transform(spark, f"{root}/lake", results=f"{root}/results")
+    times["etl_transform"] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,

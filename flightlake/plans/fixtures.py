@@ -299,7 +299,7 @@ def zone_documents_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(F.to_json(F.create_map(F.col("r_name"), region)).alias("value"))
 
 
-# --- a landing folder for the end-to-end pipeline ------------------------------
+# --- a landing folder for the end-to-end run (plans.etl) ------------------------
 
 def land_documents(spark: SparkSession, sf_dir: str, landing: str) -> None:
     """Write the four landed document kinds, derived from the driver tables,

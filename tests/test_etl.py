@@ -2,7 +2,7 @@ import json
 import os
 
 from flightlake import schemas
-from flightlake.plans import pipeline as P
+from flightlake.plans import etl as P
 from flightlake.sources.parquet import latest_snapshot, read_snapshots
 from flightlake.streaming import ingest_landed_files
 
@@ -89,7 +89,7 @@ def test_stream_ingest_only_new_files(spark, tmp_out):
     assert [r.ICAO for r in latest_snapshot(snaps).collect()] == ["BAW"]
 
 
-def test_pipeline_on_driver_tables(spark, tmp_out):
+def test_etl_on_driver_tables(spark, tmp_out):
     from flightlake.plans.fixtures import land_documents
     landing, root = f"{tmp_out}/landing", f"{tmp_out}/run"
     land_documents(spark, "/root/testdata/sf0.001", landing)
