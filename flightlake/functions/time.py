@@ -15,6 +15,12 @@ def epoch_seconds(ts) -> Column:
     return F.unix_timestamp(_c(ts)).cast("long")
 
 
+def utc_wall_clock(ts) -> Column:
+    """A timestamp (with zone semantics) as its UTC wall-clock time without
+    zone, so labels derived from it do not depend on the session time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))
+
+
 def snapshot_hour(ts) -> Column:
     return F.date_trunc("hour", _c(ts))
 

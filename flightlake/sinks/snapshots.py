@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from flightlake.functions.time import layout_columns
+from flightlake.functions.time import layout_columns, utc_wall_clock
 
 PARTITION_COLUMNS = ["tech_year", "tech_month", "tech_day", "tech_hour"]
 
 
 def add_layout_columns(df: DataFrame, ts: Column | str = "snapshot_ts") -> DataFrame:
+    """Partition values from the run time, as UTC wall clock (the same labels
+    whatever the session time zone of the writer)."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    cols = layout_columns(ts)
+    cols = layout_columns(utc_wall_clock(ts))
     return df.withColumns({c: cols[c] for c in PARTITION_COLUMNS})
 
 

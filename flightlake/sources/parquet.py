@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from flightlake.functions.time import utc_wall_clock
+
 
 def check_columns(df: DataFrame, expected: StructType | list[str]) -> DataFrame:
     names = expected.fieldNames() if isinstance(expected, StructType) else list(expected)
@@ -60,7 +62,8 @@ def latest_snapshot(df: DataFrame, ts_col: str = "snapshot_ts",
         df = df.where(F.col(ts_col) <= limit)
         if partition_cols and all(c in df.columns for c in partition_cols):
             key = F.concat_ws("|", *[F.col(c).cast("string") for c in partition_cols])
-            df = df.where(key <= F.concat_ws("|", F.date_format(limit, "yyyy-MM-dd"), F.date_format(limit, "HH")))
+            wall = utc_wall_clock(limit)      # labels are UTC wall clock (sinks.snapshots)
+            df = df.where(key <= F.concat_ws("|", F.date_format(wall, "yyyy-MM-dd"), F.date_format(wall, "HH")))
     if partition_cols and all(c in df.columns for c in partition_cols):
         key = F.concat_ws("|", *[F.col(c).cast("string") for c in partition_cols])
         newest = df.select(F.max(key)).scalar()

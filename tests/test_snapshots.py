@@ -79,3 +79,20 @@ def test_as_of_aligns_snapshots(spark, tmp_out):
     assert sorted(r.Name for r in got.collect()) == ["mid-a", "mid-b"]
     got = latest_snapshot(snaps, as_of="2024-03-01 10:00:00")
     assert sorted(r.Name for r in got.collect()) == ["early-a", "early-b"]
+
+
+def test_labels_and_latest_independent_of_session_zone(spark, tmp_out):
+    root = f"{tmp_out}/airlines"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        write_parquet_snapshot(_airlines(spark, "utc"), root, "2024-03-01 10:05:00")        # 10:05 UTC
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        write_parquet_snapshot(_airlines(spark, "ny"), root, "2024-03-01 06:30:00")          # 11:30 UTC
+        assert os.path.isdir(f"{root}/tech_year=2024/tech_month=2024-03/tech_day=2024-03-01/tech_hour=11")
+        snaps = read_snapshots(spark, root, schemas.AIRLINES)
+        assert sorted(r.Name for r in latest_snapshot(snaps).collect()) == ["ny-a", "ny-b"]
+        got = latest_snapshot(snaps, as_of="2024-03-01 06:00:00")                            # 11:00 UTC
+        assert sorted(r.Name for r in got.collect()) == ["utc-a", "utc-b"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
