@@ -114,3 +114,18 @@ def test_first_airport_follows_landing_order_across_files(spark, tmp_out):
     tables, _ = P.build_tables(spark, landing, radius_m=600_000)
     fr = tables["znctyn"].where("zone_country = 'France'").first()
     assert fr.altitude == 1
+
+
+def test_cli_run(tmp_out):
+    import subprocess
+    import sys
+    landing = f"{tmp_out}/landing"
+    land(landing)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run(
+        [sys.executable, "-m", "flightlake", "run", "--landing", landing, "--lake", f"{tmp_out}/lake",
+         "--results", f"{tmp_out}/results", "--radius-m", "600000"],
+        cwd=repo, capture_output=True, text=True, timeout=600,
+        env=dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.ui.enabled=false pyspark-shell"))
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "air france" in out.stdout
