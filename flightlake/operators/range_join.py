@@ -2,12 +2,15 @@
 
 Two plans give the same rows:
 
-* ``broadcast``: broadcast nested-loop join; only when the box side has a
-  checked, bounded row count.
+* ``broadcast``: broadcast nested-loop join. Every point is tested against
+  every box, so it is only chosen for a handful of boxes (checked count,
+  default at most 64), e.g. the continents.
 * ``grid``: every point gets one grid cell, every box is exploded over the
   cells it covers, equi-join on the cell, then the exact test. A point has one
-  cell and a box one row per cell, so no pair is produced twice. Both sides
-  can be large; hot cells are split by AQE's skew-join handling.
+  cell and a box one row per cell, so no pair is produced twice. Each point
+  is tested only against the boxes of its cell. When the exploded boxes are
+  small the join is a broadcast hash join (no shuffle of the points); when
+  both sides are large it is a sort-merge join whose hot cells AQE splits.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from flightlake.functions.geo import grid_cell, strictly_inside
 
 DEFAULT_CELL_DEG = 10.0
-DEFAULT_BROADCAST_MAX_ROWS = 50_000
+DEFAULT_BROADCAST_MAX_ROWS = 64     # nested loop: points x boxes comparisons
 
 
 def _check_names(points: DataFrame, boxes: DataFrame) -> None:
