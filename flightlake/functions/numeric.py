@@ -14,7 +14,11 @@ def rounded_mean(total, count, digits: int = 6) -> Column:
     """``total / count`` rounded half away from zero to ``digits`` decimals,
     computed on the exact integers (sum in decimal(38,0)), then one division
     by 10**digits. The result does not depend on summation order or on the
-    engine's floating-point rounding; null when ``count`` is 0 or null."""
+    engine's floating-point rounding; null when ``count`` is 0 or null.
+
+    Exact (the double nearest to the rounded decimal) while |mean| * 10**digits
+    < 2**53, i.e. |mean| < 9.0e9 at 6 digits; beyond that the scaled integer
+    is itself rounded to a double first (identically in any IEEE engine)."""
     scale = 10 ** digits
     s = _c(total).cast("decimal(38,0)")
     n = _c(count).cast("decimal(38,0)")

