@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from flightlake.functions.geo import grid_cell, strictly_inside
 
 DEFAULT_CELL_DEG = 10.0
+MIN_CELL_DEG, MAX_CELL_DEG = 0.01, 45.0
 DEFAULT_BROADCAST_MAX_ROWS = 64     # nested loop: points x boxes comparisons
 
 
@@ -35,11 +36,24 @@ def box_count_at_most(boxes: DataFrame, max_rows: int) -> bool:
     return boxes.limit(max_rows + 1).count() <= max_rows
 
 
+def cell_size_for(boxes: DataFrame, corners=("tl_y", "tl_x", "br_y", "br_x")) -> float:
+    """Grid cell edge from the median extent of the boxes (one aggregate over
+    the box side): a typical box then covers about four cells, so neither the
+    exploded box side nor the candidates per point grow large."""
+    tl_y, tl_x, br_y, br_x = corners
+    extent = F.greatest(F.abs(F.col(tl_y) - F.col(br_y)), F.abs(F.col(tl_x) - F.col(br_x)))
+    median = boxes.select(F.percentile_approx(extent, 0.5).alias("m")).first()["m"]
+    if median is None or median != median:
+        return DEFAULT_CELL_DEG
+    return float(min(MAX_CELL_DEG, max(MIN_CELL_DEG, median)))
+
+
 def point_in_box_join(points: DataFrame, boxes: DataFrame, lat: str = "latitude",
                       lon: str = "longitude", corners=("tl_y", "tl_x", "br_y", "br_x"),
-                      strategy: str = "auto", cell_size: float = DEFAULT_CELL_DEG,
+                      strategy: str = "auto", cell_size: float | None = None,
                       broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """All (point, box) pairs with the point strictly inside the box."""
+    """All (point, box) pairs with the point strictly inside the box.
+    ``cell_size`` (degrees) for the grid plan; by default from the boxes."""
     _check_names(points, boxes)
     if strategy == "auto":
         strategy = "broadcast" if box_count_at_most(boxes, broadcast_max_rows) else "grid"
@@ -49,7 +63,7 @@ def point_in_box_join(points: DataFrame, boxes: DataFrame, lat: str = "latitude"
         return points.join(F.broadcast(boxes), cond, "inner")
     if strategy != "grid":
         raise ValueError(f"unknown strategy {strategy!r}")
-    g = float(cell_size)
+    g = float(cell_size) if cell_size else cell_size_for(boxes, corners)
     lo_y, hi_y = F.least(tl_y, br_y), F.greatest(tl_y, br_y)
     lo_x, hi_x = F.least(tl_x, br_x), F.greatest(tl_x, br_x)
     cells = (

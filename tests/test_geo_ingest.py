@@ -37,12 +37,20 @@ def test_grid_equals_broadcast_random(spark):
     boxes = spark.createDataFrame(bx, "bid int, tl_y double, tl_x double, br_y double, br_x double")
     kw = dict(lat="plat", lon="plon")
     a = {tuple(r) for r in point_in_box_join(pts, boxes, strategy="broadcast", **kw).select("pid", "bid").collect()}
-    for cell in (1.0, 7.5, 45.0):
+    for cell in (1.0, 7.5, 45.0, None):
         b = point_in_box_join(pts, boxes, strategy="grid", cell_size=cell, **kw).select("pid", "bid").collect()
         assert len(b) == len(set(map(tuple, b))), "grid join must not duplicate pairs"
         assert {tuple(r) for r in b} == a
 
 
+def test_cell_size_from_boxes(spark):
+    from flightlake.operators.range_join import cell_size_for
+    small = spark.createDataFrame([(1.0, 1.0, 0.5, 1.2)] * 5, "tl_y double, tl_x double, br_y double, br_x double")
+    assert cell_size_for(small) == pytest.approx(0.5)
+    big = spark.createDataFrame([(80.0, -170.0, -80.0, 170.0)], "tl_y double, tl_x double, br_y double, br_x double")
+    assert cell_size_for(big) == 45.0
+
+
 def test_haversine_known_distance(spark):
     df = spark.createDataFrame([(48.8566, 2.3522, 51.5074, -0.1278)], "a double, b double, c double, d double")
     km = df.select(haversine_km("a", "b", "c", "d").alias("km")).first().km
