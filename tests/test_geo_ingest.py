@@ -170,3 +170,19 @@ def test_flights_over_country_multi_match(spark):
     for strategy in ("broadcast", "grid"):
         got = sorted(tuple(r) for r in E.flights_over_country(pts, fl, F.lit(3.0), F.lit(3.0), strategy).collect())
         assert got == [("de", "europe", "f1"), ("de", "europe", "f2"), ("fr", "europe", "f1")]
+
+
+def test_grid_join_with_hot_cell(spark):
+    """A third of all points sit at one coordinate (one hot cell): same pairs
+    as the nested loop, no pair lost or repeated."""
+    rnd = random.Random(11)
+    hot = [(i, 48.85, 2.35) for i in range(1000)]
+    rest = [(1000 + i, rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(2000)]
+    pts = spark.createDataFrame(hot + rest, "pid int, plat double, plon double").repartition(8, "pid")
+    boxes = spark.createDataFrame([(0, 50.0, 2.0, 48.0, 3.0), (1, 49.0, 2.3, 48.8, 2.4), (2, 10.0, 10.0, -10.0, 30.0)],
+                                  "bid int, tl_y double, tl_x double, br_y double, br_x double")
+    kw = dict(lat="plat", lon="plon")
+    nl = sorted(tuple(r) for r in point_in_box_join(pts, boxes, strategy="broadcast", **kw).select("pid", "bid").collect())
+    grid = sorted(tuple(r) for r in point_in_box_join(pts, boxes, strategy="grid", cell_size=0.5, **kw)
+                  .select("pid", "bid").collect())
+    assert grid == nl and len([p for p in grid if p[0] < 1000]) == 2000
