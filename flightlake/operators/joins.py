@@ -39,14 +39,14 @@ def join_role_playing_dims(flights: DataFrame, airport: DataFrame, znctyn: DataF
     result for inner and for left joins, and the big side is joined twice.
     """
     dim = airport_continent(airport, znctyn, how)
-    out = flights
-    for role, key in (("origin", "origin_airport_iata"), ("destination", "destination_airport_iata")):
-        d = dim.select(
-            F.col("iata").alias(f"iata_{role}"), F.col("country").alias(f"country_{role}"),
-            F.col("zone_country").alias(f"zone_country_{role}"), F.col("continent").alias(f"continent_{role}"),
-        )
-        out = out.join(d, out[key] == d[f"iata_{role}"], how)
-    return out
+    roles = (("origin", "origin_airport_iata"), ("destination", "destination_airport_iata"))
+    out = flights.alias("_f")
+    for role, key in roles:
+        # the same dimension plan under two aliases: one broadcast serves both roles
+        out = out.join(dim.alias(role), F.col(f"_f.{key}") == F.col(f"{role}.iata"), how)
+    renamed = [F.col(f"{role}.{c}").alias(f"{c}_{role}") for role, _ in roles
+               for c in ("iata", "country", "zone_country", "continent")]
+    return out.select("_f.*", *renamed)
 
 
 # J3
