@@ -15,6 +15,7 @@ Landing layout (one folder per document kind, JSON lines):
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,22 @@ def result_root(results: str, name: str, run_ts: datetime) -> str:
             f"tech_day={run_ts:%Y-%m-%d}/tech_hour={run_ts:%H}/run={run_ts:%Y%m%dT%H%M%S%f}")
 
 
+PARALLEL_JOBS = 4
+
+
+def run_jobs(jobs: list, parallel: int = PARALLEL_JOBS) -> None:
+    """Submit independent Spark actions from a few driver threads: their
+    tasks then share the executors instead of queueing one job after the
+    other (small jobs leave most cores idle). Errors are raised."""
+    if parallel <= 1:
+        for job in jobs:
+            job()
+        return
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for fut in [pool.submit(job) for job in jobs]:
+            fut.result()
+
+
 def _good(df: DataFrame, quarantine: dict[str, DataFrame], name: str) -> DataFrame:
     good, bad = E.split_bad_records(df)
     quarantine[name] = bad
@@ -122,12 +139,14 @@ def build_tables(spark: SparkSession, landing: str, radius_m: float | None = Non
 
 
 def extract(spark: SparkSession, landing: str, lake: str, run_ts: str | None = None,
-            radius_m: float | None = None) -> dict[str, DataFrame]:
-    """Append the nine tables as snapshots under ``<lake>/<dataset>``;
-    returns the quarantined records per document kind (lazy)."""
+            radius_m: float | None = None, parallel: int = PARALLEL_JOBS) -> dict[str, DataFrame]:
+    """Append the nine tables as snapshots under ``<lake>/<Dataset>/rawzone``,
+    all with the same run time; returns the quarantined records per document
+    kind (lazy)."""
     tables, quarantine = build_tables(spark, landing, radius_m, stage=stage_parsed)
-    for name in DATASETS:
-        write_parquet_snapshot(tables[name], dataset_root(lake, name), run_ts)
+    ts = F.lit(run_ts).cast("timestamp") if run_ts else F.lit(datetime.now(timezone.utc))
+    run_jobs([lambda n=name: write_parquet_snapshot(tables[n], dataset_root(lake, n), ts) for name in DATASETS],
+             parallel)
     return quarantine
 
 
@@ -140,32 +159,29 @@ def load_latest(spark: SparkSession, lake: str, as_of: str | None = None) -> R.T
                     flight=one("flight"), acflight=one("acflight"), flctry=one("flctry"))
 
 
-def materialize(spark: SparkSession, t: R.Tables) -> R.Tables:
+def materialize(spark: SparkSession, t: R.Tables, parallel: int = PARALLEL_JOBS) -> R.Tables:
     """Write each cleaned table once as Parquet in the shared folder and read
     it back: the whole-row dedup shuffles run once instead of once per
     report, and the reports restart from these files, not from the raw
     snapshots, if an executor is lost."""
-    out = {}
-    for name in ("airlines", "znctyn", "airport", "flight", "acflight", "flctry"):
-        path = scratch_path(spark, f"clean-{name}")
-        df = getattr(t, name)
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.schema(df.schema).parquet(path)
-    return R.Tables(**out)
+    names = ("airlines", "znctyn", "airport", "flight", "acflight", "flctry")
+    paths = {n: scratch_path(spark, f"clean-{n}") for n in names}
+    run_jobs([lambda n=n: getattr(t, n).write.mode("overwrite").parquet(paths[n]) for n in names], parallel)
+    return R.Tables(**{n: spark.read.schema(getattr(t, n).schema).parquet(paths[n]) for n in names})
 
 
 def transform(spark: SparkSession, lake: str, results: str | None = None, as_of: str | None = None,
-              materialize_clean: bool = True) -> dict[str, DataFrame]:
+              materialize_clean: bool = True, parallel: int = PARALLEL_JOBS) -> dict[str, DataFrame]:
     """Clean the latest snapshots and answer the seven questions; with
     ``results`` each answer is also written as CSV (one file, no header)."""
     t = R.clean_tables(load_latest(spark, lake, as_of))
     if materialize_clean:
-        t = materialize(spark, t)
+        t = materialize(spark, t, parallel)
     answers = {k: R.REPORTS[k](t) for k in REPORT_FILES}
     if results:
         now = datetime.now(timezone.utc)
-        for k, name in REPORT_FILES.items():
-            write_csv_result(answers[k], result_root(results, name, now))
+        run_jobs([lambda k=k, name=name: write_csv_result(answers[k], result_root(results, name, now))
+                  for k, name in REPORT_FILES.items()], parallel)
     return answers
 
 

@@ -65,6 +65,8 @@ def test_extract_then_transform(spark, tmp_out):
     assert sorted(r.zone for r in lat("zncty").collect()) == ["paris"]
     assert lat("flight").count() == 4                                                 # f5 has no trail
     assert sorted(r.flight_id for r in lat("acflight").collect()) == ["f1", "f2", "f3", "f5"]
+    run_times = {r.snapshot_ts for n in P.DATASETS for r in lat(n).select("snapshot_ts").distinct().collect()}
+    assert len(run_times) == 1                                                        # one run, one time
     answers = P.transform(spark, lake, results)
     r1 = [tuple(r) for r in answers["R1"].collect()]
     assert r1 == [("air france", 3), ("british airways", 1)]
