@@ -46,3 +46,15 @@ def test_t13_reports_do_not_change_inputs(spark):
     R.mean_flight_length_by_continent(t).collect()
     assert sorted(tuple(r) for r in t.acflight.collect()) == before
     assert dict(t.acflight.dtypes)["actual_distance"] == "float"
+
+
+def test_run_jobs_runs_all_and_raises():
+    from flightlake.plans.etl import run_jobs
+    done = []
+    run_jobs([lambda i=i: done.append(i) for i in range(6)], parallel=3)
+    assert sorted(done) == list(range(6))
+
+    def boom():
+        raise RuntimeError("job failed")
+    with pytest.raises(RuntimeError):
+        run_jobs([lambda: None, boom], parallel=2)
