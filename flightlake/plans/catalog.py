@@ -137,6 +137,17 @@ def q_cast_zones(spark, d):
     return E.cast_zones(raw)
 
 
+def q_rows_to_df(spark, d):
+    """S3: the five continent boxes (driver rows, rows_to_df) used as a lookup
+    over every customer position: customers per zone, empty zones kept."""
+    zones = X.zones(spark)
+    m = E.locate_in_zones(X.customer_positions(spark, d), zones, strategy="auto")
+    counts = m.groupBy("zone_name").agg(F.count(F.lit(1)).alias("customers"))
+    z = zones.select(F.col("zone").alias("zone_name"), "zone_ord")
+    return z.join(counts, "zone_name", "left").select(
+        "zone_name", "zone_ord", F.coalesce(F.col("customers"), F.lit(0)).cast("long").alias("customers"))
+
+
 def q_project_airports(spark, d):
     emb = X.table(spark, d, "embeddings", ["vec_id", "embedding", "label"])
     docs = emb.select(
@@ -359,6 +370,7 @@ def q_top_k_limit(spark, d):
 QUERIES: dict[str, Query] = {k: _report(fn) for k, fn in R.REPORTS.items()}
 QUERIES.update({
     "scan_parquet": q_scan_parquet,
+    "rows_to_df": q_rows_to_df,
     "landed_json_source": q_landed_json_source,
     "latest_snapshot": q_latest_snapshot,
     "write_parquet_snapshot": q_write_parquet_snapshot,

@@ -23,6 +23,7 @@ from pyspark.sql.types import StructField, StructType
 from flightlake import schemas
 from flightlake.functions.time import epoch_seconds
 from flightlake.sources.parquet import read_table
+from flightlake.sources.rows import rows_to_df
 
 # --- fixed values: fixture rules --------------------------------------------
 # position of key k, in hundredths of a degree:
@@ -130,7 +131,7 @@ def zones(spark: SparkSession) -> DataFrame:
         StructField("tl_y", schemas.ZCTINENT["tl_y"].dataType), StructField("tl_x", schemas.ZCTINENT["tl_x"].dataType),
         StructField("br_y", schemas.ZCTINENT["br_y"].dataType), StructField("br_x", schemas.ZCTINENT["br_x"].dataType),
     ])
-    df = spark.createDataFrame(ZONE_BOXES, schema)
+    df = rows_to_df(spark, ZONE_BOXES, schema)
     ords = F.create_map(*[x for i, z in enumerate(ZONE_BOXES) for x in (F.lit(z[0]), F.lit(i))])
     return df.withColumn("zone_ord", ords[F.col("zone")].cast("int"))
 

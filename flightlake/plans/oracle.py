@@ -194,6 +194,8 @@ SQL: dict[str, str] = {
     # sources and sinks
     "scan_parquet": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
                     f"l_tax, l_returnflag, l_linestatus, {ep('l_shipdate')} AS l_shipdate_epoch FROM lineitem",
+    "rows_to_df": "SELECT b.zone_name, b.zone_ord, count(c.c_custkey) AS customers FROM zone_boxes b "
+                  "LEFT JOIN cust_in_zone c ON b.zone_name = c.zone_name GROUP BY b.zone_name, b.zone_ord",
     "landed_json_source": "SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events",
     "skip_bad_records": "SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(props ->> 'k' AS BIGINT) END AS k, "
                         "CASE WHEN event_type = 'error' THEN substring(props, 1, 5) END AS bad_record FROM events",
