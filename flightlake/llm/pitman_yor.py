@@ -171,7 +171,8 @@ class Totals:
 
 
 def _uniform(seed: np.ndarray, turn: int) -> np.ndarray:
-    return ((T.mix64(seed + U64(turn) * U64(0x9E3779B97F4A7C15)) >> U64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+    step = U64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return ((T.mix64(seed + step) >> U64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
 
 
 def seat(customers: np.ndarray, opening: np.ndarray, discount: float, seed: np.ndarray) -> np.ndarray:

@@ -7,23 +7,38 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import packing, pii_crf, repetition, token_files
+from flightlake.llm import (
+    bagminhash, lpf_dedup, mixing, ordinal, packing, pii_crf, pitman_yor, repetition, token_files, topk,
+)
 from flightlake.llm.runtime import table
 from flightlake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files.token_spans(spark, docs, scratch_path(spark, "token-files"),
                                    public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_docs")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.find_pii(table(spark, sf_dir, "documents"))
 
 
+def op5_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lpf_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -32,12 +47,48 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal.train(docs, ordinal.grade_labels(table(spark, sf_dir, "labels")))
+    return ordinal.score(docs, model)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), max_repeats=2.0)
+    return mixed.select("doc_id", "source", "mix_block", "mix_tokens", "mix_pass", "mix_key")
+
+
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_topk": op1_topk,
     "op2_token_files": op2_token_files,
+    "op3_bagminhash": op3_bagminhash,
     "op4_pii": op4_pii,
+    "op5_lpf_dedup": op5_lpf_dedup,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_ordinal": op8_ordinal,
+    "op9_mixing": op9_mixing,
+    "op10_pitman_yor": op10_pitman_yor,
 }
 
-#: DuckDB SQL, where SQL can express the operator
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL, where SQL can express the operator; the others are tested against brute force
+ORACLE_SQL: dict[str, str] = {
+    "op1_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s
+QUALIFY rank <= 5
+""",
+}
