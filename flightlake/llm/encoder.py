@@ -1,94 +1,156 @@
-"""Exact, cached encoding with the tokenizers library.
+"""Exact encoding with the tokenizers library, each distinct piece of text once.
 
-Both vocabularies split a text at white space before they merge, so pieces
-between such splits can be encoded once and kept. Only splits that hold for
-every text are used: texts with other white space than single blanks and line
-ends between words go through a slower, equally exact path.
+Both vocabularies split a text at white space before they merge, so what stands between
+two such splits can be encoded alone and its ids be used wherever it stands again. The
+pieces of a block of texts are found and told apart by 64-bit hashes in whole-array
+passes; only pieces that the worker has not met yet go to the tokenizer. Texts in
+which white space is not single, or not ASCII, go through a slower, equally exact path.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-#: entries a worker keeps, and the longest piece it keeps
-CACHE_ENTRIES, CACHE_CHARS = 250_000, 48
+from flightlake.llm import textkit as T
+
+#: entries a worker keeps (about 150 bytes each), and the longest piece it keeps
+CACHE_ENTRIES, CACHE_BYTES = 1_000_000, 48
 
 _SAFE_SPLIT = re.compile(r"(?<=\S)(?= \S)")
 #: the white space of Unicode (str.split() also takes \x1c-\x1f, which the tokenizer does not)
 _WHITE = re.compile(r"[\t-\r \x85\xa0  -     　]+")
-_ODD = re.compile("[\x1c-\x1f]")
+_TAILS = frozenset(",.;:!?")
 
+_GAP = {"words": T._SPACE, "spaces": np.isin(np.arange(256), [0x20, 0x0A])}
+#: bytes that make a text take the slow path, alone or with the byte after
+_ODD = {"words": np.zeros(256, bool), "spaces": np.isin(np.arange(256), [9, 11, 12, 13, 28, 29, 30, 31])}
+_ODD_PAIRS = ((0xC2, (0x85, 0xA0)), (0xE1, (0x9A,)), (0xE2, (0x80, 0x81)), (0xE3, (0x80,)))
+#: what a span is: a piece as it stands, a piece after a blank, or a whole text for the slow path
+PLAIN, SPACED, WHOLE = 0, 1, 2
 
-class CachedEncoder:
-    """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes.
 
-    style "spaces": byte-level BPE whose pieces carry their leading blank.
-    style "words": white space is dropped, words are encoded alone.
+class CachedEncoder:
+    """style "spaces": byte-level BPE whose pieces carry their leading blank.
+    style "words": white space is dropped, case ignored, words are encoded alone.
     """
 
     def __init__(self, path: str, style: str):
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.style = style
-        self.cache: dict[str, bytes] = {}      # pieces as they stand
-        self.spaced: dict[str, bytes] = {}     # pieces after a blank, kept without it
-
-    def _raw(self, pieces: list[str]) -> list[bytes]:
-        got = self.tok.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
-
-    def _fill(self, cache: dict[str, bytes], pieces: set[str], blank: str) -> dict[str, bytes]:
-        """Every piece's ids; new short ones are kept in cache."""
-        new = [p for p in pieces if p not in cache]
-        if len(cache) + len(new) > CACHE_ENTRIES:
-            cache.clear()
-            new = list(pieces)
-        once: dict[str, bytes] = {}
+        self.known: dict[int, bytes] = {}
+        # tokens that begin with a blank (byte-level vocabularies write it as this letter)
+        vocab = self.tok.get_vocab()
+        self.after_blank = np.zeros(max(vocab.values()) + 1, bool)
+        self.after_blank[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each text's begin and end in them."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for _, buf, off in T.text_blocks(texts):
+            got, n = self._block(buf, off)
+            ids.append(got)
+            counts.append(n)
+        return np.concatenate(ids), np.cumsum(np.concatenate(counts))
+
+    def _slow_texts(self, buf: np.ndarray, off: np.ndarray, gap: np.ndarray) -> np.ndarray:
+        odd = _ODD[self.style][buf]
+        for lead, seconds in _ODD_PAIRS:
+            at = np.flatnonzero(buf[:-1] == lead)
+            odd[at[np.isin(buf[at + 1], seconds)]] = True
+        if self.style == "spaces":          # white space at an end of a text or beside other white space
+            odd[:-1] |= gap[:-1] & gap[1:]
+            size = np.diff(off) > 0
+            for at in (off[:-1][size], off[1:][size] - 1):
+                odd[at] |= gap[at]
+        return np.bincount(np.searchsorted(off, np.flatnonzero(odd), "right") - 1, minlength=len(off) - 1) > 0
+
+    def _block(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        docs = len(off) - 1
+        if not len(buf):
+            return np.zeros(0, np.uint32), np.zeros(docs, np.int64)
+        gap = _GAP[self.style][buf]
+        slow = self._slow_texts(buf, off, gap)
+        edge = np.zeros(len(buf) + 1, bool)
+        edge[off] = True
+        start = np.flatnonzero(~gap & (np.append(True, gap[:-1]) | edge[:-1]))
+        end = np.flatnonzero(~gap & (np.append(gap[1:], True) | edge[1:])) + 1
+        kind = np.zeros(len(start), np.int64)
+        if self.style == "spaces":
+            kind[1:] = (buf[start[1:] - 1] == 0x20) & ~edge[start[1:]]
+            breaks = np.flatnonzero(buf == 0x0A)
+            start, end, kind = np.concatenate((start, breaks)), np.concatenate((end, breaks + 1)), np.concatenate((kind, np.zeros(len(breaks), np.int64)))
+        if slow.any():
+            fast = ~slow[np.searchsorted(off, start, "right") - 1]
+            n = int(slow.sum())
+            start, end, kind = np.concatenate((start[fast], off[:-1][slow])), np.concatenate((end[fast], off[1:][slow])), np.concatenate((kind[fast], np.full(n, WHOLE)))
+        order = np.argsort(start, kind="stable")
+        start, end, kind = start[order], end[order], kind[order]
+        name = T.span_hash(T.prefix_hash(buf), start, end) ^ (kind.astype(T.U64) * T.U64(0x9E3779B97F4A7C15))
+        unique, first, inverse = np.unique(name, return_index=True, return_inverse=True)
+        pieces = self._pieces(buf, unique.tolist(), start[first], end[first], kind[first])
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) >> 2
+        table = np.frombuffer(b"".join(pieces), "<u4")
+        n, at = size[inverse], (np.cumsum(size) - size)[inverse]
+        ids = table[np.arange(n.sum()) + np.repeat(at - (np.cumsum(n) - n), n)]
+        doc = np.searchsorted(off, start, "right") - 1
+        return ids, np.bincount(doc, n, minlength=docs).astype(np.int64)
+
+    def _pieces(self, buf: np.ndarray, names: list[int], start: np.ndarray, end: np.ndarray, kind: np.ndarray) -> list[bytes]:
+        """The ids of each distinct span."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.known.clear()
+        got = list(map(self.known.get, names))
+        new = [i for i, ids in enumerate(got) if ids is None]
+        raw = buf.tobytes()
+        text = {i: raw[s:e].decode() for i, s, e in zip(new, start[new].tolist(), end[new].tolist())}
+        for what, blank in ((PLAIN, ""), (SPACED, " ")):
+            some = [i for i in new if kind[i] == what]
+            for i, ids in zip(some, self._encode_pieces([text[i] for i in some], blank)):
+                got[i] = ids
+                if len(text[i]) <= CACHE_BYTES:
+                    self.known[names[i]] = ids
+        for i in new:
+            if kind[i] == WHOLE:
+                parts = [w for w in _WHITE.split(text[i]) if w] if self.style == "words" else _SAFE_SPLIT.split(text[i])
+                got[i] = b"".join(self._encode_pieces(parts, ""))
+        return got
+
+    def _core(self, piece: str) -> tuple[str, str]:
+        """(what is encoded, the mark after it): after a letter the mark is split off in every text."""
+        tail = ""
+        if piece[-1] in _TAILS and len(piece) > 1 and piece[-2] < "ɐ" and piece[-2].isalpha():
+            piece, tail = piece[:-1], piece[-1]
+        if self.style == "words" and piece.isascii():
+            piece = piece.lower()
+        return piece, tail
+
+    def _encode_pieces(self, pieces: list[str], blank: str) -> list[bytes]:
+        cores = [self._core(p) for p in pieces]
+        new = list({core for core, _ in cores})
+        ids: dict[str, bytes] = {}
         for i in range(0, len(new), 4096):
             part = new[i:i + 4096]
-            for p, b in zip(part, self._raw([blank + p for p in part])):
-                (cache if len(p) <= CACHE_CHARS else once)[p] = b
-        return once
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return self._words(texts) if self.style == "words" else self._spaces(texts)
-
-    def _words(self, texts: list[str]) -> list[bytes]:
-        split = [[w for w in _WHITE.split(t) if w] if _ODD.search(t) else t.split() for t in texts]
-        once = self._fill(self.cache, set().union(*split), "")
-        get = (self.cache | once).__getitem__ if once else self.cache.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
-
-    def _spaces(self, texts: list[str]) -> list[bytes]:
-        plans: list[tuple[list[list[str]], bool]] = []
-        first: set[str] = set()
-        later: set[str] = set()
-        for t in texts:
-            flat = t.replace("\n", " ")
-            if t and " ".join(flat.split()) == flat:
-                lines = [line.split(" ") for line in t.split("\n")]
-                first.update(ws[0] for ws in lines)
-                for ws in lines:
-                    later.update(ws[1:])
-                plans.append((lines, True))
-            else:
-                pieces = _SAFE_SPLIT.split(t) if t else []
-                first.update(pieces)
-                plans.append(([pieces], False))
-        first.add("\n")
-        once1, once2 = self._fill(self.cache, first, ""), self._fill(self.spaced, later, " ")
-        a = (self.cache | once1).__getitem__ if once1 else self.cache.__getitem__
-        b = (self.spaced | once2).__getitem__ if once2 else self.spaced.__getitem__
-        end, out = a("\n"), []
-        for lines, plain in plans:
-            if plain:
-                out.append(end.join([a(ws[0]) + b"".join(map(b, ws[1:])) for ws in lines]))
-            else:
-                out.append(b"".join(map(a, lines[0])))
-        return out
+            ids.update(zip(part, self._spaced(part) if blank else self._raw(part)))
+        tails = {t: self._raw([t])[0] if t else b"" for t in {t for _, t in cores}}
+        return [ids[core] + tails[tail] for core, tail in cores]
+
+    def _spaced(self, pieces: list[str]) -> list[bytes]:
+        """Pieces after a blank, as one text: a token that begins with a blank begins a piece."""
+        ids = np.array(self.tok.encode_batch_fast([" " + " ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(self.after_blank[ids]).tolist()
+        if len(at) != len(pieces):
+            return self._raw([" " + p for p in pieces])
+        flat = ids.tobytes()
+        return [flat[4 * s:4 * e] for s, e in zip(at, [*at[1:], len(ids)])]
+
+    def _raw(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
 
 _encoders: dict[tuple[str, str], CachedEncoder] = {}

@@ -42,8 +42,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: in
         enc = encoder(tokenizer_path, style)
         for b in batches:
             rows = []
-            for doc_id, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist())):
-                ids += end
+            flat, place = enc.encode(b.column(1))
+            flat = flat.astype("<u4", copy=False)
+            for doc_id, s, e in zip(b.column(0).to_pylist(), place[:-1].tolist(), place[1:].tolist()):
+                ids = flat[s:e].tobytes() + end
                 for k, i in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[i:i + 4 * capacity]
                     rows.append((doc_id, k, i // 4, len(part) // 4, zlib.crc32(part)))

@@ -79,7 +79,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, style:
     """Writes docs in ascending doc_id order; gives the manifest, one row a file."""
     bounded_batches(docs.sparkSession)
     dtype = "<u2" if vocab <= 1 << 16 else "<u4"
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -98,11 +98,13 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, style:
                 filesystem.create_dir(local.rpartition("/")[0], recursive=True)
                 sink, beside = filesystem.open_output_stream(local), filesystem.open_output_stream(local + ".docs")
                 writer = _SequenceWriter(sink, seq_len, dtype, batch_rows)
-            for doc_id, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist())):
+            ids, place = enc.encode(b.column(1))
+            for doc_id, s, e in zip(b.column(0).to_pylist(), place[:-1].tolist(), place[1:].tolist()):
                 doc_ids.append(doc_id)
                 starts.append(writer.total)
-                counts.append(len(ids) // 4 + 1)
-                writer.add(np.frombuffer(ids + end, "<u4"))
+                counts.append(e - s + 1)
+                writer.add(ids[s:e])
+                writer.add(end)
         if writer is None:
             return
         writer.close()
