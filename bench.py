@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from flightlake.plans import etl  # noqa: E402
 from flightlake.plans.catalog import QUERIES  # noqa: E402
 from flightlake.plans.fixtures import land_documents  # noqa: E402
-from flightlake.session import get_spark, scratch_path  # noqa: E402
+from flightlake.session import get_spark, remove_scratch, scratch_path  # noqa: E402
 
 HEADLINE = [
     "R1", "R1b", "R2", "R2b", "R3", "R4", "R4b", "R5", "R5b", "R6", "R6b", "R7", "R7b",
@@ -49,8 +49,11 @@ def main() -> None:
     etl.extract(spark, landing, f"{root}/lake", radius_m=500_000)
     times["etl_extract"] = round(time.perf_counter() - t0, 3)
     t0 = time.perf_counter()
-    etl.transform(spark, f"{root}/lake", results=f"{root}/results")
+    answers = etl.transform(spark, f"{root}/lake", results=f"{root}/results")
     times["etl_transform"] = round(time.perf_counter() - t0, 3)
+    answers.close()
+    for path in (landing, root):
+        remove_scratch(spark, path)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,

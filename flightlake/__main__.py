@@ -1,10 +1,8 @@
-"""Command line: the two jobs of the original (extraction, transformation),
-both in one call, and the incremental landing ingest.
+"""Command line: the two jobs of the original (extraction, transformation) and both in one call.
 
     python -m flightlake extract   --landing DIR --lake DIR [--run-ts TS] [--radius-m M]
     python -m flightlake transform --lake DIR --results DIR [--as-of TS]
     python -m flightlake run       --landing DIR --lake DIR --results DIR
-    python -m flightlake ingest    --landing DIR --lake DIR --dataset airlines
 
 Master, memory and sizes come from spark-submit (see session.CLUSTER_PROFILE_100TB).
 """
@@ -13,12 +11,9 @@ from __future__ import annotations
 
 import argparse
 
-from flightlake import schemas
 from flightlake.plans import etl
 from flightlake.session import get_spark
 
-INGEST_SCHEMAS = {"airlines": schemas.AIRLINE_DOC, "airports": schemas.AIRPORT_DOC, "flights": schemas.FLIGHT_DOC}
-
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="flightlake")
@@ -26,10 +21,9 @@ def main(argv: list[str] | None = None) -> int:
     ex = sub.add_parser("extract")
     tr = sub.add_parser("transform")
     rn = sub.add_parser("run")
-    ig = sub.add_parser("ingest")
-    for p in (ex, rn, ig):
+    for p in (ex, rn):
         p.add_argument("--landing", required=True)
-    for p in (ex, tr, rn, ig):
+    for p in (ex, tr, rn):
         p.add_argument("--lake", required=True)
     for p in (tr, rn):
         p.add_argument("--results", required=True)
@@ -37,25 +31,21 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--run-ts")
         p.add_argument("--radius-m", type=float)
     tr.add_argument("--as-of")
-    ig.add_argument("--dataset", choices=sorted(INGEST_SCHEMAS), required=True)
     args = ap.parse_args(argv)
 
     spark = get_spark("flightlake-" + args.cmd)
     if args.cmd == "extract":
         quarantine = etl.extract(spark, args.landing, args.lake, args.run_ts, args.radius_m)
         for name, bad in quarantine.items():
-            print(f"{name}: {bad.count()} malformed documents quarantined")
+            print(f"{name}: {bad.count()} bad documents in {etl.quarantine_root(args.lake, name)}")
     elif args.cmd == "transform":
         answers = etl.transform(spark, args.lake, args.results, as_of=args.as_of)
         answers["R1"].show(10, truncate=False)
-    elif args.cmd == "run":
+        answers.close()
+    else:
         answers = etl.run(spark, args.landing, args.lake, args.results, args.run_ts, args.radius_m)
         answers["R1"].show(10, truncate=False)
-    else:
-        from flightlake.streaming import ingest_landed_files
-        q = ingest_landed_files(spark, f"{args.landing}/{args.dataset}", etl.dataset_root(args.lake, args.dataset),
-                                INGEST_SCHEMAS[args.dataset])
-        q.awaitTermination()
+        answers.close()
     spark.stop()
     return 0
 

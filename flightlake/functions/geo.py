@@ -1,5 +1,5 @@
-"""Geographic column expressions: box containment, great-circle distance,
-grid cells for range joins, and boxes around a point."""
+"""Geographic column expressions: box containment, great-circle distance
+and boxes around a point."""
 
 from __future__ import annotations
 
@@ -39,11 +39,6 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))
 
 
-def grid_cell(value, cell_size: float) -> Column:
-    """Index of the grid cell holding ``value`` (cells are [k*size, (k+1)*size))."""
-    return F.floor(_c(value) / F.lit(float(cell_size))).cast("long")
-
-
 def box_around(lat, lon, half_lat, half_lon) -> dict[str, Column]:
     """Box columns (tl_y, tl_x, br_y, br_x) centred on a point."""
     lat, lon, half_lat, half_lon = _c(lat), _c(lon), _c(half_lat), _c(half_lon)
@@ -54,8 +49,12 @@ def box_around(lat, lon, half_lat, half_lon) -> dict[str, Column]:
 
 
 def radius_to_half_widths(radius_m, lat) -> tuple[Column, Column]:
-    """Half widths in degrees of the box enclosing a circle of ``radius_m`` metres."""
+    """Half widths in degrees of the box enclosing a circle of ``radius_m`` metres.
+
+    A circle that holds a pole, or is wider than the globe, spans all longitudes
+    (half width 360, so that the box holds them from any centre)."""
     radius_m, lat = _c(radius_m), _c(lat)
     half_lat = radius_m / F.lit(METERS_PER_DEGREE)
     half_lon = radius_m / (F.lit(METERS_PER_DEGREE) * F.greatest(F.cos(F.radians(lat)), F.lit(1e-9)))
-    return half_lat, half_lon
+    round_pole = (F.abs(lat) + half_lat >= 90.0) | (half_lon >= 180.0)
+    return half_lat, F.when(round_pole, F.lit(360.0)).otherwise(half_lon)

@@ -21,8 +21,9 @@ def utc_wall_clock(ts) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(ts).cast("timestamp_ntz"))
 
 
-def snapshot_hour(ts) -> Column:
-    return F.date_trunc("hour", _c(ts))
+def run_label(ts) -> Column:
+    """A run's name, from its time to the microsecond in UTC; names sort in time order."""
+    return F.date_format(utc_wall_clock(ts), "yyyyMMdd'T'HHmmssSSSSSS")
 
 
 def layout_columns(ts) -> dict[str, Column]:

@@ -38,6 +38,13 @@ def split_bad_records(parsed: DataFrame, corrupt_col: str = schemas.CORRUPT_COLU
     return good, bad
 
 
+def split_bad_zones(docs: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine) of zones documents, whose keys are data: a map has no place for the raw
+    text of a bad one, so a text that gives no map is bad. Both keep their text."""
+    no_map = parse_json(text_col, schemas.ZONES_DOC).isNull()
+    return docs.where(~no_map), docs.where(no_map)
+
+
 # E1 + E2
 def flatten_zones(docs: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Zones documents (map zone -> box + subzones, three levels) to the
@@ -76,8 +83,7 @@ def project_airports(df: DataFrame) -> DataFrame:
 
 
 # E4
-def locate_in_zones(points: DataFrame, zones: DataFrame, strategy: str = "auto",
-                    lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+def locate_in_zones(points: DataFrame, zones: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """Every (point, zone) with the point strictly inside the zone box.
     ``zones`` columns are prefixed ``zone_`` (zone_name, zone_tl_y, ...)."""
     z = zones.select(
@@ -86,19 +92,40 @@ def locate_in_zones(points: DataFrame, zones: DataFrame, strategy: str = "auto",
         *[F.col(c) for c in zones.columns if c not in ["zone", *BOX_COLUMNS]],
     )
     return point_in_box_join(points, z, lat=lat, lon=lon,
-                             corners=("zone_tl_y", "zone_tl_x", "zone_br_y", "zone_br_x"),
-                             strategy=strategy)
+                             corners=("zone_tl_y", "zone_tl_x", "zone_br_y", "zone_br_x"))
 
 
 # E5
+def _keep_least(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Rows of df whose ``order`` is the least of their ``key``.
+
+    Only the order is aggregated: by hash, grouped by its text parts (a landed file's
+    name), with the number as the one buffer; the whole rows are joined back."""
+    kind = df.schema[order].dataType
+    parts = [f"{order}.{f.name}" for f in kind.fields] if isinstance(kind, StructType) else [order]
+    texts, last = parts[:-1], parts[-1]
+    names = [f"_t{i}" for i in range(len(texts))]
+    by_text = df.groupBy(F.col(key).alias("_key"), *[F.col(t).alias(n) for t, n in zip(texts, names)]).agg(F.min(F.col(last)).alias("_n"))
+    least = by_text
+    if texts:       # a row for each key and file by now
+        least = by_text.groupBy("_key").agg(F.min(F.struct(*names, "_n")).alias("_o")).select("_key", "_o.*")
+    same = df[key].eqNullSafe(least["_key"]) & F.col(last).eqNullSafe(F.col("_n"))
+    for t, n in zip(texts, names):
+        same &= F.col(t).eqNullSafe(F.col(n))
+    return df.join(least, same, "left_semi")
+
+
 def first_match_per_country(matches: DataFrame, country: str, values: list[str],
                             order: list[str]) -> DataFrame:
     """One row per country: the values of the match that is first by ``order``
-    (for example airport order, then zone order). A min_by aggregate with a
-    map-side partial step, so a country with many airports is reduced before
-    the shuffle."""
-    best = F.min_by(F.struct(*[F.col(c) for c in values]), F.struct(*[F.col(c) for c in order]))
-    return matches.groupBy(country).agg(best.alias("_b")).select(country, "_b.*")
+    (for example airport order, then zone order; a column or a struct of texts and a last
+    number). Each order in turn is reduced to its least per country by a hash aggregate
+    with a map-side step, so a country with many airports is reduced before the shuffle;
+    matches that are equal in every order are equal landed rows, of which one is kept."""
+    first = matches
+    for column in order:
+        first = _keep_least(first, country, column)
+    return first.select(country, *values).dropDuplicates([country])
 
 
 # E7
@@ -164,8 +191,13 @@ def distance_from_origin(flights: DataFrame, airport: DataFrame, origin: str = "
 
 # E10
 def live_subset(docs: DataFrame) -> DataFrame:
-    """Flights whose details say live (absent flag = not live)."""
-    return docs.where(F.coalesce(F.col("details.status.live"), F.lit(False)))
+    """Flights whose details say live (absent flag = not live) and that have a trail point:
+    the original failed on, and so skipped, a flight without one before it came to the live
+    list. Both rules stand inside one explode of the trail's one-element tail, so no
+    predicate on a parsed field is pushed below the parse and evaluated a second time."""
+    live = F.coalesce(F.col("details.status.live"), F.lit(False))
+    tail = F.when(live, F.slice(F.col("details.trail"), -1, 1))
+    return docs.select("*", F.explode(tail).alias("_last")).drop("_last")
 
 
 def acflight_projection(docs: DataFrame, first_char_only: bool = False) -> DataFrame:
@@ -188,8 +220,7 @@ def acflight_projection(docs: DataFrame, first_char_only: bool = False) -> DataF
 
 
 # E12
-def flights_over_country(points: DataFrame, flights: DataFrame, half_lat, half_lon,
-                         strategy: str = "auto", point_lat: str = "latitude",
+def flights_over_country(points: DataFrame, flights: DataFrame, half_lat, half_lon, point_lat: str = "latitude",
                          point_lon: str = "longitude", flight_lat: str = "latitude",
                          flight_lon: str = "longitude") -> DataFrame:
     """(country, continent, id_flight) for every flight inside the box around
@@ -204,5 +235,5 @@ def flights_over_country(points: DataFrame, flights: DataFrame, half_lat, half_l
     fl = flights.select(F.col("flight_id").alias("id_flight"),
                         F.col(flight_lat).alias("_f_lat"), F.col(flight_lon).alias("_f_lon"))
     j = point_in_box_join(fl, boxes, lat="_f_lat", lon="_f_lon",
-                          corners=("_b_tl_y", "_b_tl_x", "_b_br_y", "_b_br_x"), strategy=strategy)
+                          corners=("_b_tl_y", "_b_tl_x", "_b_br_y", "_b_br_x"))
     return j.select("country", "continent", "id_flight")

@@ -87,7 +87,7 @@ def lookup_by_key(keys: DataFrame, key: str, dim: DataFrame, dim_key: str, value
 # J4 (R4): mean over a many-to-many join without materialising it
 def mean_over_m2m_join(facts: DataFrame, fact_key: str, value: str,
                        bridge: DataFrame, bridge_key: str, group: str, alias: str,
-                       digits: int = 6) -> DataFrame:
+                       digits: int = 6, rows_alias: str | None = None) -> DataFrame:
     """``avg(value)`` grouped by ``group`` over ``facts JOIN bridge ON key``.
 
     Each fact row appears once per bridge row of its key, so the mean is
@@ -96,6 +96,8 @@ def mean_over_m2m_join(facts: DataFrame, fact_key: str, value: str,
     are reduced to one row per key before the join. For an integral value the
     sums are exact (decimal(38,0)) and the mean is rounded once to ``digits``
     decimals (functions.numeric.rounded_mean); otherwise it is a double mean.
+    With ``rows_alias`` the number of joined rows with a value comes too, as decimal(38,0):
+    at scale it passes a long.
     """
     integral = isinstance(facts.schema[value].dataType, IntegralType)
     v = F.col(value).cast("decimal(38,0)") if integral else F.col(value).cast("double")
@@ -104,6 +106,7 @@ def mean_over_m2m_join(facts: DataFrame, fact_key: str, value: str,
     b = bridge.groupBy(F.col(bridge_key).alias("_bk"), F.col(group)).agg(F.count(F.lit(1)).alias("_w"))
     j = f.join(b, f["_k"] == b["_bk"], "inner")
     sw = F.sum(F.col("_s") * F.col("_w"))
-    nw = F.sum(F.col("_n") * F.col("_w"))
+    nw = F.sum(F.col("_n").cast("decimal(19,0)") * F.col("_w").cast("decimal(18,0)"))
     mean = rounded_mean(sw, nw, digits) if integral else F.try_divide(sw, nw.cast("double"))
-    return j.groupBy(group).agg(mean.alias(alias))
+    rows = [nw.cast("decimal(38,0)").alias(rows_alias)] if rows_alias else []
+    return j.groupBy(group).agg(mean.alias(alias), *rows)

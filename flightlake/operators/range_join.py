@@ -1,28 +1,32 @@
 """Range joins: points strictly inside axis-aligned boxes (J7, J8).
 
-Two plans give the same rows:
-
-* ``broadcast``: broadcast nested-loop join. Every point is tested against
-  every box, so it is only chosen for a handful of boxes (checked count,
-  default at most 64), e.g. the continents.
-* ``grid``: every point gets one grid cell, every box is exploded over the
-  cells it covers, equi-join on the cell, then the exact test. A point has one
-  cell and a box one row per cell, so no pair is produced twice. Each point
-  is tested only against the boxes of its cell. When the exploded boxes are
-  small the join is a broadcast hash join (no shuffle of the points); when
-  both sides are large it is a sort-merge join whose hot cells AQE splits.
+One plan at every size: a grid of levels. A box belongs to the finest level whose cells
+are no smaller than the box, so it touches at most two cells each way and
+becomes at most MAX_CELLS_PER_BOX rows, whatever its size. A point has one cell on each level
+that any box is on (the levels in use come from a scalar subquery of the same plan, so nothing
+runs while the plan is built), the join is an equi-join on (level, cell), and the
+exact test follows. A box is on one level and a point in one cell of it, so no
+pair comes twice.
+
+Cells are numbered on coordinates clamped to the globe; the exact test sees the
+coordinates as they are. Clamping keeps order, so a point inside a box shares a cell
+with it even where either lies beyond the globe.
+
+No side is broadcast by a hint. Catalyst broadcasts the cells only if the boxes'
+estimated size is under its threshold, and they are at most MAX_CELLS_PER_BOX times as many;
+else the join is a sort-merge join whose hot cells AQE splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.functions.geo import grid_cell, strictly_inside
+from flightlake.functions.geo import strictly_inside
 
-DEFAULT_CELL_DEG = 10.0
-MIN_CELL_DEG, MAX_CELL_DEG = 0.01, 45.0
-DEFAULT_BROADCAST_MAX_ROWS = 64     # nested loop: points x boxes comparisons
+#: level k has cells of 360 / 2^k degrees, from the globe down to 0.0055 degrees
+LEVELS = 17
+MAX_CELLS_PER_BOX = 4
 
 
 def _check_names(points: DataFrame, boxes: DataFrame) -> None:
@@ -31,49 +35,45 @@ def _check_names(points: DataFrame, boxes: DataFrame) -> None:
         raise ValueError(f"point and box columns must differ, both have {sorted(clash)}")
 
 
-def box_count_at_most(boxes: DataFrame, max_rows: int) -> bool:
-    """True when ``boxes`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return boxes.limit(max_rows + 1).count() <= max_rows
+def level_of(extent: Column) -> Column:
+    """Finest level whose cells are as large as extent (degrees); 0 for anything larger than the globe."""
+    level = F.lit(0)
+    for k in range(1, LEVELS):
+        level = F.when(extent <= F.lit(360.0 / 2 ** k), F.lit(k)).otherwise(level)
+    return level
 
 
-def cell_size_for(boxes: DataFrame, corners=("tl_y", "tl_x", "br_y", "br_x")) -> float:
-    """Grid cell edge from the median extent of the boxes (one aggregate over
-    the box side): a typical box then covers about four cells, so neither the
-    exploded box side nor the candidates per point grow large."""
-    tl_y, tl_x, br_y, br_x = corners
-    extent = F.greatest(F.abs(F.col(tl_y) - F.col(br_y)), F.abs(F.col(tl_x) - F.col(br_x)))
-    median = boxes.select(F.percentile_approx(extent, 0.5).alias("m")).first()["m"]
-    if median is None or median != median:
-        return DEFAULT_CELL_DEG
-    return float(min(MAX_CELL_DEG, max(MIN_CELL_DEG, median)))
+def cell_of(value: Column, limit: float, level: Column) -> Column:
+    """Number of the level's cell that holds value, clamped to -limit .. limit."""
+    clamped = F.least(F.greatest(value.cast("double"), F.lit(-limit)), F.lit(limit))
+    return F.floor((clamped + F.lit(limit)) * F.pow(F.lit(2.0), level) / F.lit(360.0)).cast("int")
 
 
 def point_in_box_join(points: DataFrame, boxes: DataFrame, lat: str = "latitude",
-                      lon: str = "longitude", corners=("tl_y", "tl_x", "br_y", "br_x"),
-                      strategy: str = "auto", cell_size: float | None = None,
-                      broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """All (point, box) pairs with the point strictly inside the box.
-    ``cell_size`` (degrees) for the grid plan; by default from the boxes."""
+                      lon: str = "longitude", corners=("tl_y", "tl_x", "br_y", "br_x")) -> DataFrame:
+    """All (point, box) pairs with the point strictly inside the box."""
     _check_names(points, boxes)
-    if strategy == "auto":
-        strategy = "broadcast" if box_count_at_most(boxes, broadcast_max_rows) else "grid"
     tl_y, tl_x, br_y, br_x = corners
-    cond = strictly_inside(points[lat], points[lon], boxes[tl_y], boxes[tl_x], boxes[br_y], boxes[br_x])
-    if strategy == "broadcast":
-        return points.join(F.broadcast(boxes), cond, "inner")
-    if strategy != "grid":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    g = float(cell_size) if cell_size else cell_size_for(boxes, corners)
     lo_y, hi_y = F.least(tl_y, br_y), F.greatest(tl_y, br_y)
     lo_x, hi_x = F.least(tl_x, br_x), F.greatest(tl_x, br_x)
+
+    def clamp(c: Column, limit: float) -> Column:
+        return F.least(F.greatest(c.cast("double"), F.lit(-limit)), F.lit(limit))
+
+    extent = F.greatest(clamp(hi_y, 90.0) - clamp(lo_y, 90.0), clamp(hi_x, 180.0) - clamp(lo_x, 180.0))
+    levelled = boxes.withColumn("_level", level_of(extent)).where(extent.isNotNull())
+    level = F.col("_level")
     cells = (
-        boxes
-        .withColumn("_cy", F.explode(F.sequence(grid_cell(lo_y, g), grid_cell(hi_y, g))))
-        .withColumn("_cx", F.explode(F.sequence(grid_cell(lo_x, g), grid_cell(hi_x, g))))
+        levelled
+        .withColumn("_cy", F.explode(F.sequence(cell_of(lo_y, 90.0, level), cell_of(hi_y, 90.0, level))))
+        .withColumn("_cx", F.explode(F.sequence(cell_of(lo_x, 180.0, level), cell_of(hi_x, 180.0, level))))
     )
-    pts = points.withColumns({"_py": grid_cell(lat, g), "_px": grid_cell(lon, g)})
+    used = levelled.select(F.collect_set("_level")).scalar()
+    placed = points.withColumn("_plevel", F.explode(used))
+    pts = placed.withColumns({"_py": cell_of(F.col(lat), 90.0, F.col("_plevel")),
+                              "_px": cell_of(F.col(lon), 180.0, F.col("_plevel"))})
     cond = (
-        (pts["_py"] == cells["_cy"]) & (pts["_px"] == cells["_cx"])
+        (pts["_plevel"] == cells["_level"]) & (pts["_py"] == cells["_cy"]) & (pts["_px"] == cells["_cx"])
         & strictly_inside(pts[lat], pts[lon], cells[tl_y], cells[tl_x], cells[br_y], cells[br_x])
     )
-    return pts.join(cells, cond, "inner").drop("_py", "_px", "_cy", "_cx")
+    return pts.join(cells, cond, "inner").drop("_plevel", "_py", "_px", "_level", "_cy", "_cx")

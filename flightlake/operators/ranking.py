@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightlake.operators.clean import filter_rank
+
 
 def _order(desc_col: str, tie_breakers: list[str] | None) -> list[Column]:
     return [F.col(desc_col).desc()] + [F.col(c).asc() for c in (tie_breakers or [])]
@@ -41,10 +43,4 @@ def dense_rank_top_n(df: DataFrame, group: list[str], column: str, n: int,
                      rank_col: str = "model_rank") -> DataFrame:
     """Planned as WindowGroupLimit (partial, before the shuffle) + Window."""
     w = Window.partitionBy(*group).orderBy(F.col(column).desc())
-    return df.withColumn(rank_col, F.dense_rank().over(w)).where(F.col(rank_col) <= n)
-
-
-# O4
-def first_any(df: DataFrame, column: str) -> DataFrame:
-    """One value of ``column``; deterministic as its minimum."""
-    return df.agg(F.min(F.col(column)).alias(column))
+    return filter_rank(df.withColumn(rank_col, F.dense_rank().over(w)), rank_col, n)

@@ -23,7 +23,7 @@ from flightlake.operators.aggregates import (
     count_col_by_keys, count_dict_form, count_star_by_key, mean_by_key,
 )
 from flightlake.operators.joins import (
-    join_airline, join_origin_airport, join_role_playing_dims, lookup_by_key,
+    join_airline, join_origin_airport, join_role_playing_dims, lookup_by_key, mean_over_m2m_join,
 )
 from flightlake.operators.ranking import dense_rank_top_n, order_by_desc, top1_row, top_n
 from flightlake.plans import fixtures as X
@@ -31,7 +31,8 @@ from flightlake.plans import reports as R
 from flightlake.session import scratch_path
 from flightlake.sinks.results import write_csv_result
 from flightlake.sinks.snapshots import write_parquet_snapshot
-from flightlake.sources.parquet import latest_snapshot, read_snapshots, read_table
+from flightlake.sources.landed_json import read_landed_json
+from flightlake.sources.parquet import read_latest_snapshot, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,39 +70,54 @@ def q_scan_parquet(spark, d):
                      epoch_seconds("l_shipdate").alias("l_shipdate_epoch"))
 
 
-PROPS = StructType([StructField("k", LongType())])
+EVENT_DOC = StructType([StructField("event_id", LongType()), StructField("props", StructType([StructField("k", LongType())]))])
 
 
-def q_landed_json_source(spark, d):
-    ev = X.table(spark, d, "events", ["event_id", "props"])
-    return ev.select("event_id", E.parse_json("props", PROPS)["k"].alias("k"))
+def landed_events(spark, d, damaged: bool = False) -> str:
+    """Events landed as JSON lines; with ``damaged``, error events arrive without their last character."""
+    ev = X.table(spark, d, "events", ["event_id", "event_type", "props"])
+    doc = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"props":'), F.col("props"), F.lit("}"))
+    ev = ev.select("event_type", doc.alias("value"))
+    if damaged:
+        cut = F.expr("substring(value, 1, length(value) - 1)")
+        ev = ev.withColumn("value", F.when(F.col("event_type") == "error", cut).otherwise(F.col("value")))
+    path = scratch_path(spark, "landed-events")
+    ev.select("value").write.text(path)
+    return path
 
 
-def damaged_props(spark, d) -> DataFrame:
-    """Event props as landed text; error events arrive cut off after 5 characters."""
-    ev = X.table(spark, d, "events", ["event_id", "event_type", "props"])
-    return ev.select("event_id", F.when(F.col("event_type") == "error", F.substring("props", 1, 5))
-                     .otherwise(F.col("props")).alias("value"))
+def q_landed_json_source(spark, d):
+    docs, _ = E.split_bad_records(read_landed_json(spark, landed_events(spark, d), EVENT_DOC))
+    return docs.select("event_id", F.col("props.k").alias("k"))
 
 
 def q_skip_bad_records(spark, d):
-    """One pass: parsed fields plus the raw text of records that failed
-    (operators.ingest.split_bad_records splits the two streams)."""
-    parsed = damaged_props(spark, d).select("event_id", E.parse_json("value", PROPS, with_corrupt=True).alias("j"))
-    return parsed.select("event_id", F.col("j.k").alias("k"), F.col(f"j.{schemas.CORRUPT_COLUMN}").alias("bad_record"))
+    """The records that go on with their fields, and the quarantined ones with their raw text."""
+    good, bad = E.split_bad_records(read_landed_json(spark, landed_events(spark, d, damaged=True), EVENT_DOC))
+    none = F.lit(None)
+    return good.select("event_id", F.col("props.k").alias("k"), none.cast("string").alias("bad_record")).unionByName(
+        bad.select(none.cast("long").alias("event_id"), none.cast("long").alias("k"), F.col(schemas.CORRUPT_COLUMN).alias("bad_record")))
+
+
+EVENT_SNAPSHOT = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
+                             StructField("event_type", StringType()), StructField("value", DoubleType())])
 
 
 def q_latest_snapshot(spark, d):
+    """Every hour of events written as a run of its own; the newest is found from the folders."""
+    root = scratch_path(spark, "snapshot-events")
     ev = X.table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    ev = ev.withColumn("snapshot_ts", F.date_trunc("hour", "ts"))
-    return latest_snapshot(ev, partition_cols=None).select("event_id", "user_id", "event_type", "value")
+    hour = F.date_trunc("hour", "ts").cast("timestamp")
+    write_parquet_snapshot(ev.withColumn("hour", hour).drop("ts").repartition("hour"), root, F.col("hour"))
+    return read_latest_snapshot(spark, root, EVENT_SNAPSHOT).select("event_id", "user_id", "event_type", "value")
 
 
 def q_write_parquet_snapshot(spark, d):
+    """Written twice for one run time: the second write replaces the first."""
     root = scratch_path(spark, "snapshot-acflight")
-    write_parquet_snapshot(X.acflight(spark, d), root)
-    back = latest_snapshot(read_snapshots(spark, root, schemas.ACFLIGHT))
-    return back.select(*schemas.ACFLIGHT.fieldNames())
+    for _ in range(2):
+        write_parquet_snapshot(X.acflight(spark, d), root, "2024-01-26 18:05:00")
+    return read_latest_snapshot(spark, root, schemas.ACFLIGHT).select(*schemas.ACFLIGHT.fieldNames())
 
 
 def q_write_csv_result(spark, d):
@@ -110,6 +126,13 @@ def q_write_csv_result(spark, d):
     return spark.read.schema("Name string, flight_count long").csv(path)
 
 
+def q_write_csv_result_r6(spark, d):
+    """The answer that grows with the data, written by all tasks."""
+    path = scratch_path(spark, "result-r6")
+    write_csv_result(R.top3_models_by_airline_country(cleaned(spark, d)), path)
+    return spark.read.schema("Name string, country string, aircraft_model string, model_count long, model_rank int").csv(path)
+
+
 def q_snapshot_layout(spark, d):
     ev = X.table(spark, d, "events", ["event_id", "ts"])
     cols = layout_columns(F.col("ts"))
@@ -119,9 +142,12 @@ def q_snapshot_layout(spark, d):
 # --- extraction ----------------------------------------------------------------
 
 def q_flatten_zones(spark, d):
-    """City level of the zones documents (one city per customer document)."""
-    _, _, cities = E.flatten_zones(X.zone_documents_json(spark, d))
-    return cities
+    """All three levels of the zones documents, with the name of the zone above."""
+    continents, countries, cities = E.flatten_zones(X.zone_documents_json(spark, d))
+    levels = [continents.withColumn("parent", F.lit(None).cast("string")),
+              countries.withColumnRenamed("continent", "parent"), cities.withColumnRenamed("country", "parent")]
+    named = [df.withColumn("level", F.lit(name)) for df, name in zip(levels, ("continent", "country", "city"))]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 _TEXT_BOX = [StructField(c, StringType()) for c in E.BOX_COLUMNS]
@@ -141,7 +167,7 @@ def q_rows_to_df(spark, d):
     """S3: the five continent boxes (driver rows, rows_to_df) used as a lookup
     over every customer position: customers per zone, empty zones kept."""
     zones = X.zones(spark)
-    m = E.locate_in_zones(X.customer_positions(spark, d), zones, strategy="auto")
+    m = E.locate_in_zones(X.customer_positions(spark, d), zones)
     counts = m.groupBy("zone_name").agg(F.count(F.lit(1)).alias("customers"))
     z = zones.select(F.col("zone").alias("zone_name"), "zone_ord")
     return z.join(counts, "zone_name", "left").select(
@@ -162,8 +188,8 @@ def q_project_airports(spark, d):
     return E.project_airports(docs)
 
 
-def customers_in_zones(spark, d, strategy: str) -> DataFrame:
-    return E.locate_in_zones(X.customer_positions(spark, d), X.zones(spark), strategy=strategy)
+def customers_in_zones(spark, d) -> DataFrame:
+    return E.locate_in_zones(X.customer_positions(spark, d), X.zones(spark))
 
 
 def _zone_match_columns(df: DataFrame) -> DataFrame:
@@ -171,15 +197,16 @@ def _zone_match_columns(df: DataFrame) -> DataFrame:
 
 
 def q_point_in_box(spark, d):
-    return _zone_match_columns(customers_in_zones(spark, d, "broadcast"))
+    return _zone_match_columns(customers_in_zones(spark, d))
 
 
 def q_point_in_box_grid(spark, d):
-    return _zone_match_columns(customers_in_zones(spark, d, "grid"))
+    """As point_in_box; both keys run the one grid plan."""
+    return _zone_match_columns(customers_in_zones(spark, d))
 
 
 def q_first_match_per_country(spark, d):
-    m = customers_in_zones(spark, d, "auto").withColumn("zone_country", F.col("c_nationkey").cast("string"))
+    m = customers_in_zones(spark, d).withColumn("zone_country", F.col("c_nationkey").cast("string"))
     return E.first_match_per_country(
         m.withColumnRenamed("zone_name", "continent"), "zone_country",
         ["latitude", "longitude", "continent"], ["c_custkey", "zone_ord"])
@@ -195,9 +222,10 @@ def q_flatten_flights(spark, d):
 
 
 def q_last_trail_point(spark, d):
-    conv = X.table(spark, d, "conversations", ["conv_id", "turn", "role", "text"])
-    last = F.max_by(F.struct("turn", "role", "text"), F.col("turn"))
-    return conv.groupBy("conv_id").agg(last.alias("_l")).select("conv_id", "_l.*")
+    """The last point of every landed flight's trail array; null for an empty trail."""
+    last = E.last_trail_point("details.trail")
+    return parsed_flight_docs(spark, d).select(F.col("id").alias("flight_id"), last["lat"].alias("lat"),
+                                               last["lng"].alias("lng"), last["alt"].alias("alt"))
 
 
 def q_model_first_element(spark, d):
@@ -297,13 +325,8 @@ def q_join_by_country_m2m(spark, d):
     """R4's many-to-many join in aggregated form: per continent the number of
     joined rows and their mean length, without building the joined rows."""
     t = cleaned(spark, d)
-    fa = R.flight_lengths_by_country(t)
-    f = fa.groupBy("country").agg(F.count("flight_length").alias("_n"))
-    b = t.flctry.groupBy(F.col("country").alias("_bk"), "continent").agg(F.count(F.lit(1)).alias("_w"))
-    rows = f.join(b, f["country"] == b["_bk"]).groupBy("continent").agg(
-        F.sum(F.col("_n") * F.col("_w")).alias("joined_rows"))
-    mean = R.mean_flight_length_by_continent(t)
-    return rows.join(mean, "continent")
+    return mean_over_m2m_join(R.flight_lengths_by_country(t), "country", "flight_length", t.flctry, "country",
+                              "continent", "mean_flight_length", R.MEAN_DIGITS, rows_alias="joined_rows")
 
 
 def q_join_flight_country(spark, d):
@@ -375,6 +398,7 @@ QUERIES.update({
     "latest_snapshot": q_latest_snapshot,
     "write_parquet_snapshot": q_write_parquet_snapshot,
     "write_csv_result": q_write_csv_result,
+    "write_csv_result_r6": q_write_csv_result_r6,
     "snapshot_layout": q_snapshot_layout,
     "flatten_zones": q_flatten_zones,
     "cast_zones": q_cast_zones,

@@ -23,13 +23,14 @@ from pyspark.sql import functions as F
 
 from flightlake import schemas
 from flightlake.functions.geo import radius_to_half_widths
+from flightlake.functions.time import run_label
 from flightlake.operators import ingest as E
 from flightlake.plans import reports as R
-from flightlake.session import scratch_path
+from flightlake.session import remove_scratch, scratch_path
 from flightlake.sinks.results import write_csv_result
-from flightlake.sinks.snapshots import write_parquet_snapshot
+from flightlake.sinks.snapshots import commit_run, write_parquet_snapshot
 from flightlake.sources.landed_json import POSITION, read_json_text, read_landed_json
-from flightlake.sources.parquet import latest_snapshot, read_snapshots
+from flightlake.sources.parquet import committed_run, read_latest_snapshot
 
 # --- fixed values: dataset and result folder names users already rely on ---
 DATASETS = ["airlines", "zctinent", "znctry", "zncty", "airport", "znctyn", "flight", "acflight", "flctry"]
@@ -39,6 +40,10 @@ REPORT_FILES = {
     "R7": "ResultatQuestion7",
 }
 ZONE_FOLDER = "rawzone"
+# answers of a fixed size: one to five rows, or one a continent
+BOUNDED_REPORTS = {"R2", "R3", "R4", "R5", "R7"}
+DOCUMENT_KINDS = ["airlines", "zones", "airports", "flights"]
+REPORT_DATASETS = ["airlines", "znctyn", "airport", "flight", "acflight", "flctry"]
 
 
 def dataset_root(lake: str, name: str) -> str:
@@ -46,6 +51,11 @@ def dataset_root(lake: str, name: str) -> str:
     return f"{lake}/{name.capitalize()}/{ZONE_FOLDER}"
 
 
+def quarantine_root(lake: str, kind: str) -> str:
+    """<lake>/Quarantine/<Kind>/rawzone: the bad documents of one kind, a snapshot a run."""
+    return f"{lake}/Quarantine/{kind.capitalize()}/{ZONE_FOLDER}"
+
+
 def result_root(results: str, name: str, run_ts: datetime) -> str:
     """<results>/<Name>/rawzone/tech_year=../tech_month=../tech_day=../tech_hour=../run=<time>:
     one folder per run, so two runs in the same hour never mix or overwrite."""
@@ -71,23 +81,34 @@ def run_jobs(jobs: list, parallel: int = PARALLEL_JOBS) -> None:
 
 def _good(df: DataFrame, quarantine: dict[str, DataFrame], name: str) -> DataFrame:
     good, bad = E.split_bad_records(df)
-    quarantine[name] = bad
+    quarantine[name] = bad.select(F.col(schemas.CORRUPT_COLUMN).alias("record"))
     return good
 
 
-def stage_parsed(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write parsed documents once to the shared folder and read them back:
-    several tables are derived from the same documents, and each write job
-    would otherwise scan and parse the JSON again."""
-    path = scratch_path(spark, f"parsed-{name}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Staging:
+    """Tables written once to the shared folder and read back, because several others are
+    derived from them; close() removes them when nothing reads them any more."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def __call__(self, spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"staged-{name}")
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def close(self, spark: SparkSession) -> None:
+        for path in self.paths:
+            remove_scratch(spark, path)
+        self.paths.clear()
 
 
 def build_tables(spark: SparkSession, landing: str, radius_m: float | None = None,
-                 strategy: str = "auto", stage=None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """The nine tables of one extraction run (lazy), plus quarantined records.
-    ``stage(spark, df, name)`` may materialise parsed documents used more than once."""
+                 stage=None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The nine tables of one extraction run (lazy), plus the quarantined documents
+    (``record``: the raw text) of each kind. ``stage(spark, df, name)`` may materialise what is used
+    more than once: the parsed airports and flights, and the country points."""
     stage = stage or (lambda _spark, df, _name: df)
     quarantine: dict[str, DataFrame] = {}
     out: dict[str, DataFrame] = {}
@@ -95,7 +116,8 @@ def build_tables(spark: SparkSession, landing: str, radius_m: float | None = Non
     airlines = _good(read_landed_json(spark, f"{landing}/airlines", schemas.AIRLINE_DOC), quarantine, "airlines")
     out["airlines"] = airlines.select(*schemas.AIRLINES.fieldNames())
 
-    zones = read_json_text(spark, f"{landing}/zones", with_position=True)
+    zones, bad_zones = E.split_bad_zones(read_json_text(spark, f"{landing}/zones", with_position=True))
+    quarantine["zones"] = bad_zones.select(F.col("value").alias("record"))
     out["zctinent"], out["znctry"], out["zncty"] = E.flatten_zones(zones)
 
     # airport order: position in the landed files (T3: the first match wins)
@@ -110,15 +132,13 @@ def build_tables(spark: SparkSession, landing: str, radius_m: float | None = Non
     continents = z.select("zone", F.struct(POSITION, "_zpos").alias("zone_ord"),
                           *[F.col(f"_z.{c}").alias(c) for c in E.BOX_COLUMNS])
     located = E.locate_in_zones(
-        airports_raw.select(F.col("latitude").cast("float").cast("double").alias("latitude"),
-                            F.col("longitude").cast("float").cast("double").alias("longitude"),
-                            F.col("altitude").cast("int").alias("altitude"), "country", "airport_ord"),
-        continents, strategy=strategy)
+        airports_raw.select("latitude", "longitude", F.col("altitude").cast("int").alias("altitude"), "country", "airport_ord"),
+        continents)
     first = E.first_match_per_country(
         located.withColumnRenamed("zone_name", "continent"), "country",
         ["latitude", "longitude", "altitude", "continent"], ["airport_ord", "zone_ord"])
-    out["znctyn"] = first.select(F.col("country").alias("zone_country"), "latitude", "longitude",
-                                 "altitude", "continent")
+    out["znctyn"] = stage(spark, first.select(F.col("country").alias("zone_country"), "latitude", "longitude",
+                                              "altitude", "continent"), "znctyn")
 
     flights = _good(stage(spark, read_landed_json(spark, f"{landing}/flights", schemas.FLIGHT_DOC), "flights"),
                     quarantine, "flights")
@@ -134,59 +154,84 @@ def build_tables(spark: SparkSession, landing: str, radius_m: float | None = Non
     pts = pts.withColumns({"_hl": half_lat, "_hn": half_lon})
     out["flctry"] = E.flights_over_country(
         pts, flights.select(F.col("id").alias("flight_id"), "latitude", "longitude"),
-        F.col("_hl"), F.col("_hn"), strategy=strategy)
+        F.col("_hl"), F.col("_hn"))
     return out, quarantine
 
 
 def extract(spark: SparkSession, landing: str, lake: str, run_ts: str | None = None,
             radius_m: float | None = None, parallel: int = PARALLEL_JOBS) -> dict[str, DataFrame]:
-    """Append the nine tables as snapshots under ``<lake>/<Dataset>/rawzone``,
-    all with the same run time; returns the quarantined records per document
-    kind (lazy)."""
-    tables, quarantine = build_tables(spark, landing, radius_m, stage=stage_parsed)
+    """Write the nine tables as snapshots under ``<lake>/<Dataset>/rawzone``, the bad
+    documents of all four kinds under ``<lake>/Quarantine``, all with the same run time, and
+    then record the run. A re-run of the same time replaces its content. Returns the
+    quarantined documents (``record``) per kind, as stored."""
+    staging = Staging()
+    tables, quarantine = build_tables(spark, landing, radius_m, stage=staging)
     ts = F.lit(run_ts).cast("timestamp") if run_ts else F.lit(datetime.now(timezone.utc))
-    run_jobs([lambda n=name: write_parquet_snapshot(tables[n], dataset_root(lake, n), ts) for name in DATASETS],
-             parallel)
-    return quarantine
+    jobs = [lambda n=name: write_parquet_snapshot(tables[n], dataset_root(lake, n), ts) for name in DATASETS]
+    jobs += [lambda k=kind: write_parquet_snapshot(quarantine[k], quarantine_root(lake, k), ts) for kind in DOCUMENT_KINDS]
+    run_jobs(jobs, parallel)
+    commit_run(spark, lake, ts, DATASETS)
+    staging.close(spark)
+    run = spark.range(1).select(run_label(ts)).first()[0]
+    return {k: read_latest_snapshot(spark, quarantine_root(lake, k), quarantine[k].schema, run=run).select("record")
+            for k in DOCUMENT_KINDS}
 
 
 def load_latest(spark: SparkSession, lake: str, as_of: str | None = None) -> R.Tables:
-    """Latest snapshot (at or before ``as_of``) of the six tables the reports read."""
+    """The six tables the reports read, all from the newest run (at or before ``as_of``) that
+    was recorded as complete, so that the datasets never come from different runs."""
+    run = committed_run(spark, lake, REPORT_DATASETS, as_of)
+    if run is None:
+        raise ValueError(f"no complete run in {lake}" + (f" at or before {as_of}" if as_of else ""))
+
     def one(name):
-        df = latest_snapshot(read_snapshots(spark, dataset_root(lake, name), schemas.TABLES[name]), as_of=as_of)
+        df = read_latest_snapshot(spark, dataset_root(lake, name), schemas.TABLES[name], run=run)
         return df.select(*schemas.TABLES[name].fieldNames())
-    return R.Tables(airlines=one("airlines"), znctyn=one("znctyn"), airport=one("airport"),
-                    flight=one("flight"), acflight=one("acflight"), flctry=one("flctry"))
 
+    return R.Tables(**{n: one(n) for n in REPORT_DATASETS})
 
-def materialize(spark: SparkSession, t: R.Tables, parallel: int = PARALLEL_JOBS) -> R.Tables:
+
+def materialize(spark: SparkSession, t: R.Tables, parallel: int = PARALLEL_JOBS,
+                stage: Staging | None = None) -> R.Tables:
     """Write each cleaned table once as Parquet in the shared folder and read
     it back: the whole-row dedup shuffles run once instead of once per
     report, and the reports restart from these files, not from the raw
     snapshots, if an executor is lost."""
-    names = ("airlines", "znctyn", "airport", "flight", "acflight", "flctry")
-    paths = {n: scratch_path(spark, f"clean-{n}") for n in names}
-    run_jobs([lambda n=n: getattr(t, n).write.mode("overwrite").parquet(paths[n]) for n in names], parallel)
-    return R.Tables(**{n: spark.read.schema(getattr(t, n).schema).parquet(paths[n]) for n in names})
+    stage, done = stage or Staging(), {}
+    run_jobs([lambda n=n: done.update({n: stage(spark, getattr(t, n), f"clean-{n}")}) for n in REPORT_DATASETS], parallel)
+    return R.Tables(**done)
+
+
+class Answers(dict):
+    """The seven answers by name; close() removes the cleaned tables they read."""
+
+    def __init__(self, spark: SparkSession, answers: dict[str, DataFrame], staging: Staging):
+        super().__init__(answers)
+        self.spark, self.staging = spark, staging
+
+    def close(self) -> None:
+        self.staging.close(self.spark)
 
 
 def transform(spark: SparkSession, lake: str, results: str | None = None, as_of: str | None = None,
-              materialize_clean: bool = True, parallel: int = PARALLEL_JOBS) -> dict[str, DataFrame]:
-    """Clean the latest snapshots and answer the seven questions; with
-    ``results`` each answer is also written as CSV (one file, no header)."""
+              materialize_clean: bool = True, parallel: int = PARALLEL_JOBS) -> Answers:
+    """Clean the newest complete run and answer the seven questions; with
+    ``results`` each answer is also written as CSV without header (bounded answers
+    as one file). Close the answers when they have been read."""
+    staging = Staging()
     t = R.clean_tables(load_latest(spark, lake, as_of))
     if materialize_clean:
-        t = materialize(spark, t, parallel)
+        t = materialize(spark, t, parallel, staging)
     answers = {k: R.REPORTS[k](t) for k in REPORT_FILES}
     if results:
         now = datetime.now(timezone.utc)
-        run_jobs([lambda k=k, name=name: write_csv_result(answers[k], result_root(results, name, now))
+        run_jobs([lambda k=k, name=name: write_csv_result(answers[k], result_root(results, name, now), k in BOUNDED_REPORTS)
                   for k, name in REPORT_FILES.items()], parallel)
-    return answers
+    return Answers(spark, answers, staging)
 
 
 def run(spark: SparkSession, landing: str, lake: str, results: str, run_ts: str | None = None,
-        radius_m: float | None = None) -> dict[str, DataFrame]:
-    """One call: land -> nine snapshots -> seven answers written as CSV."""
+        radius_m: float | None = None) -> Answers:
+    """One call: land -> nine snapshots and the quarantine -> seven answers written as CSV."""
     extract(spark, landing, lake, run_ts, radius_m)
     return transform(spark, lake, results)

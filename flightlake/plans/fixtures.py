@@ -309,18 +309,30 @@ def land_documents(spark: SparkSession, sf_dir: str, landing: str) -> None:
     airlines <- supplier; airports <- customer (iata = c_custkey, country =
     its nation); flights <- order lines: origin airport = the order's
     customer, destination airport = the customer whose key equals the
-    supplier key; zones <- the five continent boxes (one small document,
-    as the API returns it).
+    supplier key; zones <- the five continent boxes with, below them, the 25 nations
+    (one a zone in turn) and a city each: one small document of three levels, as the API returns it.
     """
     s = table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
     s.select(F.to_json(F.struct(F.col("s_name").alias("Name"), _str("s_suppkey").alias("Code"),
                                 _str("s_suppkey").alias("ICAO"))).alias("value")) \
         .write.mode("overwrite").text(f"{landing}/airlines")
 
-    zone = F.create_map(*[x for z in ZONE_BOXES for x in (
-        F.lit(z[0]), F.struct(F.lit(z[1]).alias("tl_y"), F.lit(z[2]).alias("tl_x"),
-                              F.lit(z[4]).alias("br_x"), F.lit(z[3]).alias("br_y")))])
-    spark.range(1).select(F.to_json(zone).alias("value")).write.mode("overwrite").text(f"{landing}/zones")
+    def box(key: str, half: float) -> list[Column]:
+        y, x, h = position_deg(key, "lat"), position_deg(key, "lon"), F.lit(half)
+        return [(y + h).alias("tl_y"), (x - h).alias("tl_x"), (x + h).alias("br_x"), (y - h).alias("br_y")]
+
+    city = F.create_map(F.concat(F.col("n_name"), F.lit(" city")), F.struct(*box("n_nationkey", CITY_BOX_HALF)))
+    # 25 nations at every scale
+    by_zone = table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"]).groupBy("n_regionkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("n_name", F.struct(*box("n_nationkey", NATION_BOX_HALF), city.alias("subzones"))))).alias("subzones"))
+    names = {i: z for i, z in enumerate(ZONE_BOXES)}
+
+    def of_zone(k: int) -> Column:
+        return F.create_map(*[x for i, z in names.items() for x in (F.lit(i), F.lit(z[k]))])[F.col("n_regionkey").cast("int")]
+
+    zone = F.struct(of_zone(1).alias("tl_y"), of_zone(2).alias("tl_x"), of_zone(4).alias("br_x"), of_zone(3).alias("br_y"), "subzones")
+    doc = by_zone.agg(F.map_from_entries(F.collect_list(F.struct(of_zone(0).alias("name"), zone.alias("box")))).alias("m"))
+    doc.select(F.to_json("m").alias("value")).write.mode("overwrite").text(f"{landing}/zones")
 
     c = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
     n = table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])

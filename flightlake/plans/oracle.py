@@ -154,6 +154,7 @@ ACF_TIES = ["flight_id", "latitude", "longitude", "airline_icao", "origin_airpor
             "airline_iata", "aircraft_code", "aircraft_model", "departure_origin", "departure_arrival", "flight_duration"]
 
 NATION_H = int(X.NATION_BOX_HALF * 100)
+REGION_H = int(X.REGION_BOX_HALF * 100)
 CITY_H = int(X.CITY_BOX_HALF * 100)
 
 SQL: dict[str, str] = {
@@ -197,20 +198,32 @@ SQL: dict[str, str] = {
     "rows_to_df": "SELECT b.zone_name, b.zone_ord, count(c.c_custkey) AS customers FROM zone_boxes b "
                   "LEFT JOIN cust_in_zone c ON b.zone_name = c.zone_name GROUP BY b.zone_name, b.zone_ord",
     "landed_json_source": "SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events",
-    "skip_bad_records": "SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(props ->> 'k' AS BIGINT) END AS k, "
-                        "CASE WHEN event_type = 'error' THEN substring(props, 1, 5) END AS bad_record FROM events",
+    "skip_bad_records": "SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id, "
+                        "CASE WHEN event_type <> 'error' THEN CAST(props ->> 'k' AS BIGINT) END AS k, "
+                        "CASE WHEN event_type = 'error' THEN '{\"event_id\":' || event_id || ',\"props\":' || props END AS bad_record FROM events",
     "latest_snapshot": "SELECT event_id, user_id, event_type, value FROM events "
                        "WHERE date_trunc('hour', ts) = (SELECT max(date_trunc('hour', ts)) FROM events)",
     "write_parquet_snapshot": "SELECT * FROM acflight_raw",
     "write_csv_result": 'SELECT "Name", count(*) AS flight_count FROM acflight_c f JOIN airlines_c a '
                         'ON f.airline_icao = a."ICAO" GROUP BY "Name"',
+    "write_csv_result_r6": 'SELECT * FROM (SELECT "Name", country, aircraft_model, count(flight_id) AS model_count, '
+                           'CAST(dense_rank() OVER (PARTITION BY "Name", country ORDER BY count(flight_id) DESC) AS INTEGER) AS model_rank '
+                           'FROM fc GROUP BY "Name", country, aircraft_model) WHERE model_rank <= 3',
     "snapshot_layout": "SELECT event_id, strftime(ts, '%Y') AS tech_year, strftime(ts, '%Y-%m') AS tech_month, "
                        "strftime(ts, '%Y-%m-%d') AS tech_day, strftime(ts, '%H') AS tech_hour, "
                        "strftime(ts, '%B-%Y') AS tech_month_label FROM events",
     # extraction
-    "flatten_zones": f"""SELECT c_name AS zone, CAST({lat_h('c_custkey')} + {CITY_H} AS DOUBLE) AS tl_y,
-        CAST({lon_h('c_custkey')} - {CITY_H} AS DOUBLE) AS tl_x, CAST({lon_h('c_custkey')} + {CITY_H} AS DOUBLE) AS br_x,
-        CAST({lat_h('c_custkey')} - {CITY_H} AS DOUBLE) AS br_y, n_name AS country
+    "flatten_zones": f"""SELECT 'continent' AS level, r_name AS zone, CAST({lat_h('r_regionkey')} + {REGION_H} AS DOUBLE) AS tl_y,
+        CAST({lon_h('r_regionkey')} - {REGION_H} AS DOUBLE) AS tl_x, CAST({lon_h('r_regionkey')} + {REGION_H} AS DOUBLE) AS br_x,
+        CAST({lat_h('r_regionkey')} - {REGION_H} AS DOUBLE) AS br_y, NULL AS parent
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT 'country', n_name, CAST({lat_h('n_nationkey')} + {NATION_H} AS DOUBLE),
+        CAST({lon_h('n_nationkey')} - {NATION_H} AS DOUBLE), CAST({lon_h('n_nationkey')} + {NATION_H} AS DOUBLE),
+        CAST({lat_h('n_nationkey')} - {NATION_H} AS DOUBLE), r_name
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT 'city', c_name, CAST({lat_h('c_custkey')} + {CITY_H} AS DOUBLE),
+        CAST({lon_h('c_custkey')} - {CITY_H} AS DOUBLE), CAST({lon_h('c_custkey')} + {CITY_H} AS DOUBLE),
+        CAST({lat_h('c_custkey')} - {CITY_H} AS DOUBLE), n_name
         FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0""",
     "cast_zones": f"""SELECT n_name AS zone, CAST({lat_h('n_nationkey')} + {NATION_H} AS DOUBLE) AS tl_y,
         CAST({lon_h('n_nationkey')} - {NATION_H} AS DOUBLE) AS tl_x, CAST({lon_h('n_nationkey')} + {NATION_H} AS DOUBLE) AS br_x,
@@ -234,8 +247,9 @@ SQL: dict[str, str] = {
         {lat('c_custkey')} AS last_position_latitude, {lon('c_custkey')} AS last_position_longitude,
         CAST(l_linenumber * 1000 AS INTEGER) AS last_position_altitude
         FROM lines WHERE l_returnflag <> 'R'""",
-    "last_trail_point": "SELECT conv_id, turn, role, text FROM (SELECT *, row_number() OVER "
-                        "(PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn = 1",
+    "last_trail_point": f"""SELECT {s('l_orderkey')} AS flight_id, CASE WHEN l_returnflag <> 'R' THEN {lat('c_custkey')} END AS lat,
+        CASE WHEN l_returnflag <> 'R' THEN {lon('c_custkey')} END AS lng,
+        CASE WHEN l_returnflag <> 'R' THEN CAST(l_linenumber * 1000 AS INTEGER) END AS alt FROM lines""",
     "model_first_element": "SELECT p_partkey, nullif(substring(p_name, 1, 1), '') AS aircraft_model FROM part",
     "distance_from_origin": f"""SELECT f.flight_id, f.airline_icao, f.origin_airport_iata,
         round({haversine('f.latitude', 'f.longitude', 'a.latitude', 'a.longitude')}, 6) AS distance_km
@@ -247,7 +261,7 @@ SQL: dict[str, str] = {
         CASE WHEN p_type <> 'PROMO' THEN p_name END AS aircraft_model, {ep('o_orderdate')} AS departure_time,
         CASE WHEN l_linestatus <> 'O' THEN {ep('l_shipdate')} END AS departure_arrival,
         CASE WHEN l_linestatus <> 'O' THEN {DUR} END AS flight_duration
-        FROM lines LEFT JOIN airport_raw a ON {s('s_nationkey')} = a.iata WHERE o_orderstatus = 'O'""",
+        FROM lines LEFT JOIN airport_raw a ON {s('s_nationkey')} = a.iata WHERE o_orderstatus = 'O' AND l_returnflag <> 'R'""",
     "flights_over_country": f"""SELECT z.zone_country AS country, z.continent, f.flight_id AS id_flight
         FROM acflight_raw f JOIN znctyn_raw z
         ON f.latitude > least(z.latitude + {X.COUNTRY_BOX_HALF_LAT}, z.latitude - {X.COUNTRY_BOX_HALF_LAT})
@@ -282,7 +296,7 @@ SQL: dict[str, str] = {
         FROM acflight_c f LEFT JOIN airport_c o ON f.origin_airport_iata = o.iata LEFT JOIN znctyn_c zo ON o.country = zo.zone_country
         LEFT JOIN airport_c d ON f.destination_airport_iata = d.iata LEFT JOIN znctyn_c zd ON d.country = zd.zone_country""",
     "join_origin_airport": "SELECT f.flight_id, f.origin_airport_iata, a.country, a.name FROM flight_c f JOIN airport_c a ON f.origin_airport_iata = a.iata",
-    "join_by_country_m2m": f"SELECT c.continent, count(*) AS joined_rows, {exact_mean('fa.flight_length')} AS mean_flight_length "
+    "join_by_country_m2m": f"SELECT c.continent, CAST(count(*) AS DECIMAL(38,0)) AS joined_rows, {exact_mean('fa.flight_length')} AS mean_flight_length "
                            "FROM fa JOIN flctry_c c ON fa.country = c.country GROUP BY c.continent",
     "join_flight_country": 'SELECT flight_id, "Name", country, continent FROM fc',
     "full_outer_counts": "SELECT * FROM flow",

@@ -8,7 +8,6 @@ on for joins whose side sizes are only known at run time.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,16 +23,19 @@ SESSION_DEFAULTS = {
 
 
 # Suggested sizes for a 100 TB run on about 1,000 executors x 8 cores (pass as
-# ``extra`` or on spark-submit). Scan splits of 512 MB keep ~200k scan tasks;
-# AQE starts shuffles wide and coalesces to ~256 MB partitions, which fit an
-# executor core's share of memory with room for the sort buffers; dimension
-# tables (airlines, airports, zones, country points) stay well under the
-# 64 MB broadcast limit, fact tables never qualify.
+# ``extra`` or on spark-submit). They follow from the input: scan splits of 1 GB
+# give 100,000 map tasks, about 12 waves on 8,000 cores; after column pruning a
+# tenth of the input is shuffled, and 10 TB over 20,000 reduce partitions is 512 MB
+# each, which spills in a core's share of memory but stays one sort. Shuffle blocks are
+# map tasks times reduce partitions, 2 * 10^9 of about 5 KB here: both numbers should grow
+# with the root of the input, not with the input. Dimension tables (airlines,
+# airports, zones, country points) stay well under the 64 MB broadcast limit, fact
+# tables never qualify.
 CLUSTER_PROFILE_100TB = {
-    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "1g",
     "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
@@ -84,10 +86,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}flightlake-{name}-{uuid.uuid4().hex}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")) or ".", exist_ok=True)
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch path below the shared folder once nothing reads it any more."""
+    if not path.startswith(shared_dir(spark)):
+        raise ValueError(f"{path} is not below the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,7 +1,8 @@
 """K2: a report answer as CSV without header.
 
-Answers are small (a ranking of airlines at most), so they are written as
-one file; ``orderBy`` before ``coalesce(1)`` keeps the order in that file.
+A bounded answer (a LIMIT, one row a continent) is one file. An answer that grows with the data,
+such as the ranking of models by airline and country, is written by all tasks; a sorted answer keeps
+its order from file to file.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_csv_result(df: DataFrame, path: str, single_file: bool = True, mode: str = "append") -> None:
-    out = df.coalesce(1) if single_file else df
+def write_csv_result(df: DataFrame, path: str, bounded: bool = False, mode: str = "append") -> None:
+    """``bounded``: the answer has a fixed number of rows at any scale, and goes to one file in its order."""
+    out = df.coalesce(1) if bounded else df
     out.write.mode(mode).csv(path)

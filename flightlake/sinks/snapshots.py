@@ -1,39 +1,61 @@
-"""K1 + K3: append one extraction run as a snapshot of a dataset.
+"""K1 + K3: write one extraction run as a snapshot of a dataset.
 
-Layout: ``<root>/tech_year=2024/tech_month=2024-01/tech_day=2024-01-26/tech_hour=18/part-*``
-with the run time in data column ``snapshot_ts``. File names and commit are
-Spark's (no copy/rename/delete step, so two runs in the same hour both land
-and the later one is the latest, see sources.parquet.latest_snapshot).
-Tasks write in parallel; nothing is coalesced to one file.
+Layout: ``<root>/tech_year=2024/tech_month=2024-01/tech_day=2024-01-26/tech_hour=18/run=20240126T180500000000/part-*``
+with the run time in data column ``snapshot_ts``. The run is a partition of its own, and a write
+replaces just the partitions it writes (dynamic overwrite): a re-run of the same run time gives the same
+content, and two runs in one hour stand beside each other. Files are committed by Spark; tasks
+write in parallel and nothing is coalesced to one file.
+
+A run that wrote all its datasets is recorded by commit_run in ``<lake>/_runs``; a reader that takes the
+newest recorded run never mixes runs, whatever a failed run left behind.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from flightlake.functions.time import layout_columns, utc_wall_clock
+from flightlake.functions.time import layout_columns, run_label, utc_wall_clock
 
-PARTITION_COLUMNS = ["tech_year", "tech_month", "tech_day", "tech_hour"]
+PARTITION_COLUMNS = ["tech_year", "tech_month", "tech_day", "tech_hour", "run"]
+RUNS_FOLDER = "_runs"
+RUNS_SCHEMA = "run string, snapshot_ts timestamp, datasets array<string>"
 
 
 def add_layout_columns(df: DataFrame, ts: Column | str = "snapshot_ts") -> DataFrame:
     """Partition values from the run time, as UTC wall clock (the same labels
     whatever the session time zone of the writer)."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    cols = layout_columns(utc_wall_clock(ts))
+    cols = layout_columns(utc_wall_clock(ts)) | {"run": run_label(ts)}
     return df.withColumns({c: cols[c] for c in PARTITION_COLUMNS})
 
 
 def snapshot_read_schema(schema: StructType) -> StructType:
+    """schema with the run time and the partition columns, which are text whatever they look like."""
+    own = [f for f in schema.fields if f.name not in ("snapshot_ts", *PARTITION_COLUMNS)]
     extra = [StructField("snapshot_ts", TimestampType(), True)]
     extra += [StructField(c, StringType(), True) for c in PARTITION_COLUMNS]
-    return StructType(schema.fields + [f for f in extra if f.name not in schema.fieldNames()])
+    return StructType(own + extra)
+
+
+def _timestamp(run_ts: Column | str | None) -> Column:
+    ts = F.current_timestamp() if run_ts is None else F.lit(run_ts) if isinstance(run_ts, str) else run_ts
+    return ts.cast("timestamp")
 
 
 def write_parquet_snapshot(df: DataFrame, root: str, run_ts: Column | str | None = None) -> None:
-    """Append ``df`` as the snapshot taken at ``run_ts`` (default: now)."""
-    ts = F.current_timestamp() if run_ts is None else (F.lit(run_ts).cast("timestamp") if isinstance(run_ts, str) else run_ts)
-    out = add_layout_columns(df.withColumn("snapshot_ts", ts.cast("timestamp")))
-    out.write.partitionBy(*PARTITION_COLUMNS).mode("append").parquet(root)
+    """Write ``df`` as the snapshot taken at ``run_ts`` (default: now; a column of df: one snapshot for each value)."""
+    out = add_layout_columns(df.withColumn("snapshot_ts", _timestamp(run_ts)))
+    (out.write.partitionBy(*PARTITION_COLUMNS).option("partitionOverwriteMode", "dynamic")
+     .mode("overwrite").parquet(root))
+
+
+def commit_run(spark: SparkSession, lake: str, run_ts: Column | str, datasets: list[str]) -> None:
+    """Record that the run's datasets are all written (again for a re-run: the same record)."""
+    ts = _timestamp(run_ts)
+    record = spark.range(1).select(run_label(ts).alias("run"), ts.alias("snapshot_ts"),
+                                   F.array(*[F.lit(d) for d in datasets]).alias("datasets"),
+                                   run_label(ts).alias("of_run"))
+    (record.coalesce(1).write.partitionBy("of_run").option("partitionOverwriteMode", "dynamic")
+     .mode("overwrite").parquet(f"{lake}/{RUNS_FOLDER}"))

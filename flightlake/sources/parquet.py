@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flightlake.functions.time import utc_wall_clock
+from flightlake.functions.time import run_label
+from flightlake.sinks.snapshots import PARTITION_COLUMNS, RUNS_FOLDER, RUNS_SCHEMA, snapshot_read_schema
 
 
 def check_columns(df: DataFrame, expected: StructType | list[str]) -> DataFrame:
@@ -32,40 +33,55 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
-    """All snapshots of one dataset written by sinks.snapshots (partition
-    columns tech_year/tech_month/tech_day/tech_hour plus data column snapshot_ts)."""
-    reader = spark.read.option("basePath", root)
-    if schema is not None:
-        from flightlake.sinks.snapshots import snapshot_read_schema
-        reader = reader.schema(snapshot_read_schema(schema))
-    return reader.parquet(root)
+    """All snapshots of one dataset written by sinks.snapshots: data columns, snapshot_ts and the
+    partition columns, always as text (without a schema, the files' own is read from a footer)."""
+    if schema is None:
+        schema = spark.read.option("basePath", root).parquet(root).schema
+    return spark.read.schema(snapshot_read_schema(schema)).option("basePath", root).parquet(root)
+
+
+def snapshot_runs(spark: SparkSession, root: str) -> list[str]:
+    """Names of a dataset's runs in time order, from its directories alone (one name a run)."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path("/".join([root, *[f"{c}=*" for c in PARTITION_COLUMNS]]))
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted({f.getPath().getName().removeprefix("run=") for f in (found or [])})
+
+
+def _label(spark: SparkSession, ts: str) -> str:
+    """The run name of a timestamp string, read in the session's time zone."""
+    return spark.range(1).select(run_label(F.lit(ts).cast("timestamp"))).first()[0]
+
+
+def committed_run(spark: SparkSession, lake: str, datasets: list[str], as_of: str | None = None) -> str | None:
+    """The newest run (at or before ``as_of``) that was recorded with all of datasets; None if there is none."""
+    runs = spark.read.schema(RUNS_SCHEMA).parquet(f"{lake}/{RUNS_FOLDER}").where(
+        F.size(F.array_except(F.array(*[F.lit(d) for d in datasets]), "datasets")) == 0)
+    if as_of is not None:
+        runs = runs.where(F.col("snapshot_ts") <= F.lit(as_of).cast("timestamp"))
+    return runs.agg(F.max("run")).first()[0]
 
 
 # S2
-def latest_snapshot(df: DataFrame, ts_col: str = "snapshot_ts",
-                    partition_cols: tuple[str, ...] | None = ("tech_day", "tech_hour"),
-                    as_of: str | None = None) -> DataFrame:
-    """Rows of the most recent snapshot: max of the snapshot time, not the
-    last file in a directory walk (month names do not sort in time order).
-
-    With partition columns present, the newest partition is found first from
-    the partition values alone (a scalar subquery the scan uses to prune
-    partitions at run time); inside it, ``ts_col`` separates two runs of the
-    same hour, so only the later run is returned.
-
-    ``as_of`` (a timestamp string) picks the newest snapshot taken at or
-    before that time, so several datasets can be read at one aligned point
-    even when a later extraction of one of them failed.
+def read_latest_snapshot(spark: SparkSession, root: str, schema: StructType | None = None,
+                         as_of: str | None = None, run: str | None = None) -> DataFrame:
+    """Rows of one run of a dataset: ``run``, or the newest (at or before ``as_of``).
+
+    The run is found among the directory names, which sort in time order, and read as a
+    literal partition filter, so no file of another run is opened.
     """
+    if run is None:
+        runs = snapshot_runs(spark, root)
+        if as_of is not None:
+            last = _label(spark, as_of)
+            runs = [r for r in runs if r <= last]
+        run = runs[-1] if runs else ""
+    return read_snapshots(spark, root, schema).where(F.col("run") == F.lit(run))
+
+
+def latest_snapshot(df: DataFrame, ts_col: str = "snapshot_ts", as_of: str | None = None) -> DataFrame:
+    """Rows of the most recent snapshot of a table that carries its snapshot time as data (max of the
+    time, not the last file in a directory walk); ``as_of``: the newest at or before that time.
+    For datasets on disk, read_latest_snapshot finds the run without reading data."""
     if as_of is not None:
-        limit = F.lit(as_of).cast("timestamp")
-        df = df.where(F.col(ts_col) <= limit)
-        if partition_cols and all(c in df.columns for c in partition_cols):
-            key = F.concat_ws("|", *[F.col(c).cast("string") for c in partition_cols])
-            wall = utc_wall_clock(limit)      # labels are UTC wall clock (sinks.snapshots)
-            df = df.where(key <= F.concat_ws("|", F.date_format(wall, "yyyy-MM-dd"), F.date_format(wall, "HH")))
-    if partition_cols and all(c in df.columns for c in partition_cols):
-        key = F.concat_ws("|", *[F.col(c).cast("string") for c in partition_cols])
-        newest = df.select(F.max(key)).scalar()
-        df = df.where(key == newest)
+        df = df.where(F.col(ts_col) <= F.lit(as_of).cast("timestamp"))
     return df.where(F.col(ts_col) == df.select(F.max(ts_col)).scalar())

@@ -3,8 +3,7 @@ import os
 
 from flightlake import schemas
 from flightlake.plans import etl as P
-from flightlake.sources.parquet import latest_snapshot, read_snapshots
-from flightlake.streaming import ingest_landed_files
+from flightlake.sources.parquet import read_latest_snapshot
 
 ZONES = {
     "europe": {"tl_y": 72, "tl_x": -25, "br_x": 45, "br_y": 33, "subzones": {
@@ -41,54 +40,89 @@ FLIGHTS = [
 ]
 
 
-def land(root):
+def land(root, bad=True):
     for name, docs in [("airlines", AIRLINES), ("zones", [ZONES]), ("airports", AIRPORTS), ("flights", FLIGHTS)]:
         os.makedirs(f"{root}/{name}", exist_ok=True)
         with open(f"{root}/{name}/part-0.json", "w") as fh:
             for d in docs:
                 fh.write(json.dumps(d) + "\n")
-            if name == "flights":
-                fh.write("{not json\n")
+            if bad:
+                fh.write("{not json %s\n" % name)
 
 
 def test_extract_then_transform(spark, tmp_out):
     landing, lake, results = f"{tmp_out}/landing", f"{tmp_out}/lake", f"{tmp_out}/results"
     land(landing)
     quarantine = P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
-    assert quarantine["flights"].select("id", schemas.CORRUPT_COLUMN).count() == 1
+    for kind in P.DOCUMENT_KINDS:                                                     # stored beside the snapshots
+        assert [r.record for r in quarantine[kind].collect()] == [f"{{not json {kind}"], kind
+        assert [r.record for r in read_latest_snapshot(spark, P.quarantine_root(lake, kind)).collect()] == [f"{{not json {kind}"]
     for name in P.DATASETS:
         assert os.path.isdir(P.dataset_root(lake, name)), name
-    lat = lambda n: latest_snapshot(read_snapshots(spark, P.dataset_root(lake, n), schemas.TABLES[n]))
+    lat = lambda n: read_latest_snapshot(spark, P.dataset_root(lake, n), schemas.TABLES[n])
     zn = {r.zone_country: r for r in lat("znctyn").collect()}
     assert set(zn) == {"France", "United Kingdom", "United States"}
     assert zn["France"].continent == "europe" and zn["France"].altitude == 392       # first airport wins
     assert sorted(r.zone for r in lat("zncty").collect()) == ["paris"]
     assert lat("flight").count() == 4                                                 # f5 has no trail
-    assert sorted(r.flight_id for r in lat("acflight").collect()) == ["f1", "f2", "f3", "f5"]
+    assert sorted(r.flight_id for r in lat("acflight").collect()) == ["f1", "f2", "f3"]      # nor f5
     run_times = {r.snapshot_ts for n in P.DATASETS for r in lat(n).select("snapshot_ts").distinct().collect()}
     assert len(run_times) == 1                                                        # one run, one time
     answers = P.transform(spark, lake, results)
     r1 = [tuple(r) for r in answers["R1"].collect()]
-    assert r1 == [("air france", 3), ("british airways", 1)]
+    assert r1 == [("air france", 2), ("british airways", 1)]
     assert answers["R3"].first().flight_id == "f2"
     for name in P.REPORT_FILES.values():
         found = [f for _, _, files in os.walk(f"{results}/{name}/rawzone") for f in files if f.endswith(".csv")]
         assert len(found) == 1, name
+    answers.close()
 
 
-def test_stream_ingest_only_new_files(spark, tmp_out):
-    landing, lake = f"{tmp_out}/airlines-landing", f"{tmp_out}/lake/airlines"
-    os.makedirs(landing)
-    with open(f"{landing}/a.json", "w") as fh:
-        fh.write(json.dumps(AIRLINES[0]) + "\n")
-    ckpt = f"{tmp_out}/ckpt"
-    ingest_landed_files(spark, landing, lake, schemas.AIRLINE_DOC, checkpoint=ckpt).awaitTermination()
-    with open(f"{landing}/b.json", "w") as fh:
-        fh.write(json.dumps(AIRLINES[1]) + "\n")
-    ingest_landed_files(spark, landing, lake, schemas.AIRLINE_DOC, checkpoint=ckpt).awaitTermination()
-    snaps = read_snapshots(spark, lake, schemas.AIRLINES)
-    assert snaps.count() == 2
-    assert [r.ICAO for r in latest_snapshot(snaps).collect()] == ["BAW"]
+def test_rerun_of_a_run_gives_the_same_tables(spark, tmp_out):
+    landing, lake = f"{tmp_out}/landing", f"{tmp_out}/lake"
+    land(landing)
+    for _ in range(2):
+        P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
+    assert read_latest_snapshot(spark, P.dataset_root(lake, "flight"), schemas.FLIGHT).count() == 4
+    assert read_latest_snapshot(spark, P.quarantine_root(lake, "zones")).count() == 1
+
+
+def test_later_landing_is_read_whole(spark, tmp_out):
+    """A second run reads all landed files, the earlier ones too."""
+    landing, lake = f"{tmp_out}/landing", f"{tmp_out}/lake"
+    land(landing)
+    P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
+    with open(f"{landing}/airlines/part-1.json", "w") as fh:
+        fh.write(json.dumps({"Name": "Delta", "Code": "DL", "ICAO": "DAL"}) + "\n")
+    P.extract(spark, landing, lake, run_ts="2024-05-01 10:00:00", radius_m=600_000)
+    got = read_latest_snapshot(spark, P.dataset_root(lake, "airlines"), schemas.AIRLINES)
+    assert {r.ICAO for r in got.collect()} == {"AFR", "BAW", "DAL"}
+
+
+def test_reports_never_mix_runs(spark, tmp_out, monkeypatch):
+    """The second run fails in one dataset: the reports read the first run whole."""
+    landing, lake = f"{tmp_out}/landing", f"{tmp_out}/lake"
+    land(landing)
+    P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
+    write = P.write_parquet_snapshot
+
+    def failing(df, root, ts=None):
+        if "/Flight/" in root:
+            raise OSError("disk full")
+        write(df, root, ts)
+
+    monkeypatch.setattr(P, "write_parquet_snapshot", failing)
+    try:
+        P.extract(spark, landing, lake, run_ts="2024-05-01 10:00:00", radius_m=600_000)
+    except OSError:
+        pass
+    monkeypatch.undo()
+    assert len({r.snapshot_ts for r in read_latest_snapshot(spark, P.dataset_root(lake, "airlines"), schemas.AIRLINES).collect()}) == 1
+    from flightlake.sources.parquet import committed_run
+    assert committed_run(spark, lake, P.REPORT_DATASETS) == "20240501T080000000000"
+    answers = P.transform(spark, lake)
+    assert [tuple(r) for r in answers["R1"].collect()] == [("air france", 2), ("british airways", 1)]
+    answers.close()
 
 
 def test_etl_on_driver_tables(spark, tmp_out):
@@ -97,9 +131,11 @@ def test_etl_on_driver_tables(spark, tmp_out):
     land_documents(spark, "/root/testdata/sf0.001", landing)
     answers = P.run(spark, landing, f"{root}/lake", f"{root}/results", radius_m=500_000)
     assert answers["R1"].count() > 0 and answers["R5"].count() == 5
-    acf = latest_snapshot(read_snapshots(spark, P.dataset_root(f"{root}/lake", "acflight"), schemas.ACFLIGHT))
+    acf = read_latest_snapshot(spark, P.dataset_root(f"{root}/lake", "acflight"), schemas.ACFLIGHT)
     assert acf.where("actual_distance > 0").count() > 0
-    assert latest_snapshot(read_snapshots(spark, P.dataset_root(f"{root}/lake", "flctry"), schemas.FLCTRY)).count() > 0
+    for level, rows in (("zctinent", 5), ("znctry", 25), ("zncty", 25)):
+        assert read_latest_snapshot(spark, P.dataset_root(f"{root}/lake", level), schemas.TABLES[level]).count() == rows
+    assert read_latest_snapshot(spark, P.dataset_root(f"{root}/lake", "flctry"), schemas.FLCTRY).count() > 0
 
 
 def test_first_airport_follows_landing_order_across_files(spark, tmp_out):

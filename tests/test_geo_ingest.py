@@ -21,34 +21,75 @@ def test_point_in_box_edges(spark):
     pts = spark.createDataFrame([("on_edge", 72.0, 0.0), ("two_boxes", 50.0, 20.0), ("none", -80.0, 0.0),
                                  ("corner", 33.0, -25.0), ("inside", 50.0, 0.0)],
                                 "name string, latitude double, longitude double")
-    for strategy in ("broadcast", "grid"):
-        got = sorted((r.name, r.zone_name) for r in E.locate_in_zones(pts, _boxes(spark), strategy).collect())
-        assert got == [("inside", "europe"), ("two_boxes", "europe"), ("two_boxes", "inner")], strategy
+    got = sorted((r.name, r.zone_name) for r in E.locate_in_zones(pts, _boxes(spark)).collect())
+    assert got == [("inside", "europe"), ("two_boxes", "europe"), ("two_boxes", "inner")]
 
 
-def test_grid_equals_broadcast_random(spark):
+BOX = "bid int, tl_y double, tl_x double, br_y double, br_x double"
+KW = dict(lat="plat", lon="plon")
+
+
+def nested_loop(pts, boxes):
+    """Every point against every box, in plain Python."""
+    out = []
+    for p in pts:
+        for b in boxes:
+            if min(b[1], b[3]) < p[1] < max(b[1], b[3]) and min(b[2], b[4]) < p[2] < max(b[2], b[4]):
+                out.append((p[0], b[0]))
+    return sorted(out)
+
+
+def grid_pairs(spark, pts, boxes):
+    p = spark.createDataFrame(pts, "pid int, plat double, plon double")
+    return sorted(tuple(r) for r in point_in_box_join(p, spark.createDataFrame(boxes, BOX), **KW).select("pid", "bid").collect())
+
+
+def test_grid_equals_nested_loop_random(spark):
     rnd = random.Random(3)
-    pts = spark.createDataFrame([(i, float(rnd.randint(-9000, 9000)) / 100, float(rnd.randint(-18000, 18000)) / 100)
-                                 for i in range(3000)], "pid int, plat double, plon double")
-    bx = []
+    pts = [(i, float(rnd.randint(-9000, 9000)) / 100, float(rnd.randint(-18000, 18000)) / 100) for i in range(3000)]
+    boxes = []
     for j in range(40):
         y, x = rnd.uniform(-80, 80), rnd.uniform(-170, 170)
-        bx.append((j, y + rnd.uniform(0, 30), x - rnd.uniform(0, 40), y - rnd.uniform(0, 30), x + rnd.uniform(0, 40)))
-    boxes = spark.createDataFrame(bx, "bid int, tl_y double, tl_x double, br_y double, br_x double")
-    kw = dict(lat="plat", lon="plon")
-    a = {tuple(r) for r in point_in_box_join(pts, boxes, strategy="broadcast", **kw).select("pid", "bid").collect()}
-    for cell in (1.0, 7.5, 45.0, None):
-        b = point_in_box_join(pts, boxes, strategy="grid", cell_size=cell, **kw).select("pid", "bid").collect()
-        assert len(b) == len(set(map(tuple, b))), "grid join must not duplicate pairs"
-        assert {tuple(r) for r in b} == a
-
-
-def test_cell_size_from_boxes(spark):
-    from flightlake.operators.range_join import cell_size_for
-    small = spark.createDataFrame([(1.0, 1.0, 0.5, 1.2)] * 5, "tl_y double, tl_x double, br_y double, br_x double")
-    assert cell_size_for(small) == pytest.approx(0.5)
-    big = spark.createDataFrame([(80.0, -170.0, -80.0, 170.0)], "tl_y double, tl_x double, br_y double, br_x double")
-    assert cell_size_for(big) == 45.0
+        boxes.append((j, y + rnd.uniform(0, 30), x - rnd.uniform(0, 40), y - rnd.uniform(0, 30), x + rnd.uniform(0, 40)))
+    assert grid_pairs(spark, pts, boxes) == nested_loop(pts, boxes)
+
+
+@pytest.mark.parametrize("n", [21, 101])
+def test_grid_with_pole_and_world_box(spark, n):
+    """The same plan for few and many boxes, whatever their sizes: 500 m boxes, one at the pole, one around the world."""
+    rnd = random.Random(n)
+    centres = [(j, rnd.uniform(-80, 80), rnd.uniform(-170, 170)) for j in range(n - 2)] + [(n - 2, 90.0, 15.0)]
+    c = spark.createDataFrame(centres, "bid int, y double, x double")
+    half_lat, half_lon = radius_to_half_widths(F.lit(500.0), F.col("y"))
+    box = c.select("bid", (F.col("y") + half_lat).alias("a"), (F.col("x") - half_lon).alias("b"),
+                   (F.col("y") - half_lat).alias("c"), (F.col("x") + half_lon).alias("d"))
+    boxes = [tuple(r) for r in box.collect()] + [(n - 1, 90.0, -180.0, -90.0, 180.0)]
+    pts = [(i, y + rnd.uniform(-0.006, 0.006), x + rnd.uniform(-0.006, 0.006)) for i, (_, y, x) in enumerate(centres)]
+    pts += [(1000 + i, 89.999, -170.0 + i) for i in range(20)] + [(2000 + i, rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(200)]
+    got = grid_pairs(spark, pts, boxes)
+    assert got == nested_loop(pts, boxes)
+    assert {p for p, b in got if b == n - 2} >= {1000 + i for i in range(20)}      # all around the pole
+    assert len([1 for _, b in got if b == n - 1]) == len([p for p in pts if p[1] < 90])
+
+
+def test_boxes_become_few_cells(spark):
+    from flightlake.operators.range_join import LEVELS, MAX_CELLS_PER_BOX, cell_of, level_of
+    rnd = random.Random(5)
+    extents = [0.0, 1e-9, 0.005, 0.0055, 0.01, 1.0, 44.9, 45.0, 90.0, 180.0, 360.0]
+    rows = [(y, x, e, e * r) for e in extents for r in (1.0, 0.3) for y, x in [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(20)]]
+    df = spark.createDataFrame(rows, "y double, x double, h double, w double").withColumn("l", level_of(F.greatest("h", "w")))
+    cells = lambda c, s, limit: cell_of(F.col(c) + F.col(s), limit, F.col("l")) - cell_of(F.col(c), limit, F.col("l")) + 1
+    out = df.select("l", (cells("y", "h", 90.0) * cells("x", "w", 180.0)).alias("n")).collect()
+    assert max(r.n for r in out) <= MAX_CELLS_PER_BOX and max(r.l for r in out) == LEVELS - 1
+
+
+def test_no_action_while_a_range_join_is_planned(spark):
+    pts = spark.createDataFrame([(1, 1.0, 1.0)], "pid int, plat double, plon double")
+    tracker, jobs = spark.sparkContext.statusTracker(), "range-join-plan"
+    spark.sparkContext.setJobGroup(jobs, "planning")
+    point_in_box_join(pts, spark.createDataFrame([(0, 2.0, 0.0, 0.0, 2.0)], BOX), **KW)
+    assert not tracker.getJobIdsForGroup(jobs)
+    spark.sparkContext.setJobGroup("rest", "")
 
 
 def test_haversine_known_distance(spark):
@@ -149,6 +190,8 @@ def test_live_subset_and_distance(spark, tmp_out):
     good, _ = E.split_bad_records(_landed(spark, tmp_out, bad_line=False))
     live = E.live_subset(good)
     assert [r.id for r in live.collect()] == ["f1"]
+    flying = F.struct(F.lit(True).alias("live"))
+    assert [r.id for r in E.live_subset(good.withColumn("details", F.col("details").withField("status", flying))).collect()] == ["f1", "f2", "f4"]    # f3: no trail
     ap = spark.createDataFrame([(45.0, 2.5, 10, "x", "LFPG", "CDG", "fr")], schemas.AIRPORT)
     withd = E.distance_from_origin(good, ap)
     d = {r.id: r.actual_distance for r in withd.collect()}
@@ -167,9 +210,16 @@ def test_flights_over_country_multi_match(spark):
                                 "zone_country string, latitude double, longitude double, continent string")
     fl = spark.createDataFrame([("f1", 11.0, 11.0), ("f2", 14.5, 14.5), ("f3", 50.0, 50.0)],
                                "flight_id string, latitude double, longitude double")
-    for strategy in ("broadcast", "grid"):
-        got = sorted(tuple(r) for r in E.flights_over_country(pts, fl, F.lit(3.0), F.lit(3.0), strategy).collect())
-        assert got == [("de", "europe", "f1"), ("de", "europe", "f2"), ("fr", "europe", "f1")]
+    got = sorted(tuple(r) for r in E.flights_over_country(pts, fl, F.lit(3.0), F.lit(3.0)).collect())
+    assert got == [("de", "europe", "f1"), ("de", "europe", "f2"), ("fr", "europe", "f1")]
+
+
+def test_first_match_order_and_exact_doubles(spark):
+    """File name first, then row, then zone; the point keeps its double (not rounded to float32)."""
+    rows = [("FR", ("b", 0), 1, 1.0), ("FR", ("a", 7), 1, 2.0), ("FR", ("a", 5), 2, 49.0097), ("FR", ("a", 5), 1, 49.0097), (None, ("z", 1), 1, 3.0)]
+    df = spark.createDataFrame(rows, "country string, ord struct<file:string,row:long>, zone int, latitude double")
+    got = {r.country: (r.latitude, r.zone) for r in E.first_match_per_country(df, "country", ["latitude", "zone"], ["ord", "zone"]).collect()}
+    assert got == {"FR": (49.0097, 1), None: (3.0, 1)}
 
 
 def test_grid_join_with_hot_cell(spark):
@@ -178,11 +228,6 @@ def test_grid_join_with_hot_cell(spark):
     rnd = random.Random(11)
     hot = [(i, 48.85, 2.35) for i in range(1000)]
     rest = [(1000 + i, rnd.uniform(-89, 89), rnd.uniform(-179, 179)) for i in range(2000)]
-    pts = spark.createDataFrame(hot + rest, "pid int, plat double, plon double").repartition(8, "pid")
-    boxes = spark.createDataFrame([(0, 50.0, 2.0, 48.0, 3.0), (1, 49.0, 2.3, 48.8, 2.4), (2, 10.0, 10.0, -10.0, 30.0)],
-                                  "bid int, tl_y double, tl_x double, br_y double, br_x double")
-    kw = dict(lat="plat", lon="plon")
-    nl = sorted(tuple(r) for r in point_in_box_join(pts, boxes, strategy="broadcast", **kw).select("pid", "bid").collect())
-    grid = sorted(tuple(r) for r in point_in_box_join(pts, boxes, strategy="grid", cell_size=0.5, **kw)
-                  .select("pid", "bid").collect())
-    assert grid == nl and len([p for p in grid if p[0] < 1000]) == 2000
+    boxes = [(0, 50.0, 2.0, 48.0, 3.0), (1, 49.0, 2.3, 48.8, 2.4), (2, 10.0, 10.0, -10.0, 30.0)]
+    grid = grid_pairs(spark, hot + rest, boxes)
+    assert grid == nested_loop(hot + rest, boxes) and len([p for p in grid if p[0] < 1000]) == 2000

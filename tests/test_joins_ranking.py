@@ -85,8 +85,3 @@ def test_aggregate_shapes(spark):
     assert grouped_count(df, "k").columns == ["k", "count"]
     assert {tuple(r) for r in count_star_by_key(df, "k", "n").collect()} == {("a", 2), (None, 1)}
     assert count_dict_form(df, "k", "num").columns == ["k", "num"]
-
-
-def test_first_any_is_min(spark):
-    df = spark.createDataFrame([("b",), ("a",)], "name string")
-    assert K.first_any(df, "name").first().name == "a"

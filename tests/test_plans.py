@@ -50,3 +50,31 @@ def test_r4_joins_aggregates_not_rows(spark):
 
 def test_top1_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["R3"](spark, SF))
+
+
+def test_range_joins_have_no_nested_loop(spark):
+    for key in ("point_in_box", "point_in_box_grid", "flights_over_country", "first_match_per_country"):
+        assert "NestedLoopJoin" not in plan(QUERIES[key](spark, SF)), key
+
+
+def test_documents_are_parsed_once(spark):
+    for key in ("live_subset", "flatten_flights", "last_trail_point"):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            QUERIES[key](spark, SF).explain("extended")
+        optimized = buf.getvalue().split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+        assert optimized.count("from_json") == 1, key
+
+
+def test_first_match_sorts_no_raw_rows(spark):
+    p = plan(QUERIES["first_match_per_country"](spark, SF))
+    assert "min_by" not in p and "HashAggregate" in p
+
+
+def test_growing_answer_is_not_one_task(spark, tmp_path):
+    from flightlake.sinks.results import write_csv_result
+    df = spark.range(10_000).repartition(4, "id").selectExpr("id", "id % 7 as k")
+    write_csv_result(df, str(tmp_path / "many"))
+    write_csv_result(df.orderBy("id").limit(5), str(tmp_path / "few"), bounded=True)
+    assert len(list((tmp_path / "many").glob("part-*.csv"))) == 4
+    assert len(list((tmp_path / "few").glob("part-*.csv"))) == 1

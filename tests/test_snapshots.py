@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from flightlake import schemas
 from flightlake.sinks.results import write_csv_result
 from flightlake.sinks.snapshots import write_parquet_snapshot
-from flightlake.sources.parquet import latest_snapshot, read_snapshots
+from flightlake.sources.parquet import latest_snapshot, read_latest_snapshot, read_snapshots, snapshot_runs
 from flightlake.session import scratch_path, shared_dir
 
 
@@ -20,7 +20,7 @@ def test_round_trip_and_layout(spark, tmp_out):
     write_parquet_snapshot(_airlines(spark, "jan"), root, "2024-01-26 18:05:00")
     parts = sorted(p for p in os.listdir(root) if p.startswith("tech_"))
     assert parts == ["tech_year=2024"]
-    assert os.path.isdir(f"{root}/tech_year=2024/tech_month=2024-01/tech_day=2024-01-26/tech_hour=18")
+    assert os.path.isdir(f"{root}/tech_year=2024/tech_month=2024-01/tech_day=2024-01-26/tech_hour=18/run=20240126T180500000000")
     back = read_snapshots(spark, root, schemas.AIRLINES)
     assert sorted(r.Name for r in back.collect()) == ["jan-a", "jan-b"]
 
@@ -30,7 +30,7 @@ def test_latest_is_time_order_not_name_order(spark, tmp_out):
     root = f"{tmp_out}/airlines"
     write_parquet_snapshot(_airlines(spark, "jan25"), root, "2025-01-03 09:00:00")
     write_parquet_snapshot(_airlines(spark, "feb24"), root, "2024-02-10 09:00:00")
-    got = latest_snapshot(read_snapshots(spark, root, schemas.AIRLINES))
+    got = read_latest_snapshot(spark, root, schemas.AIRLINES)
     assert sorted(r.Name for r in got.collect()) == ["jan25-a", "jan25-b"]
 
 
@@ -41,7 +41,7 @@ def test_two_runs_same_hour_keep_both_files_latest_wins(spark, tmp_out):
     write_parquet_snapshot(_airlines(spark, "run2"), root, "2024-03-01 10:45:00")
     allrows = read_snapshots(spark, root, schemas.AIRLINES)
     assert allrows.count() == 4
-    assert sorted(r.Name for r in latest_snapshot(allrows).collect()) == ["run2-a", "run2-b"]
+    assert sorted(r.Name for r in read_latest_snapshot(spark, root, schemas.AIRLINES).collect()) == ["run2-a", "run2-b"]
 
 
 def test_latest_snapshot_prunes_partitions(spark, tmp_out):
@@ -49,14 +49,39 @@ def test_latest_snapshot_prunes_partitions(spark, tmp_out):
     write_parquet_snapshot(_airlines(spark, "a"), root, "2024-03-01 10:05:00")
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        latest_snapshot(read_snapshots(spark, root, schemas.AIRLINES)).explain("formatted")
-    assert "PartitionFilters: [(concat_ws(|, tech_day" in buf.getvalue()
+        read_latest_snapshot(spark, root, schemas.AIRLINES).explain("formatted")
+    text = buf.getvalue()
+    assert "run#" in text and "= 20240301T100500000000)" in text.split("PartitionFilters")[1].splitlines()[0]
+    assert text.count("Scan parquet") == 1 or text.count("Scan parquet") == 2      # node and detail of one scan; no lookup scan
+
+
+def test_rerun_replaces_its_content(spark, tmp_out):
+    root = f"{tmp_out}/airlines"
+    write_parquet_snapshot(_airlines(spark, "first"), root, "2024-03-01 10:05:00")
+    write_parquet_snapshot(_airlines(spark, "again"), root, "2024-03-01 10:05:00")
+    assert sorted(r.Name for r in read_snapshots(spark, root, schemas.AIRLINES).collect()) == ["again-a", "again-b"]
+
+
+def test_hours_sort_as_text_without_a_schema(spark, tmp_out):
+    root = f"{tmp_out}/airlines"
+    for hour in ("09", "18"):
+        write_parquet_snapshot(_airlines(spark, hour), root, f"2024-03-01 {hour}:00:00")
+    assert dict(read_snapshots(spark, root).dtypes)["tech_hour"] == "string"
+    assert [r[-21:-12] for r in snapshot_runs(spark, root)] == ["20240301T", "20240301T"]
+    assert sorted(r.Name for r in read_latest_snapshot(spark, root).collect()) == ["18-a", "18-b"]
+    assert sorted(r.Name for r in latest_snapshot(read_snapshots(spark, root)).collect()) == ["18-a", "18-b"]
+
+
+def test_empty_and_missing_datasets(spark, tmp_out):
+    root = f"{tmp_out}/airlines"
+    write_parquet_snapshot(_airlines(spark, "x").where("false"), root, "2024-03-01 10:05:00")
+    assert read_latest_snapshot(spark, root, schemas.AIRLINES).count() == 0
 
 
 def test_csv_result_no_header_keeps_order(spark, tmp_out):
     df = spark.createDataFrame([("b", 5), ("a", 9), ("", 1), (None, 0)], "Name string, flight_count long")
     path = f"{tmp_out}/r1"
-    write_csv_result(df.orderBy(F.col("flight_count").desc()), path)
+    write_csv_result(df.orderBy(F.col("flight_count").desc()), path, bounded=True)
     files = [f for f in os.listdir(path) if f.endswith(".csv")]
     assert len(files) == 1
     lines = open(f"{path}/{files[0]}").read().splitlines()
@@ -75,6 +100,8 @@ def test_as_of_aligns_snapshots(spark, tmp_out):
     write_parquet_snapshot(_airlines(spark, "mid"), root, "2024-03-01 10:15:00")
     write_parquet_snapshot(_airlines(spark, "late"), root, "2024-03-01 12:00:00")
     snaps = read_snapshots(spark, root, schemas.AIRLINES)
+    got = read_latest_snapshot(spark, root, schemas.AIRLINES, as_of="2024-03-01 10:30:00")
+    assert sorted(r.Name for r in got.collect()) == ["mid-a", "mid-b"]
     got = latest_snapshot(snaps, as_of="2024-03-01 10:30:00")
     assert sorted(r.Name for r in got.collect()) == ["mid-a", "mid-b"]
     got = latest_snapshot(snaps, as_of="2024-03-01 10:00:00")
@@ -90,9 +117,8 @@ def test_labels_and_latest_independent_of_session_zone(spark, tmp_out):
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         write_parquet_snapshot(_airlines(spark, "ny"), root, "2024-03-01 06:30:00")          # 11:30 UTC
         assert os.path.isdir(f"{root}/tech_year=2024/tech_month=2024-03/tech_day=2024-03-01/tech_hour=11")
-        snaps = read_snapshots(spark, root, schemas.AIRLINES)
-        assert sorted(r.Name for r in latest_snapshot(snaps).collect()) == ["ny-a", "ny-b"]
-        got = latest_snapshot(snaps, as_of="2024-03-01 06:00:00")                            # 11:00 UTC
+        assert sorted(r.Name for r in read_latest_snapshot(spark, root, schemas.AIRLINES).collect()) == ["ny-a", "ny-b"]
+        got = read_latest_snapshot(spark, root, schemas.AIRLINES, as_of="2024-03-01 06:00:00")                            # 11:00 UTC
         assert sorted(r.Name for r in got.collect()) == ["utc-a", "utc-b"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
