@@ -54,7 +54,7 @@ class Sizes:
     buckets: int
 
 
-def sizes(text_bytes: int, chunk_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> Sizes:
+def sizes(text_bytes: int, chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20) -> Sizes:
     """Chunks and buckets grow with the root of the corpus, so that a question between
     one of each stays a kilobyte or more: 316 MB at 100 TB, a few MB at 1 GB."""
     least = int((text_bytes * 1024) ** 0.5)

@@ -16,10 +16,13 @@ times over, so suffixes are sorted only where two documents can share such a str
    belong to a smaller document (previous and next smaller positions). Its longest
    previous factor is the longer common prefix with one of them; where that is `length`, the
    window is covered.
-4. Chunks join the answers, union the covered bytes and hash what is left.
+4. A string that is an anchor in very many contexts would gather them all in one bucket. Where a
+   chunk has over `crowd` contexts of it, or the bucket over `max_contexts`, its windows are asked
+   for one by one instead, dealt by their own hash.
+5. Chunks join the answers, union the covered bytes and hash what is left.
 
 So a passage that thousands of documents share is sorted as one context. Contexts
-are equal by 80 bits of hash in steps 1 and 2 and by their bytes in step 3.
+and single windows are equal by 80 bits of hash, those compared in step 3 by their bytes.
 
 Null and empty texts keep nothing and lose nothing; texts shorter than `length` stay whole;
 documents with the same id do not remove each other's bytes; an empty table gives no row;
@@ -30,18 +33,32 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from flightlake.llm import textkit as T
-from flightlake.llm.corpus import blocks_of, bucket_bounds, bucket_of, chunk_texts, chunked, pack, sizes, text_bytes, unpack
+from flightlake.llm.corpus import blocks_of, bucket_bounds, chunk_texts, chunked, pack, sizes, text_bytes, unpack
 from flightlake.llm.runtime import bounded_batches, id_and_text, stored
 
 U64 = np.uint64
 #: states of an anchor's context in a chunk, from its bucket
-ALONE, COVERED, COMPARE = 0, 1, 2
+ALONE, COVERED, COMPARE, CROWDED = 0, 1, 2, 3
+#: stands for all contexts of an anchor that a chunk has too many of
+_MARK = (1 << 40) - 1
+#: kinds of answers: of contexts, of compared windows, of windows asked for one by one
+CONTEXT, WINDOWS, SINGLE = 0, 1, 2
+#: contexts are sorted in blocks of about so many bytes
+SORT_BYTES = 1 << 20
+
+
+def _forty(h: np.ndarray) -> np.ndarray:
+    """The upper 40 bits of a hash, never the mark."""
+    return np.minimum(h >> U64(24), U64(_MARK - 1))
 
 
 def _sliding(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -92,17 +109,26 @@ def chunk_anchors(buf: np.ndarray, off: np.ndarray, length: int, gram: int) -> t
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
+@dataclass(frozen=True)
+class Params:
+    length: int
+    gram: int
+    buckets: int
+    crowd: int
+    max_contexts: int
+
+
 class _Entries:
     """A chunk's distinct (anchor, context), ascending by anchor, and each one's least document."""
 
-    def __init__(self, row: dict, length: int, gram: int, buckets: int):
+    def __init__(self, row: dict, p: Params):
         self.buf, self.off = chunk_texts(row["n_bytes"], row["offsets"], row["texts"])
         # a document without an id comes before all others
         ids = np.array([-(1 << 63) if d is None else d for d in row["doc_ids"]], np.int64)
         self.ids, self.rank = np.unique(ids, return_inverse=True)
-        self.doc, self.at, gram_hash, self.start, self.end, context = chunk_anchors(self.buf, self.off, length, gram)
+        self.doc, self.at, gram_hash, self.start, self.end, context = chunk_anchors(self.buf, self.off, p.length, p.gram)
         # 40 bits of each, beside the bucket, are what is sent
-        anchor, context = gram_hash >> U64(24), context >> U64(24)
+        anchor, context = _forty(gram_hash), _forty(context)
         rank = self.rank[self.doc]
         order = np.lexsort((rank, context, anchor))
         a, c = anchor[order], context[order]
@@ -111,25 +137,76 @@ class _Entries:
         self.entry = np.empty(len(order), np.int64)            # of each occurrence
         self.entry[order] = np.cumsum(new) - 1
         self.anchor, self.context, self.least = a[new], c[new], rank[self.first]
-        self.bounds = bucket_bounds(self.anchor << U64(24), buckets)
+        # what is asked: each entry, or one mark for the entries of an anchor with too many
+        begins = np.flatnonzero(np.append(True, self.anchor[1:] != self.anchor[:-1])[:len(self.anchor)])
+        size = np.diff(np.append(begins, len(self.anchor)))
+        crowded = np.repeat(size > p.crowd, size)
+        begin = np.zeros(len(self.anchor), bool)
+        begin[begins] = True
+        asked = ~crowded | begin
+        self.asked, self.question = np.flatnonzero(asked), np.cumsum(asked) - 1       # and each entry's question
+        self.asked_context = np.where(crowded, U64(_MARK), self.context)[self.asked]
+
+    def states(self, reply: pa.Table) -> np.ndarray:
+        """Each entry's state, from the answers to the chunk's questions."""
+        got = np.concatenate([np.zeros(0, np.uint8), *(a[0] for a in answers_of(reply, CONTEXT))])
+        return got[self.question] if len(got) else np.zeros(len(self.question), np.uint8)
+
+    def single_windows(self, state: np.ndarray, p: Params) -> tuple[np.ndarray, ...]:
+        """Windows around crowded anchors: (start, which window, distinct windows' two hashes and least document)."""
+        at = np.flatnonzero(state[self.entry] == CROWDED) if len(self.entry) else np.zeros(0, np.int64)
+        n = np.maximum(self.end[at] - self.start[at] - p.length + 1, 0)
+        start = np.repeat(self.start[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        rank = np.repeat(self.rank[self.doc[at]], n)
+        h = np.zeros(len(start), U64)
+        for first, last in self._pieces(start, p.length):
+            h[first:last] = self._hash(start[first:last], p.length)
+        other = T.mix64(h ^ U64(0x94D049BB133111EB))
+        order = np.lexsort((rank, h))
+        new = np.append(True, h[order][1:] != h[order][:-1])[:len(order)]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        pick = order[new]
+        return start, rank, which, _forty(h[pick]), _forty(other[pick]), rank[pick]
+
+    def _pieces(self, start: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
+        """Stretches of the windows, which stand in order, over about a block of text each."""
+        i = 0
+        while i < len(start):
+            j = max(i + 1, int(np.searchsorted(start, start[i] + T.BLOCK_BYTES)))
+            yield i, j
+            i = j
+
+    def _hash(self, start: np.ndarray, length: int) -> np.ndarray:
+        low, high = int(start.min()), int(start.max()) + length
+        return T.span_hash(T.prefix_hash(self.buf[low:high]), start - low, start - low + length)
+
+
+def answers_of(reply: pa.Table, kind: int) -> list[list[np.ndarray]]:
+    reply = reply.filter(pc.equal(reply["kind"], kind)).sort_by("bucket")
+    return [unpack(a) for a in reply["answer"].to_pylist()]
+
+
+def packed_questions(anchor: np.ndarray, context: np.ndarray, least: np.ndarray, ids: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed entries) of ascending 40-bit hashes with a second hash and the rank of a document."""
+    bounds = bucket_bounds(anchor << U64(24), buckets)
+    for i in np.flatnonzero(np.diff(bounds)):
+        s = slice(bounds[i], bounds[i + 1])
+        used, local = np.unique(least[s], return_inverse=True)
+        low, high = (context[s] & U64(0xFFFFFFFF)).astype("<u4"), (context[s] >> U64(32)).astype("u1")
+        yield int(i), pack(np.diff(anchor[s], prepend=U64(0)), low, high, local.astype("<u4"), np.diff(ids[used].astype(U64), prepend=U64(0)))
 
 
 QUESTIONS = "bucket int, chunk long, ask binary"
 
 
-def questions(chunks: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
+def questions(chunks: DataFrame, p: Params) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                e = _Entries(row, length, gram, buckets)
-                at = np.flatnonzero(np.diff(e.bounds))
-                asks = []
-                for i in at:
-                    s = slice(e.bounds[i], e.bounds[i + 1])
-                    used, local = np.unique(e.least[s], return_inverse=True)
-                    low, high = (e.context[s] & U64(0xFFFFFFFF)).astype("<u4"), (e.context[s] >> U64(32)).astype("u1")
-                    asks.append(pack(np.diff(e.anchor[s], prepend=U64(0)), low, high, local.astype("<u4"), np.diff(e.ids[used].astype(U64), prepend=U64(0))))
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.full(len(at), row["chunk"]), pa.int64()), pa.array(asks, pa.binary())], ["bucket", "chunk", "ask"])
+                e = _Entries(row, p)
+                asks = list(packed_questions(e.anchor[e.asked], e.asked_context, e.least[e.asked], e.ids, p.buckets))
+                yield pa.RecordBatch.from_arrays([pa.array([a[0] for a in asks], pa.int32()), pa.array([row["chunk"]] * len(asks), pa.int64()), pa.array([a[1] for a in asks], pa.binary())], ["bucket", "chunk", "ask"])
 
     return chunks.mapInArrow(ask, QUESTIONS)
 
@@ -137,8 +214,9 @@ def questions(chunks: DataFrame, buckets: int, length: int, gram: int) -> DataFr
 STATES = "chunk long, bucket int, answer binary"
 
 
-def states(asked: DataFrame) -> DataFrame:
-    """For each question, what each context is: alone, covered by a smaller document, or to be compared."""
+def states(asked: DataFrame, max_contexts: int) -> DataFrame:
+    """For each question, what each context is: alone, covered by a smaller document, to be compared, or one
+    of a crowd."""
     def answer(group: pa.Table) -> pa.Table:
         parts = []
         for ask in group["ask"].to_pylist():
@@ -152,9 +230,11 @@ def states(asked: DataFrame) -> DataFrame:
         new = new_anchor | np.append(True, c[1:] != c[:-1])
         place = np.arange(len(a))
         least = d[np.maximum.accumulate(np.where(new, place, 0))]
-        contexts = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_anchor))[np.cumsum(new_anchor) - 1]
+        of = np.cumsum(new_anchor) - 1
+        contexts = np.bincount(of, new)[of]
+        crowded = ((contexts > max_contexts) | (np.bincount(of, c == U64(_MARK))[of] > 0))
         state = np.empty(len(a), np.uint8)
-        state[order] = np.where(d > least, COVERED, np.where(contexts > 1, COMPARE, ALONE))
+        state[order] = np.where(crowded, CROWDED, np.where(d > least, COVERED, np.where(contexts > 1, COMPARE, ALONE)))
         ends = np.cumsum([len(p[0]) for p in parts])
         replies = [pack(x) for x in np.split(state, ends[:-1])]
         return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "answer": pa.array(replies, pa.binary())})
@@ -162,34 +242,31 @@ def states(asked: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(answer, STATES)
 
 
-def _states_of(reply: pa.Table, kind: int) -> tuple[list[int], list[list[np.ndarray]]]:
-    reply = reply.filter(pa.compute.equal(reply["kind"], kind)).sort_by("bucket")
-    return reply["bucket"].to_pylist(), [unpack(a) for a in reply["answer"].to_pylist()]
-
-
-CONTEXTS = "bucket int, chunk long, ask binary"
+SENT = "bucket int, chunk long, ask binary, kind int"
 
 
-def contexts_to_compare(chunks: DataFrame, replies: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """The bytes of every context to be compared, with its least document, a row for each chunk and bucket."""
+def second_questions(chunks: DataFrame, replies: DataFrame, p: Params) -> DataFrame:
+    """A row for each chunk, bucket and kind: the bytes of the contexts to be compared with their least documents,
+    and the windows of crowded anchors one by one."""
     def send(chunk: pa.Table, reply: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         for row in chunk.to_pylist():
-            e = _Entries(row, length, gram, buckets)
-            state = np.concatenate([np.zeros(0, np.uint8), *(a[0] for a in _states_of(reply, 0)[1])])
+            e = _Entries(row, p)
+            state = e.states(reply)
             wanted = np.flatnonzero(state == COMPARE)
-            owner = bucket_of(e.anchor[wanted] << U64(24), buckets)
-            edge = np.searchsorted(owner, np.arange(buckets + 1))
+            edge = bucket_bounds(e.anchor[wanted] << U64(24), p.buckets)
             for i in np.flatnonzero(np.diff(edge)):
                 some = wanted[edge[i]:edge[i + 1]]
                 at = e.first[some]
                 size = e.end[at] - e.start[at]
                 index = np.arange(size.sum()) + np.repeat(e.start[at] - (np.cumsum(size) - size), size)
-                rows.append((int(i), row["chunk"], pack(some.astype("<u4"), size.astype("<u2"), e.buf[index], e.ids[e.least[some]])))
-        columns = list(zip(*rows)) if rows else [(), (), ()]
-        return pa.table({"bucket": pa.array(columns[0], pa.int32()), "chunk": pa.array(columns[1], pa.int64()), "ask": pa.array(columns[2], pa.binary())})
+                rows.append((int(i), row["chunk"], pack(some.astype("<u4"), size.astype("<u2"), e.buf[index], e.ids[e.least[some]], np.diff(e.anchor[some], prepend=U64(0))), WINDOWS))
+            _, _, _, first, second, least = e.single_windows(state, p)
+            rows += [(i, row["chunk"], ask, SINGLE) for i, ask in packed_questions(first, second, least, e.ids, p.buckets)]
+        columns = list(zip(*rows)) if rows else [(), (), (), ()]
+        return pa.table({"bucket": pa.array(columns[0], pa.int32()), "chunk": pa.array(columns[1], pa.int64()), "ask": pa.array(columns[2], pa.binary()), "kind": pa.array(columns[3], pa.int32())})
 
-    return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(send, CONTEXTS)
+    return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(send, SENT)
 
 
 # ---- suffixes of the contexts -------------------------------------------------------------------
@@ -262,23 +339,45 @@ def longest_previous_factors(levels: list[tuple[int, np.ndarray]], places: np.nd
     return out
 
 
+def _compare(size: np.ndarray, buf: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """For each context (size bytes of buf, one after the other) a bit for each covered window."""
+    start = np.cumsum(size) - size
+    buf = np.concatenate([buf, np.zeros(length + 8, np.uint8)])
+    windows = np.maximum(size - length + 1, 0)
+    of = np.repeat(np.arange(len(size)), windows)
+    shift = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+    factor = longest_previous_factors(prefix_ranks(buf, length), start[of] + shift, doc[of])
+    mask = np.zeros(len(size), U64)
+    np.bitwise_or.at(mask, of, (factor >= length).astype(U64) << shift.astype(U64))
+    return mask
+
+
 def covered_windows(asked: DataFrame, length: int) -> DataFrame:
-    """For each sent context, a bit for each of its windows that a smaller document also has."""
+    """For each sent context, a bit for each of its windows that a smaller document also has.
+
+    Equal windows have equal anchors, so contexts are sorted anchor after anchor, in blocks.
+    """
     def compare(group: pa.Table) -> pa.Table:
         parts = [unpack(a) for a in group["ask"].to_pylist()]
         size = np.concatenate([p[1] for p in parts]).astype(np.int64)
-        buf = np.concatenate([*(p[2] for p in parts), np.zeros(length + 8, np.uint8)])
-        doc = np.concatenate([p[3] for p in parts])
+        buf, doc = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+        anchor = np.concatenate([np.cumsum(p[4].astype(U64)) for p in parts])
         start = np.cumsum(size) - size
-        windows = np.maximum(size - length + 1, 0)
-        of = np.repeat(np.arange(len(size)), windows)
-        shift = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-        factor = longest_previous_factors(prefix_ranks(buf, length), start[of] + shift, doc[of])
+        order = np.argsort(anchor, kind="stable")
+        ends = np.cumsum(size[order])
+        last = np.append(anchor[order][1:] != anchor[order][:-1], True)
         mask = np.zeros(len(size), U64)
-        np.bitwise_or.at(mask, of, (factor >= length).astype(U64) << shift.astype(U64))
-        ends = np.cumsum([len(p[0]) for p in parts])
-        replies = [pack(p[0], m) for p, m in zip(parts, np.split(mask, ends[:-1]))]
-        return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "answer": pa.array(replies, pa.binary())})
+        i = 0
+        while i < len(order):
+            # up to the end of the anchor at which the block is full
+            j = min(int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SORT_BYTES)), len(order) - 1)
+            j += int(np.argmax(last[j:])) + 1
+            some = order[i:j]
+            index = np.arange(size[some].sum()) + np.repeat(start[some] - (np.cumsum(size[some]) - size[some]), size[some])
+            mask[some] = _compare(size[some], buf[index], doc[some], length)
+            i = j
+        split = np.split(mask, np.cumsum([len(p[0]) for p in parts])[:-1])
+        return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "answer": pa.array([pack(p[0], m) for p, m in zip(parts, split)], pa.binary())})
 
     return asked.groupBy("bucket").applyInArrow(compare, STATES)
 
@@ -288,27 +387,36 @@ def covered_windows(asked: DataFrame, length: int) -> DataFrame:
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _covered(e: _Entries, reply: pa.Table, length: int) -> np.ndarray:
+def _covered(e: _Entries, reply: pa.Table, p: Params) -> np.ndarray:
     """Whether each byte of the chunk goes."""
-    state = np.concatenate([np.zeros(0, np.uint8), *(a[0] for a in _states_of(reply, 0)[1])])
-    whole = (state[e.entry] == COVERED) | (e.rank[e.doc] > e.least[e.entry]) if len(e.entry) else np.zeros(0, bool)
-    change = np.zeros(len(e.buf) + 1, np.int64)
+    change = np.zeros(len(e.buf) + 1, np.int32)
+    if not len(e.entry):
+        return change[:-1] > 0
+    state = e.states(reply)
+    crowded = state[e.entry] == CROWDED
+    whole = ~crowded & ((state[e.entry] == COVERED) | (e.rank[e.doc] > e.least[e.entry]))
     np.add.at(change, e.start[whole], 1)
     np.add.at(change, e.end[whole], -1)
     mask = np.zeros(len(state), U64)
-    for places, bits in _states_of(reply, 1)[1]:
+    for places, bits in answers_of(reply, WINDOWS):
         mask[places] = bits
-    some = np.flatnonzero(~whole & (mask[e.entry] > 0)) if len(e.entry) else np.zeros(0, np.int64)
-    for shift in range(64):
+    some = np.flatnonzero(~whole & ~crowded & (mask[e.entry] > 0))
+    for shift in range(p.length - p.gram + 1):
         hit = some[(mask[e.entry[some]] >> U64(shift)) & U64(1) > 0]
-        if len(hit):
-            np.add.at(change, e.start[hit] + shift, 1)
-            np.add.at(change, e.start[hit] + shift + length, -1)
+        np.add.at(change, e.start[hit] + shift, 1)
+        np.add.at(change, e.start[hit] + shift + p.length, -1)
+    if crowded.any():
+        start, rank, which, _, _, least = e.single_windows(state, p)
+        got = np.concatenate([a[0] for a in answers_of(reply, SINGLE)])
+        hit = start[(got[which] == COVERED) | (rank > least[which])]
+        np.add.at(change, hit, 1)
+        np.add.at(change, hit + p.length, -1)
     return np.cumsum(change[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20,
-                   with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20,
+                   crowd: int = 64, max_contexts: int = 20_000, with_text: bool = False,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: bytes, bytes and runs removed, the kept bytes' sha256, and with_text what is kept.
 
     Kept bytes are given as binary: a cut can fall inside a character.
@@ -318,26 +426,30 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_byte
     spark = docs.sparkSession
     texts = id_and_text(docs, id_col, text_col)
     size = sizes(text_bytes(texts), chunk_bytes, bucket_bytes)
+    p = Params(length, gram, size.buckets, crowd, max_contexts)
     chunks = chunked(texts, size.chunk_bytes)
     bounded_batches(spark, 1)               # rows are whole chunks from here on
-    known = stored(states(questions(chunks, size.buckets, length, gram)).selectExpr("*", "0 as kind"), "lpf-states")
-    compared = stored(covered_windows(contexts_to_compare(chunks, known, size.buckets, length, gram), length).selectExpr("*", "1 as kind"), "lpf-windows")
+    kind = lambda df, k: df.withColumn("kind", F.lit(k))
+    known = stored(kind(states(questions(chunks, p), max_contexts), CONTEXT), "lpf-states")
+    sent = stored(second_questions(chunks, known, p), "lpf-questions", codec="uncompressed")
+    compared = stored(kind(covered_windows(sent.where(F.col("kind") == WINDOWS), length), WINDOWS), "lpf-windows")
+    # a window is its own context: no limit on how many share the first hash
+    single = stored(kind(states(sent.where(F.col("kind") == SINGLE), 1 << 62), SINGLE), "lpf-single")
 
     def cut(chunk: pa.Table, reply: pa.Table) -> pa.Table:
         out: list[tuple] = []
         for row in chunk.to_pylist():
-            e = _Entries(row, length, gram, size.buckets)
-            goes = _covered(e, reply, length)
-            first = goes & ~np.append(False, goes[:-1])[:len(goes)]
+            e = _Entries(row, p)
+            goes = _covered(e, reply, p)
             for i, d in enumerate(row["doc_ids"]):
-                s, t = e.off[i], e.off[i + 1]
-                kept = e.buf[s:t][~goes[s:t]].tobytes()
-                runs = int(first[s:t].sum()) + int(t > s > 0 and goes[s] and not first[s])
-                out.append((d, int(t - s), int(goes[s:t].sum()), runs, hashlib.sha256(kept).hexdigest(), *([kept] if with_text else [])))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+                part = goes[e.off[i]:e.off[i + 1]]
+                kept = e.buf[e.off[i]:e.off[i + 1]][~part].tobytes()
+                runs = int((part[1:] & ~part[:-1]).sum()) + int(len(part) and part[0])
+                out.append((d, len(part), int(part.sum()), runs, hashlib.sha256(kept).hexdigest(), kept)[:5 + with_text])
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][:5 + with_text]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][:5 + with_text]
         columns = list(zip(*out)) if out else [()] * len(names)
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names[:len(columns)] if out else names[:5 + with_text])
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    replies = known.unionByName(compared)
+    replies = known.unionByName(compared).unionByName(single)
     return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(cut, REMOVED + ", kept binary" * with_text)
