@@ -92,7 +92,7 @@ class OrdinalModel:
 
 
 def fit(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, bits: int, grades: int = 3,
-        l2: float = 3e-4, steps: int = 200, rate: float = 0.05, min_docs: int = 3) -> OrdinalModel:
+        l2: float = 1e-3, steps: int = 200, rate: float = 0.05, min_docs: int = 3) -> OrdinalModel:
     """Maximum penalised likelihood by Adam over all rows. Features of fewer than min_docs rows keep weight 0."""
     n = len(grade)
     if not n:
