@@ -10,6 +10,8 @@ joined with the answers. A part that very many texts hold is asked for once a ch
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +23,12 @@ from pyspark.sql import functions as F
 from flightlake.llm import textkit as T
 from flightlake.llm.runtime import bounded_batches, stored
 
+# Arrays of a block are large and short-lived: let the allocator give them back at once instead of
+# keeping what one step needed while the next one runs (glibc; elsewhere its own rules hold).
+with contextlib.suppress(OSError, AttributeError):
+    ctypes.CDLL("libc.so.6").mallopt(-3, 1 << 18)          # -3: the size from which memory is mapped
+pa.set_memory_pool(pa.system_memory_pool())
+
 CHUNK = "chunk long, doc_ids array<long>, n_bytes long, offsets binary, texts binary"
 
 
@@ -54,7 +62,7 @@ class Sizes:
     buckets: int
 
 
-def sizes(text_bytes: int, chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20) -> Sizes:
+def sizes(text_bytes: int, chunk_bytes: int = 2 << 20, bucket_bytes: int = 8 << 20) -> Sizes:
     """Chunks and buckets grow with the root of the corpus, so that a question between
     one of each stays a kilobyte or more: 316 MB at 100 TB, a few MB at 1 GB."""
     least = int((text_bytes * 1024) ** 0.5)

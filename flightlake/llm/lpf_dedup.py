@@ -414,7 +414,7 @@ def _covered(e: _Entries, reply: pa.Table, p: Params) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20,
+def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_bytes: int = 2 << 20, bucket_bytes: int = 8 << 20,
                    crowd: int = 64, max_contexts: int = 20_000, with_text: bool = False,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: bytes, bytes and runs removed, the kept bytes' sha256, and with_text what is kept.

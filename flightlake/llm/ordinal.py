@@ -31,6 +31,11 @@ from flightlake.llm.runtime import bounded_batches, id_and_text
 
 SCORES = "doc_id long, expected_grade double, p_tail double, kept boolean"
 
+#: distinct features of a text from which each weighs less
+LONG_TEXT = 128
+#: features of a block in the fit
+FIT_BLOCK = 1 << 18
+
 _KIND = np.full(256, 2, np.uint8)          # 0 space, 1 letter or digit, 2 symbol
 _KIND[[0x20, 9, 10, 11, 12, 13]] = 0
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -76,6 +81,12 @@ def hashed_features(buf: np.ndarray, off: np.ndarray, bits: int) -> tuple[np.nda
     return (key >> T.U64(32)).astype(np.int64), (key & T.U64(0xFFFFFFFF)).astype(np.int64)
 
 
+def text_scale(doc: np.ndarray, docs: int) -> np.ndarray:
+    """Weight of a text's features: 1 up to LONG_TEXT of them, then falling so that the features of
+    a long text together weigh as much as those of a text of that length do by chance."""
+    return np.sqrt(LONG_TEXT / np.maximum(np.bincount(doc, minlength=docs), LONG_TEXT))
+
+
 @dataclass(frozen=True)
 class OrdinalModel:
     weights: np.ndarray        # one per hashed feature
@@ -84,7 +95,8 @@ class OrdinalModel:
 
     def linear(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         doc, feature = hashed_features(buf, off, self.bits)
-        return np.bincount(doc, self.weights[feature], minlength=len(off) - 1)
+        docs = len(off) - 1
+        return np.bincount(doc, self.weights[feature], minlength=docs) * text_scale(doc, docs)
 
     def above(self, linear: np.ndarray) -> np.ndarray:
         """P(grade > k) for each threshold k, by column."""
@@ -92,33 +104,46 @@ class OrdinalModel:
 
 
 def fit(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, bits: int, grades: int = 3,
-        l2: float = 1e-3, steps: int = 200, rate: float = 0.05, min_docs: int = 3) -> OrdinalModel:
+        l2: float = 3e-3, steps: int = 200, rate: float = 0.05, min_docs: int = 3) -> OrdinalModel:
     """Maximum penalised likelihood by Adam over all rows. Features of fewer than min_docs rows keep weight 0."""
     n = len(grade)
     if not n:
         return OrdinalModel(np.zeros(1 << bits), np.log(np.arange(1, grades) / np.arange(grades - 1, 0, -1)), bits)
+    size = np.bincount(doc, minlength=n)
+    scale = np.sqrt(LONG_TEXT / np.maximum(size, LONG_TEXT))
     seen = np.bincount(feature, minlength=1 << bits)
+    names = np.flatnonzero(seen >= min_docs)
+    column = np.zeros(1 << bits, np.int32)
+    column[names] = np.arange(len(names))
     use = seen[feature] >= min_docs
-    doc, feature = doc[use], feature[use]
-    names, col = np.unique(feature, return_inverse=True)
+    col, doc = column[feature[use]], doc[use].astype(np.int32)
     share = np.array([(np.sum(grade <= k) + 0.5) / (n + 1.0) for k in range(grades - 1)])
     cuts = np.log(share / (1 - share))
     params = np.concatenate((np.zeros(len(names)), cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-3))))
     mean = np.zeros_like(params)
     square = np.zeros_like(params)
     d = len(names)
+    # rows in blocks, so that a step's arrays stay small beside the features themselves
+    edges = np.append(np.arange(0, len(col), FIT_BLOCK), len(col))
+    blocks = [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
     for step in range(1, steps + 1):
         w, first, gaps = params[:d], params[d], np.exp(params[d + 1:])
         theta = np.concatenate(([-np.inf, first], first + np.cumsum(gaps), [np.inf]))
-        s = np.bincount(doc, w[col], minlength=n)
+        s = np.zeros(n)
+        for b in blocks:
+            s += np.bincount(doc[b], w[col[b]], minlength=n)
+        s *= scale
         upper, lower = (1 / (1 + np.exp(np.clip(s - theta[grade + j], -500, 500))) for j in (1, 0))
         p = np.maximum(upper - lower, 1e-12)
         du, dl = upper * (1 - upper), lower * (1 - lower)
-        ds = (dl - du) / p                                       # of the log likelihood, by s
+        ds = (dl - du) / p * scale                               # of the log likelihood, by the sum of weights
         g_theta = np.bincount(grade + 1, du / p, minlength=grades + 1) - np.bincount(grade, dl / p, minlength=grades + 1)
         g_theta = g_theta[1:-1]
         tails = np.cumsum(g_theta[::-1])[::-1]
-        grad = np.concatenate((np.bincount(col, ds[doc], minlength=d) / n - l2 * w, tails[:1] / n, tails[1:] * gaps / n))
+        slope = np.zeros(d)
+        for b in blocks:
+            slope += np.bincount(col[b], ds[doc[b]], minlength=d)
+        grad = np.concatenate((slope / n - l2 * w, tails[:1] / n, tails[1:] * gaps / n))
         mean = 0.9 * mean + 0.1 * grad
         square = 0.99 * square + 0.01 * grad ** 2
         params = params + rate * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-9)
@@ -154,9 +179,11 @@ def train(docs: DataFrame, graded: DataFrame, bits: int = 18, grades: int = 3, m
             .mapInArrow(featurise, "doc_id long, grade int, features binary")
             .groupBy("doc_id").agg(F.min("grade").alias("grade"), F.min("features").alias("features")).collect())
     rows.sort(key=lambda r: r["doc_id"])
-    parts = [np.frombuffer(r["features"], "<u4").astype(np.int64) for r in rows]
-    doc = np.repeat(np.arange(len(parts)), [len(x) for x in parts]) if parts else np.zeros(0, np.int64)
-    return fit(doc, np.concatenate(parts) if parts else doc, np.array([r["grade"] for r in rows], np.int64), bits, grades)
+    grade = np.array([r["grade"] for r in rows], np.int64)
+    size = [len(r["features"]) // 4 for r in rows]
+    feature = np.frombuffer(b"".join(r["features"] for r in rows), "<u4")
+    del rows
+    return fit(np.repeat(np.arange(len(size), dtype=np.int32), size), feature, grade, bits, grades)
 
 
 def score(docs: DataFrame, model: OrdinalModel, min_tail: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -319,7 +319,7 @@ def chunk_scores(chunks: DataFrame, replies: DataFrame, totals: Totals) -> DataF
     return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(score, SCORES)
 
 
-def language_model_scores(docs: DataFrame, prior: Prior = Prior(), chunk_bytes: int = 4 << 20, bucket_bytes: int = 8 << 20,
+def language_model_scores(docs: DataFrame, prior: Prior = Prior(), chunk_bytes: int = 2 << 20, bucket_bytes: int = 8 << 20,
                           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Trains on the texts whose crc32(doc_id) mod 10 is not 0 and scores all."""
     spark = docs.sparkSession
