@@ -220,8 +220,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands:
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs with one row of each class, all columns kept."""
-    firsts = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("is_first").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
+    firsts = stored(near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("is_first").groupBy(
+        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).agg(F.count("*").alias("_rows")), "bag-firsts")
     key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     kept = docs.withColumn("_text_key", key).join(firsts, docs[id_col].eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_key")), "left_semi")
-    return kept.dropDuplicates([id_col, "_text_key"]).drop("_text_key")
+    if not firsts.where("_rows > 1").isEmpty():      # rows with the same doc_id and text
+        kept = kept.dropDuplicates([id_col, "_text_key"])
+    return kept.drop("_text_key")
