@@ -10,7 +10,7 @@ the time by which all slots of the text are filled.
 
 Equal texts are one node. Nodes with an equal band are candidates. In each bucket all nodes are
 verified (exact overlap of the multisets, at least `similarity`) against a pivot;
-buckets whose nodes do not all meet in one component go on, with twice as many
+buckets whose nodes do not all meet in one component go on, with four times as many
 pivots each round from outside the bucket's largest component, until every pair of a
 bucket was verified or is connected. So no link between candidates is lost, and a
 bucket of n copies costs n pairs. A class is a component.
@@ -162,6 +162,19 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, similarity: float) -> D
     return with_texts.select(F.col("pivot").alias("x"), F.col("node").alias("y"), "text_a", "text_b").mapInArrow(check, "x long, y long")
 
 
+def of_node(roots: DataFrame, node: str, root: str) -> DataFrame:
+    return roots.select(F.col("node").alias(node), F.col("root").alias(root))
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots after more links: only the links between the old roots are contracted."""
+    between = (links.join(of_node(roots, "x", "rx"), "x", "left").join(of_node(roots, "y", "ry"), "y", "left")
+               .select(F.coalesce("rx", "x").alias("x"), F.coalesce("ry", "y").alias("y")))
+    new = stored(components(between), "bag-merge")
+    moved = roots.join(of_node(new, "root", "new_root"), "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
+    return moved.unionByName(new.join(roots, "node", "left_anti").select("node", "root"))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands: int = 32, rows: int = 6,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, text_key, class_id (least doc_id of its class), class_docs, is_first.
@@ -183,14 +196,19 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands:
     wanted = shared.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
     texts = stored(source.join(wanted, "doc_id").where(F.unhex(F.md5("text")) == F.col("text_key"))
                    .select("node", "text").dropDuplicates(["node"]), "bag-texts")
-    edges = None
+    roots = None
     pivoted = shared.select("bucket", F.col("first").alias("node")).distinct()
     turn = 0
     while True:
         pairs = candidates.where("pivot <> node").where(near).select("pivot", "node").distinct()
+        if roots is not None:       # what is connected needs no link
+            pairs = (pairs.join(of_node(roots, "pivot", "pivot_root"), "pivot", "left").join(of_node(roots, "node", "node_root"), "node", "left")
+                     .where(F.coalesce("pivot_root", "pivot") != F.coalesce("node_root", "node")).select("pivot", "node"))
         found = stored(verified(pairs, texts, n, similarity), f"bag-links-{turn}")
-        edges = found if edges is None else edges.unionByName(found)
-        roots = stored(components(edges), f"bag-roots-{turn}")
+        if roots is None:
+            roots = stored(components(found), f"bag-roots-{turn}")
+        elif not found.isEmpty():
+            roots = stored(merged(roots, found), f"bag-roots-{turn}")
         # buckets whose nodes are not all in one component: next pivots come from outside the largest
         placed = (shared.select("bucket", "node", "n").join(roots, "node", "left")
                   .withColumn("root", F.coalesce("root", F.col("node"))))
@@ -199,7 +217,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands:
         outside = placed.join(largest.select("bucket", F.col("top.root").alias("top")), "bucket").where("root <> top")
         left = stored(outside.select("bucket", "node", "n").join(pivoted, ["bucket", "node"], "left_anti"), f"bag-left-{turn}")
         turn += 1
-        chosen = stored(left.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(1 << min(turn, 30))).alias("k"))
+        chosen = stored(left.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(4 ** min(turn, 15))).alias("k"))
                         .agg(F.min(F.struct("node", "n")).alias("p")).select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n")), f"bag-pivots-{turn}")
         if chosen.isEmpty():
             break

@@ -95,7 +95,8 @@ def anchors(buf: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[n
     reach = length - gram
     start, end = np.maximum(off[doc], at - reach), np.minimum(off[doc + 1], at + length)
     context = T.mix64(T.span_hash(h, start, end) + (at - start).astype(U64))
-    return doc, at, grams[at], start, end, context
+    # anchors are the least hashes of their windows: mixed again, they spread over all buckets
+    return doc, at, T.mix64(grams[at]), start, end, context
 
 
 def chunk_anchors(buf: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
