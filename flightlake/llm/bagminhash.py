@@ -189,7 +189,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands:
     nodes = stored(sign.where("n > 0").groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
                    .withColumn("node", F.monotonically_increasing_id()), "bag-nodes")
     members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    pivots = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("p")).where("size > 1")
+    # each bucket draws a pivot of its own: a group that shares many buckets is tied together from many sides
+    drawn = F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "n")
+    pivots = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min(drawn).alias("p")).where("size > 1")
     shared = stored(members.join(pivots.select("bucket", F.col("p.node").alias("first"), F.col("p.n").alias("first_n")), "bucket"), "bag-buckets")
     near = F.least("n", "pivot_n") >= F.lit(similarity) * F.greatest("n", "pivot_n")     # a bound on the overlap
     candidates = shared.select("bucket", "node", "n", F.col("first").alias("pivot"), F.col("first_n").alias("pivot_n"))
@@ -218,7 +220,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands:
         left = stored(outside.select("bucket", "node", "n").join(pivoted, ["bucket", "node"], "left_anti"), f"bag-left-{turn}")
         turn += 1
         chosen = stored(left.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(4 ** min(turn, 15))).alias("k"))
-                        .agg(F.min(F.struct("node", "n")).alias("p")).select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n")), f"bag-pivots-{turn}")
+                        .agg(F.min(drawn).alias("p")).select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n")), f"bag-pivots-{turn}")
         if chosen.isEmpty():
             break
         pivoted = stored(pivoted.unionByName(chosen.select("bucket", F.col("pivot").alias("node"))), f"bag-pivoted-{turn}")
