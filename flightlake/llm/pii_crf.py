@@ -9,9 +9,13 @@ email, ip, card, phone. A token has a potential from its shape, from the word be
 it and, along the chain, from the label of the suspicious token before it. Tokens that repeat
 or are alike (same digits, or the same letters before and after the at sign) share a
 skip potential over any distance, and loopy message passing makes their labels agree.
-Potentials are trained piecewise: each is the smoothed log ratio of its
-counts over all documents, with the base spans as labels. A token that the base left
-out becomes a span when its marginal passes `min_marginal`; base spans stay.
+Potentials are trained piecewise over all documents from the tokens that a base span
+proves; a token the base left out is latent and is never counted as an observed none, so no
+potential speaks against a kind the more such tokens there are. They enter the labels' prior
+alone. Potentials speak for a kind; against it speak the prior and the kind's own check
+(digits, Luhn), which holds in any writing. An alike token has a proven token's label with
+log odds of `skip`, whatever the prior: if it differs, it is drawn from the prior. A token that
+the base left out becomes a span when its marginal passes `min_marginal`; base spans stay.
 
 Null and empty texts have no spans; repeated rows are searched each for itself; an
 empty table gives no row; other columns are not read (redact() keeps them all).
@@ -133,6 +137,16 @@ def similarity_key(token: str) -> str:
     return re.sub(r"[^0-9]", "", token)
 
 
+def bearable(token: str) -> list[bool]:
+    """For each label: does the token pass the kind's check, in whatever writing."""
+    if "@" in token:
+        return [True, True, False, False, False]
+    runs = _DIGIT_RUN.findall(token)
+    digits = "".join(runs)
+    ip = len(runs) == 4 and all(len(r.lstrip("0")) <= 3 and int(r[-400:]) <= 255 for r in runs)
+    return [True, False, ip, 16 <= len(digits) <= 19 and luhn(digits), 8 <= len(digits) <= 15]
+
+
 def labelled(text: str, base: list[Span]) -> tuple[list[tuple[int, int]], list[int]]:
     """The tokens, each with the label of the base span that covers most of it."""
     toks, labels, ordered = tokens(text), [], sorted(base, key=lambda x: x[1])
@@ -152,7 +166,7 @@ COUNTS = "piece string, key long, label int, n long"
 
 
 def potential_counts(docs: DataFrame) -> DataFrame:
-    """How often each feature (or label before) meets each label; at most 8192 + 5 keys times 5 labels."""
+    """How often each feature (or label before) meets each proven label, and tokens by label; at most 8192 + 6 keys times 5 labels."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
@@ -162,10 +176,13 @@ def potential_counts(docs: DataFrame) -> DataFrame:
                 toks, labels = labelled(text, base)
                 last = 0
                 for span, label in zip(toks, labels):
-                    a, c = features(text, span)
-                    total["shape", a, label] += 1
-                    total["cue", c, label] += 1
-                    total["chain", last, label] += 1
+                    total["prior", 0, label] += 1
+                    if label:
+                        a, c = features(text, span)
+                        total["shape", a, label] += 1
+                        total["cue", c, label] += 1
+                        if last:
+                            total["chain", last, label] += 1
                     last = label
         yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["piece", "key", "label", "n"])
 
@@ -173,26 +190,33 @@ def potential_counts(docs: DataFrame) -> DataFrame:
 
 
 def train_potentials(docs: DataFrame, smoothing: float = 0.5) -> dict[str, np.ndarray]:
-    """Piecewise training: the log ratio of a label's share given the feature to its share overall."""
+    """Piecewise training: the log ratio of a kind's share among the proven tokens of a feature to its share
+    among all proven ones, where it speaks for the kind; prior: shares of the labels among all tokens."""
     rows = potential_counts(docs).collect()      # bounded: see potential_counts
-    sizes = {"shape": FEATURE_BUCKETS, "cue": FEATURE_BUCKETS, "chain": len(LABELS)}
+    sizes = {"shape": FEATURE_BUCKETS, "cue": FEATURE_BUCKETS, "chain": len(LABELS), "prior": 1}
     tables = {p: np.full((n, len(LABELS)), 0.0) for p, n in sizes.items()}
     for r in rows:
         tables[r["piece"]][r["key"], r["label"]] += r["n"]
-    prior = tables["chain"].sum(0) + smoothing
-    prior /= prior.sum()
-    strength = 4.0       # a key seen less often than this stays near the prior
-    out = {p: np.log((t + strength * prior) / (t.sum(1, keepdims=True) + strength) / prior) for p, t in tables.items()}
-    return out | {"prior": np.log(prior)[None]}
+    prior = tables.pop("prior") + smoothing
+    share = prior[0, 1:] / prior[0, 1:].sum()
+    strength = 4.0       # a key seen less often than this stays near the share
+    out = {p: np.zeros(t.shape) for p, t in tables.items()}
+    for p, t in tables.items():
+        ratio = (t[:, 1:] + strength * share) / (t[:, 1:].sum(1, keepdims=True) + strength) / share
+        out[p][:, 1:] = np.maximum(np.log(ratio), 0.0)
+    return out | {"prior": np.log(prior / prior.sum())}
 
 
 # ---- inference -----------------------------------------------------------------------------------
 
-def marginals(nodes: np.ndarray, groups: list[list[int]], chain: np.ndarray, skip: float, rounds: int = 8) -> np.ndarray:
+def marginals(nodes: np.ndarray, groups: list[list[int]], chain: np.ndarray, skip: float, rounds: int = 8,
+              prior: np.ndarray | None = None) -> np.ndarray:
     """Loopy sum-product over the chain and the skip factors; nodes: log potentials (tokens x labels).
 
-    The tokens of one group (repeated or alike) are tied through one hub variable with a
-    potential of `skip` for agreement, so a group of m tokens costs m messages, not m * m.
+    The tokens of one group (repeated or alike) are tied through one hub variable, so a group of m
+    tokens costs m messages, not m * m. Two of them have one label with log odds of `skip`, else each
+    is drawn from `prior` (log shares of the labels; equal ones if not given): a tie outweighs any
+    prior, and tied tokens of which nothing more is known tell each other nothing.
     """
     def normal(x: np.ndarray) -> np.ndarray:
         x = x - x.max(-1, keepdims=True)
@@ -202,7 +226,9 @@ def marginals(nodes: np.ndarray, groups: list[list[int]], chain: np.ndarray, ski
         return normal(np.log(np.exp(normal(m)) @ np.exp(pair) + 1e-300))
 
     n, k = nodes.shape
-    agree = skip * np.eye(k)
+    shares = np.full(k, 1.0 / k) if prior is None else np.exp(normal(prior))
+    edge = np.sqrt(1.0 / (1.0 + np.exp(-skip)))         # from token to hub and from hub to token
+    agree = np.log1p(edge * (np.eye(k) / shares - 1.0))
     group = np.full(n, -1)
     for g, members in enumerate(groups):
         group[members] = g
@@ -218,7 +244,7 @@ def marginals(nodes: np.ndarray, groups: list[list[int]], chain: np.ndarray, ski
             sent = through((nodes + left + right)[tied], agree)
             total = np.zeros((len(groups), k))
             np.add.at(total, group[tied], sent)
-            new = through(total[group[tied]] - sent, agree)
+            new = through(total[group[tied]] - sent + np.log(shares), agree)
             hub[tied] = 0.5 * hub[tied] + 0.5 * new       # damped
     return np.exp(normal(nodes + left + right + hub))
 
@@ -234,14 +260,16 @@ def all_spans(text: str, potentials: dict[str, np.ndarray], skip: float, min_mar
     nodes = potentials["shape"][shapes] + potentials["cue"][cues] + potentials["prior"]
     for i, label in enumerate(labels):
         if label:                       # what a base pattern proves is observed
-            nodes[i] = -30.0
+            nodes[i] = -60.0
             nodes[i, label] = 0.0
+        else:
+            nodes[i, ~np.array(bearable(text[slice(*toks[i])]))] = -60.0
     alike: dict[str, list[int]] = defaultdict(list)
     for i, (s, e) in enumerate(toks):
         key = similarity_key(text[s:e])
         if len(key) >= 6:
             alike[key].append(i)
-    p = marginals(nodes, [g for g in alike.values() if len(g) > 1], potentials["chain"], skip)
+    p = marginals(nodes, [g for g in alike.values() if len(g) > 1], potentials["chain"], skip, prior=potentials["prior"][0])
     taken = sorted((a, b) for _, a, b in base)
     added: list[Span] = []
     for i, label in enumerate(labels):

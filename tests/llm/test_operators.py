@@ -196,6 +196,22 @@ def test_skip_chain_carries_a_label_to_an_alike_token(spark):
     del added
 
 
+@pytest.mark.parametrize("times", [1, 100])
+def test_alike_spellings_are_added_in_a_corpus_of_any_size(spark, times):
+    """Unproven tokens of the same shape, after the same word and after the same label, do not outvote a tie."""
+    card, phone = "4012888888881881", "+1 (017) 555-7713"
+    odd_card, odd_phone = "4012.8888.8888.1881", "1.017.555.7713"
+    text = f"pay with {card} now, I repeat, pay with {odd_card} now; call {phone} or dial {odd_phone} today"
+    docs = [f"pay with {card} now" for _ in range(20 * times)] + [f"write with a{i}@b.example now" for i in range(20 * times)]
+    docs += [f"pay with {1000 + i}.{2000 + i}.8888.1881 or dial 2.{100 + i % 800}.555.7713 now" for i in range(60 * times)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*docs, text])], "doc_id long, text string")
+    found = pii_crf.find_pii(df).where(F.col("doc_id") == len(docs)).first()
+    for kind, token in (("card", odd_card), ("phone", odd_phone)):
+        s = text.index(token)
+        assert f"{kind}:{s}:{s + len(token)}" in found.spans.split(",")
+    assert found.n_added == 2
+
+
 # ---- 5
 
 @pytest.mark.parametrize("options", [{}, {"crowd": 1, "chunk_bytes": 20_000, "bucket_bytes": 50_000}, {"crowd": 3, "max_contexts": 2, "chunk_bytes": 50_000}])
