@@ -1,24 +1,24 @@
 """Operator 10: language-model scores from a hierarchical Pitman-Yor model.
 
-Words (lower-cased ASCII) and one end mark a text are tokens. A token's context is the class
-of the token before it (a hash into `contexts` classes; a text's first token follows a start
-mark). Every class is a restaurant over words; all share one root restaurant, whose
+Words (lower-cased ASCII) and one end mark a text are tokens. A token's context is the token
+before it (a text's first token follows a start mark). Every context is a restaurant over
+words, so their number grows with the vocabulary; all share one root restaurant, whose
 base is uniform over the V known words and one unknown. A restaurant's tables are customers of
 the root.
 
-Restaurants meet only through the root's probability of a word and through totals
-(customers and tables a restaurant), so the corpus is dealt by word: a bucket
-holds all counts of its words and reseats them by Gibbs sweeps (all customers of a word
+The corpus is dealt by word: a bucket holds all counts of its words by context and the words'
+places in the root, and reseats them by Gibbs sweeps (all customers of a word
 in a restaurant leave and sit down again, one by one, given everyone else), with the
-totals of the other words held; totals are summed over the buckets after each round
-and held in the next. Customers of one word are indistinguishable, so a seating is kept as
+totals of the other words held. What a restaurant's words in all buckets have in common
+are its totals (customers and tables): after each round each bucket sends its restaurants' tables to
+their owners (buckets of contexts), which sum them and send each bucket the totals of the restaurants it has words in.
+Customers of one word are indistinguishable, so a seating is kept as
 its number of tables. Up to 16 customers sit one by one, then in steps of a
 sixteenth of those seated, with the step's number of new tables drawn at once. Predictive
 probabilities are averaged over the sweeps after burn-in.
 
-Draws are seeded by word, class, sweep and step, so a lost task gives the same
-result again. Counts are exact over all training texts. Words are known by a 56-bit hash
-beside the class. Null and empty texts hold the end mark alone; a null doc_id hashes as an empty text (and is held out);
+Draws are seeded by bucket, place in it, sweep and step, so a lost task gives the same
+result again. Counts are exact over all training texts. Words and contexts are known by a 56-bit hash. Null and empty texts hold the end mark alone; a null doc_id hashes as an empty text (and is held out);
 repeated rows count each for itself; with no training text every word is unknown
 (V = 0 and N = 0: the base score is that of one unknown type); an empty table gives no row; other columns are not read.
 """
@@ -26,7 +26,7 @@ repeated rows count each for itself; with no training text every word is unknown
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,10 +39,9 @@ from flightlake.llm.corpus import blocks_of, bucket_bounds, chunk_texts, chunked
 from flightlake.llm.runtime import bounded_batches, id_and_text, stored
 
 U64 = np.uint64
-#: classes fit the low byte of a key, the word's hash the other seven
-CONTEXTS = 256
-_END = T.mix64(np.array([0xE2D], U64))[0]
-_START = T.mix64(np.array([0x57A27], U64))[0]
+_WORD = U64(0xFFFFFFFFFFFFFF00)
+_END = T.mix64(np.array([0xE2D], U64))[0] & _WORD
+_START = T.mix64(np.array([0x57A27], U64))[0] & _WORD
 
 
 @dataclass(frozen=True)
@@ -58,8 +57,8 @@ class Prior:
     rounds: int = 3
 
 
-def token_keys(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, text) of every token in order: the word's hash with the context's class in the low byte."""
+def tokens(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, word before, text) of every token in order."""
     docs = len(off) - 1
     start, end, doc = T.words(buf, off)
     word = T.span_hash(T.prefix_hash(T.lower_ascii(buf)), start, end) if len(start) else np.zeros(0, U64)
@@ -68,19 +67,28 @@ def token_keys(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     token = np.full(len(word) + docs, _END, U64)
     inner = np.ones(len(token), bool)
     inner[ends] = False
-    token[inner] = word
+    token[inner] = word & _WORD
     before = np.empty(len(token), U64)
     before[1:] = token[:-1]
     before[np.append(0, ends[:-1] + 1)[:docs]] = _START
-    kind = T.mix64(before) & U64(CONTEXTS - 1)
-    return (token & U64(0xFFFFFFFFFFFFFF00)) | kind, np.repeat(np.arange(docs), n + 1)
+    return token, before, np.repeat(np.arange(docs), n + 1)
 
 
-def chunk_keys(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    parts = [(k, d + first) for first, b, o in blocks_of(buf, off) for k, d in [token_keys(b, o)]]
+def distinct(word: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs in ascending order: (words, contexts, word's and context's place of each pair; place of each given pair)."""
+    words, w = np.unique(word, return_inverse=True)
+    contexts, c = np.unique(context, return_inverse=True)
+    pair, place = np.unique(w.astype(np.int64) * max(len(contexts), 1) + c, return_inverse=True)
+    return words, contexts, *np.divmod(pair, max(len(contexts), 1)), place
+
+
+def chunk_pairs(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's distinct pairs as (word, context), and of every token the pair and the text."""
+    parts = [(w, c, d + first) for first, b, o in blocks_of(buf, off) for w, c, d in [tokens(b, o)]]
     if not parts:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        return np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    words, contexts, w, c, place = distinct(*(np.concatenate([p[k] for p in parts]) for k in (0, 1)))
+    return words[w], contexts[c], place, np.concatenate([p[2] for p in parts])
 
 
 def held_out(doc_ids: list) -> np.ndarray:
@@ -94,69 +102,122 @@ def split_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return word[at], np.diff(np.append(at, len(keys))), (keys & U64(0xFF)).astype(np.uint8)
 
 
-def packed_keys(keys: np.ndarray, *more: np.ndarray) -> bytes:
-    word, n, kind = split_keys(keys)
-    return pack(np.diff(word, prepend=U64(0)), n.astype("<u2"), kind, *more)
+def packed_pairs(word: np.ndarray, context: np.ndarray, *more: np.ndarray) -> bytes:
+    word, n, _ = split_keys(word)
+    return pack(np.diff(word, prepend=U64(0)), n.astype("<u4"), context, *more)
 
 
-def unpacked_keys(value: bytes) -> list[np.ndarray]:
-    step, n, kind, *more = unpack(value)
-    return [np.repeat(np.cumsum(step.astype(U64)), n) | kind.astype(U64), *more]
+def unpacked_pairs(value: bytes) -> list[np.ndarray]:
+    step, n, *more = unpack(value)
+    return [np.repeat(np.cumsum(step.astype(U64)), n), *more]
 
 
 QUESTIONS = "bucket int, chunk long, ask binary"
 
 
 def questions(chunks: DataFrame, buckets: int) -> DataFrame:
-    """Each chunk's distinct keys with their counts in training texts, a row for each bucket."""
+    """Each chunk's distinct pairs of word and context with their counts in training texts, a row for each bucket."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
                 buf, off = chunk_texts(row["n_bytes"], row["offsets"], row["texts"])
-                keys, doc = chunk_keys(buf, off)
+                word, context, place, doc = chunk_pairs(buf, off)
                 train = ~held_out(row["doc_ids"])
-                unique, inverse = np.unique(keys, return_inverse=True)
-                counts = np.bincount(inverse, train[doc], minlength=len(unique)).astype("<u4")
-                edge = bucket_bounds(unique, buckets)
+                counts = np.bincount(place, train[doc], minlength=len(word)).astype("<u4")
+                edge = bucket_bounds(word, buckets)
                 at = np.flatnonzero(edge[1:] > edge[:-1])
-                asks = [packed_keys(unique[edge[i]:edge[i + 1]], counts[edge[i]:edge[i + 1]]) for i in at]
+                asks = [packed_pairs(*(a[edge[i]:edge[i + 1]] for a in (word, context, counts))) for i in at]
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.full(len(at), row["chunk"]), pa.int64()), pa.array(asks, pa.binary())], ["bucket", "chunk", "ask"])
 
     return chunks.mapInArrow(ask, QUESTIONS)
 
 
-STATE = "bucket int, state binary, train_tokens long, known long, entries array<long>, customers array<long>, chunks array<long>, asks array<binary>"
+STATE = ("bucket int, state binary, train_tokens long, known long, pairs long, owners array<int>, edges array<long>, "
+         "contexts array<binary>, customers array<binary>, tables array<binary>, chunks array<long>, asks array<binary>")
 
 
-def bucket_states(asked: DataFrame) -> DataFrame:
-    """One row a bucket: its words' counts by class, its totals, and the questions for the answers later."""
+def bucket_states(asked: DataFrame, buckets: int) -> DataFrame:
+    """One row a bucket: its words' counts by context, its contexts and their totals in the bucket by owner,
+    and the questions, as places of the pairs asked for.
+
+    Pairs of held-out texts alone have a count of 0. Each word starts with one table in each of its contexts.
+    """
     def merge(group: pa.Table) -> pa.Table:
-        keys, counts = [], []
-        for ask in group["ask"].to_pylist():
-            k, c = unpacked_keys(ask)
-            keys.append(k[c > 0])
-            counts.append(c[c > 0])
-        unique, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(inverse, np.concatenate(counts), minlength=len(unique)).astype("<u8")
-        kind = (unique & U64(0xFF)).astype(np.int64)
-        row = {"bucket": [group["bucket"][0].as_py()], "state": [packed_keys(unique, total)], "train_tokens": [int(total.sum())], "known": [len(split_keys(unique)[0])],
-               "entries": [np.bincount(kind, minlength=CONTEXTS)], "customers": [np.bincount(kind, total, minlength=CONTEXTS).astype(np.int64)],
-               "chunks": [group["chunk"].to_pylist()], "asks": [group["ask"].to_pylist()]}
-        kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
-        return pa.table([pa.array(v, k) for v, k in zip(row.values(), kinds)], names=list(row))
+        asks = [unpacked_pairs(a) for a in group["ask"].to_pylist()]
+        words, contexts, w, c, place = distinct(*(np.concatenate([a[k] for a in asks]) for k in (0, 1)))
+        total = np.bincount(place, np.concatenate([a[2] for a in asks]), minlength=len(w)).astype("<u8")
+        edge = bucket_bounds(contexts, buckets)
+        owners = np.flatnonzero(edge[1:] > edge[:-1])
+        edges = np.append(edge[owners], len(contexts))
+        by_owner = lambda a: [pack(a[i:j]) for i, j in zip(edges[:-1], edges[1:])]
+        at = np.cumsum([0, *(len(a[0]) for a in asks)])
+        row = {"bucket": group["bucket"][0].as_py(), "state": pack(np.bincount(w, minlength=len(words)).astype("<u4"), c.astype("<u4"), total),
+               "train_tokens": int(total.sum()), "known": int((np.bincount(w, total, minlength=len(words)) > 0).sum()), "pairs": int((total > 0).sum()), "owners": owners, "edges": edges,
+               "contexts": by_owner(contexts), "customers": by_owner(np.bincount(c, total, minlength=len(contexts)).astype("<u8")),
+               "tables": by_owner(np.bincount(c, total > 0, minlength=len(contexts)).astype("<u8") << U64(10)), "chunks": group["chunk"].to_pylist(),
+               "asks": [pack(np.diff(place[i:j], prepend=0).astype("<u4")) for i, j in zip(at[:-1], at[1:])]}
+        kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.list_(pa.binary())] * 3, pa.list_(pa.int64()), pa.list_(pa.binary())]
+        return pa.table([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
 
     return asked.groupBy("bucket").applyInArrow(merge, STATE)
 
 
+def _rows(table: pa.Table) -> list[dict]:
+    return table.sort_by("bucket").to_pylist()
+
+
+PLACES = "owner int, bucket int, place binary, customers binary"
+
+
+def context_places(states: DataFrame) -> DataFrame:
+    """For each owner of contexts and each bucket: the owner's places of the bucket's contexts, and all their customers."""
+    def place(group: pa.Table) -> pa.Table:
+        rows = _rows(group)
+        parts = [unpack(r["context"])[0].astype(U64) for r in rows]
+        _, at = np.unique(np.concatenate(parts), return_inverse=True)
+        customers = np.bincount(at, np.concatenate([unpack(r["n"])[0] for r in rows])).astype("<u8")
+        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        out = [(pack(p.astype("<u4")), pack(customers[p])) for p in np.split(at, cuts)]
+        return pa.table([pa.array([r["owner"] for r in rows], pa.int32()), pa.array([r["bucket"] for r in rows], pa.int32()),
+                         pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary())], names=["owner", "bucket", "place", "customers"])
+
+    parts = states.select("bucket", F.explode(F.arrays_zip("owners", "contexts", "customers")).alias("p"))
+    return parts.select("bucket", F.col("p.owners").alias("owner"), F.col("p.contexts").alias("context"), F.col("p.customers").alias("n")).groupBy("owner").applyInArrow(place, PLACES)
+
+
+TOLD = "bucket int, owner int, customers binary, tables binary"
+
+
+def told(places: DataFrame, seated: DataFrame) -> DataFrame:
+    """Each bucket's contexts with their customers and tables in all buckets; seated has a bucket's own tables by owner."""
+    def add(place: pa.Table, part: pa.Table) -> pa.Table:
+        rows, own = _rows(place), {r["bucket"]: unpack(r["n"])[0] for r in part.to_pylist()}
+        at = [unpack(r["place"])[0] for r in rows]
+        total = np.zeros(max((int(a.max()) + 1 for a in at), default=0), U64)
+        for a, r in zip(at, rows):
+            total[a] += own[r["bucket"]].astype(U64)
+        return pa.table([pa.array([r["bucket"] for r in rows], pa.int32()), pa.array([r["owner"] for r in rows], pa.int32()),
+                         pa.array([r["customers"] for r in rows], pa.binary()), pa.array([pack(total[a]) for a in at], pa.binary())], names=["bucket", "owner", "customers", "tables"])
+
+    parts = seated.select("bucket", F.explode(F.arrays_zip("owners", "tables")).alias("p"))
+    parts = parts.select("bucket", F.col("p.owners").alias("owner"), F.col("p.tables").alias("n"))
+    return places.groupBy("owner").cogroup(parts.groupBy("owner")).applyInArrow(add, TOLD)
+
+
 @dataclass(frozen=True)
 class Totals:
-    """What all buckets share: customers and tables of each restaurant and of the root."""
+    """What buckets share: customers and tables of each restaurant (in a bucket, of those it has words in) and of the root."""
 
     customers: np.ndarray
     tables: np.ndarray
     root_tables: float
     known: int
     train_tokens: int
+    root_customers: float | None = None      # the tables of all restaurants; None if `tables` has them all
+
+    @property
+    def root(self) -> float:
+        return float(self.tables.sum()) if self.root_customers is None else self.root_customers
 
     @property
     def base(self) -> float:
@@ -164,7 +225,7 @@ class Totals:
 
     def new_root(self, prior: Prior) -> float:
         """The root's probability of an unknown word."""
-        return (prior.root_strength + prior.root_discount * self.root_tables) / (prior.root_strength + self.tables.sum()) * self.base
+        return (prior.root_strength + prior.root_discount * self.root_tables) / (prior.root_strength + self.root) * self.base
 
     def back_off(self, prior: Prior) -> np.ndarray:
         return (prior.strength + prior.discount * self.tables) / (prior.strength + self.customers)
@@ -197,21 +258,23 @@ def seat(customers: np.ndarray, opening: np.ndarray, discount: float, seed: np.n
     return tables
 
 
-def sweep_bucket(keys: np.ndarray, counts: np.ndarray, totals: Totals, prior: Prior) -> dict[str, np.ndarray]:
+def sweep_bucket(keys: np.ndarray, counts: np.ndarray, totals: Totals, prior: Prior, kind: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Gibbs sweeps over a bucket's words; averages over the sweeps after burn-in.
 
-    Gives tables by class, root tables, and each key's and each word's predictive probability.
+    A key holds a word above its low byte; kind is the place of its restaurant in the totals (if not
+    given, the low byte). Gives tables by restaurant, root tables, and each key's and each word's predictive probability.
     """
-    word, n, kind = split_keys(keys)
-    of, kind = np.repeat(np.arange(len(word)), n), kind.astype(np.int64)
+    word, n, low = split_keys(keys)
+    of, kind = np.repeat(np.arange(len(word)), n), (low if kind is None else kind).astype(np.int64)
+    places = len(totals.customers)
     counts = counts.astype(np.int64)
-    tables = np.ones(len(keys))
+    tables = np.minimum(counts, 1).astype(np.float64)
     root = np.bincount(of, tables, minlength=len(word))
-    root_tables = np.ones(len(word))
-    root_all = max(totals.tables.sum(), 1.0)
+    root_tables = np.minimum(root, 1)
+    root_all = max(totals.root, 1.0)
     new_root = totals.new_root(prior)
     back = totals.back_off(prior)
-    out = {"tables": np.zeros(CONTEXTS), "root_tables": 0.0, "word": np.zeros(len(word)), "key": np.zeros(len(keys))}
+    out = {"tables": np.zeros(places), "root_tables": 0.0, "word": np.zeros(len(word)), "key": np.zeros(len(keys))}
     kept = 0
     for s in range(prior.sweeps):
         # the root's probability of the word without this seat's own tables
@@ -219,7 +282,7 @@ def sweep_bucket(keys: np.ndarray, counts: np.ndarray, totals: Totals, prior: Pr
         share = np.minimum(root_tables[of], own)
         parent = np.maximum(own - prior.root_discount * share, 0) / (prior.root_strength + root_all) + new_root
         opening = (prior.strength + prior.discount * totals.tables[kind]) * parent
-        tables = seat(counts, opening, prior.discount, T.mix64(keys ^ T.mix64(np.full(1, s + 1, U64))))
+        tables = seat(counts, opening, prior.discount, T.mix64((keys + kind.astype(U64) * U64(0x9E3779B97F4A7C15)) ^ T.mix64(np.full(1, s + 1, U64))))
         root = np.bincount(of, tables, minlength=len(word))
         root_tables = seat(root.astype(np.int64), np.full(len(word), (prior.root_strength + prior.root_discount * totals.root_tables) * totals.base),
                            prior.root_discount, T.mix64(word ^ T.mix64(np.full(1, 1000 + s, U64))))
@@ -228,82 +291,91 @@ def sweep_bucket(keys: np.ndarray, counts: np.ndarray, totals: Totals, prior: Pr
             p_root = (root - prior.root_discount * root_tables) / (prior.root_strength + root_all) + new_root
             out["word"] += p_root
             out["key"] += (counts - prior.discount * tables) / (prior.strength + totals.customers[kind]) + back[kind] * p_root[of]
-            out["tables"] += np.bincount(kind, tables, minlength=CONTEXTS)
+            out["tables"] += np.bincount(kind, tables, minlength=places)
             out["root_tables"] += root_tables.sum()
     return {k: v / max(kept, 1) for k, v in out.items()}
 
 
-def learn(states: DataFrame, prior: Prior) -> Totals:
-    """Rounds of sweeps; after each the buckets' totals are summed (a row for each class and one for the root)."""
-    first = states.agg(F.coalesce(F.sum("train_tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("known"), F.lit(0)).alias("v")).first()
+@dataclass(frozen=True)
+class Shared:
+    """The totals of the whole model."""
+
+    root_customers: float
+    root_tables: float
+    known: int
+    train_tokens: int
+
 
-    def by_class(column: str) -> np.ndarray:
-        rows = states.select(F.posexplode(column).alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()
-        out = np.zeros(CONTEXTS)
-        for r in rows:
-            out[r["k"]] = r["n"]
-        return out
+def swept(state: dict, told_rows: pa.Table, shared: Shared, prior: Prior) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """A bucket's sweeps with the totals it was told: (averages, places of the words, counts)."""
+    n, kind, counts = unpack(state["state"])
+    rows = told_rows.sort_by("owner").to_pylist()
+    customers, tables = (np.concatenate([unpack(r[k])[0] for r in rows]).astype(np.float64) for k in ("customers", "tables"))
+    totals = Totals(customers, tables / 1024, shared.root_tables, shared.known, shared.train_tokens, shared.root_customers)
+    of = np.repeat(np.arange(len(n)), n)
+    # a word's name in its bucket: its place, and the bucket
+    keys = (of.astype(U64) << U64(8)) + (U64(state["bucket"]) << U64(40))
+    return sweep_bucket(keys, counts, totals, prior, kind), of, counts.astype(np.int64)
 
-    totals = Totals(by_class("customers"), by_class("entries"), float(first["v"]), int(first["v"]), int(first["n"]))
-    for _ in range(prior.rounds):
-        held = totals
 
-        def sums(batches: Iterator[pa.RecordBatch], held: Totals = held) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(CONTEXTS + 1)
-            for b in batches:
-                for value in b.column("state").to_pylist():
-                    got = sweep_bucket(*unpacked_keys(value), held, prior)
-                    total += np.append(got["tables"], got["root_tables"])
-            yield pa.RecordBatch.from_pydict({"k": np.arange(CONTEXTS + 1), "n": np.rint(total * 1024).astype(np.int64)})
+SEATED = "bucket int, owners array<int>, tables array<binary>, root_customers long, root_tables long"
 
-        # whole numbers, so the sum does not depend on the order of the tasks
-        rows = states.select("state").mapInArrow(sums, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
-        sums_of = np.zeros(CONTEXTS + 1)
-        for r in rows:
-            sums_of[r["k"]] = r["n"] / 1024
-        totals = Totals(held.customers, sums_of[:-1], sums_of[-1], held.known, held.train_tokens)
-    return totals
+
+def learn(states: DataFrame, places: DataFrame, prior: Prior) -> tuple[DataFrame, Shared]:
+    """Rounds of sweeps; after each the restaurants' tables are summed over the buckets by their owners."""
+    first = states.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("train_tokens", "known", "pairs"))).first()
+    seated = states.select("bucket", "owners", "tables")
+
+    def sit(shared: Shared) -> Callable[[pa.Table, pa.Table], pa.Table]:
+        def seat_bucket(state: pa.Table, rows: pa.Table) -> pa.Table:
+            row = state.to_pylist()[0]
+            got, _, _ = swept(row, rows, shared, prior)
+            # whole numbers, so the sum does not depend on the order of the tasks
+            tables, edges = np.rint(got["tables"] * 1024).astype("<u8"), row["edges"]
+            out = {"bucket": row["bucket"], "owners": row["owners"], "tables": [pack(tables[i:j]) for i, j in zip(edges[:-1], edges[1:])],
+                   "root_customers": int(tables.sum()), "root_tables": int(np.rint(got["root_tables"] * 1024))}
+            kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.int64(), pa.int64()]
+            return pa.table([pa.array([v], k) for v, k in zip(out.values(), kinds)], names=list(out))
+
+        return seat_bucket
+
+    shared = Shared(float(first["pairs"]), float(first["known"]), int(first["known"]), int(first["train_tokens"]))
+    slim = states.select("bucket", "state", "owners", "edges")
+    for k in range(prior.rounds):
+        seated = stored(slim.groupBy("bucket").cogroup(told(places, seated).groupBy("bucket")).applyInArrow(sit(shared), SEATED), f"pitman-yor-round-{k}", codec="uncompressed")
+        sums = seated.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("root_customers", "root_tables"))).first()
+        shared = Shared(sums["root_customers"] / 1024, sums["root_tables"] / 1024, shared.known, shared.train_tokens)
+    return seated, shared
 
 
 ANSWERS = "chunk long, bucket int, answer binary"
 
 
-def answers(states: DataFrame, totals: Totals, prior: Prior) -> DataFrame:
-    """For every question: each key's averaged predictive probability, each word's count."""
-    back = totals.back_off(prior)
+def answers(states: DataFrame, places: DataFrame, seated: DataFrame, shared: Shared, prior: Prior) -> DataFrame:
+    """For every question: each pair's averaged predictive probability, each word's count."""
+    def reply(state: pa.Table, rows: pa.Table) -> pa.Table:
+        row = state.to_pylist()[0]
+        got, of, counts = swept(row, rows, shared, prior)
+        word_count = np.bincount(of, counts).astype("<u8")
+        out = []
+        for ask in row["asks"]:
+            at = np.cumsum(unpack(ask)[0].astype(np.int64))
+            word = of[at]
+            out.append(pack(got["key"][at].astype("<f4"), word_count[word[np.append(True, word[1:] != word[:-1])]]))
+        return pa.table([pa.array(row["chunks"], pa.int64()), pa.array([row["bucket"]] * len(out), pa.int32()), pa.array(out, pa.binary())], names=["chunk", "bucket", "answer"])
 
-    def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                keys, counts = unpacked_keys(row["state"])
-                got = sweep_bucket(keys, counts, totals, prior)
-                word, n, _ = split_keys(keys)
-                word_count = np.add.reduceat(counts.astype(np.int64), np.cumsum(n) - n) if len(word) else np.zeros(0, np.int64)
-                # a place past the end stands for what is not there
-                word_p, word_count, key_p = np.append(got["word"], totals.new_root(prior)), np.append(word_count, 0), np.append(got["key"], np.nan)
-                padded_words, padded_keys = np.append(word, U64(0)), np.append(keys, U64(0))
-                for chunk, ask in zip(row["chunks"], row["asks"]):
-                    asked, _ = unpacked_keys(ask)
-                    asked_word, asked_n, kind = split_keys(asked)
-                    i = np.searchsorted(word, asked_word)
-                    i = np.where(padded_words[i] == asked_word, i, len(word)) if len(word) else np.zeros(len(asked_word), np.int64)
-                    j = np.searchsorted(keys, asked)
-                    j = np.where(padded_keys[j] == asked, j, len(keys)) if len(keys) else np.zeros(len(asked), np.int64)
-                    p = np.where(j < len(keys), key_p[j], back[kind] * np.repeat(word_p[i], asked_n))
-                    yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int64()), "bucket": pa.array([row["bucket"]], pa.int32()), "answer": pa.array([pack(p.astype("<f4"), word_count[i].astype("<u8"))], pa.binary())})
-
-    return states.select("bucket", "state", "chunks", "asks").mapInArrow(reply, ANSWERS)
+    slim = states.select("bucket", "state", "chunks", "asks")
+    return slim.groupBy("bucket").cogroup(told(places, seated).groupBy("bucket")).applyInArrow(reply, ANSWERS)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def chunk_scores(chunks: DataFrame, replies: DataFrame, totals: Totals) -> DataFrame:
+def chunk_scores(chunks: DataFrame, replies: DataFrame, totals: Shared) -> DataFrame:
     def score(chunk: pa.Table, reply: pa.Table) -> pa.Table:
         row = chunk.to_pylist()[0]
         buf, off = chunk_texts(row["n_bytes"], row["offsets"], row["texts"])
-        keys, doc = chunk_keys(buf, off)
-        unique, inverse = np.unique(keys, return_inverse=True)
+        unique, _, inverse, doc = chunk_pairs(buf, off)
         got = [unpack(a) for a in reply.sort_by("bucket")["answer"].to_pylist()]
         p = np.concatenate([g[0] for g in got]).astype(np.float64)
         _, n, _ = split_keys(unique)
@@ -327,9 +399,10 @@ def language_model_scores(docs: DataFrame, prior: Prior = Prior(), chunk_bytes:
     size = sizes(text_bytes(texts), chunk_bytes, bucket_bytes)
     chunks = chunked(texts, size.chunk_bytes)
     bounded_batches(spark, 1)           # rows are whole chunks and buckets from here on
-    states = stored(bucket_states(questions(chunks, size.buckets)), "pitman-yor", codec="uncompressed")
-    totals = learn(states, prior)
-    return chunk_scores(chunks, answers(states, totals, prior), totals)
+    states = stored(bucket_states(questions(chunks, size.buckets), size.buckets), "pitman-yor", codec="uncompressed")
+    places = stored(context_places(states), "pitman-yor-contexts", codec="uncompressed")
+    seated, shared = learn(states, places, prior)
+    return chunk_scores(chunks, answers(states, places, seated, shared, prior), shared)
 
 
 def perplexity(scores: DataFrame) -> DataFrame:

@@ -469,6 +469,14 @@ def test_pitman_yor_probabilities_sum_to_one():
     assert got["word"].sum() + totals.new_root(prior) == pytest.approx(1, abs=0.03)
 
 
+def test_pitman_yor_tells_all_words_before_apart(spark):
+    """Each of 2,000 words has a context of its own, so the word after it is foreseen; buckets share the contexts' totals."""
+    df = spark.createDataFrame([(i, f"a{i} b{i} " * 40) for i in range(1000)], "doc_id long, text string")
+    for options in ({}, {"chunk_bytes": 50_000, "bucket_bytes": 50_000}):
+        got = pitman_yor.language_model_scores(df, **options).where("not held_out").selectExpr("avg(score / n_tokens) AS a", "min(score / n_tokens) AS m").first()
+        assert got.a > -0.25 and got.m > -0.4, (got, options)
+
+
 def test_seats_follow_the_restaurant():
     """The mean number of tables of c customers with a steady opening weight."""
     customers = np.full(20_000, 12)
