@@ -7,14 +7,18 @@ base is uniform over the V known words and one unknown. A restaurant's tables ar
 the root.
 
 The corpus is dealt by word: a bucket holds all counts of its words by context and the words'
-places in the root, and reseats them by Gibbs sweeps (all customers of a word
-in a restaurant leave and sit down again, one by one, given everyone else), with the
-totals of the other words held. What a restaurant's words in all buckets have in common
+places in the root, and reseats them by Metropolis-within-Gibbs sweeps over numbers of tables, which are
+kept from sweep to sweep and round to round, with the
+totals of the other buckets' words held. What a restaurant's words in all buckets have in common
 are its totals (customers and tables): after each round each bucket sends its restaurants' tables to
 their owners (buckets of contexts), which sum them and send each bucket the totals of the restaurants it has words in.
 Customers of one word are indistinguishable, so a seating is kept as
-its number of tables. Up to 16 customers sit one by one, then in steps of a
-sixteenth of those seated, with the step's number of new tables drawn at once. Predictive
+its number of tables t, of posterior weight S(n, t) f(t) with a generalised Stirling number S. A
+Metropolis step moves t given the rest: up to STIRLING customers by a short step, with S itself; more
+leave, sit down one by one in an empty Pitman-Yor restaurant, whose t has the weight
+S(n, t) q(t), and stay there with the Metropolis chance, in which S cancels: exact, but seldom accepted. Up to PASSES contexts of a word are reseated in turn, given the others; more in PASSES groups,
+each at once. The root's tables of a word move by one, up or down. The first tables come from seat(), which
+only starts the chain. Predictive
 probabilities are averaged over the sweeps after burn-in.
 
 Draws are seeded by bucket, place in it, sweep and step, so a lost task gives the same
@@ -28,6 +32,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -154,7 +159,7 @@ def bucket_states(asked: DataFrame, buckets: int) -> DataFrame:
         row = {"bucket": group["bucket"][0].as_py(), "state": pack(np.bincount(w, minlength=len(words)).astype("<u4"), c.astype("<u4"), total),
                "train_tokens": int(total.sum()), "known": int((np.bincount(w, total, minlength=len(words)) > 0).sum()), "pairs": int((total > 0).sum()), "owners": owners, "edges": edges,
                "contexts": by_owner(contexts), "customers": by_owner(np.bincount(c, total, minlength=len(contexts)).astype("<u8")),
-               "tables": by_owner(np.bincount(c, total > 0, minlength=len(contexts)).astype("<u8") << U64(10)), "chunks": group["chunk"].to_pylist(),
+               "tables": by_owner(np.bincount(c, total > 0, minlength=len(contexts)).astype("<u8")), "chunks": group["chunk"].to_pylist(),
                "asks": [pack(np.diff(place[i:j], prepend=0).astype("<u4")) for i, j in zip(at[:-1], at[1:])]}
         kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.list_(pa.binary())] * 3, pa.list_(pa.int64()), pa.list_(pa.binary())]
         return pa.table([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
@@ -258,42 +263,208 @@ def seat(customers: np.ndarray, opening: np.ndarray, discount: float, seed: np.n
     return tables
 
 
-def sweep_bucket(keys: np.ndarray, counts: np.ndarray, totals: Totals, prior: Prior, kind: np.ndarray | None = None) -> dict[str, np.ndarray]:
+#: groups in which the contexts of a word are reseated
+PASSES = 16
+#: customers up to which generalised Stirling numbers are exact (of more, none opens a table)
+STIRLING = 1024
+
+
+def lgamma(x: np.ndarray) -> np.ndarray:
+    """Logarithm of the gamma function for x > 0."""
+    low = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6)
+    y = x + 7
+    z = 1 / (y * y)
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + (1 / 12 - z * (1 / 360 - z / 1260)) / y - np.log(low)
+
+
+@lru_cache
+def _stirling_table(discount: float) -> np.ndarray:
+    out = np.full((STIRLING + 1, STIRLING + 1), -np.inf)
+    out[0, 0] = 0.0
+    k = np.arange(1, STIRLING + 1)
+    for n in range(STIRLING):
+        with np.errstate(divide="ignore"):
+            out[n + 1, 1:] = np.logaddexp(out[n, 1:] + np.log(np.maximum(n - discount * k, 0)), out[n, :-1])
+    return out
+
+
+def log_stirling(n: np.ndarray, tables: np.ndarray, discount: float) -> np.ndarray:
+    """Log of the generalised Stirling number of n customers at so many tables."""
+    n, tables = n.astype(np.int64), tables.astype(np.int64)
+    out = _stirling_table(discount)[np.clip(n, 0, STIRLING), np.clip(tables, 0, STIRLING)]
+    out = np.where((tables < 0) | (tables > n) | (tables > STIRLING), -np.inf, out)
+    more = np.flatnonzero((n > STIRLING) & np.isfinite(out))
+    rest = discount * tables[more]
+    out[more] += lgamma(n[more] - rest) - lgamma(STIRLING - rest)
+    return out
+
+
+def propose(customers: np.ndarray, strength: np.ndarray, discount: float, seed: np.ndarray, hopeless: Callable[[np.ndarray, np.ndarray], np.ndarray],
+            steps: int = 64) -> np.ndarray:
+    """Tables of a Pitman-Yor restaurant of each row's own strength, exactly drawn; 0 where the path became hopeless.
+
+    After `steps` customers, the next one who opens a table is found by the closed form of the waiting time.
+    """
+    tables = np.minimum(customers, 1).astype(np.float64)
+    live = np.flatnonzero(customers > 1)
+    seated = 1
+    while len(live) and seated < steps:
+        tables[live] += _uniform(seed[live], seated) * (strength[live] + seated) < strength[live] + discount * tables[live]
+        seated += 1
+        live = live[customers[live] > seated]
+    at = np.full(len(customers), float(seated))
+    turn = steps
+    while len(live):
+        gone = hopeless(live, tables[live])
+        tables[live[gone]] = 0
+        live = live[~gone]
+        a, b, i, end = strength[live], discount * tables[live], at[live], customers[live].astype(np.float64)
+        first = lgamma(a + i) - lgamma(i - b)
+        log_u = np.log(_uniform(seed[live], turn))
+        none_until = lambda m: first + lgamma(m - b) - lgamma(a + m) > log_u
+        open_ = ~none_until(end)                # someone opens a table; who, by bisection
+        live, a, b, first, log_u, low, high = live[open_], a[open_], b[open_], first[open_], log_u[open_], i[open_], end[open_]
+        while (high - low > 1).any():
+            mid = np.where(high - low > 1, np.floor((low + high) / 2), high)
+            none = none_until(mid)
+            low, high = np.where(none, mid, low), np.where(none, high, mid)
+        at[live] = high
+        tables[live] += 1
+        turn += 1
+        live = live[customers[live] > high]
+    return tables
+
+
+@dataclass(frozen=True)
+class Rest:
+    """What a word's customers in a restaurant see when they have left, a row for each: the restaurant's tables, the
+    word's customers and tables in the root; and the root's customers and tables."""
+
+    tables: np.ndarray
+    customers: np.ndarray
+    root_tables: np.ndarray
+    all_customers: float
+    all_tables: float
+    base: float
+
+
+def reseat(customers: np.ndarray, tables: np.ndarray, rest: Rest, prior: Prior, seed: np.ndarray) -> np.ndarray:
+    """One Metropolis step of each row's tables; leaves their posterior given the rest as it is."""
+    d = prior.discount
+    parent = (np.maximum(rest.customers - prior.root_discount * np.minimum(rest.root_tables, rest.customers), 0)
+              + (prior.root_strength + prior.root_discount * rest.all_tables) * rest.base) / (prior.root_strength + rest.all_customers)
+    opening = (prior.strength + d * rest.tables) * parent
+
+    def gain(i: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Log of f(t) / q(t)."""
+        return (lgamma(prior.strength / d + rest.tables[i] + t) - lgamma(prior.root_strength + rest.all_customers + t) - lgamma(opening[i] / d + t - 1)
+                + log_stirling(rest.customers[i] + t, rest.root_tables[i], prior.root_discount))
+
+    out = tables.copy()
+    few = np.flatnonzero(customers <= STIRLING)
+    if len(few):            # a symmetric step of up to `width`, with the Stirling numbers themselves
+        n, t = customers[few], tables[few]
+        width = np.floor(1 + 0.8 * np.sqrt(np.minimum(opening[few] * np.log1p(n / np.maximum(opening[few], 1e-9)), n)))
+        draw = _uniform(seed[few], 1) - 0.5
+        new = t + np.sign(draw) * np.ceil(np.abs(draw) * 2 * width)
+        inside = (new >= 1) & (new <= n)
+        few, n, t, new = few[inside], n[inside], t[inside], new[inside]
+        weight = lambda x: gain(few, x) + lgamma(opening[few] / d + x - 1) + x * np.log(d) + log_stirling(n, x, d)
+        moved = np.log(_uniform(seed[few], 2)) < weight(new) - weight(t)
+        out[few[moved]] = new[moved]
+    many = np.flatnonzero(customers > STIRLING)
+    if not len(many):
+        return out
+    least = gain(np.arange(len(tables)), tables) + np.log(_uniform(seed ^ U64(0x3C6EF372), 0))
+
+    def hopeless(i: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """More tables only lower the gain, and it is too low."""
+        return (t * (1 - parent[i]) > 2) & (gain(i, t + 1) < gain(i, t)) & (gain(i, t) < least[i])
+
+    got = np.zeros(len(tables))
+    got[many] = propose(customers[many], opening[many] - d, d, seed[many], lambda i, t: hopeless(many[i], t))
+    moved = np.flatnonzero((got > 0) & (got != tables))
+    moved = moved[gain(moved, got[moved]) >= least[moved]]
+    out[moved] = got[moved]
+    return out
+
+
+def root_step(root: np.ndarray, root_tables: np.ndarray, all_tables: float, base: float, prior: Prior, seed: np.ndarray, turn: int) -> np.ndarray:
+    """One Metropolis step of each word's tables in the root, by one up or down."""
+    d = prior.root_discount
+    new = root_tables + np.where(_uniform(seed, 2 * turn) < 0.5, -1.0, 1.0)
+    weight = lambda r: log_stirling(root, r, d) + lgamma(prior.root_strength / d + all_tables - root_tables + r) + r * np.log(d * base)
+    ok = np.flatnonzero((new >= 1) & (new <= np.minimum(root, STIRLING)))
+    out = root_tables.copy()
+    if len(ok):
+        gain = (weight(np.maximum(new, 0)) - weight(root_tables))[ok]
+        ok = ok[np.log(_uniform(seed[ok], 2 * turn + 1)) < gain]
+        out[ok] = new[ok]
+    return out
+
+
+def sweep_bucket(keys: np.ndarray, counts: np.ndarray, totals: Totals, prior: Prior, kind: np.ndarray | None = None,
+                 state: tuple[np.ndarray, np.ndarray] | None = None, turn: int = 0) -> dict[str, np.ndarray]:
     """Gibbs sweeps over a bucket's words; averages over the sweeps after burn-in.
 
     A key holds a word above its low byte; kind is the place of its restaurant in the totals (if not
-    given, the low byte). Gives tables by restaurant, root tables, and each key's and each word's predictive probability.
+    given, the low byte). state: each key's tables and each word's tables in the root, from which the sweeps go on (if not
+    given, seat() draws them); turn numbers the rounds. Gives tables by restaurant, root tables, each key's and each word's
+    predictive probability, and the state after the last sweep.
     """
     word, n, low = split_keys(keys)
     of, kind = np.repeat(np.arange(len(word)), n), (low if kind is None else kind).astype(np.int64)
     places = len(totals.customers)
     counts = counts.astype(np.int64)
-    tables = np.minimum(counts, 1).astype(np.float64)
-    root = np.bincount(of, tables, minlength=len(word))
-    root_tables = np.minimum(root, 1)
-    root_all = max(totals.root, 1.0)
+    seed = T.mix64((keys + kind.astype(U64) * U64(0x9E3779B97F4A7C15)) ^ T.mix64(np.full(1, turn + 1, U64)))
+    word_seed = T.mix64(word ^ T.mix64(np.full(1, 1000 + turn, U64)))
+    own = lambda t: np.bincount(kind, t, minlength=places)
+    by_word = lambda t: np.bincount(of, t, minlength=len(word))
     new_root = totals.new_root(prior)
-    back = totals.back_off(prior)
+    if state is None:
+        parent = 1.0 * (by_word(np.ones(len(keys)))[of] > 1) / (prior.root_strength + max(totals.root, 1.0)) + new_root
+        tables = seat(counts, (prior.strength + prior.discount * totals.tables[kind]) * parent, prior.discount, seed)
+        root_tables = seat(by_word(tables).astype(np.int64), np.full(len(word), (prior.root_strength + prior.root_discount * totals.root_tables) * totals.base), prior.root_discount, word_seed)
+        root_tables = np.minimum(root_tables, STIRLING)
+    else:
+        tables, root_tables = (a.astype(np.float64) for a in state)
+    root, here = by_word(tables), own(tables)
+    # totals without this bucket's words; without a state it is not known what they hold of these, and they stay as told
+    others = lambda: (totals.tables - here, totals.root - root.sum(), totals.root_tables - root_tables.sum())
+    other, other_root, other_tables = others()
+    rank = np.arange(len(keys)) - np.repeat(np.cumsum(n) - n, n)
+    passes = [np.flatnonzero((counts > 1) & (rank % PASSES == k)) for k in range(PASSES)]
     out = {"tables": np.zeros(places), "root_tables": 0.0, "word": np.zeros(len(word)), "key": np.zeros(len(keys))}
     kept = 0
     for s in range(prior.sweeps):
-        # the root's probability of the word without this seat's own tables
-        own = np.maximum(root[of] - tables, 0)
-        share = np.minimum(root_tables[of], own)
-        parent = np.maximum(own - prior.root_discount * share, 0) / (prior.root_strength + root_all) + new_root
-        opening = (prior.strength + prior.discount * totals.tables[kind]) * parent
-        tables = seat(counts, opening, prior.discount, T.mix64((keys + kind.astype(U64) * U64(0x9E3779B97F4A7C15)) ^ T.mix64(np.full(1, s + 1, U64))))
-        root = np.bincount(of, tables, minlength=len(word))
-        root_tables = seat(root.astype(np.int64), np.full(len(word), (prior.root_strength + prior.root_discount * totals.root_tables) * totals.base),
-                           prior.root_discount, T.mix64(word ^ T.mix64(np.full(1, 1000 + s, U64))))
+        step = T.mix64(np.full(1, (turn << 16) + s + 7, U64))
+        for i in passes:
+            if len(i):
+                at, t = of[i], tables[i]
+                rest = Rest(np.maximum((other + here)[kind[i]] - t, 0), root[at] - t, root_tables[at], max(other_root + root.sum() - float(t.mean()), 0.0),
+                            other_tables + root_tables.sum(), totals.base)
+                new = reseat(counts[i], t, rest, prior, T.mix64(seed[i] ^ step))
+                tables[i] = new
+                root += np.bincount(at, new - t, minlength=len(word))
+                here += np.bincount(kind[i], new - t, minlength=places)
+                # several contexts of a word reseated at once may leave fewer customers than tables in the root
+                root_tables = np.minimum(root_tables, root)
+                if state is None:
+                    other, other_root, other_tables = others()
+        for k in range(4):
+            root_tables = root_step(root, root_tables, other_tables + root_tables.sum(), totals.base, prior, T.mix64(word_seed ^ step), k)
+        if state is None:
+            other, other_root, other_tables = others()
         if s >= prior.burn_in:
             kept += 1
-            p_root = (root - prior.root_discount * root_tables) / (prior.root_strength + root_all) + new_root
+            root_all, all_tables = prior.root_strength + other_root + root.sum(), other_tables + root_tables.sum()
+            p_root = (root - prior.root_discount * root_tables) / root_all + (prior.root_strength + prior.root_discount * all_tables) / root_all * totals.base
+            held = prior.strength + totals.customers[kind]
             out["word"] += p_root
-            out["key"] += (counts - prior.discount * tables) / (prior.strength + totals.customers[kind]) + back[kind] * p_root[of]
-            out["tables"] += np.bincount(kind, tables, minlength=places)
+            out["key"] += (counts - prior.discount * tables) / held + (prior.strength + prior.discount * (other + here)[kind]) / held * p_root[of]
+            out["tables"] += here
             out["root_tables"] += root_tables.sum()
-    return {k: v / max(kept, 1) for k, v in out.items()}
+    return {k: v / max(kept, 1) for k, v in out.items()} | {"state": (tables, root_tables)}
 
 
 @dataclass(frozen=True)
@@ -306,35 +477,42 @@ class Shared:
     train_tokens: int
 
 
-def swept(state: dict, told_rows: pa.Table, shared: Shared, prior: Prior) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+def swept(state: dict, told_rows: pa.Table, shared: Shared, prior: Prior, turn: int) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """A bucket's sweeps with the totals it was told: (averages, places of the words, counts)."""
     n, kind, counts = unpack(state["state"])
     rows = told_rows.sort_by("owner").to_pylist()
     customers, tables = (np.concatenate([unpack(r[k])[0] for r in rows]).astype(np.float64) for k in ("customers", "tables"))
-    totals = Totals(customers, tables / 1024, shared.root_tables, shared.known, shared.train_tokens, shared.root_customers)
+    totals = Totals(customers, tables, shared.root_tables, shared.known, shared.train_tokens, shared.root_customers)
     of = np.repeat(np.arange(len(n)), n)
     # a word's name in its bucket: its place, and the bucket
     keys = (of.astype(U64) << U64(8)) + (U64(state["bucket"]) << U64(40))
-    return sweep_bucket(keys, counts, totals, prior, kind), of, counts.astype(np.int64)
+    seats = None if state["seats"] is None else tuple(unpack(state["seats"]))
+    return sweep_bucket(keys, counts.astype(np.int64), totals, prior, kind, seats, turn), of, counts.astype(np.int64)
+
+
+def own_tables(state: dict, tables: np.ndarray) -> np.ndarray:
+    """A bucket's tables by context."""
+    kind = unpack(state["state"])[1]
+    return np.bincount(kind, tables, minlength=state["edges"][-1]).astype("<u8")
 
 
-SEATED = "bucket int, owners array<int>, tables array<binary>, root_customers long, root_tables long"
+SEATED = "bucket int, owners array<int>, tables array<binary>, root_customers long, root_tables long, seats binary"
 
 
 def learn(states: DataFrame, places: DataFrame, prior: Prior) -> tuple[DataFrame, Shared]:
     """Rounds of sweeps; after each the restaurants' tables are summed over the buckets by their owners."""
     first = states.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("train_tokens", "known", "pairs"))).first()
-    seated = states.select("bucket", "owners", "tables")
+    seated = states.select("bucket", "owners", "tables", F.lit(None).cast("binary").alias("seats"))
 
-    def sit(shared: Shared) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def sit(shared: Shared, turn: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         def seat_bucket(state: pa.Table, rows: pa.Table) -> pa.Table:
             row = state.to_pylist()[0]
-            got, _, _ = swept(row, rows, shared, prior)
-            # whole numbers, so the sum does not depend on the order of the tasks
-            tables, edges = np.rint(got["tables"] * 1024).astype("<u8"), row["edges"]
-            out = {"bucket": row["bucket"], "owners": row["owners"], "tables": [pack(tables[i:j]) for i, j in zip(edges[:-1], edges[1:])],
-                   "root_customers": int(tables.sum()), "root_tables": int(np.rint(got["root_tables"] * 1024))}
-            kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.int64(), pa.int64()]
+            got, _, _ = swept(row, rows, shared, prior, turn)
+            tables, root_tables = got["state"]
+            here, edges = own_tables(row, tables), row["edges"]
+            out = {"bucket": row["bucket"], "owners": row["owners"], "tables": [pack(here[i:j]) for i, j in zip(edges[:-1], edges[1:])],
+                   "root_customers": int(tables.sum()), "root_tables": int(root_tables.sum()), "seats": pack(tables.astype("<u4"), root_tables.astype("<u4"))}
+            kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.int64(), pa.int64(), pa.binary()]
             return pa.table([pa.array([v], k) for v, k in zip(out.values(), kinds)], names=list(out))
 
         return seat_bucket
@@ -342,9 +520,9 @@ def learn(states: DataFrame, places: DataFrame, prior: Prior) -> tuple[DataFrame
     shared = Shared(float(first["pairs"]), float(first["known"]), int(first["known"]), int(first["train_tokens"]))
     slim = states.select("bucket", "state", "owners", "edges")
     for k in range(prior.rounds):
-        seated = stored(slim.groupBy("bucket").cogroup(told(places, seated).groupBy("bucket")).applyInArrow(sit(shared), SEATED), f"pitman-yor-round-{k}", codec="uncompressed")
+        seated = stored(slim.join(seated.select("bucket", "seats"), "bucket").groupBy("bucket").cogroup(told(places, seated).groupBy("bucket")).applyInArrow(sit(shared, k), SEATED), f"pitman-yor-round-{k}", codec="uncompressed")
         sums = seated.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("root_customers", "root_tables"))).first()
-        shared = Shared(sums["root_customers"] / 1024, sums["root_tables"] / 1024, shared.known, shared.train_tokens)
+        shared = Shared(float(sums["root_customers"]), float(sums["root_tables"]), shared.known, shared.train_tokens)
     return seated, shared
 
 
@@ -355,7 +533,7 @@ def answers(states: DataFrame, places: DataFrame, seated: DataFrame, shared: Sha
     """For every question: each pair's averaged predictive probability, each word's count."""
     def reply(state: pa.Table, rows: pa.Table) -> pa.Table:
         row = state.to_pylist()[0]
-        got, of, counts = swept(row, rows, shared, prior)
+        got, of, counts = swept(row, rows, shared, prior, prior.rounds)
         word_count = np.bincount(of, counts).astype("<u8")
         out = []
         for ask in row["asks"]:
@@ -364,7 +542,7 @@ def answers(states: DataFrame, places: DataFrame, seated: DataFrame, shared: Sha
             out.append(pack(got["key"][at].astype("<f4"), word_count[word[np.append(True, word[1:] != word[:-1])]]))
         return pa.table([pa.array(row["chunks"], pa.int64()), pa.array([row["bucket"]] * len(out), pa.int32()), pa.array(out, pa.binary())], names=["chunk", "bucket", "answer"])
 
-    slim = states.select("bucket", "state", "chunks", "asks")
+    slim = states.select("bucket", "state", "chunks", "asks").join(seated.select("bucket", "seats"), "bucket")
     return slim.groupBy("bucket").cogroup(told(places, seated).groupBy("bucket")).applyInArrow(reply, ANSWERS)
 
 

@@ -489,6 +489,26 @@ def test_seats_follow_the_restaurant():
     assert abs(got - tables.mean()) < 0.05
 
 
+@pytest.mark.parametrize("n, others", [(2, 0), (9, 3), (90, 4), (300, 40)])
+def test_tables_are_drawn_from_their_posterior(n, others):
+    """Repeated steps from kept tables give the exact conditional, by generalised Stirling numbers, for few and for many customers."""
+    prior, rows = pitman_yor.Prior(), 4000
+    d, d0 = prior.discount, prior.root_discount
+    full = lambda x: np.full(rows, float(x))
+    rest = pitman_yor.Rest(full(20), full(others), full(1), 3000.0, 800.0, 1 / 500)
+    t = np.arange(1, n + 1)
+    log_p = [pitman_yor.log_stirling(np.array([n]), np.array([k]), d)[0] + pitman_yor.log_stirling(np.array([others + k]), np.array([1]), d0)[0]
+             + math.lgamma(prior.strength / d + 20 + k) + k * math.log(d) - math.lgamma(prior.root_strength + 3000 + k) for k in t]
+    p = np.exp(np.array(log_p) - max(log_p))
+    p /= p.sum()
+    tables, customers = full(1), np.full(rows, n)
+    for k in range(150):
+        tables = pitman_yor.reseat(customers, tables, rest, prior, T.mix64(np.arange(rows, dtype=np.uint64) + np.uint64(k * rows)))
+    seen = np.bincount(tables.astype(int), minlength=n + 1)[1:] / rows
+    assert abs(seen - p).sum() / 2 < 0.05
+    assert abs(tables.mean() - (t * p).sum()) < 0.1 * max(1, (t * p).sum() / 5)
+
+
 # ---- queries
 
 def test_queries_are_registered():
