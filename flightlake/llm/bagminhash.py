@@ -196,7 +196,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands:
     near = F.least("n", "pivot_n") >= F.lit(similarity) * F.greatest("n", "pivot_n")     # a bound on the overlap
     candidates = shared.select("bucket", "node", "n", F.col("first").alias("pivot"), F.col("first_n").alias("pivot_n"))
     wanted = shared.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
-    texts = stored(source.join(wanted, "doc_id").where(F.unhex(F.md5("text")) == F.col("text_key"))
+    same = F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.unhex(F.md5("text")) == F.col("w.text_key"))
+    texts = stored(source.alias("s").join(wanted.alias("w"), same)
                    .select("node", "text").dropDuplicates(["node"]), "bag-texts")
     roots = None
     pivoted = shared.select("bucket", F.col("first").alias("node")).distinct()

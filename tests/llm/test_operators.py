@@ -141,6 +141,14 @@ def test_near_duplicates(spark, sf_docs, sf_rows, odd_docs, empty_docs):
     assert bagminhash.near_duplicates(empty_docs).count() == 0
 
 
+@pytest.mark.parametrize("ids", [(None, 5), (None, None)])
+def test_near_copies_without_an_id_are_linked(spark, ids):
+    words = [f"w{i}" for i in range(200)]
+    df = spark.createDataFrame([(ids[0], " ".join(words)), (ids[1], " ".join([*words, "more"])), (7, "another text")], "doc_id long, text string")
+    got = bagminhash.near_duplicates(df).where("doc_id IS NULL OR doc_id <> 7").collect()
+    assert [r.class_docs for r in got] == [2, 2] and sum(r.is_first for r in got) == 1
+
+
 def test_chained_near_copies_are_one_class(spark):
     """A large group of near copies, each alike to some but not to all of the others: no link is lost."""
     words = [f"w{i}" for i in range(120)]
