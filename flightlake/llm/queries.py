@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flightlake.llm import (
-    bagminhash, lpf_dedup, mixing, ordinal, packing, pii_crf, pitman_yor, repetition, token_files, topk,
+    bagminhash, bond, lpf_dedup, mixing, ordinal, packing, periodic_runs, pii_crf, pitman_yor, repetition, token_files, topk,
 )
 from flightlake.llm.runtime import table
 from flightlake.session import scratch_path
@@ -62,6 +63,17 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.language_model_scores(table(spark, sf_dir, "documents"))
 
 
+def op12_bond(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return bond.mine_hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_periods(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_token_files": op2_token_files,
@@ -73,6 +85,8 @@ QUERIES: dict[str, Query] = {
     "op8_ordinal": op8_ordinal,
     "op9_mixing": op9_mixing,
     "op10_pitman_yor": op10_pitman_yor,
+    "op12_bond": op12_bond,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: DuckDB SQL, where SQL can express the operator; the others are tested against brute force
@@ -90,5 +104,27 @@ WITH v AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM s
 QUALIFY rank <= 5
+""",
+    "op12_bond": """
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, list_inner_product(a.w, c.w)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id)::INTEGER AS positive_rank
+  FROM s WHERE alike
+  QUALIFY positive_rank <= 5
+)
+SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score, p.positive_rank,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.alike
+  AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+QUALIFY rank <= 5
 """,
 }
