@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm import (
-    bagminhash, bond, lpf_dedup, mixing, ordinal, packing, periodic_runs, pii_crf, pitman_yor, repetition, token_files, topk,
+    bagminhash, bond, curve_packing, lpf_dedup, mixing, ordinal, packing, periodic_runs, pii_crf, pitman_yor, repetition,
+    token_files, topk,
 )
 from flightlake.llm.runtime import table
 from flightlake.session import scratch_path
@@ -63,6 +64,10 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.language_model_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_packing.pack_along_curve(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op12_bond(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").withColumn(
         "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_ordinal": op8_ordinal,
     "op9_mixing": op9_mixing,
     "op10_pitman_yor": op10_pitman_yor,
+    "op11_curve_packing": op11_curve_packing,
     "op12_bond": op12_bond,
     "op13_periodic_runs": op13_periodic_runs,
 }
