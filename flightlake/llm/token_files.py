@@ -115,8 +115,9 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, style:
         beside.close()
         yield pa.RecordBatch.from_pydict({"file_no": pa.array([file_no], pa.int64()), "path": [path], "n_docs": pa.array([len(doc_ids)], pa.int64()), "n_tokens": pa.array([writer.total], pa.int64())})
 
-    sorted_docs = (id_and_text(docs, id_col, text_col).repartitionByRange("doc_id")
-                   .sortWithinPartitions("doc_id", F.xxhash64("text")))
+    # rows of one id, or of none, may be many: their texts' hashes split them
+    sorted_docs = (id_and_text(docs, id_col, text_col).withColumn("name", F.xxhash64("text"))
+                   .repartitionByRange("doc_id", "name").sortWithinPartitions("doc_id", "name").drop("name"))
     return stored(sorted_docs.mapInArrow(write, MANIFEST), "token-manifest")
 
 
@@ -155,7 +156,9 @@ def read_token_spans(manifest: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([part["doc_id"].combine_chunks(), pa.array(start[i:i + 8192] + base), pa.array(n[i:i + 8192]), pa.array(crcs[i:i + 8192])], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     placed = manifest.withColumn("base", offsets).select("file_no", "path", F.col("base").cast("long"))
-    return placed.repartition("file_no").mapInArrow(read, SPANS)
+    # a task a file, which AQE does not join: a manifest is small, what it names is not
+    files = placed.agg(F.max("file_no")).first()[0]
+    return placed.repartitionByRange((files or 0) + 1, "file_no").mapInArrow(read, SPANS)
 
 
 def token_spans(spark: SparkSession, docs: DataFrame, out_dir: str, tokenizer_path: str, **options) -> DataFrame:
