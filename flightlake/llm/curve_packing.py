@@ -11,7 +11,8 @@ powers of two, which are not padded.
 
 Token ids travel once, with the document, as 16-bit integers where the vocabulary allows. A hot key (many copies of a
 text) is split over ranges by the document's id and the hash of its ids. Places along the curve are sums within each range plus the
-sums of the ranges before it: one row a range goes through one window.
+sums of the ranges before it: one row a range goes through one window and is broadcast, at most MAX_RANGES rows
+(beyond that many, ranges grow).
 
 Null and empty texts are one piece (the end id) with the zero vector; equal keys stand in the order of
 doc_id; rows with the same doc_id, or none, are packed each for itself; a text longer than the
@@ -35,6 +36,7 @@ from flightlake.llm.runtime import bounded_batches, id_and_text, parts_for, stor
 
 ENCODED = "doc_id long, n_tokens long, ids binary, place array<float>"
 LAID = "doc_id long, n_tokens long, ids binary, part long, before long"
+MAX_RANGES = 50_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -165,7 +167,7 @@ def pack_along_curve(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capa
             before += int(n.sum())
 
     keyed = rows.select("doc_id", "n_tokens", "ids", key("place").alias("key"), F.xxhash64("ids").alias("name"))
-    ranges = parts_for(spark, total, part_tokens, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = min(MAX_RANGES, parts_for(spark, total, part_tokens, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     along = keyed.repartitionByRange(ranges, "key", "doc_id", "name").sortWithinPartitions("key", "doc_id", "name")
     laid = stored(along.select("doc_id", "n_tokens", "ids").mapInArrow(lay, LAID), "curve-laid")
     ends = laid.groupBy("part").agg(F.sum("n_tokens").alias("n"))
@@ -182,5 +184,5 @@ def pack_along_curve(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capa
             columns = zip(*out) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    placed = laid.join(bases, "part").select("doc_id", "n_tokens", "ids", (F.col("base") + F.col("before")).cast("long").alias("begin"))
+    placed = laid.join(F.broadcast(bases), "part").select("doc_id", "n_tokens", "ids", (F.col("base") + F.col("before")).cast("long").alias("begin"))
     return placed.mapInArrow(pieces, PIECES)
