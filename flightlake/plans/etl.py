@@ -23,14 +23,13 @@ from pyspark.sql import functions as F
 
 from flightlake import schemas
 from flightlake.functions.geo import radius_to_half_widths
-from flightlake.functions.time import run_label
 from flightlake.operators import ingest as E
 from flightlake.plans import reports as R
 from flightlake.session import remove_scratch, scratch_path
 from flightlake.sinks.results import write_csv_result
-from flightlake.sinks.snapshots import commit_run, write_parquet_snapshot
+from flightlake.sinks.snapshots import commit_run, committed_tries, label_of, write_parquet_snapshot
 from flightlake.sources.landed_json import POSITION, read_json_text, read_landed_json
-from flightlake.sources.parquet import committed_run, read_latest_snapshot
+from flightlake.sources.parquet import read_latest_snapshot
 
 # --- fixed values: dataset and result folder names users already rely on ---
 DATASETS = ["airlines", "zctinent", "znctry", "zncty", "airport", "znctyn", "flight", "acflight", "flctry"]
@@ -162,30 +161,38 @@ def extract(spark: SparkSession, landing: str, lake: str, run_ts: str | None = N
             radius_m: float | None = None, parallel: int = PARALLEL_JOBS) -> dict[str, DataFrame]:
     """Write the nine tables as snapshots under ``<lake>/<Dataset>/rawzone``, the bad
     documents of all four kinds under ``<lake>/Quarantine``, all with the same run time, and
-    then record the run. A re-run of the same time replaces its content. Returns the
+    then record the run. A re-run of the same time replaces its content, for readers at one moment. Returns the
     quarantined documents (``record``) per kind, as stored."""
     staging = Staging()
-    tables, quarantine = build_tables(spark, landing, radius_m, stage=staging)
     ts = F.lit(run_ts).cast("timestamp") if run_ts else F.lit(datetime.now(timezone.utc))
-    jobs = [lambda n=name: write_parquet_snapshot(tables[n], dataset_root(lake, n), ts) for name in DATASETS]
-    jobs += [lambda k=kind: write_parquet_snapshot(quarantine[k], quarantine_root(lake, k), ts) for kind in DOCUMENT_KINDS]
-    run_jobs(jobs, parallel)
-    commit_run(spark, lake, ts, DATASETS)
-    staging.close(spark)
-    run = spark.range(1).select(run_label(ts)).first()[0]
-    return {k: read_latest_snapshot(spark, quarantine_root(lake, k), quarantine[k].schema, run=run).select("record")
-            for k in DOCUMENT_KINDS}
+    run, tries = label_of(spark, ts), {}
+    try:
+        tables, quarantine = build_tables(spark, landing, radius_m, stage=staging)
+
+        def write(name: str, df: DataFrame, root: str) -> None:
+            tries[name] = write_parquet_snapshot(df, root, ts)
+
+        jobs = [lambda n=name: write(n, tables[n], dataset_root(lake, n)) for name in DATASETS]
+        jobs += [lambda k=kind, df=df: write(f"quarantine {k}", df, quarantine_root(lake, k)) for kind, df in quarantine.items()]
+        run_jobs(jobs, parallel)
+        commit_run(spark, lake, ts, tries)
+    finally:
+        staging.close(spark)
+    return {k: read_latest_snapshot(spark, quarantine_root(lake, k), df.schema, run=run, try_id=tries[f"quarantine {k}"]).select("record")
+            for k, df in quarantine.items()}
 
 
 def load_latest(spark: SparkSession, lake: str, as_of: str | None = None) -> R.Tables:
     """The six tables the reports read, all from the newest run (at or before ``as_of``) that
-    was recorded as complete, so that the datasets never come from different runs."""
-    run = committed_run(spark, lake, REPORT_DATASETS, as_of)
-    if run is None:
+    was recorded as complete, so that the datasets never come from different runs or tries."""
+    found = committed_tries(spark, lake, REPORT_DATASETS, as_of)
+    if found is None:
         raise ValueError(f"no complete run in {lake}" + (f" at or before {as_of}" if as_of else ""))
 
+    run, tries = found
+
     def one(name):
-        df = read_latest_snapshot(spark, dataset_root(lake, name), schemas.TABLES[name], run=run)
+        df = read_latest_snapshot(spark, dataset_root(lake, name), schemas.TABLES[name], run=run, try_id=tries[name])
         return df.select(*schemas.TABLES[name].fieldNames())
 
     return R.Tables(**{n: one(n) for n in REPORT_DATASETS})

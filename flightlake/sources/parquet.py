@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flightlake.functions.time import run_label
-from flightlake.sinks.snapshots import PARTITION_COLUMNS, RUNS_FOLDER, RUNS_SCHEMA, snapshot_read_schema
+from flightlake.sinks.manifests import TRY_COLUMN, Store, folder_of, records, runs_newest_first
+from flightlake.sinks.snapshots import committed_tries, label_of, snapshot_read_schema
 
 
 def check_columns(df: DataFrame, expected: StructType | list[str]) -> DataFrame:
@@ -32,50 +32,58 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     return spark.read.schema(schema).parquet(path)
 
 
-def read_snapshots(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
-    """All snapshots of one dataset written by sinks.snapshots: data columns, snapshot_ts and the
-    partition columns, always as text (without a schema, the files' own is read from a footer)."""
+def _open(spark: SparkSession, root: str, files: list[str], schema: StructType | None) -> DataFrame:
+    """Data files of a dataset, with the partition columns of their folders; no folder is listed."""
     if schema is None:
-        schema = spark.read.option("basePath", root).parquet(root).schema
-    return spark.read.schema(snapshot_read_schema(schema)).option("basePath", root).parquet(root)
+        if not files:
+            raise ValueError(f"no snapshot in {root}, and no schema for an empty one")
+        schema = spark.read.option("basePath", root).parquet(files[0]).schema
+    schema = snapshot_read_schema(schema)
+    df = spark.read.schema(schema).option("basePath", root).parquet(*files) if files else spark.createDataFrame([], schema)
+    return df.drop(TRY_COLUMN)
 
 
-def snapshot_runs(spark: SparkSession, root: str) -> list[str]:
-    """Names of a dataset's runs in time order, from its directories alone (one name a run)."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path("/".join([root, *[f"{c}=*" for c in PARTITION_COLUMNS]]))
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted({f.getPath().getName().removeprefix("run=") for f in (found or [])})
+def _files(folder: str, record: dict) -> list[str]:
+    return [f"{folder}/{TRY_COLUMN}={record['try']}/{name}" for name, _ in record["files"]]
 
 
-def _label(spark: SparkSession, ts: str) -> str:
-    """The run name of a timestamp string, read in the session's time zone."""
-    return spark.range(1).select(run_label(F.lit(ts).cast("timestamp"))).first()[0]
+def read_snapshots(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
+    """All snapshots of one dataset written by sinks.snapshots, each by the try that holds: data columns, snapshot_ts and the
+    partition columns, always as text (without a schema, the files' own is read from a footer)."""
+    root = root.rstrip("/")
+    store = Store(spark, root)
+    held = ((folder, records(store, folder)[-1:]) for _, folder in runs_newest_first(store, root))
+    return _open(spark, root, [f for folder, last in held for r in last for f in _files(folder, r)], schema)
+
+
+def snapshot_runs(spark: SparkSession, root: str) -> list[str]:
+    """Names of a dataset's runs in time order (this lists them all; the newest is found without)."""
+    return sorted(label for label, _ in runs_newest_first(Store(spark, root), root))
 
 
 def committed_run(spark: SparkSession, lake: str, datasets: list[str], as_of: str | None = None) -> str | None:
     """The newest run (at or before ``as_of``) that was recorded with all of datasets; None if there is none."""
-    runs = spark.read.schema(RUNS_SCHEMA).parquet(f"{lake}/{RUNS_FOLDER}").where(
-        F.size(F.array_except(F.array(*[F.lit(d) for d in datasets]), "datasets")) == 0)
-    if as_of is not None:
-        runs = runs.where(F.col("snapshot_ts") <= F.lit(as_of).cast("timestamp"))
-    return runs.agg(F.max("run")).first()[0]
+    found = committed_tries(spark, lake, datasets, as_of)
+    return found[0] if found else None
 
 
 # S2
 def read_latest_snapshot(spark: SparkSession, root: str, schema: StructType | None = None,
-                         as_of: str | None = None, run: str | None = None) -> DataFrame:
-    """Rows of one run of a dataset: ``run``, or the newest (at or before ``as_of``).
+                         as_of: str | None = None, run: str | None = None, try_id: str | None = None) -> DataFrame:
+    """Rows of one run of a dataset: ``run``, or the newest (at or before ``as_of``) that was written whole.
 
-    The run is found among the directory names, which sort in time order, and read as a
-    literal partition filter, so no file of another run is opened.
+    The run is found by going down the newest folders, and its record names the files of the try
+    that holds (or of ``try_id``): those are opened, and neither files nor folders of other runs are listed. The run is also a
+    literal partition filter.
     """
-    if run is None:
-        runs = snapshot_runs(spark, root)
-        if as_of is not None:
-            last = _label(spark, as_of)
-            runs = [r for r in runs if r <= last]
-        run = runs[-1] if runs else ""
-    return read_snapshots(spark, root, schema).where(F.col("run") == F.lit(run))
+    root = root.rstrip("/")
+    store = Store(spark, root)
+    found = [(run, f"{root}/{folder_of(run)}")] if run else runs_newest_first(store, root, label_of(spark, as_of) if as_of else None)
+    for label, folder in found:
+        held = [r for r in records(store, folder) if try_id in (None, r["try"])]
+        if held:
+            return _open(spark, root, _files(folder, held[-1]), schema).where(F.col("run") == F.lit(label))
+    return _open(spark, root, [], schema)
 
 
 def latest_snapshot(df: DataFrame, ts_col: str = "snapshot_ts", as_of: str | None = None) -> DataFrame:

@@ -122,3 +122,84 @@ def test_labels_and_latest_independent_of_session_zone(spark, tmp_out):
         assert sorted(r.Name for r in got.collect()) == ["utc-a", "utc-b"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+class CountedStore:
+    """Counts what a reader lists."""
+
+    def __init__(self, monkeypatch):
+        from flightlake.sinks import manifests
+        self.listed = []
+        names = manifests.Store.names
+
+        def counted(store, folder):
+            found = names(store, folder)
+            self.listed += [n for n, _ in found]
+            return found
+
+        monkeypatch.setattr(manifests.Store, "names", counted)
+
+
+def test_newest_run_is_found_without_the_history(spark, tmp_out, monkeypatch):
+    """S2: with 3 and with 300 runs of two files, a reader lists about as many names and opens as many files."""
+    seen = {}
+    for n in (3, 300):
+        root = f"{tmp_out}/runs{n}"
+        df = spark.range(2 * n).selectExpr("id", f"timestamp '2024-01-01 00:00:00' + make_dt_interval(0, int(id % {n})) as t")
+        write_parquet_snapshot(df.repartition(2, "id"), root, F.col("t"))
+        counted = CountedStore(monkeypatch)
+        got = read_latest_snapshot(spark, root, df.select("id").schema)
+        seen[n] = (len(counted.listed), len(got.inputFiles()))
+        monkeypatch.undo()
+        assert sorted(r.id for r in got.collect()) == [n - 1, 2 * n - 1]
+        assert len(snapshot_runs(spark, root)) == n
+        middle = read_latest_snapshot(spark, root, df.select("id").schema, as_of="2024-01-01 01:30:00")
+        assert {r.id % n for r in middle.collect()} == {1}
+    assert seen[300][0] <= seen[3][0] + 60 and seen[300][1] <= 2        # 13 days and 24 hours at most
+
+
+def test_runs_at_or_before_a_time_cross_folders(spark, tmp_out):
+    root = f"{tmp_out}/airlines"
+    for ts in ("2023-12-31 23:00:00", "2024-03-01 10:05:00", "2025-01-01 00:00:00"):
+        write_parquet_snapshot(_airlines(spark, ts[:4]), root, ts)
+    for as_of, tag in (("2024-01-15 00:00:00", "2023"), ("2024-03-01 10:05:00", "2024"), ("2024-12-31 00:00:00", "2024"), ("2030-01-01 00:00:00", "2025")):
+        assert {r.Name[:4] for r in read_latest_snapshot(spark, root, schemas.AIRLINES, as_of=as_of).collect()} == {tag}
+    assert read_latest_snapshot(spark, root, schemas.AIRLINES, as_of="2023-01-01 00:00:00").count() == 0
+
+
+def test_readers_see_one_whole_try(spark, tmp_out):
+    """K1: a reader that opened a run before its re-run reads what it opened; a later one reads the new try whole."""
+    from flightlake.sinks.snapshots import remove_old_tries
+    root, ts = f"{tmp_out}/airlines", "2024-03-01 10:05:00"
+    first = write_parquet_snapshot(_airlines(spark, "first"), root, ts)
+    opened = read_latest_snapshot(spark, root, schemas.AIRLINES)
+    again = write_parquet_snapshot(_airlines(spark, "again"), root, ts)
+    assert sorted(r.Name for r in opened.collect()) == ["first-a", "first-b"]
+    assert sorted(r.Name for r in read_latest_snapshot(spark, root, schemas.AIRLINES).collect()) == ["again-a", "again-b"]
+    assert sorted(r.Name for r in read_latest_snapshot(spark, root, schemas.AIRLINES, run="20240301T100500000000", try_id=first).collect()) == ["first-a", "first-b"]
+    assert remove_old_tries(spark, root, "20240301T100500000000") == [first] and first != again
+    assert read_latest_snapshot(spark, root, schemas.AIRLINES).count() == 2
+
+
+def test_failed_rerun_changes_nothing(spark, tmp_out):
+    root, ts = f"{tmp_out}/airlines", "2024-03-01 10:05:00"
+    write_parquet_snapshot(_airlines(spark, "first"), root, ts)
+    broken = _airlines(spark, "second").repartition(2, "Name").withColumn(
+        "Code", F.when(F.col("Name") == "second-b", F.raise_error(F.lit("stop")).cast("string")).otherwise(F.col("Code")))
+    try:
+        write_parquet_snapshot(broken, root, ts)
+        raise AssertionError("the write must fail")
+    except Exception as e:
+        assert "stop" in str(e)
+    assert sorted(r.Name for r in read_latest_snapshot(spark, root, schemas.AIRLINES).collect()) == ["first-a", "first-b"]
+    assert sorted(r.Name for r in read_snapshots(spark, root, schemas.AIRLINES).collect()) == ["first-a", "first-b"]
+
+
+def test_unrecorded_files_are_not_read(spark, tmp_out):
+    """Files that a writer left without a record, as when its driver is lost before the commit."""
+    root, ts = f"{tmp_out}/airlines", "2024-03-01 10:05:00"
+    write_parquet_snapshot(_airlines(spark, "first"), root, ts)
+    folder = f"{root}/tech_year=2024/tech_month=2024-03/tech_day=2024-03-01/tech_hour=10/run=20240301T100500000000"
+    _airlines(spark, "lost").write.parquet(f"{folder}/try=lost")
+    assert read_latest_snapshot(spark, root, schemas.AIRLINES).count() == 2
+    assert read_snapshots(spark, root, schemas.AIRLINES).count() == 2
