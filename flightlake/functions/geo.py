@@ -52,9 +52,19 @@ def radius_to_half_widths(radius_m, lat) -> tuple[Column, Column]:
     """Half widths in degrees of the box enclosing a circle of ``radius_m`` metres.
 
     A circle that holds a pole, or is wider than the globe, spans all longitudes
-    (half width 360, so that the box holds them from any centre)."""
+    (half width 361, so that the box holds them, both ends too, from any centre)."""
     radius_m, lat = _c(radius_m), _c(lat)
     half_lat = radius_m / F.lit(METERS_PER_DEGREE)
     half_lon = radius_m / (F.lit(METERS_PER_DEGREE) * F.greatest(F.cos(F.radians(lat)), F.lit(1e-9)))
     round_pole = (F.abs(lat) + half_lat >= 90.0) | (half_lon >= 180.0)
-    return half_lat, F.when(round_pole, F.lit(360.0)).otherwise(half_lon)
+    return half_lat, F.when(round_pole, F.lit(361.0)).otherwise(half_lon)
+
+
+def circle_half_widths(radius_m, lat) -> tuple[Column, Column]:
+    """Half widths in degrees of the least box that holds a circle on the globe (a little more, for rounding);
+    all longitudes for a circle that holds a pole."""
+    angle = _c(radius_m) / F.lit(1000.0 * EARTH_RADIUS_KM)
+    half_lat = F.degrees(angle) + F.lit(1e-6)
+    reach = F.sin(F.least(angle, F.lit(1.5707963267948966))) / F.greatest(F.cos(F.radians(_c(lat))), F.lit(1e-12))
+    half_lon = F.degrees(F.asin(F.least(reach, F.lit(1.0)))) + F.lit(1e-6)
+    return half_lat, F.when(F.abs(_c(lat)) + half_lat >= 90.0, F.lit(361.0)).otherwise(half_lon)

@@ -7,7 +7,7 @@ the work is partitioned like any other scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -41,26 +41,67 @@ def split_bad_records(parsed: DataFrame, corrupt_col: str = schemas.CORRUPT_COLU
 def split_bad_zones(docs: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good, quarantine) of zones documents, whose keys are data: a map has no place for the raw
     text of a bad one, so a text that gives no map is bad. Both keep their text."""
-    no_map = parse_json(text_col, schemas.ZONES_DOC).isNull()
+    no_map = F.from_json(F.col(text_col), ZONE_MAP).isNull()
     return docs.where(~no_map), docs.where(no_map)
 
 
+#: zones by name, in the document's order; a zone's value stays untyped until a field of it is asked for
+ZONE_MAP = "map<string,variant>"
+LEVELS = ["continent", "country", "city"]
+
+
+def zone_entries(docs: DataFrame, text_col: str = "value", keep: tuple[str, ...] = ()) -> list[DataFrame]:
+    """The zones of each of the three levels: columns ``keep`` of docs, zone, parent, zone_pos (place among its
+    neighbours), the corners as double, whatever their JSON form (null: absent or no number),
+    and ``record``: the text of a zone that has a bad corner or subzones that are no object, else null."""
+    subzones = F.try_variant_get(F.col("_v"), "$.subzones", ZONE_MAP)
+    any_subzones = F.try_variant_get(F.col("_v"), "$.subzones", "variant")
+    levels, rows = [], docs.select(*keep, F.lit(None).cast("string").alias("parent"),
+                                   F.posexplode(F.from_json(F.col(text_col), ZONE_MAP)).alias("zone_pos", "zone", "_v"))
+    for _ in LEVELS:
+        corners = [F.try_variant_get(F.col("_v"), f"$.{c}", "double") for c in BOX_COLUMNS]
+        whole = F.lit(True)
+        for c in corners:
+            whole &= c.isNotNull()
+        whole &= subzones.isNotNull() | any_subzones.isNull() | F.is_variant_null(any_subzones)
+        record = F.when(~whole, F.to_json(F.create_map("zone", "_v")))
+        levels.append(rows.select(*keep, "zone", "parent", "zone_pos", *[x.alias(c) for x, c in zip(corners, BOX_COLUMNS)], record.alias("record")))
+        rows = rows.select(*keep, F.col("zone").alias("parent"), F.posexplode(subzones).alias("zone_pos", "zone", "_v"))
+    return levels
+
+
+def _with_box(entries: DataFrame) -> DataFrame:
+    whole = F.lit(True)
+    for c in BOX_COLUMNS:
+        whole &= F.col(c).isNotNull()
+    return entries.where(whole)
+
+
+# E11, below the documents
+def bad_zone_records(docs: DataFrame, text_col: str = "value") -> DataFrame:
+    """``record`` of every zone that can't be read whole (the original's float() failed there and
+    with it the whole extraction): {zone: its value}. The other zones of the document go on, those below it too."""
+    bad = [level.where(F.col("record").isNotNull()).select("record") for level in zone_entries(docs, text_col)]
+    return bad[0].unionByName(bad[1]).unionByName(bad[2])
+
+
 # E1 + E2
 def flatten_zones(docs: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Zones documents (map zone -> box + subzones, three levels) to the
     continent, country and city tables. A zone without subzones adds no child
     row (plain explode). Box values are read as double whatever their JSON
-    number form."""
-    m = docs.select(parse_json(text_col, schemas.ZONES_DOC).alias("_m"))
-    cont = m.select(F.explode("_m").alias("zone", "_z"))
-    continents = cont.select("zone", *[F.col(f"_z.{c}").alias(c) for c in BOX_COLUMNS])
-    ctry = cont.select(F.col("zone").alias("_parent"), F.explode("_z.subzones").alias("zone", "_z"))
-    countries = ctry.select("zone", *[F.col(f"_z.{c}").alias(c) for c in BOX_COLUMNS],
-                            F.col("_parent").alias("continent"))
-    city = ctry.select(F.col("zone").alias("_parent"), F.explode("_z.subzones").alias("zone", "_z"))
-    cities = city.select("zone", *[F.col(f"_z.{c}").alias(c) for c in BOX_COLUMNS],
-                         F.col("_parent").alias("country"))
-    return continents, countries, cities
+    number form; a zone with a corner that is no number is in no table (bad_zone_records)."""
+    cont, ctry, city = (_with_box(level) for level in zone_entries(docs, text_col))
+    return (cont.select("zone", *BOX_COLUMNS), ctry.select("zone", *BOX_COLUMNS, F.col("parent").alias("continent")),
+            city.select("zone", *BOX_COLUMNS, F.col("parent").alias("country")))
+
+
+def zone_order(docs: DataFrame, position: str, text_col: str = "value") -> DataFrame:
+    """The continents with ``zone_ord``, their number in landed order (document, then place in it). The numbers
+    come from one window: a run's documents name a handful of continents."""
+    cont = _with_box(zone_entries(docs, text_col, keep=(position,))[0])
+    number = F.row_number().over(Window.orderBy(position, "zone_pos")) - 1
+    return cont.select("zone", *BOX_COLUMNS, number.alias("zone_ord"))
 
 
 # E2
@@ -128,6 +169,30 @@ def first_match_per_country(matches: DataFrame, country: str, values: list[str],
     return first.select(country, *values).dropDuplicates([country])
 
 
+#: zones that one order can number; points may then have 2^43 ranks
+MAX_ZONES = 1 << 20
+
+
+def first_zone_per_country(points: DataFrame, zones: DataFrame, country: str, values: list[str], point_ord: str,
+                           zone_ord: str = "zone_ord", lat: str = "latitude", lon: str = "longitude",
+                           zone_alias: str = "continent") -> DataFrame:
+    """One row per country: ``values`` of its first point (by the long ``point_ord``, one of its own each, 0 or more) that lies in a
+    zone, and the first such zone (by ``zone_ord``).
+
+    Both orders make one long, so the range join, which carries no more than the country and that
+    long, goes through one hash aggregate with a map-side step; the values are then looked up by the
+    two orders of the winners, a row a country. Null countries are one country."""
+    matches = locate_in_zones(points.select(country, lat, lon, point_ord), zones.select("zone", *BOX_COLUMNS, zone_ord), lat, lon)
+    p, z = F.col(point_ord).cast("long"), F.col(zone_ord).cast("long")
+    fits = (p >= 0) & (p < F.lit(1 << 43)) & (z >= 0) & (z < F.lit(MAX_ZONES))
+    order = F.when(fits, p * F.lit(MAX_ZONES) + z).otherwise(F.raise_error(F.lit("orders must be 0 or more, below 2^43 and 2^20")).cast("long"))
+    first = matches.groupBy(country).agg(F.min(order).alias("_o")).select(
+        F.col(country), F.shiftright("_o", 20).alias("_fp"), F.col("_o").bitwiseAND(F.lit(MAX_ZONES - 1)).alias("_fz"))
+    looked_up = first.join(points.select(F.col(point_ord).cast("long").alias("_fp"), *values), "_fp")
+    named = looked_up.join(zones.select(F.col(zone_ord).cast("long").alias("_fz"), F.col("zone").alias(zone_alias)), "_fz")
+    return named.select(country, *values, zone_alias)
+
+
 # E7
 def last_trail_point(trail: Column | str) -> Column:
     """Last element of an array; null for an empty or null array."""
@@ -222,11 +287,12 @@ def acflight_projection(docs: DataFrame, first_char_only: bool = False) -> DataF
 # E12
 def flights_over_country(points: DataFrame, flights: DataFrame, half_lat, half_lon, point_lat: str = "latitude",
                          point_lon: str = "longitude", flight_lat: str = "latitude",
-                         flight_lon: str = "longitude") -> DataFrame:
+                         flight_lon: str = "longitude", wrap: bool = True) -> DataFrame:
     """(country, continent, id_flight) for every flight inside the box around
     each country's representative point. A flight may be seen over several
     countries; every match is kept. ``half_lat``/``half_lon`` are degrees,
-    literal or per-point columns (see functions.geo.radius_to_half_widths)."""
+    literal or per-point columns (see functions.geo.radius_to_half_widths). A box goes on beyond
+    the date line (``wrap``); without, it ends there."""
     box = box_around(F.col(point_lat), F.col(point_lon), half_lat, half_lon)
     boxes = points.select(
         F.col("zone_country").alias("country"), F.col("continent"),
@@ -235,5 +301,5 @@ def flights_over_country(points: DataFrame, flights: DataFrame, half_lat, half_l
     fl = flights.select(F.col("flight_id").alias("id_flight"),
                         F.col(flight_lat).alias("_f_lat"), F.col(flight_lon).alias("_f_lon"))
     j = point_in_box_join(fl, boxes, lat="_f_lat", lon="_f_lon",
-                          corners=("_b_tl_y", "_b_tl_x", "_b_br_y", "_b_br_x"))
+                          corners=("_b_tl_y", "_b_tl_x", "_b_br_y", "_b_br_x"), wrap=wrap)
     return j.select("country", "continent", "id_flight")

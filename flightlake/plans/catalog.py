@@ -25,13 +25,14 @@ from flightlake.operators.aggregates import (
 from flightlake.operators.joins import (
     join_airline, join_origin_airport, join_role_playing_dims, lookup_by_key, mean_over_m2m_join,
 )
+from flightlake.operators.range_join import within_radius_join
 from flightlake.operators.ranking import dense_rank_top_n, order_by_desc, top1_row, top_n
 from flightlake.plans import fixtures as X
 from flightlake.plans import reports as R
 from flightlake.session import scratch_path
 from flightlake.sinks.results import write_csv_result
 from flightlake.sinks.snapshots import write_parquet_snapshot
-from flightlake.sources.landed_json import read_landed_json
+from flightlake.sources.landed_json import read_landed_json, stitch_details
 from flightlake.sources.parquet import read_latest_snapshot, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,10 +207,26 @@ def q_point_in_box_grid(spark, d):
 
 
 def q_first_match_per_country(spark, d):
-    m = customers_in_zones(spark, d).withColumn("zone_country", F.col("c_nationkey").cast("string"))
-    return E.first_match_per_country(
-        m.withColumnRenamed("zone_name", "continent"), "zone_country",
-        ["latitude", "longitude", "continent"], ["c_custkey", "zone_ord"])
+    points = X.customer_positions(spark, d).withColumn("zone_country", F.col("c_nationkey").cast("string"))
+    return E.first_zone_per_country(points, X.zones(spark), "zone_country", ["latitude", "longitude"], "c_custkey")
+
+
+def q_skip_bad_zones(spark, d):
+    """The zones that can be read, on all three levels, and the text of those that can't."""
+    docs = X.zone_documents_with_bad_corners(spark, d)
+    continents, countries, cities = E.flatten_zones(docs)
+    good = continents.select("zone").unionByName(countries.select("zone")).unionByName(cities.select("zone"))
+    bad = E.bad_zone_records(docs).select(F.lit(None).cast("string").alias("zone"), F.col("record").alias("bad_record"))
+    return good.withColumn("bad_record", F.lit(None).cast("string")).unionByName(bad)
+
+
+def q_landed_details_apart(spark, d):
+    """Flight list and details landed apart, twice each: the newest of both, stitched and flattened."""
+    landing = scratch_path(spark, "landed-apart")
+    X.land_flights_apart(spark, d, landing)
+    listed, _ = E.split_bad_records(read_landed_json(spark, f"{landing}/flights", schemas.FLIGHT_DOC, with_position=True))
+    details, _ = E.split_bad_records(read_landed_json(spark, f"{landing}/details", schemas.FLIGHT_DETAILS_DOC, with_position=True))
+    return E.flatten_flights(stitch_details(listed, details))
 
 
 def parsed_flight_docs(spark, d) -> DataFrame:
@@ -247,15 +264,31 @@ def q_live_subset(spark, d):
 
 
 def q_flights_over_country(spark, d):
+    """Boxes that end at the date line."""
+    return E.flights_over_country(X.znctyn(spark, d), X.acflight(spark, d),
+                                  F.lit(X.COUNTRY_BOX_HALF_LAT), F.lit(X.COUNTRY_BOX_HALF_LON), wrap=False)
+
+
+def q_flights_over_country_wrapped(spark, d):
+    """The same boxes going on beyond the date line."""
     return E.flights_over_country(X.znctyn(spark, d), X.acflight(spark, d),
                                   F.lit(X.COUNTRY_BOX_HALF_LAT), F.lit(X.COUNTRY_BOX_HALF_LON))
 
 
+def q_customers_within_radius(spark, d):
+    """Customers within RADIUS_M of a country's point, on the globe."""
+    centres = X.znctyn(spark, d).select("zone_country", F.col("latitude").alias("centre_latitude"), F.col("longitude").alias("centre_longitude"))
+    pairs = within_radius_join(X.customer_positions(spark, d), centres, X.RADIUS_M)
+    return pairs.select("c_custkey", "zone_country", F.round("distance_km", 6).alias("distance_km"))
+
+
 # --- cleaning --------------------------------------------------------------------
 
 def q_drop_duplicates(spark, d):
-    li = X.table(spark, d, "lineitem", ["l_orderkey", "l_linenumber"])
-    return C.drop_duplicates(li)
+    """Whole order lines, those of line number 1 landed twice."""
+    li = X.table(spark, d, "lineitem")
+    rows = C.drop_duplicates(li.unionByName(li.where("l_linenumber = 1")))
+    return rows.withColumn("l_shipdate_epoch", epoch_seconds("l_shipdate")).drop("l_shipdate")
 
 
 def q_lowercase_columns(spark, d):
@@ -412,7 +445,11 @@ QUERIES.update({
     "distance_from_origin": q_distance_from_origin,
     "live_subset": q_live_subset,
     "skip_bad_records": q_skip_bad_records,
+    "skip_bad_zones": q_skip_bad_zones,
+    "landed_details_apart": q_landed_details_apart,
     "flights_over_country": q_flights_over_country,
+    "flights_over_country_wrapped": q_flights_over_country_wrapped,
+    "customers_within_radius": q_customers_within_radius,
     "drop_duplicates": q_drop_duplicates,
     "lowercase_columns": q_lowercase_columns,
     "fill_nulls_by_type": q_fill_nulls_by_type,

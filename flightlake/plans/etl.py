@@ -10,7 +10,8 @@ Landing layout (one folder per document kind, JSON lines):
     <landing>/airlines   schemas.AIRLINE_DOC
     <landing>/zones      one zones map per line (schemas.ZONES_DOC)
     <landing>/airports   schemas.AIRPORT_DOC
-    <landing>/flights    schemas.FLIGHT_DOC (list entry + details)
+    <landing>/flights    schemas.FLIGHT_DOC (list entry, with its details or without)
+    <landing>/details    schemas.FLIGHT_DETAILS_DOC, where details land apart from the list
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ from flightlake.functions.geo import radius_to_half_widths
 from flightlake.operators import ingest as E
 from flightlake.plans import reports as R
 from flightlake.session import remove_scratch, scratch_path
+from flightlake.sinks.manifests import Store
 from flightlake.sinks.results import write_csv_result
 from flightlake.sinks.snapshots import commit_run, committed_tries, label_of, write_parquet_snapshot
-from flightlake.sources.landed_json import POSITION, read_json_text, read_landed_json
+from flightlake.sources.landed_json import POSITION, landing_rank, read_json_text, read_landed_json, stitch_details
 from flightlake.sources.parquet import read_latest_snapshot
 
 # --- fixed values: dataset and result folder names users already rely on ---
@@ -116,31 +118,27 @@ def build_tables(spark: SparkSession, landing: str, radius_m: float | None = Non
     out["airlines"] = airlines.select(*schemas.AIRLINES.fieldNames())
 
     zones, bad_zones = E.split_bad_zones(read_json_text(spark, f"{landing}/zones", with_position=True))
-    quarantine["zones"] = bad_zones.select(F.col("value").alias("record"))
+    quarantine["zones"] = bad_zones.select(F.col("value").alias("record")).unionByName(E.bad_zone_records(zones))
     out["zctinent"], out["znctry"], out["zncty"] = E.flatten_zones(zones)
 
     # airport order: position in the landed files (T3: the first match wins)
     airports_raw = _good(stage(spark, read_landed_json(spark, f"{landing}/airports", schemas.AIRPORT_DOC,
                                                        with_position=True), "airports"),
                          quarantine, "airports")
-    airports_raw = airports_raw.withColumnRenamed(POSITION, "airport_ord")
     out["airport"] = E.project_airports(airports_raw)
-
-    # continent order: landed position of the document, then of the zone in it
-    z = zones.select(POSITION, F.posexplode(E.parse_json("value", schemas.ZONES_DOC)).alias("_zpos", "zone", "_z"))
-    continents = z.select("zone", F.struct(POSITION, "_zpos").alias("zone_ord"),
-                          *[F.col(f"_z.{c}").alias(c) for c in E.BOX_COLUMNS])
-    located = E.locate_in_zones(
-        airports_raw.select("latitude", "longitude", F.col("altitude").cast("int").alias("altitude"), "country", "airport_ord"),
-        continents)
-    first = E.first_match_per_country(
-        located.withColumnRenamed("zone_name", "continent"), "country",
-        ["latitude", "longitude", "altitude", "continent"], ["airport_ord", "zone_ord"])
+    first = E.first_zone_per_country(
+        landing_rank(airports_raw, alias="airport_ord").withColumn("altitude", F.col("altitude").cast("int")),
+        E.zone_order(zones, POSITION), "country", ["latitude", "longitude", "altitude"], "airport_ord")
     out["znctyn"] = stage(spark, first.select(F.col("country").alias("zone_country"), "latitude", "longitude",
                                               "altitude", "continent"), "znctyn")
 
-    flights = _good(stage(spark, read_landed_json(spark, f"{landing}/flights", schemas.FLIGHT_DOC), "flights"),
+    details_apart = bool(Store(spark, landing).names(f"{landing}/details"))
+    flights = _good(stage(spark, read_landed_json(spark, f"{landing}/flights", schemas.FLIGHT_DOC, with_position=details_apart), "flights"),
                     quarantine, "flights")
+    if details_apart:
+        details = _good(stage(spark, read_landed_json(spark, f"{landing}/details", schemas.FLIGHT_DETAILS_DOC, with_position=True), "details"),
+                        quarantine, "details")
+        flights = stage(spark, stitch_details(flights, details), "stitched")
     out["flight"] = E.flatten_flights(flights)
     live = E.distance_from_origin(E.live_subset(flights), out["airport"])
     out["acflight"] = E.acflight_projection(live)

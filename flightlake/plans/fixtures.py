@@ -41,6 +41,8 @@ ZONE_BOXES = [
 # Half size in degrees of the box around a country point (flights over a country).
 COUNTRY_BOX_HALF_LAT = 45.0
 COUNTRY_BOX_HALF_LON = 60.0
+# Radius in metres around a country point (customers within a radius): circles over poles and date line are among them.
+RADIUS_M = 3_000_000.0
 # Half size in degrees of the zone boxes in the landed zones documents.
 NATION_BOX_HALF = 5.0
 REGION_BOX_HALF = 20.0
@@ -345,3 +347,41 @@ def land_documents(spark: SparkSession, sf_dir: str, landing: str) -> None:
 
     docs = flight_documents_json(spark, sf_dir, origin="o_custkey", destination="l_suppkey", position="l_partkey")
     docs.write.mode("overwrite").text(f"{landing}/flights")
+
+
+# --- flights whose details land apart -------------------------------------------
+
+# Orders as listed flights; those of priority '5-LOW' never get details. Both kinds land twice, a stale
+# batch (position and times of another key, no trail) and then the one that holds.
+def land_flights_apart(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    o = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
+
+    def listed(position: str, by: str) -> DataFrame:
+        return o.repartition(by).select(F.to_json(F.struct(
+            _str("o_orderkey").alias("id"), _str("o_custkey").alias("airline_icao"), _str("o_custkey").alias("airline_iata"),
+            F.col("o_orderpriority").alias("code"), _str("o_custkey").alias("origin_airport_iata"),
+            position_deg(position, "lat").alias("latitude"), position_deg(position, "lon").alias("longitude"))).alias("value"))
+
+    def detailed(stale: bool, by: str) -> DataFrame:
+        flying = F.col("o_orderstatus") == LIVE_STATUS
+        point = F.struct(position_deg("o_orderkey", "lat").alias("lat"), position_deg("o_orderkey", "lon").alias("lng"), F.lit(1000).alias("alt"))
+        when = F.lit(0).cast("long") if stale else epoch_seconds("o_orderdate")
+        details = F.struct(
+            F.struct(F.struct(F.col("o_orderpriority").alias("text")).alias("model")).alias("aircraft"),
+            F.struct(F.struct(when.alias("departure"), F.when(~flying, when + 60).alias("arrival")).alias("real")).alias("time"),
+            F.struct(flying.alias("live")).alias("status"),
+            (F.array().cast(schemas.FLIGHT_DETAILS["trail"].dataType) if stale else F.array(point)).alias("trail"))
+        return o.where(F.col("o_orderpriority") != "5-LOW").repartition(by).select(
+            F.to_json(F.struct(_str("o_orderkey").alias("id"), details.alias("details"))).alias("value"))
+
+    listed("o_orderkey", "o_custkey").write.text(f"{landing}/flights/batch=1")
+    listed("o_custkey", "o_orderkey").write.text(f"{landing}/flights/batch=2")
+    detailed(True, "o_orderkey").write.text(f"{landing}/details/batch=1")
+    detailed(False, "o_custkey").write.text(f"{landing}/details/batch=2")
+
+
+def zone_documents_with_bad_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zones documents, in which the box of a nation without a city has a word for its right edge."""
+    docs = zone_documents_json(spark, sf_dir)
+    bad = F.regexp_replace("value", r'("br_x":)(-?[0-9]+)(,"br_y":-?[0-9]+\}\}\}\})$', '$1"unknown"$3')
+    return docs.select(bad.alias("value"))

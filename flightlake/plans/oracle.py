@@ -268,8 +268,32 @@ SQL: dict[str, str] = {
         AND f.latitude < greatest(z.latitude + {X.COUNTRY_BOX_HALF_LAT}, z.latitude - {X.COUNTRY_BOX_HALF_LAT})
         AND f.longitude > least(z.longitude - {X.COUNTRY_BOX_HALF_LON}, z.longitude + {X.COUNTRY_BOX_HALF_LON})
         AND f.longitude < greatest(z.longitude - {X.COUNTRY_BOX_HALF_LON}, z.longitude + {X.COUNTRY_BOX_HALF_LON})""",
+    "flights_over_country_wrapped": f"""SELECT z.zone_country AS country, z.continent, f.flight_id AS id_flight
+        FROM acflight_raw f JOIN znctyn_raw z
+        ON f.latitude > z.latitude - {X.COUNTRY_BOX_HALF_LAT} AND f.latitude < z.latitude + {X.COUNTRY_BOX_HALF_LAT}
+        AND ((f.longitude > z.longitude - {X.COUNTRY_BOX_HALF_LON} AND f.longitude < z.longitude + {X.COUNTRY_BOX_HALF_LON})
+          OR (f.longitude > z.longitude - {X.COUNTRY_BOX_HALF_LON} + 360 AND f.longitude < z.longitude + {X.COUNTRY_BOX_HALF_LON} + 360)
+          OR (f.longitude > z.longitude - {X.COUNTRY_BOX_HALF_LON} - 360 AND f.longitude < z.longitude + {X.COUNTRY_BOX_HALF_LON} - 360))""",
+    "customers_within_radius": f"""SELECT c_custkey, zone_country, round(km, 6) AS distance_km FROM (
+        SELECT p.c_custkey, z.zone_country, {haversine('p.latitude', 'p.longitude', 'z.latitude', 'z.longitude')} AS km
+        FROM cust_pos p CROSS JOIN znctyn_raw z) WHERE km <= {X.RADIUS_M / 1000}""",
+    "skip_bad_zones": f"""SELECT r_name AS zone, NULL AS bad_record FROM customer JOIN nation ON c_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey
+        UNION ALL SELECT n_name, NULL FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0
+        UNION ALL SELECT c_name, NULL FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0
+        UNION ALL SELECT NULL, '{{"' || n_name || '":{{"br_x":"unknown","br_y":' || ({lat_h('n_nationkey')} - {NATION_H})
+          || ',"tl_x":' || ({lon_h('n_nationkey')} - {NATION_H}) || ',"tl_y":' || ({lat_h('n_nationkey')} + {NATION_H}) || '}}}}'
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE NOT c_acctbal >= 0""",
+    "landed_details_apart": f"""SELECT {s('o_orderkey')} AS flight_id, {s('o_custkey')} AS airline_icao, o_orderpriority AS aircraft_code,
+        {s('o_custkey')} AS origin_airport_iata, {ep('o_orderdate')} AS departure_time,
+        CASE WHEN o_orderstatus <> 'O' THEN {ep('o_orderdate')} + 60 END AS departure_arrival, o_orderpriority AS aircraft_model,
+        CAST(NULL AS VARCHAR) AS flight_duration, {lat('o_orderkey')} AS last_position_latitude,
+        {lon('o_orderkey')} AS last_position_longitude, CAST(1000 AS INTEGER) AS last_position_altitude
+        FROM orders WHERE o_orderpriority <> '5-LOW'""",
     # cleaning
-    "drop_duplicates": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "drop_duplicates": f"""SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+        l_returnflag, l_linestatus, {ep('l_shipdate')} AS l_shipdate_epoch
+        FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)""",
     "lowercase_columns": "SELECT lower(country) AS country, lower(continent) AS continent, id_flight FROM flctry_raw",
     "fill_nulls_by_type": """SELECT coalesce(flight_id, '') AS flight_id, coalesce(airline_icao, '') AS airline_icao,
         coalesce(aircraft_code, '') AS aircraft_code, coalesce(origin_airport_iata, '') AS origin_airport_iata,

@@ -91,6 +91,9 @@ FLIGHT_DOC = _s(
     ("longitude", DoubleType()), ("details", FLIGHT_DETAILS),
 )
 
+# Details that landed apart from the list, by the flight's id.
+FLIGHT_DETAILS_DOC = _s(("id", StringType()), ("details", FLIGHT_DETAILS))
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 

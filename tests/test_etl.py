@@ -167,3 +167,70 @@ def test_cli_run(tmp_out):
         env=dict(os.environ, PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.ui.enabled=false pyspark-shell"))
     assert out.returncode == 0, out.stderr[-2000:]
     assert "air france" in out.stdout
+
+
+def test_details_that_land_apart_give_the_same_tables(spark, tmp_out):
+    """S4: list and details in different files and orders, stale ones before; a flight without details is in no flight table."""
+    def lines(path, docs):
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}/part-0.json", "w") as fh:
+            fh.writelines(json.dumps(d) + "\n" for d in docs)
+
+    land(f"{tmp_out}/whole", bad=False)
+    land(f"{tmp_out}/apart", bad=False)
+    os.remove(f"{tmp_out}/apart/flights/part-0.json")
+    listed = [{k: v for k, v in f.items() if k != "details"} for f in FLIGHTS]
+    details = [{"id": f["id"], "details": f["details"]} for f in FLIGHTS]
+    never = dict(flight("f9", "AFR", "CDG", "LHR", True, 50.0, 1.0))
+    del never["details"]
+    lines(f"{tmp_out}/apart/flights/batch=1", [dict(x, airline_icao="OLD") for x in listed])
+    lines(f"{tmp_out}/apart/flights/batch=2", [*listed[::-1], never])
+    lines(f"{tmp_out}/apart/details/batch=1", [dict(x, details={"status": {"live": True}, "trail": [{"lat": 0, "lng": 0, "alt": 0}]}) for x in details])
+    lines(f"{tmp_out}/apart/details/batch=2", details[2:] + details[:2] + [{"id": "unlisted", "details": details[0]["details"]}])
+    with open(f"{tmp_out}/apart/details/batch=2/part-1.json", "w") as fh:
+        fh.write("{not json\n")
+    whole, _ = P.build_tables(spark, f"{tmp_out}/whole", radius_m=600_000)
+    apart, quarantine = P.build_tables(spark, f"{tmp_out}/apart", radius_m=600_000)
+    for name in P.DATASETS:
+        rows = lambda t: sorted(map(str, t[name].where("id_flight <> 'f9'" if name == "flctry" else "true").collect()))
+        assert rows(whole) == rows(apart), name
+    assert apart["flctry"].where("id_flight = 'f9'").count() > 0            # the list alone says where it flies
+    assert [r.record for r in quarantine["details"].collect()] == ["{not json"]
+
+
+def test_bad_zone_is_quarantined_alone(spark, tmp_out):
+    landing = f"{tmp_out}/landing"
+    land(landing, bad=False)
+    zones = json.loads(json.dumps(ZONES))
+    zones["africa"]["br_x"] = "abc"
+    with open(f"{landing}/zones/part-0.json", "w") as fh:
+        fh.write(json.dumps(zones) + "\n")
+    tables, quarantine = P.build_tables(spark, landing, radius_m=600_000)
+    assert sorted(r.zone for r in tables["zctinent"].collect()) == ["europe", "northamerica"]
+    assert [json.loads(r.record) for r in quarantine["zones"].collect()] == [{"africa": zones["africa"]}]
+
+
+def test_readers_of_a_rerun_see_one_try(spark, tmp_out, monkeypatch):
+    """A re-run of a run time that fails halfway: the reports go on with the first try of every dataset."""
+    landing, lake = f"{tmp_out}/landing", f"{tmp_out}/lake"
+    land(landing)
+    P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
+    with open(f"{landing}/airlines/part-1.json", "w") as fh:
+        fh.write(json.dumps({"Name": "Delta", "Code": "DL", "ICAO": "DAL"}) + "\n")
+    write = P.write_parquet_snapshot
+
+    def failing(df, root, ts=None):
+        if "/Flctry/" in root:
+            raise OSError("disk full")
+        return write(df, root, ts)
+
+    monkeypatch.setattr(P, "write_parquet_snapshot", failing)
+    try:
+        P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
+        raise AssertionError("the re-run must fail")
+    except OSError:
+        pass
+    monkeypatch.undo()
+    assert P.load_latest(spark, lake).airlines.count() == 3
+    P.extract(spark, landing, lake, run_ts="2024-05-01 08:00:00", radius_m=600_000)
+    assert P.load_latest(spark, lake).airlines.count() == 4

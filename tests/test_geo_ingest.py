@@ -231,3 +231,111 @@ def test_grid_join_with_hot_cell(spark):
     boxes = [(0, 50.0, 2.0, 48.0, 3.0), (1, 49.0, 2.3, 48.8, 2.4), (2, 10.0, 10.0, -10.0, 30.0)]
     grid = grid_pairs(spark, hot + rest, boxes)
     assert grid == nested_loop(hot + rest, boxes) and len([p for p in grid if p[0] < 1000]) == 2000
+
+
+def great_circle_km(a, b, c, d):
+    import math
+    p, q = math.radians(a), math.radians(c)
+    h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(d - b) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(h))
+
+
+def test_radius_join_equals_spherical_nested_loop(spark):
+    """J8: points and circles around the date line and the poles, of 1 m to more than a hemisphere."""
+    from flightlake.operators.range_join import within_radius_join
+    rnd = random.Random(7)
+
+    def place():
+        lat = rnd.choice([rnd.uniform(-89, 89), rnd.uniform(88, 90), rnd.uniform(-90, -88), 90.0, -90.0, 0.0])
+        lon = rnd.choice([rnd.uniform(-180, 180), rnd.uniform(178, 180), rnd.uniform(-180, -178), 180.0, -180.0])
+        return lat, lon
+
+    pts = [(i, *place()) for i in range(600)]
+    circles = [(j, *place(), rnd.choice([1.0, 5_000.0, 100_000.0, 900_000.0, 4_000_000.0, 12_000_000.0])) for j in range(60)]
+    circles += [(100, 0.0, 179.9, 100_000.0), (101, 10.0, -180.0, 50_000.0)]
+    pts += [(1000, 0.0, -179.9), (1001, 10.0, 180.0)]
+    p = spark.createDataFrame(pts, "pid int, latitude double, longitude double")
+    c = spark.createDataFrame(circles, "cid int, centre_latitude double, centre_longitude double, r double")
+    got = sorted(tuple(r) for r in within_radius_join(p, c, "r").select("pid", "cid").collect())
+    want = sorted((i, j) for i, a, b in pts for j, y, x, r in circles if great_circle_km(a, b, y, x) <= r / 1000)
+    assert got == want and (1000, 100) in got and (1001, 101) in got
+
+
+def test_flights_over_the_date_line(spark):
+    pts = spark.createDataFrame([("fj", 0.0, 179.9, "oceania"), ("ws", 0.0, -179.95, "oceania")],
+                                "zone_country string, latitude double, longitude double, continent string")
+    fl = spark.createDataFrame([("east", 0.0, 179.5), ("line", 0.0, 180.0), ("line2", 0.0, -180.0), ("west", 0.0, -179.9), ("far", 0.0, -178.0)],
+                               "flight_id string, latitude double, longitude double")
+    half = [F.lit(1.0), F.lit(0.5)]
+    got = sorted((r.country, r.id_flight) for r in E.flights_over_country(pts, fl, *half).collect())
+    near = ["east", "line", "line2", "west"]
+    assert got == [("fj", f) for f in near] + [("ws", f) for f in near[1:]]
+    assert {(r.country, r.id_flight) for r in E.flights_over_country(pts, fl, *half, wrap=False).collect()} == {
+        ("fj", "east"), ("fj", "line"), ("ws", "line2"), ("ws", "west")}
+
+
+def test_coarse_levels_are_salted(spark):
+    """J7: a world box and hot coarse cells, nothing broadcast, no skew rule: no task has over 3x the median."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    rnd = random.Random(2)
+    pts = [(i, rnd.uniform(-80, 80), rnd.uniform(-170, 170)) for i in range(4000)] + [(4000 + i, 48.85, 2.35) for i in range(2000)]
+    boxes = [(0, 90.0, -180.0, -90.0, 180.0), (1, 80.0, -25.0, 33.0, 45.0), (2, 60.0, 0.0, 40.0, 20.0)]
+    try:
+        for k, v in zip(old, ("-1", "false", "16")):
+            spark.conf.set(k, v)
+        p = spark.createDataFrame(pts, "pid int, plat double, plon double").repartition(4, "pid")
+        out = point_in_box_join(p, spark.createDataFrame(boxes, BOX), **KW)
+        sizes = sorted(r["count"] for r in out.where("bid = 0").groupBy(F.spark_partition_id()).count().collect())
+        pairs = sorted((r.pid, r.bid) for r in out.collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 16 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    assert pairs == nested_loop(pts, boxes)
+
+
+def test_first_zone_of_countries(spark):
+    """E5: the first point in a zone, its first zone; points in no zone don't count, null countries are one."""
+    zones = spark.createDataFrame([("low", 10.0, 0.0, 0.0, 10.0, 1), ("high", 20.0, 0.0, 0.0, 20.0, 0), ("far", -50.0, 0.0, -60.0, 10.0, 2)],
+                                  "zone string, tl_y double, tl_x double, br_y double, br_x double, zone_ord int")
+    pts = spark.createDataFrame([("fr", 7, 5.0, 5.0), ("fr", 3, 15.0, 15.0), ("fr", 1, 80.0, 80.0), ("de", 9, -55.0, 5.0), (None, 4, 5.0, 5.0), ("es", 2, 80.0, 0.0)],
+                                "country string, ord long, latitude double, longitude double")
+    want = {("fr", 15.0, "high"), ("de", -55.0, "far"), (None, 5.0, "high")}
+    for n in (1, 3):
+        got = E.first_zone_per_country(pts.repartition(n, "ord"), zones, "country", ["latitude"], "ord").collect()
+        assert {tuple(r) for r in got} == want and len(got) == 3
+
+
+def test_landing_rank_follows_files_and_lines(spark, tmp_out):
+    import os
+    from flightlake.sources.landed_json import landing_rank
+    os.makedirs(f"{tmp_out}/docs")
+    for name, ids in (("b", range(5)), ("a", range(10, 400)), ("c", [900])):
+        with open(f"{tmp_out}/docs/{name}.json", "w") as fh:
+            fh.writelines(json.dumps({"iata": str(i)}) + "\n" + "\n" * (i % 3 == 0) for i in ids)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")          # the long file is read by several tasks
+    try:
+        df = read_landed_json(spark, f"{tmp_out}/docs", schemas.AIRPORT_DOC, keep_corrupt=False, with_position=True)
+        df.write.parquet(f"{tmp_out}/staged")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = landing_rank(spark.read.parquet(f"{tmp_out}/staged")).orderBy("landed_rank").collect()
+    assert [int(r.iata) for r in got] == [*range(10, 400), *range(5), 900]
+    assert len({r.landed_rank for r in got}) == len(got) and got[0].landed_rank == 0
+
+
+def test_bad_zone_goes_alone(spark):
+    """E11: a corner that is no number takes its zone out, with its text; the other zones stay, those below it too."""
+    doc = {"eu": {"tl_y": 72, "tl_x": "-25", "br_x": "abc", "br_y": 33, "subzones": {"fr": {"tl_y": 51.5, "tl_x": -5, "br_x": 8, "br_y": 42},
+                                                                                  "de": {"tl_y": None, "tl_x": 5, "br_x": 15, "br_y": 47}}},
+           "af": {"tl_y": "38", "tl_x": -20, "br_x": 55, "br_y": -36, "subzones": 5}, "na": {"tl_x": 1}}
+    docs = spark.createDataFrame([(json.dumps(doc),), ("{broken",)], "value string")
+    good, bad_docs = E.split_bad_zones(docs)
+    assert [r.value for r in bad_docs.collect()] == ["{broken"]
+    cont, ctry, city = E.flatten_zones(good)
+    assert [(r.zone, r.tl_y) for r in cont.collect()] == [("af", 38.0)]
+    assert [(r.zone, r.continent, r.tl_y) for r in ctry.collect()] == [("fr", "eu", 51.5)] and city.count() == 0
+    records = [json.loads(r.record) for r in E.bad_zone_records(good).collect()]
+    assert sorted(k for r in records for k in r) == ["af", "de", "eu", "na"]
+    assert {"eu": doc["eu"]} in records and {"de": doc["eu"]["subzones"]["de"]} in records

@@ -78,3 +78,11 @@ def test_growing_answer_is_not_one_task(spark, tmp_path):
     write_csv_result(df.orderBy("id").limit(5), str(tmp_path / "few"), bounded=True)
     assert len(list((tmp_path / "many").glob("part-*.csv"))) == 4
     assert len(list((tmp_path / "few").glob("part-*.csv"))) == 1
+
+
+def test_first_match_has_one_range_join_and_one_hash_aggregate(spark):
+    """E5: the boxes' cells are built once, and nothing but the order is aggregated."""
+    p = plan(QUERIES["first_match_per_country"](spark, SF)).split("\n\n")[0]
+    tree = p.split("Subqueries")[0]
+    assert tree.count("Generate") == 4                # cells (2), salts, the points' levels, once each; and nothing a second time
+    assert "SortAggregate" not in tree and tree.count("HashAggregate") == 2
