@@ -8,17 +8,23 @@ discrete weight steps. A slot keeps its earliest point below the shingle's weigh
 texts agree in a slot with a chance of their multisets' overlap. Points are drawn only up to
 the time by which all slots of the text are filled.
 
-Equal texts are one node. Nodes with an equal band are candidates. In each bucket all nodes are
-verified (exact overlap of the multisets, at least `similarity`) against a pivot;
-buckets whose nodes do not all meet in one component go on, with four times as many
-pivots each round from outside the bucket's largest component, until every pair of a
-bucket was verified or is connected. So no link between candidates is lost, and a
-bucket of n copies costs n pairs. A class is a component.
-
-With 32 bands of 6 slots a pair at 0.8 is missed with a chance of 6e-5. Null and empty
-texts (no word) are classes of their own; documents of the same text are one class;
-rows with the same doc_id and other texts are nodes of their own; an empty table
-gives no row; other columns are not read.
+Equal texts are one node. Nodes with an equal band are candidates, in three levels (LEVELS):
+
+1. Bands of 6 slots. In each bucket the other nodes are verified (exact overlap of the multisets, at least
+   `similarity`) against its hub, the node whose buckets are the largest. Where a group grew from one
+   text, that text is a hub of most of its buckets, so a group of n costs about n pairs.
+2. In buckets whose nodes are not all one component by then, every pair of different components is verified if the
+   bucket holds at most `limit` nodes. The nodes of larger ones go on to
+3. the next level: signatures of more slots and longer bands, in which texts that are alike by less
+   than 0.8 meet far more rarely. The last level has no limit.
+
+So no bucket is capped, and the pairs of a crowd of n texts a little less than 0.8 alike grow far less than as n * n. A class
+is a component. A pair at 0.8 shares a band with a chance of 0.9999 on the first level, 0.949 on the second and
+0.90 on the third (at 0.85: 1.0, 0.9997, 0.99998); a link in a crowd is also found through any chain of others.
+
+Null and empty texts (no word) are classes of their own; documents of the same text are one class, ties between them have no order;
+rows with the same doc_id and other texts are nodes of their own; a very long text is one node, signed
+and verified whole; an empty table gives no row; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.llm import textkit as T
@@ -175,7 +181,41 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return moved.unionByName(new.join(roots, "node", "left_anti").select("node", "root"))
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands: int = 32, rows: int = 6,
+#: slots of a band, bands, and the nodes of a bucket up to which all its pairs are verified on this level
+LEVELS: tuple[tuple[int, int, int | None], ...] = ((6, 32, 4), (16, 105, 256), (24, 490, None))
+
+BANDED = "node long, n long, bands array<long>"
+
+
+def banded(texts: DataFrame, n: int, rows: int, bands: int) -> DataFrame:
+    """(node, n, bands) of nodes with their texts, on another level than the first."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, buf, off in T.text_blocks(b.column(2)):
+                size = len(off) - 1
+                hashes = band_hashes(signatures(*shingles(buf, off, n), size, bands * rows), rows).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * bands), pa.array(hashes.ravel()))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, size), b.column(1).slice(first, size), lists], ["node", "n", "bands"])
+
+    return texts.select("node", "n", "text").mapInArrow(sign, BANDED)
+
+
+def buckets(signed_nodes: DataFrame) -> DataFrame:
+    """(bucket, node, n, size) of the buckets that hold more than one node."""
+    members = signed_nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    return members.join(sizes, "bucket")
+
+
+def hub_pairs(shared: DataFrame, near: Column) -> DataFrame:
+    """(pivot, node): each bucket's nodes against its hub."""
+    degree = shared.groupBy("node").agg(F.sum("size").alias("degree"))
+    hubs = shared.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node", "n")).alias("h"))
+    stars = shared.join(hubs.select("bucket", F.col("h.node").alias("pivot"), F.col("h.n").alias("pivot_n")), "bucket")
+    return stars.where("pivot <> node").where(near).select("pivot", "node").distinct()
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, levels: tuple = LEVELS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, text_key, class_id (least doc_id of its class), class_docs, is_first.
 
@@ -184,48 +224,35 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands:
     spark = docs.sparkSession
     bounded_batches(spark)
     source = id_and_text(docs, id_col, text_col)
+    rows, bands, _ = levels[0]
     sign = stored(signed(source, n, bands, rows), "bag-signed")
     # one node for each text with words
     nodes = stored(sign.where("n > 0").groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
                    .withColumn("node", F.monotonically_increasing_id()), "bag-nodes")
-    members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    # each bucket draws a pivot of its own: a group that shares many buckets is tied together from many sides
-    drawn = F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "n")
-    pivots = members.groupBy("bucket").agg(F.count("*").alias("size"), F.min(drawn).alias("p")).where("size > 1")
-    shared = stored(members.join(pivots.select("bucket", F.col("p.node").alias("first"), F.col("p.n").alias("first_n")), "bucket"), "bag-buckets")
+    shared = stored(buckets(nodes), "bag-buckets")
     near = F.least("n", "pivot_n") >= F.lit(similarity) * F.greatest("n", "pivot_n")     # a bound on the overlap
-    candidates = shared.select("bucket", "node", "n", F.col("first").alias("pivot"), F.col("first_n").alias("pivot_n"))
-    wanted = shared.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
+    wanted = shared.select("node").distinct().join(nodes.select("node", "n", "doc_id", "text_key"), "node")
     same = F.col("s.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.unhex(F.md5("text")) == F.col("w.text_key"))
-    texts = stored(source.alias("s").join(wanted.alias("w"), same)
-                   .select("node", "text").dropDuplicates(["node"]), "bag-texts")
-    roots = None
-    pivoted = shared.select("bucket", F.col("first").alias("node")).distinct()
-    turn = 0
-    while True:
-        pairs = candidates.where("pivot <> node").where(near).select("pivot", "node").distinct()
-        if roots is not None:       # what is connected needs no link
-            pairs = (pairs.join(of_node(roots, "pivot", "pivot_root"), "pivot", "left").join(of_node(roots, "node", "node_root"), "node", "left")
-                     .where(F.coalesce("pivot_root", "pivot") != F.coalesce("node_root", "node")).select("pivot", "node"))
-        found = stored(verified(pairs, texts, n, similarity), f"bag-links-{turn}")
-        if roots is None:
-            roots = stored(components(found), f"bag-roots-{turn}")
-        elif not found.isEmpty():
-            roots = stored(merged(roots, found), f"bag-roots-{turn}")
-        # buckets whose nodes are not all in one component: next pivots come from outside the largest
-        placed = (shared.select("bucket", "node", "n").join(roots, "node", "left")
-                  .withColumn("root", F.coalesce("root", F.col("node"))))
-        sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-        outside = placed.join(largest.select("bucket", F.col("top.root").alias("top")), "bucket").where("root <> top")
-        left = stored(outside.select("bucket", "node", "n").join(pivoted, ["bucket", "node"], "left_anti"), f"bag-left-{turn}")
-        turn += 1
-        chosen = stored(left.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(4 ** min(turn, 15))).alias("k"))
-                        .agg(F.min(drawn).alias("p")).select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n")), f"bag-pivots-{turn}")
-        if chosen.isEmpty():
+    texts = stored(source.alias("s").join(wanted.alias("w"), same).select("node", "n", "text").dropDuplicates(["node"]), "bag-texts")
+    roots = stored(components(stored(verified(hub_pairs(shared, near), texts, n, similarity), "bag-stars")), "bag-roots")
+    for level, (_, _, limit) in enumerate(levels):
+        placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", F.col("node")))
+        apart = placed.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
+        opened = stored(placed.join(apart.select("bucket"), "bucket"), f"bag-open-{level}")
+        few = opened if limit is None else opened.where(F.col("size") <= limit)
+        pivot = few.select("bucket", *[F.col(c).alias(f"pivot{x}") for c, x in (("node", ""), ("n", "_n"), ("root", "_root"))])
+        pairs = (few.join(pivot, (few["bucket"] == pivot["bucket"]) & (F.col("pivot") < F.col("node")) & (F.col("pivot_root") != F.col("root")) & near)
+                 .select("pivot", "node").distinct())
+        found = stored(verified(pairs, texts, n, similarity), f"bag-links-{level}")
+        if not found.isEmpty():
+            roots = stored(merged(roots, found), f"bag-roots-{level}")
+        if limit is None:
+            break
+        crowd = opened.where(F.col("size") > limit).select("node").distinct()
+        if level + 1 == len(levels) or crowd.isEmpty():
             break
-        pivoted = stored(pivoted.unionByName(chosen.select("bucket", F.col("pivot").alias("node"))), f"bag-pivoted-{turn}")
-        candidates = shared.select("bucket", "node", "n").join(chosen, "bucket")
+        rows, bands, _ = levels[level + 1]
+        shared = stored(buckets(stored(banded(texts.join(crowd, "node"), n, rows, bands), f"bag-signed-{level + 1}")), f"bag-buckets-{level + 1}")
     # classes of all documents; texts without words stay alone
     rooted = nodes.select("text_key", "node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", F.col("node")))
     firsts = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("f"))
@@ -240,11 +267,13 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, n: int = 5, bands:
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with one row of each class, all columns kept."""
+    """docs with one row of each class, all columns kept, whatever their names."""
     firsts = stored(near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where("is_first").groupBy(
-        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).agg(F.count("*").alias("_rows")), "bag-firsts")
+        F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(F.count("*").alias("rows")), "bag-firsts")
     key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = docs.withColumn("_text_key", key).join(firsts, docs[id_col].eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_key")), "left_semi")
-    if not firsts.where("_rows > 1").isEmpty():      # rows with the same doc_id and text
-        kept = kept.dropDuplicates([id_col, "_text_key"])
-    return kept.drop("_text_key")
+    # the row travels as one value, so its columns can't clash with these
+    packed = docs.select(F.col(id_col).cast("long").alias("own_id"), key.alias("own_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = packed.join(firsts.select("id", "key"), F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key")), "left_semi")
+    if not firsts.where("rows > 1").isEmpty():      # rows with the same doc_id and text
+        kept = kept.dropDuplicates(["own_id", "own_key"])
+    return kept.select("row.*")
