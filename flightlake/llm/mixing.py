@@ -15,7 +15,8 @@ own; `mix_key` orders the result so that all sources are spread evenly.
 
 A null source is a source of its own; null and empty texts have no token and go
 with their block; sources without a token are used once; repeated rows are
-mixed each for itself; an empty table gives no row; all columns are kept.
+mixed each for itself; very long texts count whole; an empty table gives no row; all columns are kept,
+but columns of the input under the five names that are added (ADDED) are replaced by those.
 """
 
 from __future__ import annotations
@@ -120,24 +121,31 @@ def mixing_plan(counted: DataFrame, blocks: int, target_entropy: float | None, m
             .select("w.mix_source", "weight", "use", "passes", F.coalesce("extra", F.lit(0)).alias("extra")))
 
 
+ADDED = ("mix_source", "mix_block", "mix_tokens", "mix_pass", "mix_key")
+
+
 def mix_sources(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
                 target_entropy: float | None = None, max_repeats: float | None = None,
                 budget_tokens: float | None = None, blocks: int = 1024) -> DataFrame:
     """docs, each row once a pass that uses it, with mix_source, mix_block, mix_tokens, mix_pass, mix_key."""
     bounded_batches(docs.sparkSession)
     block = F.pmod(F.xxhash64(F.col(id_col), F.lit("block")), F.lit(blocks)).cast("int")
-    marked = docs.withColumns({"mix_source": F.col(source_col).cast("string"), "mix_block": block, "mix_tokens": word_count(F.col(text_col))})
+    kept = [c for c in docs.columns if c not in ADDED]
+    # the row travels as one value, so its columns can't clash with the plan's
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("none"))
+    marked = docs.select(row.alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("mix_source"),
+                         block.alias("mix_block"), word_count(F.col(text_col)).alias("mix_tokens"))
     counted = stored(marked.groupBy("mix_source", "mix_block").agg(F.sum("mix_tokens").alias("tokens")), "mix-blocks")
     plan = stored(mixing_plan(counted, blocks, target_entropy, max_repeats, budget_tokens), "mix-plan")
     copies = plan.select(F.col("mix_source").alias("plan_source"), "passes", "extra", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    joined = marked.join(copies, marked["mix_source"].eqNullSafe(copies["plan_source"]) & (F.pmod(F.xxhash64(F.col(id_col), F.lit("salt")), F.lit(SALTS)) == copies["salt"]))
+    joined = marked.join(copies, marked["mix_source"].eqNullSafe(copies["plan_source"]) & (F.pmod(F.xxhash64("id", F.lit("salt")), F.lit(SALTS)) == copies["salt"]))
     in_extra = permuted(F.col("mix_block"), F.col("passes"), blocks) < F.col("extra")
     last = F.col("passes") - 1 + in_extra.cast("int")
     used = joined.where(last >= 0).withColumn("mix_pass", F.explode(F.sequence(F.lit(0), last)))
     # where in the source's whole run the block stands, from 0 to 1, then a place of the row's own in the block
-    share = (F.col("mix_pass") * blocks + permuted(F.col("mix_block"), F.col("mix_pass"), blocks) + F.pmod(F.xxhash64(F.col(id_col), F.col("mix_pass")), F.lit(1 << 20)) / F.lit(1 << 20))
+    share = (F.col("mix_pass") * blocks + permuted(F.col("mix_block"), F.col("mix_pass"), blocks) + F.pmod(F.xxhash64("id", F.col("mix_pass")), F.lit(1 << 20)) / F.lit(1 << 20))
     key = share / (F.col("passes") * blocks + F.col("extra"))
-    return used.withColumn("mix_key", key.cast("double")).select(*docs.columns, "mix_source", "mix_block", "mix_tokens", "mix_pass", "mix_key")
+    return used.withColumn("mix_key", key.cast("double")).select(*[F.col("row").getField(c).alias(c) for c in kept], *ADDED)
 
 
 def mixed_order(mixed: DataFrame, columns: list[str]) -> DataFrame:

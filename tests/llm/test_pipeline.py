@@ -82,3 +82,30 @@ def test_stages_take_odd_and_empty_documents(spark, odd_docs, empty_docs):
             assert out.count() >= 0
             if k in (1, 2):
                 docs = out
+
+
+def test_copies_never_share_a_sequence_and_order_is_kept(spark, stages):
+    """Sequences ascend with the place of their first document in the mixture; both copies of a document are apart."""
+    places = {}
+    for i, r in enumerate(stages[4].select("doc_id", "_metadata.file_path", "_metadata.row_index").orderBy("file_path", "row_index").collect()):
+        places.setdefault(r.doc_id, []).append(i)
+    members = {}
+    for r in stages[5].collect():
+        members.setdefault(r.sequence_id, []).append((r.doc_id, r.piece))
+    assert all(len(set(m)) == len(m) for m in members.values())
+    assert any(len(p) > 1 for p in places.values())
+    for s, m in members.items():
+        place = s >> 20
+        assert place in places[[d for d, _ in m if place in places[d]][0]]
+
+
+def test_small_stretches_follow_the_order(spark, stages):
+    from flightlake.llm import packing
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.pack_documents(stages[4], path, in_order=True, part_pieces=20, patience=0).collect()
+    order = {}
+    for i, r in enumerate(stages[4].select("doc_id", "_metadata.file_path", "_metadata.row_index").orderBy("file_path", "row_index").collect()):
+        order.setdefault(r.doc_id, []).append(i)
+    for r in rows:      # every piece stands within a stretch of its sequence's first document
+        assert min(abs(p - (r.sequence_id >> 20)) for p in order[r.doc_id]) <= 60
+    assert rows[0].over_bound >= 0
