@@ -11,7 +11,12 @@ next one's docs. All but the last return the columns of `documents`.
 3. pii: every span found becomes its kind, as [EMAIL]; n_chars follows the text.
 4. mixing: sources with few tokens are repeated, none over MAX_REPEATS times, and no document
    is left out; rows come in the mixture's order.
-5. packing: sequences of at most 4096 tokens.
+5. packing: sequences of at most 4096 tokens, which follow the mixture's order to within a stretch of it
+   (ids ascend with the place of their first document); copies of a document never share one.
+
+Nulls in any column, empty and very long texts, ties, repeated rows and empty tables are each stage's operator's to
+define (see their docstrings); an empty `documents` gives no row. Null and empty texts are refused by the classifier's grade like any
+other text, columns beyond those of `documents` go along to the mixing stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +33,8 @@ from flightlake.session import scratch_path
 
 MAX_TRAIN_ROWS = 20_000
 MAX_REPEATS = 2.0
+#: pieces of a stretch of the training order that are packed together: sequences follow the order to within one
+STRETCH_PIECES = 4096
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +55,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), in_order=True, part_pieces=STRETCH_PIECES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
