@@ -8,19 +8,19 @@ discrete weight steps. A slot keeps its earliest point below the shingle's weigh
 texts agree in a slot with a chance of their multisets' overlap. Points are drawn only up to
 the time by which all slots of the text are filled.
 
-Equal texts are one node. Nodes with an equal band are candidates, in three levels (LEVELS):
+Equal texts are one node. Nodes with an equal band are candidates, on two levels (LEVELS):
 
 1. Bands of 6 slots. In each bucket the other nodes are verified (exact overlap of the multisets, at least
    `similarity`) against its hub, the node whose buckets are the largest. Where a group grew from one
    text, that text is a hub of most of its buckets, so a group of n costs about n pairs.
 2. In buckets whose nodes are not all one component by then, every pair of different components is verified if the
    bucket holds at most `limit` nodes. The nodes of larger ones go on to
-3. the next level: signatures of more slots and longer bands, in which texts that are alike by less
-   than 0.8 meet far more rarely. The last level has no limit.
+3. the next level: signatures of more slots and bands of 20, in which texts that are alike by less
+   than 0.8 meet far more rarely. There every pair of different components that shares a band is verified.
 
 So no bucket is capped, and the pairs of a crowd of n texts a little less than 0.8 alike grow far less than as n * n. A class
-is a component. A pair at 0.8 shares a band with a chance of 0.9999 on the first level, 0.949 on the second and
-0.90 on the third (at 0.85: 1.0, 0.9997, 0.99998); a link in a crowd is also found through any chain of others.
+is a component. A pair at 0.8 shares a band with a chance of 0.9999 on the first level and 0.92 on the second
+(at 0.85: 0.9998); a link in a crowd is also found through the hub or any chain of others.
 
 Null and empty texts (no word) are classes of their own; documents of the same text are one class, ties between them have no order;
 rows with the same doc_id and other texts are nodes of their own; a very long text is one node, signed
@@ -182,7 +182,7 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 #: slots of a band, bands, and the nodes of a bucket up to which all its pairs are verified on this level
-LEVELS: tuple[tuple[int, int, int | None], ...] = ((6, 32, 4), (16, 105, 256), (24, 490, None))
+LEVELS: tuple[tuple[int, int, int | None], ...] = ((6, 32, 4), (20, 220, None))
 
 BANDED = "node long, n long, bands array<long>"
 
