@@ -17,8 +17,8 @@ Rows with a null label or vector, or with a null or non-finite component, take n
 null id. Equal scores rank by the smaller id. A row never pairs with rows of its own id; anchor rows that are equal in
 id, vector and label answer once, repeated other rows count as often as they stand there. Vectors of unequal length multiply over the
 dimensions they share. A negative positive score makes an empty window. Weights of any
-size are exact (Python integers where 64 bits don't hold them); a score
-beyond a long is compared with its exact value and given as the nearest long. An empty table gives no
+size are exact (Python integers where doubles don't hold the sums, scanned to the end); a score
+beyond a long counts as the nearest long, in ranks and windows too. An empty table gives no
 row; other columns are not read.
 """
 
@@ -70,8 +70,8 @@ def exact_kind(block: np.ndarray, anchors: np.ndarray) -> type:
     return np.float64 if bound < 2.0 ** 52 else object
 
 
-def kth_best(values: np.ndarray, k: int):
-    return np.partition(values, len(values) - k)[len(values) - k] if values.dtype != object else sorted(values)[len(values) - k]
+def kth_best(values: np.ndarray, k: int) -> float:
+    return np.partition(values, len(values) - k)[len(values) - k]
 
 
 class Block:
@@ -104,17 +104,16 @@ class Block:
             j = min(terms, i + step)
             part = self.columns[order[i:j]]
             scores = scores + w[i:j] @ (part if len(alive) == part.shape[1] else part[:, alive])
-            stays = useful(scores + rest_low[j], scores + rest_high[j])
-            alive, scores = alive[stays], scores[stays]
+            if self.columns.dtype != object:
+                stays = useful(scores + rest_low[j], scores + rest_high[j])
+                alive, scores = alive[stays], scores[stays]
             i, step = j, 2 * step
-        return alive, scores
+        return alive, scores if scores.dtype != object else np.array([max(LONG[0], min(LONG[1], int(x))) for x in scores], np.int64)
 
 
 def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best; ids are ascending, so a stable sort gives ties to the smaller one."""
-    if scores.dtype == object:
-        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], i))[:k], np.int64)
-    return np.argsort(-scores, kind="stable")[:k]
+    return np.argsort(~scores if scores.dtype == np.int64 else -scores, kind="stable")[:k]
 
 
 def positives_of(block: Block, anchor_id: int, label: int, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,10 +144,6 @@ def negatives_of(block: Block, anchor_id: int, label: int, weights: np.ndarray,
     return out
 
 
-def _longs(values) -> list[int]:
-    return [max(LONG[0], min(LONG[1], int(x))) for x in values]
-
-
 def mine_hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 5,
                         low_percent: int = 80, high_percent: int = 100, scale: float = 256.0,
                         block_rows: int | None = None, group_rows: int | None = None,
@@ -192,7 +187,7 @@ def mine_hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int =
                         found["anchor_no"] += [row["anchor_no"]] * len(at)
                         found["high"] += [high] * len(at)
                         found["vec_id"] += block.ids[at].tolist()
-                        found["score"] += _longs(scores)
+                        found["score"] += scores.astype(np.int64).tolist()
             return pa.table({c: pa.array(x, pa.int64()) for c, x in found.items()})
 
         ranked = F.row_number().over(Window.partitionBy("anchor_no", "high").orderBy(F.desc("score"), "vec_id"))
