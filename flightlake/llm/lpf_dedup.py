@@ -50,8 +50,8 @@ U64 = np.uint64
 ALONE, COVERED, COMPARE, CROWDED = 0, 1, 2, 3
 #: stands for all contexts of an anchor that a chunk has too many of
 _MARK = (1 << 40) - 1
-#: kinds of answers: of contexts, of compared windows, of windows asked for one by one
-CONTEXT, WINDOWS, SINGLE = 0, 1, 2
+#: kinds of answers: of contexts, of compared windows, of windows asked for one by one; and a chunk's own entries
+CONTEXT, WINDOWS, SINGLE, ENTRIES = 0, 1, 2, 3
 #: contexts are sorted in blocks of about so many bytes
 SORT_BYTES = 1 << 20
 
@@ -119,34 +119,54 @@ class Params:
     max_contexts: int
 
 
+def entered(row: dict, p: Params) -> tuple[bytes, bytes]:
+    """A chunk's distinct (anchor, context), ascending by anchor: packed for _Entries, and what more is asked of buckets."""
+    buf, off = chunk_texts(row["n_bytes"], row["offsets"], row["texts"])
+    ids, rank = _ranked(row["doc_ids"])
+    doc, at, gram_hash, _, _, context = chunk_anchors(buf, off, p.length, p.gram)
+    # 40 bits of each, beside the bucket, are what is sent
+    anchor, context = _forty(gram_hash), _forty(context)
+    rank = rank[doc]
+    order = np.lexsort((rank, context, anchor))
+    a, c = anchor[order], context[order]
+    new = np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1]))[:len(a)]
+    entry = np.empty(len(order), np.int64)                 # of each occurrence
+    entry[order] = np.cumsum(new) - 1
+    a, c, least = a[new], c[new], rank[order[new]]
+    # what is asked: each entry, or one mark for the entries of an anchor with too many
+    begins = np.flatnonzero(np.append(True, a[1:] != a[:-1])[:len(a)])
+    size = np.diff(np.append(begins, len(a)))
+    crowded = np.repeat(size > p.crowd, size)
+    begin = np.zeros(len(a), bool)
+    begin[begins] = True
+    asked = ~crowded | begin
+    own = pack(np.diff(at, prepend=0).astype("<u4"), entry.astype("<u4"), np.diff(a, prepend=U64(0)), asked.astype("u1"))
+    return own, pack(np.where(crowded, U64(_MARK), c)[asked], least[asked].astype("<u4"), ids)
+
+
+def _ranked(doc_ids: list) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's ids and each document's place among them; one without an id comes before all others."""
+    return np.unique(np.array([-(1 << 63) if d is None else d for d in doc_ids], np.int64), return_inverse=True)
+
+
 class _Entries:
     """A chunk's distinct (anchor, context), ascending by anchor, and each one's least document."""
 
-    def __init__(self, row: dict, p: Params):
+    def __init__(self, row: dict, reply: pa.Table, p: Params):
         self.buf, self.off = chunk_texts(row["n_bytes"], row["offsets"], row["texts"])
-        # a document without an id comes before all others
-        ids = np.array([-(1 << 63) if d is None else d for d in row["doc_ids"]], np.int64)
-        self.ids, self.rank = np.unique(ids, return_inverse=True)
-        self.doc, self.at, gram_hash, self.start, self.end, context = chunk_anchors(self.buf, self.off, p.length, p.gram)
-        # 40 bits of each, beside the bucket, are what is sent
-        anchor, context = _forty(gram_hash), _forty(context)
-        rank = self.rank[self.doc]
-        order = np.lexsort((rank, context, anchor))
-        a, c = anchor[order], context[order]
-        new = np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1]))[:len(a)]
-        self.first = order[new]                                # the occurrence in the least document
-        self.entry = np.empty(len(order), np.int64)            # of each occurrence
-        self.entry[order] = np.cumsum(new) - 1
-        self.anchor, self.context, self.least = a[new], c[new], rank[self.first]
-        # what is asked: each entry, or one mark for the entries of an anchor with too many
-        begins = np.flatnonzero(np.append(True, self.anchor[1:] != self.anchor[:-1])[:len(self.anchor)])
-        size = np.diff(np.append(begins, len(self.anchor)))
-        crowded = np.repeat(size > p.crowd, size)
-        begin = np.zeros(len(self.anchor), bool)
-        begin[begins] = True
-        asked = ~crowded | begin
-        self.asked, self.question = np.flatnonzero(asked), np.cumsum(asked) - 1       # and each entry's question
-        self.asked_context = np.where(crowded, U64(_MARK), self.context)[self.asked]
+        self.ids, self.rank = _ranked(row["doc_ids"])
+        (step, entry, anchor, asked), = answers_of(reply, ENTRIES)
+        at = np.cumsum(step.astype(np.int64))
+        self.entry, self.anchor = entry.astype(np.int64), np.cumsum(anchor.astype(U64))
+        self.question = np.cumsum(asked.astype(np.int64)) - 1                         # each entry's
+        self.doc = np.searchsorted(self.off, at, "right") - 1
+        reach = p.length - p.gram
+        self.start, self.end = np.maximum(self.off[self.doc], at - reach), np.minimum(self.off[self.doc + 1], at + p.length)
+        # the occurrence in the least document: written last, from the greatest down
+        down = np.argsort(self.rank[self.doc], kind="stable")[::-1]
+        self.first = np.empty(len(self.anchor), np.int64)
+        self.first[self.entry[down]] = down
+        self.least = self.rank[self.doc[self.first]]
 
     def states(self, reply: pa.Table) -> np.ndarray:
         """Each entry's state, from the answers to the chunk's questions."""
@@ -198,18 +218,34 @@ def packed_questions(anchor: np.ndarray, context: np.ndarray, least: np.ndarray,
         yield int(i), pack(np.diff(anchor[s], prepend=U64(0)), low, high, local.astype("<u4"), np.diff(ids[used].astype(U64), prepend=U64(0)))
 
 
+ENTERED = "chunk long, bucket int, answer binary, asks binary, kind int"
+
+
+def entries(chunks: DataFrame, p: Params) -> DataFrame:
+    """A row for each chunk: its entries, hashed and sorted once for all later steps, and what they ask."""
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                own, asks = entered(row, p)
+                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]], pa.int64()), pa.array([0], pa.int32()), pa.array([own], pa.binary()), pa.array([asks], pa.binary()), pa.array([ENTRIES], pa.int32())],
+                                                 ["chunk", "bucket", "answer", "asks", "kind"])
+
+    return stored(chunks.mapInArrow(enter, ENTERED), "lpf-entries", codec="uncompressed")
+
+
 QUESTIONS = "bucket int, chunk long, ask binary"
 
 
-def questions(chunks: DataFrame, p: Params) -> DataFrame:
+def questions(entered: DataFrame, p: Params) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                e = _Entries(row, p)
-                asks = list(packed_questions(e.anchor[e.asked], e.asked_context, e.least[e.asked], e.ids, p.buckets))
+                _, _, anchor, asked = unpack(row["answer"])
+                context, least, ids = unpack(row["asks"])
+                asks = list(packed_questions(np.cumsum(anchor.astype(U64))[asked > 0], context.astype(U64), least, ids, p.buckets))
                 yield pa.RecordBatch.from_arrays([pa.array([a[0] for a in asks], pa.int32()), pa.array([row["chunk"]] * len(asks), pa.int64()), pa.array([a[1] for a in asks], pa.binary())], ["bucket", "chunk", "ask"])
 
-    return chunks.mapInArrow(ask, QUESTIONS)
+    return entered.select("chunk", "answer", "asks").mapInArrow(ask, QUESTIONS)
 
 
 STATES = "chunk long, bucket int, answer binary"
@@ -252,7 +288,7 @@ def second_questions(chunks: DataFrame, replies: DataFrame, p: Params) -> DataFr
     def send(chunk: pa.Table, reply: pa.Table) -> pa.Table:
         rows: list[tuple] = []
         for row in chunk.to_pylist():
-            e = _Entries(row, p)
+            e = _Entries(row, reply, p)
             state = e.states(reply)
             wanted = np.flatnonzero(state == COMPARE)
             edge = bucket_bounds(e.anchor[wanted] << U64(24), p.buckets)
@@ -431,7 +467,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_byte
     chunks = chunked(texts, size.chunk_bytes)
     bounded_batches(spark, 1)               # rows are whole chunks from here on
     kind = lambda df, k: df.withColumn("kind", F.lit(k))
-    known = stored(kind(states(questions(chunks, p), max_contexts), CONTEXT), "lpf-states")
+    own = entries(chunks, p)
+    known = stored(kind(states(questions(own, p), max_contexts), CONTEXT), "lpf-states")
+    known = known.unionByName(own.drop("asks"))
     sent = stored(second_questions(chunks, known, p), "lpf-questions", codec="uncompressed")
     compared = stored(kind(covered_windows(sent.where(F.col("kind") == WINDOWS), length), WINDOWS), "lpf-windows")
     # a window is its own context: no limit on how many share the first hash
@@ -440,7 +478,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_byte
     def cut(chunk: pa.Table, reply: pa.Table) -> pa.Table:
         out: list[tuple] = []
         for row in chunk.to_pylist():
-            e = _Entries(row, p)
+            e = _Entries(row, reply, p)
             goes = _covered(e, reply, p)
             for i, d in enumerate(row["doc_ids"]):
                 part = goes[e.off[i]:e.off[i + 1]]
