@@ -1,6 +1,7 @@
 """Each operator against its plain-Python version, on the smallest driver tables and on odd ones."""
 
 import hashlib
+import itertools
 import math
 import zlib
 
@@ -201,7 +202,42 @@ def test_skip_chain_carries_a_label_to_an_alike_token(spark):
     alone = pii_crf.marginals(np.array([[0.0, -9, -9, 0.0, -9], [-30.0, -30, -30, 0, -30]]), [], np.zeros((5, 5)), 3.0)
     assert loose[0, 3] > 0.9 > alone[0, 3]
     assert np.allclose(loose.sum(1), 1)
-    del added
+    assert added == [("card", text.index(odd), text.index(odd) + len(odd))]
+
+
+def test_numbers_side_by_side_are_found_apart(spark):
+    """Matches that the base patterns lose to a neighbour become spans of the field, and are redacted; numbers inside hashes don't."""
+    phone, ip, card, other = "+1 (826) 555-4081", "190.137.223.204", "4845168114407329", "4012888888881881"
+    docs = [f"call {phone[:-2]}{i:02} or write from {ip} and pay with {c} now" for i in range(50) for c in (card, other)]
+    docs += [f'token = "b0{i}f-c{572391524 + i}f37a8" here' for i in range(50)]
+    odd = [f"seen {phone} {ip} there", f"seen {card} {other} there", f"seen {phone} {card} there", f"seen {' '.join([card, other] * 30)} there", 'token = "ede4f6405768150e04" here',
+           "(" * 5000 + "@" * 500 + "1 " * 5000, "9" * 5000]
+    df = spark.createDataFrame(list(enumerate(docs + odd)), "doc_id long, text string")
+    found = {r.doc_id - len(docs): r for r in pii_crf.find_pii(df).collect()}
+    assert all(found[i].n_added == 0 for i in range(-len(docs), 0))
+    assert [found[i].n_added for i in range(len(odd))] == [1, 2, 2, 60, 0, 0, 0]
+    assert found[0].spans == "ip:23:38,phone:5:22" and found[1].spans == "card:5:21,card:22:38"
+    clean = {r.doc_id - len(docs): r.text for r in pii_crf.redact(df).collect()}
+    assert [clean[i] for i in range(3)] == ["seen [PHONE] [IP] there", "seen [CARD] [CARD] there", "seen [PHONE] [CARD] there"]
+    assert clean[3] == f"seen {' '.join(['[CARD]'] * 60)} there"
+
+
+def test_marginals_equal_all_labellings_of_a_small_tree():
+    """On a graph without a loop, message passing gives the marginals of the sum over all labellings."""
+    rng = np.random.default_rng(4)
+    nodes, chain, prior, skip = rng.normal(size=(3, 5)), rng.normal(size=(5, 5)), np.log(rng.dirichlet(np.ones(5))), 2.0
+    same = 1 / (1 + np.exp(-skip))
+    for groups, linked in (([], None), ([[0, 2]], 0.0)):
+        steps = chain if linked is None else np.zeros((5, 5))       # the chain and the tie would close a loop
+        want = np.zeros((3, 5))
+        for x in itertools.product(range(5), repeat=3):
+            w = np.exp(sum(nodes[i, k] for i, k in enumerate(x)) + steps[x[0], x[1]] + steps[x[1], x[2]])
+            if groups:
+                w *= same * (x[0] == x[2]) / np.exp(prior[x[0]]) + 1 - same
+            for i, k in enumerate(x):
+                want[i, k] += w
+        got = pii_crf.marginals(nodes, groups, steps, skip, rounds=60, prior=prior)
+        assert np.allclose(got, want / want.sum(1, keepdims=True), atol=1e-6)
 
 
 @pytest.mark.parametrize("times", [1, 100])
