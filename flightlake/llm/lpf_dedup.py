@@ -50,8 +50,8 @@ U64 = np.uint64
 ALONE, COVERED, COMPARE, CROWDED = 0, 1, 2, 3
 #: stands for all contexts of an anchor that a chunk has too many of
 _MARK = (1 << 40) - 1
-#: kinds of answers: of contexts, of compared windows, of windows asked for one by one; and a chunk's own entries
-CONTEXT, WINDOWS, SINGLE, ENTRIES = 0, 1, 2, 3
+#: kinds of answers: of contexts, of compared windows, of windows asked for one by one; a chunk's own entries and their anchors
+CONTEXT, WINDOWS, SINGLE, ENTRIES, ANCHORS = 0, 1, 2, 3, 4
 #: contexts are sorted in blocks of about so many bytes
 SORT_BYTES = 1 << 20
 
@@ -119,8 +119,8 @@ class Params:
     max_contexts: int
 
 
-def entered(row: dict, p: Params) -> tuple[bytes, bytes]:
-    """A chunk's distinct (anchor, context), ascending by anchor: packed for _Entries, and what more is asked of buckets."""
+def entered(row: dict, p: Params) -> tuple[bytes, bytes, bytes]:
+    """A chunk's distinct (anchor, context), ascending by anchor: packed for _Entries, their anchors, and what more is asked of buckets."""
     buf, off = chunk_texts(row["n_bytes"], row["offsets"], row["texts"])
     ids, rank = _ranked(row["doc_ids"])
     doc, at, gram_hash, _, _, context = chunk_anchors(buf, off, p.length, p.gram)
@@ -140,8 +140,8 @@ def entered(row: dict, p: Params) -> tuple[bytes, bytes]:
     begin = np.zeros(len(a), bool)
     begin[begins] = True
     asked = ~crowded | begin
-    own = pack(np.diff(at, prepend=0).astype("<u4"), entry.astype("<u4"), np.diff(a, prepend=U64(0)), asked.astype("u1"))
-    return own, pack(np.where(crowded, U64(_MARK), c)[asked], least[asked].astype("<u4"), ids)
+    own = pack(np.diff(at, prepend=0).astype("<u4"), entry.astype("<u4"), asked.astype("u1"))
+    return own, pack(np.diff(a, prepend=U64(0))), pack(np.where(crowded, U64(_MARK), c)[asked], least[asked].astype("<u4"), ids)
 
 
 def _ranked(doc_ids: list) -> tuple[np.ndarray, np.ndarray]:
@@ -155,16 +155,16 @@ class _Entries:
     def __init__(self, row: dict, reply: pa.Table, p: Params):
         self.buf, self.off = chunk_texts(row["n_bytes"], row["offsets"], row["texts"])
         self.ids, self.rank = _ranked(row["doc_ids"])
-        (step, entry, anchor, asked), = answers_of(reply, ENTRIES)
+        (step, entry, asked), = answers_of(reply, ENTRIES)
         at = np.cumsum(step.astype(np.int64))
-        self.entry, self.anchor = entry.astype(np.int64), np.cumsum(anchor.astype(U64))
+        self.entry = entry.astype(np.int64)
         self.question = np.cumsum(asked.astype(np.int64)) - 1                         # each entry's
         self.doc = np.searchsorted(self.off, at, "right") - 1
         reach = p.length - p.gram
         self.start, self.end = np.maximum(self.off[self.doc], at - reach), np.minimum(self.off[self.doc + 1], at + p.length)
         # the occurrence in the least document: written last, from the greatest down
         down = np.argsort(self.rank[self.doc], kind="stable")[::-1]
-        self.first = np.empty(len(self.anchor), np.int64)
+        self.first = np.empty(len(asked), np.int64)
         self.first[self.entry[down]] = down
         self.least = self.rank[self.doc[self.first]]
 
@@ -218,7 +218,7 @@ def packed_questions(anchor: np.ndarray, context: np.ndarray, least: np.ndarray,
         yield int(i), pack(np.diff(anchor[s], prepend=U64(0)), low, high, local.astype("<u4"), np.diff(ids[used].astype(U64), prepend=U64(0)))
 
 
-ENTERED = "chunk long, bucket int, answer binary, asks binary, kind int"
+ENTERED = "chunk long, answer binary, anchors binary, asks binary"
 
 
 def entries(chunks: DataFrame, p: Params) -> DataFrame:
@@ -226,9 +226,8 @@ def entries(chunks: DataFrame, p: Params) -> DataFrame:
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                own, asks = entered(row, p)
-                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]], pa.int64()), pa.array([0], pa.int32()), pa.array([own], pa.binary()), pa.array([asks], pa.binary()), pa.array([ENTRIES], pa.int32())],
-                                                 ["chunk", "bucket", "answer", "asks", "kind"])
+                parts = [pa.array([x], pa.binary()) for x in entered(row, p)]
+                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]], pa.int64()), *parts], ["chunk", "answer", "anchors", "asks"])
 
     return stored(chunks.mapInArrow(enter, ENTERED), "lpf-entries", codec="uncompressed")
 
@@ -240,12 +239,11 @@ def questions(entered: DataFrame, p: Params) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                _, _, anchor, asked = unpack(row["answer"])
-                context, least, ids = unpack(row["asks"])
+                (_, _, asked), (anchor,), (context, least, ids) = (unpack(row[k]) for k in ("answer", "anchors", "asks"))
                 asks = list(packed_questions(np.cumsum(anchor.astype(U64))[asked > 0], context.astype(U64), least, ids, p.buckets))
                 yield pa.RecordBatch.from_arrays([pa.array([a[0] for a in asks], pa.int32()), pa.array([row["chunk"]] * len(asks), pa.int64()), pa.array([a[1] for a in asks], pa.binary())], ["bucket", "chunk", "ask"])
 
-    return entered.select("chunk", "answer", "asks").mapInArrow(ask, QUESTIONS)
+    return entered.mapInArrow(ask, QUESTIONS)
 
 
 STATES = "chunk long, bucket int, answer binary"
@@ -290,14 +288,14 @@ def second_questions(chunks: DataFrame, replies: DataFrame, p: Params) -> DataFr
         for row in chunk.to_pylist():
             e = _Entries(row, reply, p)
             state = e.states(reply)
+            anchor = np.cumsum(answers_of(reply, ANCHORS)[0][0].astype(U64))
             wanted = np.flatnonzero(state == COMPARE)
-            edge = bucket_bounds(e.anchor[wanted] << U64(24), p.buckets)
+            edge = bucket_bounds(anchor[wanted] << U64(24), p.buckets)
             for i in np.flatnonzero(np.diff(edge)):
                 some = wanted[edge[i]:edge[i + 1]]
                 at = e.first[some]
                 size = e.end[at] - e.start[at]
-                index = np.arange(size.sum()) + np.repeat(e.start[at] - (np.cumsum(size) - size), size)
-                rows.append((int(i), row["chunk"], pack(some.astype("<u4"), size.astype("<u2"), e.buf[index], e.ids[e.least[some]], np.diff(e.anchor[some], prepend=U64(0))), WINDOWS))
+                rows.append((int(i), row["chunk"], pack(some.astype("<u4"), size.astype("<u2"), e.buf[_laid_out(e.start[at], size)], e.ids[e.least[some]], np.diff(anchor[some], prepend=U64(0))), WINDOWS))
             _, _, _, first, second, least = e.single_windows(state, p)
             rows += [(i, row["chunk"], ask, SINGLE) for i, ask in packed_questions(first, second, least, e.ids, p.buckets)]
         columns = list(zip(*rows)) if rows else [(), (), (), ()]
@@ -376,15 +374,42 @@ def longest_previous_factors(levels: list[tuple[int, np.ndarray]], places: np.nd
     return out
 
 
+def _laid_out(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, ..., start + size - 1 of every row, one row after the other."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
+def _repeated(h: np.ndarray) -> np.ndarray:
+    """Whether a hash may stand twice: never False for one that does."""
+    bits = max(10, int(len(h)).bit_length() + 3)
+    slot = (h >> U64(64 - bits)).astype(np.int64)
+    last = np.zeros(1 << bits, np.int32)
+    place = np.arange(len(h), dtype=np.int32)
+    last[slot] = place
+    twice = np.zeros(1 << bits, bool)
+    twice[slot[last[slot] != place]] = True
+    return twice[slot]
+
+
 def _compare(size: np.ndarray, buf: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
-    """For each context (size bytes of buf, one after the other) a bit for each covered window."""
+    """For each context (size bytes of buf, one after the other) a bit for each covered window.
+
+    Windows with a hash of their own equal no other, so they and contexts of such windows alone are not sorted.
+    """
     start = np.cumsum(size) - size
-    buf = np.concatenate([buf, np.zeros(length + 8, np.uint8)])
     windows = np.maximum(size - length + 1, 0)
     of = np.repeat(np.arange(len(size)), windows)
     shift = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-    factor = longest_previous_factors(prefix_ranks(buf, length), start[of] + shift, doc[of])
+    at = start[of] + shift
+    some = np.flatnonzero(_repeated(T.mix64(T.span_hash(T.prefix_hash(buf), at, at + length))))
     mask = np.zeros(len(size), U64)
+    if not len(some):
+        return mask
+    of, shift = of[some], shift[some]
+    context, own = np.unique(of, return_inverse=True)
+    held = size[context]
+    sorted_bytes = np.concatenate([buf[_laid_out(start[context], held)], np.zeros(length + 8, np.uint8)])
+    factor = longest_previous_factors(prefix_ranks(sorted_bytes, length), (np.cumsum(held) - held)[own] + shift, doc[of])
     np.bitwise_or.at(mask, of, (factor >= length).astype(U64) << shift.astype(U64))
     return mask
 
@@ -410,8 +435,7 @@ def covered_windows(asked: DataFrame, length: int) -> DataFrame:
             j = min(int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SORT_BYTES)), len(order) - 1)
             j += int(np.argmax(last[j:])) + 1
             some = order[i:j]
-            index = np.arange(size[some].sum()) + np.repeat(start[some] - (np.cumsum(size[some]) - size[some]), size[some])
-            mask[some] = _compare(size[some], buf[index], doc[some], length)
+            mask[some] = _compare(size[some], buf[_laid_out(start[some], size[some])], doc[some], length)
             i = j
         split = np.split(mask, np.cumsum([len(p[0]) for p in parts])[:-1])
         return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "answer": pa.array([pack(p[0], m) for p, m in zip(parts, split)], pa.binary())})
@@ -469,8 +493,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_byte
     kind = lambda df, k: df.withColumn("kind", F.lit(k))
     own = entries(chunks, p)
     known = stored(kind(states(questions(own, p), max_contexts), CONTEXT), "lpf-states")
-    known = known.unionByName(own.drop("asks"))
-    sent = stored(second_questions(chunks, known, p), "lpf-questions", codec="uncompressed")
+    own_row = lambda c, k: kind(own.select("chunk", F.lit(0).alias("bucket"), F.col(c).alias("answer")), k)
+    known = known.unionByName(own_row("answer", ENTRIES))
+    sent = stored(second_questions(chunks, known.unionByName(own_row("anchors", ANCHORS)), p), "lpf-questions", codec="uncompressed")
     compared = stored(kind(covered_windows(sent.where(F.col("kind") == WINDOWS), length), WINDOWS), "lpf-windows")
     # a window is its own context: no limit on how many share the first hash
     single = stored(kind(states(sent.where(F.col("kind") == SINGLE), 1 << 62), SINGLE), "lpf-single")
