@@ -307,26 +307,47 @@ def second_questions(chunks: DataFrame, replies: DataFrame, p: Params) -> DataFr
 # ---- suffixes of the contexts -------------------------------------------------------------------
 
 
-def prefix_ranks(buf: np.ndarray, depth: int) -> list[tuple[int, np.ndarray]]:
+def _dense(x: np.ndarray) -> np.ndarray:
+    """The rank of each value among the distinct ones."""
+    order = np.argsort(x)
+    ordered = x[order]
+    rank = np.empty(len(x), np.int64)
+    rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])[:len(x)])
+    return rank
+
+
+def prefix_ranks(buf: np.ndarray, depth: int, places: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
     """[(k, rank by the first k bytes)] for k = 8, 16, ... and `depth`, for every place with depth bytes after it.
 
     buf ends with depth zero bytes or more. Ranks of 8 bytes come from the bytes themselves; each further
-    one ranks pairs of the one before.
+    one ranks pairs of the one before. With places, `depth` alone, ranked at these from up to four ranks of a quarter of it or more.
     """
     n = len(buf) - depth + 1
     wide = len(buf) - 7
     eight = np.zeros(wide, U64)
     for k in range(8):
         eight = (eight << U64(8)) | buf[k:k + wide]
-    rank = np.unique(eight, return_inverse=True)[1]
+    rank = _dense(eight)
     levels, k = [(8, rank[:n])], 8
-    while k < depth:
+    while k < (depth if places is None else -(-depth // 4)):
         step = min(k, depth - k)
         size = len(rank) - step
-        rank = np.unique(rank[:size] * np.int64(len(rank) + 1) + rank[step:], return_inverse=True)[1]
+        rank = _dense(rank[:size] * np.int64(len(rank) + 1) + rank[step:])
         k += step
         levels.append((k, rank[:n]))
-    return levels
+    if places is None:
+        return levels
+    distinct = int(rank.max(initial=0)) + 1
+    key, bound = rank[places].astype(U64), distinct
+    for at in range(k, depth, k):
+        if bound * distinct >= 1 << 64:
+            key = _dense(key).astype(U64)
+            bound = len(key)
+        key = key * U64(distinct) + rank[places + min(at, depth - k)].astype(U64)
+        bound *= distinct
+    last = np.zeros(n, np.int64)
+    last[places] = _dense(key)
+    return [(depth, last)]
 
 
 def shared_prefix(levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -362,7 +383,9 @@ def nearest_smaller(value: np.ndarray, lcp: np.ndarray) -> np.ndarray:
 
 def longest_previous_factors(levels: list[tuple[int, np.ndarray]], places: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """For each suffix (place), the longest common prefix with a suffix of a smaller document."""
-    order = np.lexsort((doc, levels[-1][1][places]))
+    rank, docs = levels[-1][1][places], int(doc.max(initial=0)) + 1
+    small = len(doc) > 0 and int(doc.min()) >= 0 and docs < 1 << 31 and int(rank.max()) < 1 << 31
+    order = np.argsort(rank * docs + doc) if small else np.lexsort((doc, rank))
     suffix = places[order]
     lcp = np.zeros(len(order), np.int64)
     lcp[1:] = shared_prefix(levels, suffix[1:], suffix[:-1])
@@ -409,7 +432,8 @@ def _compare(size: np.ndarray, buf: np.ndarray, doc: np.ndarray, length: int) ->
     context, own = np.unique(of, return_inverse=True)
     held = size[context]
     sorted_bytes = np.concatenate([buf[_laid_out(start[context], held)], np.zeros(length + 8, np.uint8)])
-    factor = longest_previous_factors(prefix_ranks(sorted_bytes, length), (np.cumsum(held) - held)[own] + shift, doc[of])
+    places = (np.cumsum(held) - held)[own] + shift
+    factor = longest_previous_factors(prefix_ranks(sorted_bytes, length, places), places, _dense(doc[context])[own])
     np.bitwise_or.at(mask, of, (factor >= length).astype(U64) << shift.astype(U64))
     return mask
 

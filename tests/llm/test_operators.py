@@ -292,6 +292,15 @@ def test_longest_previous_factors():
     for p in places:
         exact = max([next((k for k in range(10) if joined[p + k] != joined[q + k]), 10) for q in places if doc[q] < doc[p]], default=0)
         assert got[p] == (10 if exact == 10 else 8 if exact >= 8 else 0)
+    rng = np.random.default_rng(5)
+    for depth in (9, 16, 24, 50):
+        buf = np.concatenate([rng.integers(0, 2, 4000).astype(np.uint8), np.tile(np.arange(7, dtype=np.uint8), 300), np.zeros(depth + 8, np.uint8)])
+        places = np.sort(rng.choice(len(buf) - depth, 1500, replace=False))
+        doc = rng.integers(0, 40, len(places))
+        every, some = lpf_dedup.prefix_ranks(buf, depth), lpf_dedup.prefix_ranks(buf, depth, places)
+        assert [k for k, _ in some] == [depth]
+        want = lpf_dedup.longest_previous_factors(every, places, doc) >= depth
+        assert want.any() and (want == (lpf_dedup.longest_previous_factors(some, places, doc) >= depth)).all()
 
 
 # ---- 6
