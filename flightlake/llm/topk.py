@@ -7,14 +7,17 @@ queries are scattered, times the block's postings, into dense score arrays; part
 selection then gives each query's best k of the block, and a ranked window merges
 the blocks. Every query meets every candidate once.
 
-Vectors that are null or hold null or non-finite components (or a weight
-beyond 62 bits) take no part. Ties go to the smaller id. Rows with a query's id are not its
+Vectors that are null or hold null or non-finite components take no part. Weights of any size are exact (Python
+integers where 64 bits don't hold the sums); a score beyond a long counts as the nearest long, in ranks too. Ties go to the smaller id. Rows with a query's id are not its
 candidates; equal query rows answer once; vectors of unequal length multiply over the terms they
 share; an empty table or a lone row gives no row; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -27,19 +30,29 @@ BEST = "query_no long, query_id long, vec_id long, score long"
 QUERY_ROWS = 64
 
 
+#: scores lie between these
+LONG = (-(1 << 63), (1 << 63) - 1)
+#: tasks that the pairs of blocks and groups are dealt to, at most
+MAX_TASKS = 1 << 14
+
+
 def usable(vectors: DataFrame, vector_col: str) -> DataFrame:
     v = F.col(vector_col)
-    big = F.lit(float(1 << 62))
-    return vectors.where(v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf")))))\
-        .where(F.forall(F.transform(v, lambda x: F.floor(F.lit(1.0) * F.abs(x.cast("double")) / big)), lambda x: x == 0))
+    return vectors.where(v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf")))))
 
 
 def integer_rows(column: pa.Array, scale: float) -> np.ndarray:
-    """Dense integer weights, rows padded with 0 to the longest."""
+    """Dense integer weights, rows padded with 0 to the longest; Python integers if any is beyond 62 bits."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     lengths = np.asarray(column.value_lengths())
-    flat = np.floor(scale * np.asarray(column.flatten()).astype(np.float64)).astype(np.int64)
-    out = np.zeros((len(lengths), int(lengths.max(initial=0))), np.int64)
+    values = np.asarray(column.flatten()).astype(np.float64)
+    with np.errstate(over="ignore"):
+        flat = np.floor(scale * values)
+    if np.abs(flat).max(initial=0) < 2.0 ** 62:
+        flat = flat.astype(np.int64)
+    else:           # the product itself may be beyond a double
+        flat = np.array([int(w) if np.isfinite(w) else math.floor(Fraction(x) * Fraction(scale)) for w, x in zip(flat.tolist(), values.tolist())], object)
+    out = np.zeros((len(lengths), int(lengths.max(initial=0))), flat.dtype)
     row = np.repeat(np.arange(len(lengths)), lengths)
     out[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
     return out
@@ -48,8 +61,9 @@ def integer_rows(column: pa.Array, scale: float) -> np.ndarray:
 def accumulate(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
     """Scores of the queries (rows) against the block (columns), term at a time."""
     terms = min(queries.shape[1], block.shape[1])
-    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(block).max(initial=0)) * max(terms, 1)
-    kind = np.int64 if bound < 2.0 ** 62 else object          # Python integers where 64 bits might not do
+    bound = int(np.abs(queries).max(initial=0)) * int(np.abs(block).max(initial=0)) * max(terms, 1)
+    # Python integers where 64 bits might not do
+    kind = np.int64 if queries.dtype == block.dtype == np.int64 and bound < 1 << 62 else object
     scores = np.zeros((len(queries), len(block)), kind)
     for t in range(terms):
         weights, postings = queries[:, t], block[:, t]
@@ -60,15 +74,14 @@ def accumulate(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
                 scores += part
             else:
                 scores[np.ix_(asking, holding)] += part
-    return scores
+    return scores if kind is np.int64 else np.clip(scores, *LONG).astype(np.int64)
 
 
 def select(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of each row's k best; columns stand in order of their id, so ties go to the lower one."""
     n = scores.shape[1]
     rows, columns = [], []
-    exact = scores.dtype != object and np.abs(scores).max(initial=0) < (1 << 62) // max(n, 1)
-    if exact:
+    if max(int(scores.max(initial=0)), -int(scores.min(initial=0))) < (1 << 62) // max(n, 1):
         keys = scores * n + (n - 1 - np.arange(n))
         keys[own] = np.iinfo(np.int64).min
         for r, key in enumerate(keys):
@@ -78,9 +91,10 @@ def select(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.
             columns.append(best)
     else:
         for r in range(len(scores)):
-            best = [c for c in sorted(range(n), key=lambda c: (-scores[r, c], c)) if not own[r, c]][:k]
+            best = np.argsort(~scores[r], kind="stable")           # descending; a negative would not fit
+            best = best[~own[r, best]][:k]
             rows.append(np.full(len(best), r))
-            columns.append(np.array(best, np.int64))
+            columns.append(best)
     return np.concatenate(rows), np.concatenate(columns)
 
 
@@ -108,13 +122,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
                 part = slice(i, i + QUERY_ROWS)
                 scores = accumulate(weights[part], rows)
                 r, c = select(scores, asking[part][:, None] == ids[None, :], k)
-                value = scores[r, c]
-                if scores.dtype == object:
-                    value = np.array([max(-(1 << 63), min((1 << 63) - 1, x)) for x in value], np.int64)
-                out.append(pa.table({"query_no": numbers[part][r], "query_id": asking[part][r], "vec_id": ids[c], "score": value}))
+                out.append(pa.table({"query_no": numbers[part][r], "query_id": asking[part][r], "vec_id": ids[c], "score": scores[r, c]}))
         empty = pa.schema([(n, pa.int64()) for n in ("query_no", "query_id", "vec_id", "score")]).empty_table()
         return pa.concat_tables([empty, *out])
 
-    best = left.groupBy("block", "grp").cogroup(right.groupBy("block", "grp")).applyInArrow(score, BEST)
+    # work grows with the product of the sides, not with their bytes: the number of tasks is given
+    dealt = lambda df: df.repartition(min(blocks * groups, MAX_TASKS), "block", "grp").groupBy("block", "grp")
+    best = dealt(left).cogroup(dealt(right)).applyInArrow(score, BEST)
     rank = F.row_number().over(Window.partitionBy("query_no").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import zlib
+from fractions import Fraction
 
 import brute
 import numpy as np
@@ -87,6 +88,12 @@ def test_topk_odd_vectors(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
     huge = spark.createDataFrame([(0, [1e15, 1e15]), (1, [1e15, 1.0]), (2, [3e14, 2.0])], "vec_id long, embedding array<double>")
     assert [r.vec_id for r in topk.top_k(huge, huge.where("vec_id = 0"), scale=1.0).orderBy("rank").collect()] == [1, 2]
+    vast = [(0, [1e-2, 1.0]), (1, [1e17, 0.0]), (2, [1.7e308, -1.0]), (3, [5e18, 0.0]), (4, [-1e300, 3.0]), (5, [3e14, 1.0]), (6, [0.0, 2.0])]
+    df = spark.createDataFrame(vast, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id = 0"), k=6).orderBy("rank").collect()]
+    whole = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in vast}
+    want = [(i, max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(whole[0], w))))) for i, w in whole.items() if i]
+    assert got == sorted(want, key=lambda x: (-x[1], x[0]))
 
 
 # ---- 2
