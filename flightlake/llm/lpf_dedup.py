@@ -43,7 +43,8 @@ from pyspark.sql import functions as F
 
 from flightlake.llm import textkit as T
 from flightlake.llm.corpus import blocks_of, bucket_bounds, chunk_texts, chunked, pack, sizes, text_bytes, unpack
-from flightlake.llm.runtime import bounded_batches, id_and_text, stored
+from flightlake.llm.runtime import bounded_batches, id_and_text, stored, stored_at
+from flightlake.session import remove_scratch
 
 U64 = np.uint64
 #: states of an anchor's context in a chunk, from its bucket
@@ -519,11 +520,13 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 18, chunk_byte
     known = stored(kind(states(questions(own, p), max_contexts), CONTEXT), "lpf-states")
     own_row = lambda c, k: kind(own.select("chunk", F.lit(0).alias("bucket"), F.col(c).alias("answer")), k)
     known = known.unionByName(own_row("answer", ENTRIES))
-    sent = stored(second_questions(chunks, known.unionByName(own_row("anchors", ANCHORS)), p), "lpf-questions", codec="uncompressed")
+    sent, sent_at = stored_at(second_questions(chunks, known.unionByName(own_row("anchors", ANCHORS)), p), "lpf-questions", codec="uncompressed")
     compared = stored(kind(covered_windows(sent.where(F.col("kind") == WINDOWS), length), WINDOWS), "lpf-windows")
     # a window is its own context: no limit on how many share the first hash
     single = stored(kind(states(sent.where(F.col("kind") == SINGLE), 1 << 62), SINGLE), "lpf-single")
 
+    remove_scratch(spark, sent_at)          # both its readers are written
+
     def cut(chunk: pa.Table, reply: pa.Table) -> pa.Table:
         out: list[tuple] = []
         for row in chunk.to_pylist():

@@ -51,10 +51,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """df written once below spark.checkpoint.dir and read back: later steps neither
     recompute it nor depend on an executor that made it."""
+    return stored_at(df, name, codec)[0]
+
+
+def stored_at(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFrame, str]:
+    """stored(), and the folder: a step that has written all that was read from it gives it to remove_scratch()."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def parts_for(spark: SparkSession, n: int, per_part: int, least: int = 1) -> int:
