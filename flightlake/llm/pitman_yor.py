@@ -13,10 +13,9 @@ totals of the other buckets' words held. What a restaurant's words in all bucket
 are its totals (customers and tables): after each round each bucket sends its restaurants' tables to
 their owners (buckets of contexts), which sum them and send each bucket the totals of the restaurants it has words in.
 Customers of one word are indistinguishable, so a seating is kept as
-its number of tables t, of posterior weight S(n, t) f(t) with a generalised Stirling number S. A
-Metropolis step moves t given the rest: up to STIRLING customers by a short step, with S itself; more
-leave, sit down one by one in an empty Pitman-Yor restaurant, whose t has the weight
-S(n, t) q(t), and stay there with the Metropolis chance, in which S cancels: exact, but seldom accepted. Up to PASSES contexts of a word are reseated in turn, given the others; more in PASSES groups,
+its number of tables t, of posterior weight S(n, t) f(t) with a generalised Stirling number S: from a table up to STIRLING
+customers, by a contour integral beyond. A Metropolis step moves t given the rest, by a step as wide as its spread.
+Up to PASSES contexts of a word are reseated in turn, given the others; more in PASSES groups,
 each at once. The root's tables of a word move by one, up or down. The first tables come from seat(), which
 only starts the chain. Predictive
 probabilities are averaged over the sweeps after burn-in.
@@ -41,7 +40,8 @@ from pyspark.sql import functions as F
 
 from flightlake.llm import textkit as T
 from flightlake.llm.corpus import blocks_of, bucket_bounds, chunk_texts, chunked, pack, sizes, text_bytes, unpack
-from flightlake.llm.runtime import bounded_batches, id_and_text, stored
+from flightlake.llm.runtime import bounded_batches, id_and_text, stored, stored_at
+from flightlake.session import remove_scratch
 
 U64 = np.uint64
 _WORD = U64(0xFFFFFFFFFFFFFF00)
@@ -265,7 +265,7 @@ def seat(customers: np.ndarray, opening: np.ndarray, discount: float, seed: np.n
 
 #: groups in which the contexts of a word are reseated
 PASSES = 16
-#: customers up to which generalised Stirling numbers are exact (of more, none opens a table)
+#: customers up to which generalised Stirling numbers are in a table
 STIRLING = 1024
 
 
@@ -288,57 +288,107 @@ def _stirling_table(discount: float) -> np.ndarray:
     return out
 
 
+#: nodes of the contour on which Stirling numbers of many customers are integrated
+NODES = 64
+
+
+def _contour(n: np.ndarray, t: np.ndarray, discount: float, steps: tuple[int, ...]) -> list[np.ndarray]:
+    """Log of the generalised Stirling numbers of n customers at t + step < n tables, for each step.
+
+    They are the coefficients of ((1 - (1 - z)^d) / d)^t / t! in z^n / n!. Cauchy's integral in u = -log z is taken along
+    the steepest descent through the saddle, or past 1/n where the saddle lies nearer to the branch point than that.
+    """
+    n, t, d = n.astype(np.float64), t.astype(np.float64), discount
+
+    def slope(u: np.ndarray) -> np.ndarray:
+        w = -np.expm1(-u)
+        return n + t * d * w ** (d - 1) * np.exp(-u) / np.expm1(d * np.log(w))
+
+    low, high = -np.log(n), np.full(len(n), 4.0)
+    for _ in range(24):
+        mid = (low + high) / 2
+        left = slope(np.exp(mid)) < 0
+        low, high = np.where(left, mid, low), np.where(left, high, mid)
+    c = np.exp(high)
+    width = 8 / np.sqrt(np.maximum((slope(c * 1.001) - slope(c * 0.999)) / (c * 0.002), 1e-300))
+    far = c > 1             # there the path is upright, and closed by the period
+    reach = np.minimum(np.where(far, width, width / c), np.pi)
+    angle = reach[:, None] * np.arange(NODES) / NODES
+    with np.errstate(invalid="ignore", divide="ignore"):
+        log_radius = np.log(np.sin(d * angle) / (d * np.sin(angle))) / (1 - d)
+        turn = (d / np.tan(d * angle) - 1 / np.tan(angle)) / (1 - d)
+    log_radius[:, 0] = turn[:, 0] = 0
+    u = c[:, None] * np.exp(np.minimum(log_radius, np.log(30 / c)[:, None])) * np.exp(1j * angle)
+    du = np.where(far[:, None], 1j, u * (turn + 1j))
+    u = np.where(far[:, None], c[:, None] + 1j * angle, u)
+    log_f = np.log1p(-np.exp(d * np.log(-np.expm1(-u))))
+    out = []
+    for step in steps:
+        e = (t + step)[:, None] * log_f + n[:, None] * u
+        top = e[:, 0].real
+        v = (np.exp(e - top[:, None]) * du).imag
+        v[:, 0] /= 2
+        out.append(lgamma(n + 1) - lgamma(t + step + 1) - (t + step) * np.log(d) + top + np.log(v.sum(axis=1) * reach / (NODES * np.pi)))
+    return out
+
+
 def log_stirling(n: np.ndarray, tables: np.ndarray, discount: float) -> np.ndarray:
-    """Log of the generalised Stirling number of n customers at so many tables."""
+    """Log of the generalised Stirling number of n customers at so many tables: from a table up to STIRLING customers,
+    else by a contour integral (error below 1e-3)."""
     n, tables = n.astype(np.int64), tables.astype(np.int64)
     out = _stirling_table(discount)[np.clip(n, 0, STIRLING), np.clip(tables, 0, STIRLING)]
-    out = np.where((tables < 0) | (tables > n) | (tables > STIRLING), -np.inf, out)
-    more = np.flatnonzero((n > STIRLING) & np.isfinite(out))
-    rest = discount * tables[more]
-    out[more] += lgamma(n[more] - rest) - lgamma(STIRLING - rest)
+    out = np.where((tables < 0) | (tables > n), -np.inf, np.where(tables == n, 0.0, out))
+    more = np.flatnonzero((n > STIRLING) & (tables > 0) & (tables < n))
+    if len(more):
+        out[more] = _contour(n[more], tables[more], discount, (0,))[0]
     return out
 
 
-def propose(customers: np.ndarray, strength: np.ndarray, discount: float, seed: np.ndarray, hopeless: Callable[[np.ndarray, np.ndarray], np.ndarray],
-            steps: int = 64) -> np.ndarray:
-    """Tables of a Pitman-Yor restaurant of each row's own strength, exactly drawn; 0 where the path became hopeless.
+def one_more_table(n: np.ndarray, tables: np.ndarray, discount: float) -> np.ndarray:
+    """Log of the ratio of the Stirling numbers of n customers at tables + 1 and at tables, 1 <= tables < n."""
+    n, tables = n.astype(np.int64), tables.astype(np.int64)
+    low = _stirling_table(discount)
+    at, t = np.minimum(n, STIRLING), np.minimum(tables, STIRLING - 1)
+    with np.errstate(invalid="ignore"):
+        out = low[at, t + 1] - low[at, t]
+    more = np.flatnonzero((n > STIRLING) & (tables < n - 1))
+    if len(more):
+        here, next_ = _contour(n[more], tables[more], discount, (0, 1))
+        out[more] = next_ - here
+    last = np.flatnonzero((n > STIRLING) & (tables == n - 1))      # n customers at n - 1 tables: one pair of them
+    out[last] = -np.log(n[last] * (n[last] - 1.0) / 2 * (1 - discount))
+    return out
+
+
+def shift_of(n: np.ndarray, tables: np.ndarray, discount: float) -> np.ndarray:
+    """What one more than n customers at so many tables multiply the Stirling number by, taken from n (the recursion's factor)."""
+    several = np.minimum(np.maximum(tables - 1, 1), n - 1)
+    return discount * tables - np.where(tables > 1, np.exp(-one_more_table(n, several, discount)), 0.0)
 
-    After `steps` customers, the next one who opens a table is found by the closed form of the waiting time.
-    """
-    tables = np.minimum(customers, 1).astype(np.float64)
-    live = np.flatnonzero(customers > 1)
-    seated = 1
-    while len(live) and seated < steps:
-        tables[live] += _uniform(seed[live], seated) * (strength[live] + seated) < strength[live] + discount * tables[live]
-        seated += 1
-        live = live[customers[live] > seated]
-    at = np.full(len(customers), float(seated))
-    turn = steps
-    while len(live):
-        gone = hopeless(live, tables[live])
-        tables[live[gone]] = 0
-        live = live[~gone]
-        a, b, i, end = strength[live], discount * tables[live], at[live], customers[live].astype(np.float64)
-        first = lgamma(a + i) - lgamma(i - b)
-        log_u = np.log(_uniform(seed[live], turn))
-        none_until = lambda m: first + lgamma(m - b) - lgamma(a + m) > log_u
-        open_ = ~none_until(end)                # someone opens a table; who, by bisection
-        live, a, b, first, log_u, low, high = live[open_], a[open_], b[open_], first[open_], log_u[open_], i[open_], end[open_]
-        while (high - low > 1).any():
-            mid = np.where(high - low > 1, np.floor((low + high) / 2), high)
-            none = none_until(mid)
-            low, high = np.where(none, mid, low), np.where(none, high, mid)
-        at[live] = high
-        tables[live] += 1
-        turn += 1
-        live = live[customers[live] > high]
-    return tables
+
+def more_customers(n: np.ndarray, change: np.ndarray, tables: np.ndarray, discount: float, shift: np.ndarray) -> np.ndarray:
+    """Log of the ratio of the Stirling numbers of n + change and of n customers at so many tables; where either passes
+    STIRLING, by the factor n - shift for each further customer (shift is computed where it is not a number): for changes and
+    tables that are few against n, to within 5e-3."""
+    n, new, tables = n.astype(np.int64), (n + change).astype(np.int64), tables.astype(np.int64)
+    low = _stirling_table(discount)
+    t = np.clip(tables, 0, STIRLING)
+    with np.errstate(invalid="ignore"):
+        out = low[np.clip(new, 0, STIRLING), t] - low[np.minimum(n, STIRLING), t]
+    many = np.flatnonzero(np.maximum(n, new) > STIRLING)
+    shift = shift[many]
+    unknown = np.flatnonzero(np.isnan(shift))
+    if len(unknown):
+        shift[unknown] = shift_of(n[many[unknown]], tables[many[unknown]], discount)
+    out[many] = lgamma(np.maximum(new[many] - shift, 1e-9)) - lgamma(np.maximum(n[many] - shift, 1e-9))
+    return np.where(new < tables, -np.inf, out)
 
 
 @dataclass(frozen=True)
 class Rest:
     """What a word's customers in a restaurant see when they have left, a row for each: the restaurant's tables, the
-    word's customers and tables in the root; and the root's customers and tables."""
+    word's customers and tables in the root; and the root's customers and tables. shift: the word's shift_of() in the
+    root, not a number (or None) where it is not known."""
 
     tables: np.ndarray
     customers: np.ndarray
@@ -346,123 +396,117 @@ class Rest:
     all_customers: float
     all_tables: float
     base: float
+    shift: np.ndarray | None = None
+
+
+def rising(a: np.ndarray | float, t: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Log of gamma(a + new) / gamma(a + t)."""
+    return lgamma(a + new) - lgamma(a + t)
 
 
 def reseat(customers: np.ndarray, tables: np.ndarray, rest: Rest, prior: Prior, seed: np.ndarray) -> np.ndarray:
-    """One Metropolis step of each row's tables; leaves their posterior given the rest as it is."""
+    """One Metropolis step of each row's tables, a symmetric one of up to a width near their spread; leaves their
+    posterior given the rest as it is."""
     d = prior.discount
     parent = (np.maximum(rest.customers - prior.root_discount * np.minimum(rest.root_tables, rest.customers), 0)
               + (prior.root_strength + prior.root_discount * rest.all_tables) * rest.base) / (prior.root_strength + rest.all_customers)
-    opening = (prior.strength + d * rest.tables) * parent
-
-    def gain(i: np.ndarray, t: np.ndarray) -> np.ndarray:
-        """Log of f(t) / q(t)."""
-        return (lgamma(prior.strength / d + rest.tables[i] + t) - lgamma(prior.root_strength + rest.all_customers + t) - lgamma(opening[i] / d + t - 1)
-                + log_stirling(rest.customers[i] + t, rest.root_tables[i], prior.root_discount))
-
+    opening = np.maximum((prior.strength + d * rest.tables) * parent, 1e-9)
+    width = np.floor(1 + 0.8 * np.sqrt(np.minimum(opening * np.log1p(customers / opening), customers)))
+    draw = _uniform(seed, 1) - 0.5
+    new = tables + np.sign(draw) * np.ceil(np.abs(draw) * 2 * width)
+    i = np.flatnonzero((new >= 1) & (new <= customers) & (rest.customers + new >= rest.root_tables))
+    n, t, new = customers[i], tables[i], new[i]
+    shift = np.full(len(tables), np.nan) if rest.shift is None else rest.shift
+    both = log_stirling(np.concatenate([n, n]), np.concatenate([new, t]), d)
+    gain = (rising(prior.strength / d + rest.tables[i], t, new) - rising(prior.root_strength + rest.all_customers, t, new) + (new - t) * np.log(d)
+            + both[:len(i)] - both[len(i):] + more_customers(rest.customers[i] + t, new - t, rest.root_tables[i], prior.root_discount, shift[i]))
+    moved = np.log(_uniform(seed[i], 2)) < gain
     out = tables.copy()
-    few = np.flatnonzero(customers <= STIRLING)
-    if len(few):            # a symmetric step of up to `width`, with the Stirling numbers themselves
-        n, t = customers[few], tables[few]
-        width = np.floor(1 + 0.8 * np.sqrt(np.minimum(opening[few] * np.log1p(n / np.maximum(opening[few], 1e-9)), n)))
-        draw = _uniform(seed[few], 1) - 0.5
-        new = t + np.sign(draw) * np.ceil(np.abs(draw) * 2 * width)
-        inside = (new >= 1) & (new <= n)
-        few, n, t, new = few[inside], n[inside], t[inside], new[inside]
-        weight = lambda x: gain(few, x) + lgamma(opening[few] / d + x - 1) + x * np.log(d) + log_stirling(n, x, d)
-        moved = np.log(_uniform(seed[few], 2)) < weight(new) - weight(t)
-        out[few[moved]] = new[moved]
-    many = np.flatnonzero(customers > STIRLING)
-    if not len(many):
-        return out
-    least = gain(np.arange(len(tables)), tables) + np.log(_uniform(seed ^ U64(0x3C6EF372), 0))
-
-    def hopeless(i: np.ndarray, t: np.ndarray) -> np.ndarray:
-        """More tables only lower the gain, and it is too low."""
-        return (t * (1 - parent[i]) > 2) & (gain(i, t + 1) < gain(i, t)) & (gain(i, t) < least[i])
-
-    got = np.zeros(len(tables))
-    got[many] = propose(customers[many], opening[many] - d, d, seed[many], lambda i, t: hopeless(many[i], t))
-    moved = np.flatnonzero((got > 0) & (got != tables))
-    moved = moved[gain(moved, got[moved]) >= least[moved]]
-    out[moved] = got[moved]
+    out[i[moved]] = new[moved]
     return out
 
 
 def root_step(root: np.ndarray, root_tables: np.ndarray, all_tables: float, base: float, prior: Prior, seed: np.ndarray, turn: int) -> np.ndarray:
     """One Metropolis step of each word's tables in the root, by one up or down."""
     d = prior.root_discount
-    new = root_tables + np.where(_uniform(seed, 2 * turn) < 0.5, -1.0, 1.0)
-    weight = lambda r: log_stirling(root, r, d) + lgamma(prior.root_strength / d + all_tables - root_tables + r) + r * np.log(d * base)
-    ok = np.flatnonzero((new >= 1) & (new <= np.minimum(root, STIRLING)))
+    up = _uniform(seed, 2 * turn) >= 0.5
+    new = root_tables + np.where(up, 1.0, -1.0)
+    i = np.flatnonzero((new >= 1) & (new <= root))
+    fewer = np.minimum(new, root_tables)[i]
+    gain = (one_more_table(root[i], fewer, d) + np.log(d * base)
+            + np.log(prior.root_strength / d + all_tables - ~up[i]))
+    i = i[np.log(_uniform(seed[i], 2 * turn + 1)) < np.where(up[i], gain, -gain)]
     out = root_tables.copy()
-    if len(ok):
-        gain = (weight(np.maximum(new, 0)) - weight(root_tables))[ok]
-        ok = ok[np.log(_uniform(seed[ok], 2 * turn + 1)) < gain]
-        out[ok] = new[ok]
+    out[i] = new[i]
     return out
 
 
 def sweep_bucket(keys: np.ndarray, counts: np.ndarray, totals: Totals, prior: Prior, kind: np.ndarray | None = None,
-                 state: tuple[np.ndarray, np.ndarray] | None = None, turn: int = 0) -> dict[str, np.ndarray]:
+                 state: tuple[np.ndarray, np.ndarray] | None = None, turn: int = 0, averages: bool = True) -> dict[str, np.ndarray]:
     """Gibbs sweeps over a bucket's words; averages over the sweeps after burn-in.
 
     A key holds a word above its low byte; kind is the place of its restaurant in the totals (if not
     given, the low byte). state: each key's tables and each word's tables in the root, from which the sweeps go on (if not
-    given, seat() draws them); turn numbers the rounds. Gives tables by restaurant, root tables, each key's and each word's
-    predictive probability, and the state after the last sweep.
+    given, seat() draws them); turn numbers the rounds. Gives the state after the last sweep and, if `averages`, tables by restaurant,
+    root tables, each key's and each word's predictive probability.
     """
     word, n, low = split_keys(keys)
     of, kind = np.repeat(np.arange(len(word)), n), (low if kind is None else kind).astype(np.int64)
     places = len(totals.customers)
     counts = counts.astype(np.int64)
-    seed = T.mix64((keys + kind.astype(U64) * U64(0x9E3779B97F4A7C15)) ^ T.mix64(np.full(1, turn + 1, U64)))
+    live = np.flatnonzero(counts > 1)           # a customer alone sits at a table of its own
+    seed = T.mix64((keys[live] + kind[live].astype(U64) * U64(0x9E3779B97F4A7C15)) ^ T.mix64(np.full(1, turn + 1, U64)))
     word_seed = T.mix64(word ^ T.mix64(np.full(1, 1000 + turn, U64)))
-    own = lambda t: np.bincount(kind, t, minlength=places)
     by_word = lambda t: np.bincount(of, t, minlength=len(word))
-    new_root = totals.new_root(prior)
     if state is None:
-        parent = 1.0 * (by_word(np.ones(len(keys)))[of] > 1) / (prior.root_strength + max(totals.root, 1.0)) + new_root
-        tables = seat(counts, (prior.strength + prior.discount * totals.tables[kind]) * parent, prior.discount, seed)
+        tables = np.minimum(counts, 1).astype(np.float64)
+        parent = 1.0 * (n[of[live]] > 1) / (prior.root_strength + max(totals.root, 1.0)) + totals.new_root(prior)
+        tables[live] = seat(counts[live], (prior.strength + prior.discount * totals.tables[kind[live]]) * parent, prior.discount, seed)
         root_tables = seat(by_word(tables).astype(np.int64), np.full(len(word), (prior.root_strength + prior.root_discount * totals.root_tables) * totals.base), prior.root_discount, word_seed)
-        root_tables = np.minimum(root_tables, STIRLING)
     else:
         tables, root_tables = (a.astype(np.float64) for a in state)
-    root, here = by_word(tables), own(tables)
-    # totals without this bucket's words; without a state it is not known what they hold of these, and they stay as told
-    others = lambda: (totals.tables - here, totals.root - root.sum(), totals.root_tables - root_tables.sum())
-    other, other_root, other_tables = others()
-    rank = np.arange(len(keys)) - np.repeat(np.cumsum(n) - n, n)
-    passes = [np.flatnonzero((counts > 1) & (rank % PASSES == k)) for k in range(PASSES)]
+    root = by_word(tables)
+    # the totals as they are now; without a state it is not known what they hold of these words, and they stay as told
+    told = state is not None
+    seen, root_all, tables_all = np.array(totals.tables, np.float64), totals.root, float(totals.root_tables)
+    rank = live - (np.cumsum(n) - n)[of[live]]
+    passes = [(i, of[i], kind[i], counts[i], seed[k]) for p in range(PASSES) for k in [np.flatnonzero(rank % PASSES == p)] for i in [live[k]] if len(k)]
     out = {"tables": np.zeros(places), "root_tables": 0.0, "word": np.zeros(len(word)), "key": np.zeros(len(keys))}
     kept = 0
     for s in range(prior.sweeps):
         step = T.mix64(np.full(1, (turn << 16) + s + 7, U64))
-        for i in passes:
-            if len(i):
-                at, t = of[i], tables[i]
-                rest = Rest(np.maximum((other + here)[kind[i]] - t, 0), root[at] - t, root_tables[at], max(other_root + root.sum() - float(t.mean()), 0.0),
-                            other_tables + root_tables.sum(), totals.base)
-                new = reseat(counts[i], t, rest, prior, T.mix64(seed[i] ^ step))
-                tables[i] = new
-                root += np.bincount(at, new - t, minlength=len(word))
-                here += np.bincount(kind[i], new - t, minlength=places)
-                # several contexts of a word reseated at once may leave fewer customers than tables in the root
-                root_tables = np.minimum(root_tables, root)
-                if state is None:
-                    other, other_root, other_tables = others()
+        shift, frequent = np.full(len(word), np.nan), np.flatnonzero(root > STIRLING // 2)
+        shift[frequent] = shift_of(root[frequent], root_tables[frequent], prior.root_discount)      # hardly moves in a sweep
+        for i, at, k, c, own_seed in passes:
+            t = tables[i]
+            rest = Rest(np.maximum(seen[k] - t, 0), root[at] - t, root_tables[at], max(root_all - float(t.mean()), 0.0), tables_all, totals.base, shift[at])
+            new = reseat(c, t, rest, prior, T.mix64(own_seed ^ step))
+            m = np.flatnonzero(new != t)
+            change, at = new[m] - t[m], at[m]
+            tables[i[m]] = new[m]
+            np.add.at(root, at, change)
+            if told:
+                np.add.at(seen, k[m], change)
+                root_all += change.sum()
+            # several contexts of a word reseated at once may leave fewer customers than tables in the root
+            short = np.unique(at[root_tables[at] > root[at]])
+            if told:
+                tables_all -= (root_tables[short] - root[short]).sum()
+            root_tables[short] = root[short]
+        several = np.flatnonzero(root > 1)
         for k in range(4):
-            root_tables = root_step(root, root_tables, other_tables + root_tables.sum(), totals.base, prior, T.mix64(word_seed ^ step), k)
-        if state is None:
-            other, other_root, other_tables = others()
-        if s >= prior.burn_in:
+            new = root_step(root[several], root_tables[several], tables_all, totals.base, prior, T.mix64(word_seed[several] ^ step), k)
+            if told:
+                tables_all += (new - root_tables[several]).sum()
+            root_tables[several] = new
+        if averages and s >= prior.burn_in:
             kept += 1
-            root_all, all_tables = prior.root_strength + other_root + root.sum(), other_tables + root_tables.sum()
-            p_root = (root - prior.root_discount * root_tables) / root_all + (prior.root_strength + prior.root_discount * all_tables) / root_all * totals.base
-            held = prior.strength + totals.customers[kind]
+            held = prior.root_strength + root_all
+            p_root = (root - prior.root_discount * root_tables) / held + (prior.root_strength + prior.root_discount * tables_all) / held * totals.base
+            held = prior.strength + totals.customers
             out["word"] += p_root
-            out["key"] += (counts - prior.discount * tables) / held + (prior.strength + prior.discount * (other + here)[kind]) / held * p_root[of]
-            out["tables"] += here
+            out["key"] += (counts - prior.discount * tables) / held[kind] + ((prior.strength + prior.discount * seen) / held)[kind] * p_root[of]
+            out["tables"] += np.bincount(kind, tables, minlength=places)
             out["root_tables"] += root_tables.sum()
     return {k: v / max(kept, 1) for k, v in out.items()} | {"state": (tables, root_tables)}
 
@@ -477,7 +521,7 @@ class Shared:
     train_tokens: int
 
 
-def swept(state: dict, told_rows: pa.Table, shared: Shared, prior: Prior, turn: int) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+def swept(state: dict, told_rows: pa.Table, shared: Shared, prior: Prior, turn: int, averages: bool = True) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """A bucket's sweeps with the totals it was told: (averages, places of the words, counts)."""
     n, kind, counts = unpack(state["state"])
     rows = told_rows.sort_by("owner").to_pylist()
@@ -487,7 +531,7 @@ def swept(state: dict, told_rows: pa.Table, shared: Shared, prior: Prior, turn:
     # a word's name in its bucket: its place, and the bucket
     keys = (of.astype(U64) << U64(8)) + (U64(state["bucket"]) << U64(40))
     seats = None if state["seats"] is None else tuple(unpack(state["seats"]))
-    return sweep_bucket(keys, counts.astype(np.int64), totals, prior, kind, seats, turn), of, counts.astype(np.int64)
+    return sweep_bucket(keys, counts.astype(np.int64), totals, prior, kind, seats, turn, averages), of, counts.astype(np.int64)
 
 
 def own_tables(state: dict, tables: np.ndarray) -> np.ndarray:
@@ -507,7 +551,7 @@ def learn(states: DataFrame, places: DataFrame, prior: Prior) -> tuple[DataFrame
     def sit(shared: Shared, turn: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         def seat_bucket(state: pa.Table, rows: pa.Table) -> pa.Table:
             row = state.to_pylist()[0]
-            got, _, _ = swept(row, rows, shared, prior, turn)
+            got, _, _ = swept(row, rows, shared, prior, turn, averages=False)
             tables, root_tables = got["state"]
             here, edges = own_tables(row, tables), row["edges"]
             out = {"bucket": row["bucket"], "owners": row["owners"], "tables": [pack(here[i:j]) for i, j in zip(edges[:-1], edges[1:])],
@@ -519,8 +563,12 @@ def learn(states: DataFrame, places: DataFrame, prior: Prior) -> tuple[DataFrame
 
     shared = Shared(float(first["pairs"]), float(first["known"]), int(first["known"]), int(first["train_tokens"]))
     slim = states.select("bucket", "state", "owners", "edges")
+    before = None
     for k in range(prior.rounds):
-        seated = stored(slim.join(seated.select("bucket", "seats"), "bucket").groupBy("bucket").cogroup(told(places, seated).groupBy("bucket")).applyInArrow(sit(shared, k), SEATED), f"pitman-yor-round-{k}", codec="uncompressed")
+        seated, path = stored_at(slim.join(seated.select("bucket", "seats"), "bucket").groupBy("bucket").cogroup(told(places, seated).groupBy("bucket")).applyInArrow(sit(shared, k), SEATED), f"pitman-yor-round-{k}", codec="uncompressed")
+        if before:
+            remove_scratch(states.sparkSession, before)       # the round before is read
+        before = path
         sums = seated.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("root_customers", "root_tables"))).first()
         shared = Shared(float(sums["root_customers"]), float(sums["root_tables"]), shared.known, shared.train_tokens)
     return seated, shared

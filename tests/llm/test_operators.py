@@ -569,6 +569,78 @@ def test_tables_are_drawn_from_their_posterior(n, others):
     assert abs(tables.mean() - (t * p).sum()) < 0.1 * max(1, (t * p).sum() / 5)
 
 
+def exact_stirling(n, most, d):
+    """Log of the Stirling numbers of n customers at 0 to most tables, by their recursion."""
+    row, k = np.full(most + 1, -np.inf), np.arange(1, most + 1)
+    row[0] = 0.0
+    with np.errstate(divide="ignore"):
+        for i in range(n):
+            row[1:], row[0] = np.logaddexp(row[1:] + np.log(np.maximum(i - d * k, 0)), row[:-1]), -np.inf
+    return row
+
+
+@pytest.mark.parametrize("d", [0.3, 0.7, 0.8])
+def test_stirling_numbers_of_many_customers(d):
+    want = exact_stirling(3000, 3000, d)
+    t = np.array([1, 2, 3, 7, 30, 150, 700, 1500, 2500, 2900, 3000])
+    n = np.full(len(t), 3000)
+    assert np.abs(pitman_yor.log_stirling(n, t, d) - want[t]).max() < 1e-3
+    assert np.isneginf(pitman_yor.log_stirling(np.array([2000, 2000]), np.array([0, 2001]), d)).all()
+    low = t[:-1]
+    assert np.abs(pitman_yor.one_more_table(n[:-1], low, d) - (want[low + 1] - want[low])).max() < 1e-3
+    assert pitman_yor.one_more_table(np.array([3000]), np.array([2999]), d)[0] == pytest.approx(want[3000] - want[2999], abs=1e-6)
+    more = exact_stirling(3020, 3000, d)
+    assert np.abs(pitman_yor.more_customers(n, np.full(len(t), 20), t, d, np.full(len(t), np.nan)) - (more[t] - want[t]))[:7].max() < 5e-3       # tables few against customers
+    # a single customer, and numbers on either side of the table's end
+    assert pitman_yor.log_stirling(np.array([10**8]), np.array([1]), d)[0] == pytest.approx(math.lgamma(1e8 - d) - math.lgamma(1 - d), abs=1e-3)
+    assert pitman_yor.more_customers(np.array([1024]), np.array([1]), np.array([50]), d, np.array([np.nan]))[0] == pytest.approx(
+        exact_stirling(1025, 50, d)[50] - exact_stirling(1024, 50, d)[50], abs=1e-3)
+
+
+def test_tables_of_many_customers_are_drawn_from_their_posterior():
+    """10,000 customers of a word in a restaurant, 3,000 more in the root: the steps move and give the exact conditional."""
+    prior, rows, n, others = pitman_yor.Prior(), 400, 10_000, 3000
+    d, d0, most = prior.discount, prior.root_discount, 300
+    full = lambda x: np.full(rows, float(x))
+    rest = pitman_yor.Rest(full(600), full(others), full(40), 80_000.0, 9000.0, 1 / 5000)
+    t = np.arange(1, most + 1)
+    shift = pitman_yor.shift_of(np.array([others]), np.array([40]), d0)[0]
+    root = np.array([math.lgamma(others + k - shift) for k in t])
+    log_p = (exact_stirling(n, most, d)[1:] + root + t * math.log(d)
+             + np.array([math.lgamma(prior.strength / d + 600 + k) - math.lgamma(prior.root_strength + 80_000 + k) for k in t]))
+    p = np.exp(log_p - log_p.max())
+    p /= p.sum()
+    tables, customers, moved = full(1), np.full(rows, n), 0.0
+    for k in range(80):
+        new = pitman_yor.reseat(customers, tables, rest, prior, T.mix64(np.arange(rows, dtype=np.uint64) + np.uint64(k * rows)))
+        moved, tables = moved + (new != tables).mean() / 80, new
+    mean = (t * p).sum()
+    spread = math.sqrt(((t - mean) ** 2 * p).sum())
+    assert moved > 0.3
+    assert abs(tables.mean() - mean) < 4 * spread / math.sqrt(rows), (tables.mean(), mean, spread)
+    assert abs(tables.std() - spread) < 0.2 * spread
+
+
+def test_root_tables_pass_a_thousand():
+    """A word with 5,000 customers in the root of a small vocabulary: its tables follow the exact conditional, without a cap."""
+    prior, rows, n, base, others = pitman_yor.Prior(), 200, 5000, 0.3, 4000.0
+    d = prior.root_discount
+    t = np.arange(1, 5000)
+    log_p = exact_stirling(n, 5000, d)[1:5000] + np.array([math.lgamma(prior.root_strength / d + others + k) for k in t]) + t * math.log(d * base)
+    p = np.exp(log_p - log_p.max())
+    p /= p.sum()
+    mean = (t * p).sum()
+    spread = math.sqrt(((t - mean) ** 2 * p).sum())
+    tables, seed = np.full(rows, round(mean + 3 * spread) * 1.0), T.mix64(np.arange(rows, dtype=np.uint64))
+    assert mean > 1024
+    one = lambda r, k: pitman_yor.root_step(np.array([n]), r, others + r[0], base, prior, seed[k % rows:k % rows + 1], k)
+    chain = [tables[:1]]
+    for k in range(6000):
+        chain.append(one(chain[-1], k))
+    late = np.concatenate(chain[3000:])
+    assert abs(late.mean() - mean) < 2 * spread, (late.mean(), mean, spread)
+
+
 # ---- queries
 
 def test_queries_are_registered():
